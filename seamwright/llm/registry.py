@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing
+from . import exact_dedup, langid, mixing, secret_scan, toxicity
 from .common import table
 
 
@@ -11,9 +12,31 @@ def op1_mix(spark, sf_dir):
     return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.trained(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op7_secrets(spark, sf_dir):
+    return secret_scan.find(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_mix": op1_mix, "op8_exact_dedup": op8_exact_dedup}
+def op10_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = langid.label_spans(docs, langid.trained(docs))
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+QUERIES = {
+    "op1_mix": op1_mix,
+    "op6_toxicity": op6_toxicity,
+    "op7_secrets": op7_secrets,
+    "op8_exact_dedup": op8_exact_dedup,
+    "op10_language": op10_language,
+}
 ORACLES = {"op1_mix": mixing.ORACLE, "op8_exact_dedup": exact_dedup.ORACLE}

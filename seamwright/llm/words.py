@@ -88,3 +88,80 @@ def shingle_hashes(text: bytes, n: int, lower: bool = True) -> np.ndarray:
     for i in range(k):
         value = value + words[i : len(words) - k + 1 + i] * _PLACE[i]
     return np.unique(mix64(value))
+
+
+def blocks(text: bytes, size: int = _CHUNK):
+    """A text in pieces cut at word ends, so that very long texts need bounded memory."""
+    at = 0
+    while at < len(text):
+        end = min(len(text), at + size)
+        while end < len(text) and not _SPACE[text[end]]:
+            end += 1
+        yield text[at:end]
+        at = end
+
+
+class WordCache:
+    """Rows of numbers for words, computed once for each distinct word a worker meets.
+
+    ``fill`` maps a list of words (bytes) to an array with one row for each.  The cache is emptied when it holds
+    more than ``limit`` words or ``limit_bytes`` bytes of them, so its memory is bounded.
+    """
+
+    def __init__(self, fill, limit: int = 600_000, limit_bytes: int = 64 << 20):
+        self.fill, self.limit, self.limit_bytes = fill, limit, limit_bytes
+        self.clear()
+
+    def clear(self) -> None:
+        self.at: dict[bytes, int] = {}
+        self.held, self.rows = 0, None
+
+    def index(self, words: list[bytes]) -> np.ndarray:
+        """Positions in self.rows, valid until the next call."""
+        if len(self.at) > self.limit or self.held > self.limit_bytes:
+            self.clear()
+        new = list(set(words).difference(self.at))
+        if new:
+            rows = self.fill(new)
+            n = len(self.at)
+            if self.rows is None or n + len(new) > len(self.rows):
+                grown = np.zeros((max(1024, 2 * (n + len(new))), *rows.shape[1:]), rows.dtype)
+                if n:
+                    grown[:n] = self.rows[:n]
+                self.rows = grown
+            self.rows[n : n + len(new)] = rows
+            self.at.update(zip(new, range(n, n + len(new)), strict=True))
+            self.held += sum(map(len, new))
+        return np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
+
+    def get(self, words: list[bytes]) -> np.ndarray:
+        at = self.index(words)
+        return self.rows[at] if len(at) else np.zeros((0,), np.float32)
+
+
+def letters(words: list[bytes], digits: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Lower-case code points of all words, each word between zeros, other characters than letters (and digits) as zeros; and each one's word."""
+    text = b"\n".join(words).decode("utf-8", "replace").lower()
+    points = np.frombuffer(f"\n{text}\n".encode("utf-32-le", "replace"), np.uint32)
+    of = np.cumsum(points == 10) - 1
+    seen, place = np.unique(points, return_inverse=True)
+    good = np.array([(c := chr(p)).isalpha() or (digits and c.isdigit()) for p in seen.tolist()], bool)
+    return np.where(good[place], points, 0).astype(np.uint64), np.minimum(of, len(words) - 1)
+
+
+def grams(points: np.ndarray, of: np.ndarray, sizes, bits: int):
+    """For each n-gram that lies in one run of letters, a zero at either end included: its word and its bucket.  Yields one pair a size."""
+    zero = points == 0
+    for n in sizes:
+        m = len(points) - n + 1
+        if m <= 0:
+            continue
+        value = np.full(m, n, np.uint64)
+        for i in range(n):
+            value = value + (points[i : m + i] + np.uint64(1)) * _PLACE[i]
+        good = np.ones(m, bool)
+        for i in range(1, n - 1):
+            good &= ~zero[i : m + i]
+        good &= ~(zero[:m] & zero[n - 1 :]) if n < 3 else good
+        at = np.flatnonzero(good)
+        yield of[at + (1 if n > 1 else 0)], (mix64(value[at]) >> np.uint64(64 - bits)).astype(np.int64)
