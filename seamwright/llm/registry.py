@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, mixing, secret_scan, toxicity
+from . import exact_dedup, langid, mixing, secret_scan, sp_codec, token_file, toxicity
 from .common import table
 
 
@@ -12,6 +12,14 @@ def op1_mix(spark, sf_dir):
     return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_sentencepiece(spark, sf_dir):
+    return sp_codec.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op4_token_file(spark, sf_dir):
+    return token_file.read(token_file.write(table(spark, sf_dir, "documents"), token_file.default_path()))
+
+
 def op6_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = toxicity.trained(docs, table(spark, sf_dir, "labels"))
@@ -34,6 +42,8 @@ def op10_language(spark, sf_dir):
 
 QUERIES = {
     "op1_mix": op1_mix,
+    "op3_sentencepiece": op3_sentencepiece,
+    "op4_token_file": op4_token_file,
     "op6_toxicity": op6_toxicity,
     "op7_secrets": op7_secrets,
     "op8_exact_dedup": op8_exact_dedup,

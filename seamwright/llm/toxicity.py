@@ -32,7 +32,7 @@ TRAIN_ROWS = 20_000
 BITS, SIZES = 18, (3, 4, 5, 6)
 #: Least absolute log-count ratio, least number of documents of a kept n-gram, and the most n-grams kept.
 LEAST_RATIO, LEAST_DOCS, MOST_FEATURES = 1.5, 5, 4096
-ALPHA, L2, STEPS = 1.0, 1e-3, 300
+ALPHA, L2, STEPS = 1.0, 1e-5, 600
 _CACHES: dict[str, WordCache] = {}
 
 

@@ -165,3 +165,41 @@ def grams(points: np.ndarray, of: np.ndarray, sizes, bits: int):
         good &= ~(zero[:m] & zero[n - 1 :]) if n < 3 else good
         at = np.flatnonzero(good)
         yield of[at + (1 if n > 1 else 0)], (mix64(value[at]) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+class IdCache:
+    """Lists of numbers for pieces of text, computed once for each distinct piece; bounded like WordCache."""
+
+    def __init__(self, fill, limit: int = 600_000, limit_bytes: int = 64 << 20):
+        self.fill, self.limit, self.limit_bytes = fill, limit, limit_bytes
+        self.clear()
+
+    def clear(self) -> None:
+        self.at: dict[bytes, int] = {}
+        self.held, self.n, self.used = 0, 0, 0
+        self.start, self.size, self.flat = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.int32)
+
+    def get(self, pieces: list[bytes]) -> np.ndarray:
+        """The lists of all pieces, one after another."""
+        if not pieces:
+            return np.zeros(0, np.int32)
+        if len(self.at) > self.limit or self.held > self.limit_bytes:
+            self.clear()
+        new = list(set(pieces).difference(self.at))
+        if new:
+            lists = self.fill(new)
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            total, n = int(sizes.sum()), self.n + len(new)
+            if n > len(self.start):
+                self.start, self.size = (np.resize(x, 2 * n) for x in (self.start, self.size))
+            if self.used + total > len(self.flat):
+                self.flat = np.resize(self.flat, 2 * (self.used + total))
+            self.flat[self.used : self.used + total] = np.fromiter((i for x in lists for i in x), np.int32, total)
+            self.size[self.n : n] = sizes
+            self.start[self.n : n] = self.used + np.cumsum(sizes) - sizes
+            self.at.update(zip(new, range(self.n, n), strict=True))
+            self.n, self.used, self.held = n, self.used + total, self.held + sum(map(len, new))
+        which = np.fromiter(map(self.at.__getitem__, pieces), np.int64, len(pieces))
+        sizes = self.size[which]
+        ends = np.cumsum(sizes)
+        return self.flat[np.repeat(self.start[which] - ends + sizes, sizes) + np.arange(ends[-1])]
