@@ -39,8 +39,8 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
-    """rows left-joined with groups (one row per key) without a hot task.
+def attach(rows: DataFrame, groups: DataFrame, key: str | list[str], size: str, total: int, how: str = "left") -> DataFrame:
+    """rows joined (left or inner) with groups (one row per key) without a hot task.
 
     Keys with at least 1/FREQUENT of the rows - at most FREQUENT of them - go by broadcast; all others go
     through a shuffled join in which no key can hold more than that share.
@@ -48,7 +48,7 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int)
     bound = max(total // FREQUENT, 1000)
     hot = F.broadcast(groups.filter(F.col(size) > bound))
     rest = groups.filter(F.col(size) <= bound)
-    return rows.join(hot, key, "inner").unionByName(rows.join(hot, key, "left_anti").join(rest, key, "left"))
+    return rows.join(hot, key, "inner").unionByName(rows.join(hot, key, "left_anti").join(rest, key, how))
 
 
 def with_offsets(df: DataFrame, order: list[Column], amount: str, out: str, name: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, mixing, secret_scan, sp_codec, token_file, toxicity
+from . import embedding_dedup, exact_dedup, langid, mixing, secret_scan, sp_codec, substring_dedup, token_file, toxicity
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op4_token_file(spark, sf_dir):
     return token_file.read(token_file.write(table(spark, sf_dir, "documents"), token_file.default_path()))
 
 
+def op5_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = toxicity.trained(docs, table(spark, sf_dir, "labels"))
@@ -34,6 +38,10 @@ def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark, sf_dir):
+    return substring_dedup.removals(table(spark, sf_dir, "documents"))
+
+
 def op10_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = langid.label_spans(docs, langid.trained(docs))
@@ -44,9 +52,11 @@ QUERIES = {
     "op1_mix": op1_mix,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_token_file": op4_token_file,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_secrets": op7_secrets,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_language": op10_language,
 }
 ORACLES = {"op1_mix": mixing.ORACLE, "op8_exact_dedup": exact_dedup.ORACLE}

@@ -51,31 +51,49 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
 
 
-def word_hashes(text: bytes, lower: bool = True) -> np.ndarray:
-    """One uint64 for each word, in order.  Long texts go through in blocks cut at word ends."""
+def word_spans(text: bytes, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first bytes, end bytes, one uint64 for each word), in order.  Long texts go through in blocks cut at word ends."""
     if len(text) > _CHUNK:
         parts, at = [], 0
-        while at < len(text):
-            end = min(len(text), at + _CHUNK)
-            while end < len(text) and not _SPACE[text[end]]:
-                end += 1
-            parts.append(word_hashes(text[at:end], lower))
-            at = end
-        return np.concatenate(parts)
+        for piece in blocks(text):
+            a, b, h = word_spans(piece, lower) if len(piece) <= _CHUNK else _spans(piece, lower)
+            parts.append((a + at, b + at, h))
+            at += len(piece)
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+    return _spans(text, lower)
+
+
+def word_hashes(text: bytes, lower: bool = True) -> np.ndarray:
+    return word_spans(text, lower)[2]
+
+
+def _spans(text: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     data = np.frombuffer(text, np.uint8)
-    if not len(data):
-        return np.zeros(0, np.uint64)
+    none = np.zeros(0, np.int64)
     inside = np.zeros(len(data) + 2, np.int8)
     inside[1:-1] = ~_SPACE[data]
     edge = np.diff(inside)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(starts):
-        return np.zeros(0, np.uint64)
+        return none, none, np.zeros(0, np.uint64)
     up, down = _powers(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[lower_ascii(data) if lower else data] * up[:-1], out=total[1:])
     value = (total[ends] - total[starts]) * down[starts]
-    return mix64(value + (ends - starts).astype(np.uint64) * _PLACE[63])
+    return starts, ends, mix64(value + (ends - starts).astype(np.uint64) * _PLACE[63])
+
+
+def run_digests(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent digests of each run of words; run i has the words from first[i] up to the next run."""
+    size = np.diff(np.append(first, len(hashes)))
+    place = np.arange(len(hashes)) - np.repeat(first, size)
+    out = []
+    for k in (0, 1):
+        base = _PLACE[40 + k]
+        powers = np.full(int(size.max()) if len(size) else 0, base, np.uint64)
+        powers = np.multiply.accumulate(powers)
+        out.append(mix64(np.add.reduceat(hashes * powers[place], first) + size.astype(np.uint64) * _PLACE[50 + k]).view(np.int64))
+    return out[0], out[1]
 
 
 def shingle_hashes(text: bytes, n: int, lower: bool = True) -> np.ndarray:
