@@ -62,6 +62,17 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
+def distinct_documents(docs: DataFrame) -> DataFrame:
+    """docs with one row of each group of equal texts: that of the smallest doc_id, once if that row is repeated."""
+    key = F.sha2(normalised(F.col("text")), 256)
+    groups = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "group_size")
+    kept = durable(groups.groupBy("_id", "_sha").agg(F.count("*").alias("_rows")), "kept")
+    out = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_id")) & (key == F.col("_sha")), "left_semi")
+    if kept.filter("_rows > 1").isEmpty():
+        return out
+    return out.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+
+
 ORACLE = r"""
 WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,

@@ -193,8 +193,26 @@ def label_spans(docs: DataFrame, model: dict, penalty: float = PENALTY, id_col:
     return picked(docs, {"doc_id": F.col(id_col).cast("long"), "text": F.col(text_col).cast("binary")}).mapInArrow(run, SCHEMA)
 
 
-def held_out(doc_id=None):
-    return F.crc32((F.col("doc_id") if doc_id is None else doc_id).cast("string")) % 4 == 2
+def accepted(docs: DataFrame, model: dict, least: float = 0.3, penalty: float = PENALTY, text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns as they are, whose text has a language with a score of at least ``least``."""
+    shared = ship(docs.sparkSession).sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        m = shared.value
+        cache = _CACHES.get(m["id"])
+        if cache is None:
+            _CACHES.clear()
+            cache = _CACHES[m["id"]] = WordCache(lambda words: word_scores(words, m))
+        for batch in batches:
+            found = (identify(None if t is None else t.encode("utf-8", "replace"), m, cache, penalty) for t in batch.column(at).to_pylist())
+            yield batch.filter(pa.array([lang != "und" and score >= least for lang, score, _ in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def held_out():
+    return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
 
 
 def trained(docs: DataFrame, rows: int = TRAIN_ROWS) -> dict:

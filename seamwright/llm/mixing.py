@@ -57,38 +57,45 @@ def targets(sizes: DataFrame, weights=WEIGHTS, limit: int = LIMIT) -> DataFrame:
     return ranked.select("source", "source_size", F.least((F.col("source_size") * limit).cast("double"), level).alias("target"))
 
 
-def plan(docs: DataFrame, weights=WEIGHTS, limit: int = LIMIT, tries: int = TRIES, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, copies, taken."""
+def _with_source(rows: DataFrame, right: DataFrame, few: bool) -> DataFrame:
+    """rows with the columns of right for their source (null is a source)."""
+    right = right.withColumnRenamed("source", "_s")
+    if few:
+        return rows.join(F.broadcast(right), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    salted = right.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.withColumn("_j", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    return rows.join(salted, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_j") == F.col("_k"))).drop("_s", "_j", "_k")
+
+
+def rates(docs: DataFrame, weights=WEIGHTS, limit: int = LIMIT, tries: int = TRIES, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"):
+    """(sizes: doc_id, source, size; rates: source, source_size, target, rate, seed; whether these are few)."""
     words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
     sizes = durable(picked(docs, {"doc_id": F.col(id_col), "source": F.col(source_col), "size": words}), "sizes")
-    goal = durable(targets(sizes, weights, limit), "targets")
-    rated = goal.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
-    few = rated.count() <= BROADCAST_SOURCES
-
-    def joined(rows: DataFrame, right: DataFrame) -> DataFrame:
-        if few:
-            return rows.join(F.broadcast(right.withColumnRenamed("source", "_s")), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-        salted = right.withColumnRenamed("source", "_s").withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        rows = rows.withColumn("_j", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-        return rows.join(salted, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_j") == F.col("_k"))).drop("_s", "_j", "_k")
-
-    rows = joined(sizes, rated)
-    if tries > 1:
-        sums = [F.sum(F.col("size") * _copies(F.col("rate"), F.col("doc_id"), F.lit(k))).alias(f"t{k}") for k in range(tries)]
-        best = rows.groupBy("source", "source_size", "target", "rate").agg(*sums)
-        order = F.array_sort(F.array(*[F.struct(F.abs(F.col(f"t{k}") - F.col("target")).alias("off"), F.lit(k).alias("seed")) for k in range(tries)]))
-        rows = joined(sizes, durable(best.select("source", "source_size", "target", "rate", order[0]["seed"].alias("seed")), "seeds"))
-    else:
-        rows = rows.withColumn("seed", F.lit(0))
-    return rows.withColumn("copies", _copies(F.col("rate"), F.col("doc_id"), F.col("seed"))).withColumn("taken", F.col("size") * F.col("copies")).drop("rate", "seed")
+    goal = targets(sizes, weights, limit).withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
+    goal = durable(goal, "targets")
+    few = goal.count() <= BROADCAST_SOURCES
+    if tries == 1:
+        return sizes, goal.withColumn("seed", F.lit(0)), few
+    sums = [F.sum(F.col("size") * _copies(F.col("rate"), F.col("doc_id"), F.lit(k))).alias(f"t{k}") for k in range(tries)]
+    best = _with_source(sizes, goal, few).groupBy("source", "source_size", "target", "rate").agg(*sums)
+    order = F.array_sort(F.array(*[F.struct(F.abs(F.col(f"t{k}") - F.col("target")).alias("off"), F.lit(k).alias("seed")) for k in range(tries)]))
+    return sizes, durable(best.select("source", "source_size", "target", "rate", order[0]["seed"].alias("seed")), "seeds"), few
+
+
+def plan(docs: DataFrame, weights=WEIGHTS, limit: int = LIMIT, tries: int = TRIES, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, copies, taken."""
+    sizes, rated, few = rates(docs, weights, limit, tries, id_col, text_col, source_col)
+    rows = _with_source(sizes, rated, few).withColumn("copies", _copies(F.col("rate"), F.col("doc_id"), F.col("seed")))
+    return rows.withColumn("taken", F.col("size") * F.col("copies")).drop("rate", "seed")
 
 
 def mixed(docs: DataFrame, weights=WEIGHTS, limit: int = LIMIT, tries: int = TRIES) -> DataFrame:
-    """docs, each row as often as the mix takes it.  Rows that share a doc_id and a source share their number of copies."""
-    tag = f"_c{uuid.uuid4().hex[:8]}"
-    how_many = plan(docs, weights, limit, tries).groupBy(F.col("doc_id").alias(f"{tag}i"), F.col("source").alias(f"{tag}s")).agg(F.max("copies").alias(tag)).filter(F.col(tag) > 0)
-    out = docs.join(how_many, docs["doc_id"].eqNullSafe(F.col(f"{tag}i")) & docs["source"].eqNullSafe(F.col(f"{tag}s")))
-    return out.withColumn(tag, F.explode(F.sequence(F.lit(1).cast("long"), F.col(tag)))).select(*docs.columns)
+    """docs, each row as often as the mix takes it.  Texts don't move: only the rates of sources are joined."""
+    _, rated, few = rates(docs, weights, limit, tries)
+    tag = f"_m{uuid.uuid4().hex[:8]}"
+    row = docs.select("doc_id", "source", F.struct(*[F.col(c) for c in docs.columns]).alias(tag))
+    out = _with_source(row, rated.select("source", "rate", "seed"), few).withColumn("copies", _copies(F.col("rate"), F.col("doc_id"), F.col("seed")))
+    return out.filter("copies > 0").select(F.explode(F.array_repeat(F.col(tag), F.col("copies").cast("int"))).alias(tag)).select(f"{tag}.*")
 
 
 ORACLE = rf"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, exact_dedup, langid, mixing, secret_scan, sp_codec, substring_dedup, token_file, toxicity
+from . import embedding_dedup, exact_dedup, langid, mixing, ngram_join, secret_scan, sp_codec, substring_dedup, token_file, toxicity
 from .common import table
 
 
@@ -12,6 +12,10 @@ def op1_mix(spark, sf_dir):
     return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_ngram_join(spark, sf_dir):
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op3_sentencepiece(spark, sf_dir):
     return sp_codec.round_trip(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def op10_language(spark, sf_dir):
 
 QUERIES = {
     "op1_mix": op1_mix,
+    "op2_ngram_join": op2_ngram_join,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_token_file": op4_token_file,
     "op5_embedding_dedup": op5_embedding_dedup,
@@ -59,4 +64,4 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language": op10_language,
 }
-ORACLES = {"op1_mix": mixing.ORACLE, "op8_exact_dedup": exact_dedup.ORACLE}
+ORACLES = {"op1_mix": mixing.ORACLE, "op2_ngram_join": ngram_join.ORACLE, "op8_exact_dedup": exact_dedup.ORACLE}
