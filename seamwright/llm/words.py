@@ -186,38 +186,91 @@ def grams(points: np.ndarray, of: np.ndarray, sizes, bits: int):
 
 
 class IdCache:
-    """Lists of numbers for pieces of text, computed once for each distinct piece; bounded like WordCache."""
+    """Lists of numbers for pieces of text, computed once for each distinct piece.
 
-    def __init__(self, fill, limit: int = 600_000, limit_bytes: int = 64 << 20):
+    ``fill`` maps a list of pieces to (all their numbers, how many each has).  When the cache holds more than ``limit``
+    pieces or ``limit_bytes`` bytes of them, only those met again since they came stay, if they are at most half of it.
+    """
+
+    def __init__(self, fill, limit: int = 900_000, limit_bytes: int = 96 << 20):
         self.fill, self.limit, self.limit_bytes = fill, limit, limit_bytes
         self.clear()
 
     def clear(self) -> None:
         self.at: dict[bytes, int] = {}
         self.held, self.n, self.used = 0, 0, 0
-        self.start, self.size, self.flat = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.int32)
+        self.start, self.size, self.met, self.flat = np.zeros(1024, np.int64), np.zeros(1024, np.int32), np.zeros(1024, np.int32), np.zeros(4096, np.int32)
+
+    def _add(self, pieces: list[bytes], flat: np.ndarray, sizes: np.ndarray) -> None:
+        total, n = len(flat), self.n + len(pieces)
+        if n > len(self.start):
+            self.start, self.size, self.met = (np.resize(x, 3 * n // 2) for x in (self.start, self.size, self.met))
+        if self.used + total > len(self.flat):
+            self.flat = np.resize(self.flat, 3 * (self.used + total) // 2)
+        self.flat[self.used : self.used + total] = flat
+        self.size[self.n : n] = sizes
+        self.start[self.n : n] = self.used + np.cumsum(sizes) - sizes
+        self.met[self.n : n] = 0
+        self.at.update(zip(pieces, range(self.n, n), strict=True))
+        self.n, self.used, self.held = n, self.used + total, self.held + sum(map(len, pieces))
+
+    def _shrink(self) -> None:
+        often = self.met[: self.n] > 1
+        kept = [p for p, o in zip(self.at, often.tolist(), strict=True) if o]  # in order of coming
+        which = np.flatnonzero(often)
+        sizes = self.size[which].astype(np.int64)
+        flat = self.flat[_ranges(self.start[which], sizes)]
+        self.clear()
+        if len(kept) <= self.limit // 2 and sum(map(len, kept)) <= self.limit_bytes // 2:
+            self._add(kept, flat, sizes)
 
-    def get(self, pieces: list[bytes]) -> np.ndarray:
-        """The lists of all pieces, one after another."""
+    def get(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(the lists of all pieces, one after another; their lengths)."""
         if not pieces:
-            return np.zeros(0, np.int32)
-        if len(self.at) > self.limit or self.held > self.limit_bytes:
-            self.clear()
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        if self.n > self.limit or self.held > self.limit_bytes:
+            self._shrink()
         new = list(set(pieces).difference(self.at))
         if new:
-            lists = self.fill(new)
-            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-            total, n = int(sizes.sum()), self.n + len(new)
-            if n > len(self.start):
-                self.start, self.size = (np.resize(x, 2 * n) for x in (self.start, self.size))
-            if self.used + total > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * (self.used + total))
-            self.flat[self.used : self.used + total] = np.fromiter((i for x in lists for i in x), np.int32, total)
-            self.size[self.n : n] = sizes
-            self.start[self.n : n] = self.used + np.cumsum(sizes) - sizes
-            self.at.update(zip(new, range(self.n, n), strict=True))
-            self.n, self.used, self.held = n, self.used + total, self.held + sum(map(len, new))
+            self._add(new, *self.fill(new))
         which = np.fromiter(map(self.at.__getitem__, pieces), np.int64, len(pieces))
-        sizes = self.size[which]
-        ends = np.cumsum(sizes)
-        return self.flat[np.repeat(self.start[which] - ends + sizes, sizes) + np.arange(ends[-1])]
+        self.met[: self.n] += np.bincount(which, minlength=self.n).astype(np.int32)
+        sizes = self.size[which].astype(np.int64)
+        return self.flat[_ranges(self.start[which], sizes)], sizes
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for each start, size many."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def in_order(flat: np.ndarray, sizes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lists given one after another, the k-th meant for places[k], put in the order of places."""
+    order = np.argsort(places)
+    return flat[_ranges((np.cumsum(sizes) - sizes)[order], sizes[order])], sizes[order]
+
+
+def cached_ids(texts: list[bytes | None], cut, cache: IdCache, size: int = _CHUNK):
+    """Yields (ids, end of each text in them) for groups of texts of about ``size`` bytes; cut maps bytes to pieces."""
+    at = 0
+    while at < len(texts):
+        pieces, counts, held = [], [], 0
+        first = at
+        while at < len(texts) and held < size:
+            text = texts[at] or b""
+            if len(text) > 2 * size:
+                break
+            own = cut(text)
+            pieces += own
+            counts.append(len(own))
+            held += len(text)
+            at += 1
+        if at > first:
+            ids, sizes = cache.get(pieces)
+            yield ids, np.concatenate(([0], np.cumsum(sizes)))[np.cumsum(counts)]
+        else:  # a very long text goes through in blocks
+            parts = [cache.get(cut(part))[0] for part in blocks(texts[at], size)]
+            ids = np.concatenate(parts)
+            yield ids, np.array([len(ids)])
+            at += 1
