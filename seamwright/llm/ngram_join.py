@@ -5,16 +5,18 @@
 2. Prefix filter: under one global order of shingles, two sets with similarity >= t share a shingle among the first
    n - ceil(t n) + 1 of each.  Any order is right; rare shingles first keeps candidate lists short.  Exact document
    frequencies are counted for the shingles whose hash lies in the lowest ``RANKED`` of all hashes; the order is: those by
-   (frequency, hash), then those of them found ``heavy`` by hash, then all others by hash.  Heavy shingles - kept out of
+   (frequency, hash), then those of them found ``heavy`` by (estimated frequency, hash), then all others by hash.  Heavy shingles - kept out of
    the counting groups so that none can swamp one - come from mergeable frequent-item summaries of ``COUNTERS`` counters
    a task over all documents, at most ``HEAVY`` of them, so their broadcast is bounded.
 3. Classes with the same prefix and size form a group; lists of groups are kept by prefix shingle.
-4. Links only matter for reachability, so lists are first read as stars: in each band of sizes every group is paired with
-   the list's least group of that and the neighbouring bands, and every member with its group's first.  Pairs are
-   verified on the full sets, and components taken.
-5. Then group pairs are expanded: all members of a list that are still in different components and whose sizes allow the
-   similarity are paired and verified, lists of more than ``BLOCK`` members as pairs of blocks, and components are taken
-   again.  A pair left out is already connected, so no component is missed, and a group of near copies costs its size.
+4. Lists are read pair by pair.  A pair goes on if its sizes allow the similarity, if the places of the list's shingle
+   in both orders do (positional filter: at its first common shingle a pair still has to find all of its intersection),
+   and if 1024-bit parity maps of the sets do (they differ in no more bits than the sets in shingles).  Lists of more
+   than ``BLOCK`` entries are read as pairs of blocks.
+5. Links only matter for reachability, so pairs of one component are left out and the first two rounds take one pair per
+   entry: groups first, each member with its group's first one, then all members.  The third round expands everything
+   that is still in different components and passes the filters.  Pairs are verified on the full sets and components
+   taken after each round, so a group of near copies costs its size and no component is missed.
 
 Defined cases: null, empty or wordless texts have an empty set and link with nothing; with fewer words than a shingle
 the whole sequence is the one shingle; repeated rows of one doc_id are copies; rows with a null doc_id get a null
@@ -39,6 +41,8 @@ RANKED = 0.35
 COUNTERS, HEAVY, LEAST_HEAVY = 1 << 17, 1 << 18, 256
 #: Counted shingles in one group; members in one block; pairs verified in one group.
 GROUP, BLOCK, PAIRS = 3_000_000, 2048, 1000
+#: Bits of the parity maps.
+BITS = 1024
 _TOP = np.uint64(int(RANKED * (1 << 64)))
 
 
@@ -88,7 +92,7 @@ def _deal(words: int, percent: int, groups: int, heavy):
     and the sets' (f1, f2, n, number of such shingles).  Sets whose prefix goes beyond these come once more without any."""
 
     def run(batches):
-        known = heavy.value
+        known = heavy.value[0]
         for batch in batches:
             once = {}
             for text in batch.column(0).to_pylist():
@@ -147,10 +151,10 @@ def _shared(table: pa.Table) -> pa.Table:
 
 
 def _prefixes(words: int, percent: int, heavy):
-    """rep, n, prefix (shared shingles of it alone), the whole set."""
+    """rep, n, skip (shingles of the prefix that no other set holds, which come first), the rest of the prefix, the parity map, the whole set."""
 
     def run(batches):
-        known = heavy.value
+        known, counts = heavy.value
         for batch in batches:
             out = []
             for rep, text, ranked in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
@@ -162,17 +166,21 @@ def _prefixes(words: int, percent: int, heavy):
                 low = s[: np.searchsorted(s, _TOP)]
                 common = np.isin(low, known, assume_unique=True) if len(known) else np.zeros(len(low), bool)
                 shared = sorted(((r["df"], int(np.int64(r["token"]).view(np.uint64))) for r in ranked or []))
-                left -= len(low) - int(common.sum()) - len(shared)  # those that no other set holds come first
+                skip = len(low) - int(common.sum()) - len(shared)
+                left -= skip
                 take = [t for _, t in shared[: max(left, 0)]]
                 left -= len(shared)
                 if left > 0:
-                    take += low[common][:left].tolist()
+                    often = low[common]
+                    take += often[np.lexsort((often, counts[np.searchsorted(known, often)]))][:left].tolist()
                     left -= int(common.sum())
                 if left > 0:
                     take += s[len(low) :][:left].tolist()
                 if take:
-                    out.append((rep, n, np.array(take, np.uint64).view(np.int64), s.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.list_(pa.int64())), pa.array([o[3] for o in out], pa.binary())], ["rep", "n", "prefix", "set"])
+                    bits = np.packbits(np.bincount((s >> np.uint64(24)).astype(np.int64) % BITS, minlength=BITS) & 1)
+                    out.append((rep, n, skip, np.array(take, np.uint64).view(np.int64), bits.tobytes(), s.tobytes()))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], kind) for k, kind in enumerate(kinds)], ["rep", "n", "skip", "prefix", "bits", "set"])
 
     return run
 
@@ -206,31 +214,55 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return durable(members.unionByName(firsts).groupBy("cell").applyInArrow(_check(percent), "a long, b long"), "links")
 
 
-def _expand(percent: int):
-    """Pairs of members in different components whose sizes allow the similarity, list by list."""
+def _read_lists(percent: int, one_each: bool):
+    """Pairs of entries in different components that pass the filters, list by list; one_each: with the first such entry before it only."""
 
     def run(table: pa.Table) -> pa.Table:
-        token, rep, n, comp, own, i, j = (table.column(c).to_numpy() for c in ("token", "rep", "n", "comp", "own", "i", "j"))
-        order = np.argsort(token, kind="stable")
+        token, rep, n, at_most, comp, own, i, j = (table.column(c).to_numpy() for c in ("token", "rep", "n", "rest", "comp", "own", "i", "j"))
+        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(token), BITS // 64)
+        order = np.lexsort((rep, token))
         token = token[order]
         first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
-        out_a, out_b = [], []
+        out = [np.zeros((0, 2), np.int64)]
         for s, e in zip(first.tolist(), [*first[1:].tolist(), len(token)], strict=True):
             at = order[s:e]
             left = at[own[at] == i[at]]
             right = left if i[at[0]] == j[at[0]] else at[own[at] == j[at]]
-            ok = comp[left][:, None] != comp[right][None, :]
-            ok &= np.minimum(n[left][:, None], n[right][None, :]) * 100 >= percent * np.maximum(n[left][:, None], n[right][None, :])
+            ok = (comp[left][:, None] != comp[right][None, :]) & (rep[left][:, None] > rep[right][None, :] if right is left else True)
+            sizes = n[left][:, None] + n[right][None, :]
+            ok &= (100 + percent) * np.minimum(n[left][:, None], n[right][None, :]) >= percent * sizes
+            ok &= (100 + percent) * np.minimum(at_most[left][:, None], at_most[right][None, :]) >= percent * sizes
             x, y = np.nonzero(ok)
-            x, y = rep[left][x], rep[right][y]
-            out_a.append(np.minimum(x, y))
-            out_b.append(np.maximum(x, y))
-        pair = np.unique(np.stack((np.concatenate(out_a), np.concatenate(out_b)), 1), axis=0)
+            for k in range(0, len(x), 1 << 18):  # in slices, as the maps of all pairs may be large
+                p, q = x[k : k + (1 << 18)], y[k : k + (1 << 18)]
+                apart = np.bitwise_count(bits[left[p]] ^ bits[right[q]]).sum(1, dtype=np.int64)
+                total = sizes[p, q]
+                good = (100 + percent) * ((total - apart) // 2) >= percent * total
+                p, q = p[good], q[good]
+                if one_each and len(p):
+                    new = np.unique(p, return_index=True)[1]
+                    p, q = p[new], q[new]
+                out.append(np.stack((np.minimum(rep[left[p]], rep[right[q]]), np.maximum(rep[left[p]], rep[right[q]])), 1))
+        pair = np.unique(np.concatenate(out), axis=0)
         return pa.table({"a": pair[:, 0], "b": pair[:, 1]})
 
     return run
 
 
+def _candidates(entries: DataFrame, percent: int, one_each: bool) -> DataFrame:
+    """entries: rep, n, skip, prefix, bits, comp.  Lists that hold one component only are dropped before anything moves."""
+    n = partitions(entries.sparkSession)
+    placed = entries.select(F.posexplode("prefix").alias("at", "token"), "rep", "n", "skip", "comp", "bits")
+    # rest: shingles from this one on in the order
+    spread = durable(placed.select("token", "rep", "n", (F.col("n") - F.col("skip") - F.col("at")).alias("rest"), "comp", "bits"), "lists")
+    mixed = spread.groupBy("token").agg(F.count("*").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token", "c")
+    size = spread.count()
+    cells = attach(spread, mixed, "token", "c", size, "inner").withColumn("k", F.ceil(F.col("c") / BLOCK).cast("int")).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("k")).cast("int"))
+    cells = cells.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).withColumn("i", F.least("own", "o")).withColumn("j", F.greatest("own", "o"))
+    cells = cells.withColumn("cell", F.when(F.col("k") == 1, F.pmod(F.xxhash64("token"), F.lit(max(n, size // 50_000 + 1)))).otherwise(F.xxhash64("token", "i", "j")))
+    return cells.drop("o", "k", "c").groupBy("cell", "i", "j").applyInArrow(_read_lists(percent, one_each), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the least doc_id it reaches by links, itself included)."""
     spark = ship(docs.sparkSession)
@@ -240,8 +272,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     classes = durable(rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.count("*").alias("copies")), "classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
     counted = int(total * RANKED) + 1
-    known = both.filter("kind = 1").groupBy("f1").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(LEAST_HEAVY, counted // HEAVY)).select("f1").toArrow()
-    heavy = spark.sparkContext.broadcast(np.sort(known.column("f1").to_numpy().view(np.uint64)))
+    known = both.filter("kind = 1").groupBy("f1").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(LEAST_HEAVY, counted // HEAVY)).toArrow()
+    tokens, often = known.column("f1").to_numpy().view(np.uint64), known.column("n").to_numpy()
+    order = np.argsort(tokens)
+    heavy = spark.sparkContext.broadcast((tokens[order], often[order]))
     groups = max(partitions(spark), -(-counted // GROUP))
     dealt = texts.filter("doc_id IS NOT NULL").select("text").mapInArrow(_deal(words, percent, groups, heavy), "g long, tokens binary, places binary, sets binary")
     shared = durable(dealt.groupBy("g").applyInArrow(_shared, "f1 long, f2 long, n long, own long, token long, df long"), "shared")
@@ -251,31 +285,22 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     lists = lists.filter(longest > F.col("own") - F.col("c")).select("f1", "f2", "ranked")
     needs = classes.join(lists, ["f1", "f2"]).select(F.col("rep").alias("doc_id"), "ranked")
     once = texts.join(needs, "doc_id").groupBy("doc_id").agg(F.first("text").alias("text"), F.first("ranked").alias("ranked")) if _repeats(rows) else texts.join(needs, "doc_id").select("doc_id", "text", "ranked")
-    sets = durable(once.mapInArrow(_prefixes(words, percent, heavy), "rep long, n long, prefix array<long>, set binary"), "prefixes")
+    sets = durable(once.mapInArrow(_prefixes(words, percent, heavy), "rep long, n long, skip long, prefix array<long>, bits binary, set binary"), "prefixes")
     # groups of equal prefix and size, and their lists
-    grouped = sets.groupBy("n", "prefix").agg(F.min("rep").alias("gid"), F.count("*").alias("members"))
-    group_of = durable(attach(sets.select("rep", "n", "prefix"), grouped, ["n", "prefix"], "members", sets.count(), "inner").select("rep", "n", "prefix", "gid"), "groups")
-    band = F.floor(F.log(F.col("n")) / float(np.log(100 / percent))).cast("int")
-    entries = group_of.filter("rep = gid").select(F.explode("prefix").alias("token"), "gid", band.alias("band"))
-    long_enough = entries.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1")
-    count = max(entries.count(), 1)
-    entries = durable(attach(entries, long_enough, "token", "c", count, "inner").select("token", "gid", "band"), "lists")
-    firsts = durable(entries.groupBy("token", "band").agg(F.min("gid").alias("head"), F.count("*").alias("c")), "heads")
-    near = entries.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
-    star = attach(near, firsts, ["token", "band"], "c", 3 * count, "inner").filter("gid <> head").select(F.least("gid", "head").alias("a"), F.greatest("gid", "head").alias("b"))
-    star = star.unionByName(group_of.filter("rep <> gid").select(F.col("gid").alias("a"), F.col("rep").alias("b")))
-    links = _verify(star, sets, percent)
-    comps = components(links)
-    # expand what isn't connected yet
-    placed = group_of.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "n", "prefix", F.coalesce("component", "rep").alias("comp"))
-    spread = durable(placed.select(F.explode("prefix").alias("token"), "rep", "n", "comp"), "members")
-    mixed = spread.groupBy("token").agg(F.count("*").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token", "c")
-    size = spread.count()
-    cells = attach(spread, mixed, "token", "c", size, "inner").withColumn("k", F.ceil(F.col("c") / BLOCK).cast("int")).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("k")).cast("int"))
-    cells = cells.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).withColumn("i", F.least("own", "o")).withColumn("j", F.greatest("own", "o"))
-    cells = cells.withColumn("cell", F.when(F.col("k") == 1, F.pmod(F.xxhash64("token"), F.lit(max(partitions(spark), size // 50_000 + 1)))).otherwise(F.xxhash64("token", "i", "j")))
-    more = _verify(cells.groupBy("cell", "i", "j").applyInArrow(_expand(percent), "a long, b long"), sets, percent)
-    final = components(links.unionByName(more)) if not more.isEmpty() else comps
+    alike = ["n", "skip", "prefix"]
+    grouped = sets.groupBy(*alike).agg(F.min("rep").alias("gid"), F.count("*").alias("members"))
+    group_of = durable(attach(sets.select("rep", *alike, "bits"), grouped, alike, "members", sets.count(), "inner").select("rep", *alike, "bits", "gid"), "groups")
+    firsts = group_of.filter("rep = gid").withColumn("comp", F.col("rep"))
+    members = group_of.filter("rep <> gid").select(F.col("gid").alias("a"), F.col("rep").alias("b"))
+    links = _verify(_candidates(firsts, percent, True).unionByName(members), sets, percent)
+    final = components(links)
+    for one_each in (True, False):
+        comp = final.withColumnRenamed("node", "rep").withColumnRenamed("component", "comp")
+        now = group_of.join(comp, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+        more = _verify(_candidates(now, percent, one_each), sets, percent)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            final = components(links)
     named = durable(classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("f1", "f2", "copies", F.coalesce("component", "rep").alias("component_id")), "named")
     linked = attach(rows.filter("n > 0 AND doc_id IS NOT NULL"), named, ["f1", "f2"], "copies", rows.count(), "inner").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     alone = rows.filter("n = 0 OR doc_id IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
