@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from .common import picked
-from .words import WordCache, blocks, grams, letters
+from .words import WordCache, blocks, grams, held, letters
 
 #: Bound on the expected number of training documents.
 TRAIN_ROWS = 20_000
@@ -49,7 +49,6 @@ RANGES = (
 _STARTS = np.array([a for a, _ in RANGES])
 SCRIPTS = sorted({s for _, s in RANGES})
 _SCRIPT_OF = np.array([SCRIPTS.index(s) for _, s in RANGES])
-_CACHES: dict[str, WordCache] = {}
 
 
 def _scripts(points: np.ndarray) -> np.ndarray:
@@ -181,10 +180,7 @@ def label_spans(docs: DataFrame, model: dict, penalty: float = PENALTY, id_col:
 
     def run(batches):
         m = shared.value
-        cache = _CACHES.get(m["id"])
-        if cache is None:
-            _CACHES.clear()
-            cache = _CACHES[m["id"]] = WordCache(lambda words: word_scores(words, m))
+        cache = held(m["id"], lambda: WordCache(lambda words: word_scores(words, m)))
         for batch in batches:
             found = [identify(t, m, cache, penalty) for t in batch.column(1).to_pylist()]
             spans = pa.array([[{"first": a, "end": b, "lang": x} for a, b, x in f[2]] for f in found], pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])))
@@ -200,10 +196,7 @@ def accepted(docs: DataFrame, model: dict, least: float = 0.3, penalty: float =
 
     def run(batches):
         m = shared.value
-        cache = _CACHES.get(m["id"])
-        if cache is None:
-            _CACHES.clear()
-            cache = _CACHES[m["id"]] = WordCache(lambda words: word_scores(words, m))
+        cache = held(m["id"], lambda: WordCache(lambda words: word_scores(words, m)))
         for batch in batches:
             found = (identify(None if t is None else t.encode("utf-8", "replace"), m, cache, penalty) for t in batch.column(at).to_pylist())
             yield batch.filter(pa.array([lang != "und" and score >= least for lang, score, _ in found], pa.bool_()))

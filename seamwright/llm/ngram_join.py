@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ..session import ship
 from .common import attach, durable, partitions, picked
 from .components import components
-from .words import run_digests, shingle_hashes
+from .words import held, run_digests, shingle_hashes
 
 WORDS, PERCENT = 5, 80
 #: Share of the hash space whose shingles are ranked by frequency; above the longest prefix share (1 - t) with room.
@@ -71,6 +71,7 @@ def _sets(words: int):
     """kind 0: doc_id, n, f1, f2 of a document; kind 1: a frequent ranked shingle (f1) and its count in the task (n)."""
 
     def run(batches):
+        held(None)
         often = _Frequent(COUNTERS)
         for batch in batches:
             sets = [shingle_hashes(t, words) if t else np.zeros(0, np.uint64) for t in batch.column(1).to_pylist()]

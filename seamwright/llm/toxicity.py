@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from .common import picked
-from .words import WordCache, blocks, grams, letters
+from .words import WordCache, blocks, grams, held, letters
 
 #: Bound on the expected number of training documents.
 TRAIN_ROWS = 20_000
@@ -33,7 +33,6 @@ BITS, SIZES = 18, (3, 4, 5, 6)
 #: Least absolute log-count ratio, least number of documents of a kept n-gram, and the most n-grams kept.
 LEAST_RATIO, LEAST_DOCS, MOST_FEATURES = 1.5, 5, 4096
 ALPHA, L2, STEPS = 1.0, 1e-5, 600
-_CACHES: dict[str, WordCache] = {}
 
 
 def _count(batches):
@@ -130,10 +129,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
 
     def run(batches):
         m = shared.value
-        cache = _CACHES.get(m["id"])
-        if cache is None:
-            _CACHES.clear()
-            cache = _CACHES[m["id"]] = WordCache(lambda words: word_weights(words, m))
+        cache = held(m["id"], lambda: WordCache(lambda words: word_weights(words, m)))
         for batch in batches:
             total = [m["bias"] + sum(float(cache.get(words).sum()) for part in blocks(t or b"") if (words := part.split())) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(np.array(total, float), -60, 60))), pa.float64())], ["doc_id", "score"])

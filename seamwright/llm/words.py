@@ -15,6 +15,7 @@ Nothing here depends on Python's ``hash`` (which differs between workers).
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -119,6 +120,24 @@ def blocks(text: bytes, size: int = _CHUNK):
         at = end
 
 
+def coded(pieces: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """(distinct pieces in order of coming, each piece's number among them)."""
+    found = pa.array(pieces, pa.large_binary()).dictionary_encode()
+    return found.dictionary.to_pylist(), found.indices.to_numpy()
+
+
+_HELD: dict[str, object] = {}
+
+
+def held(key: str | None, make=None):
+    """The one cache of this worker, made anew when another was asked for before: workers live through many stages."""
+    if key not in _HELD:
+        _HELD.clear()
+        if key is not None:
+            _HELD[key] = make()
+    return _HELD.get(key)
+
+
 class WordCache:
     """Rows of numbers for words, computed once for each distinct word a worker meets.
 
@@ -230,10 +249,11 @@ class IdCache:
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
         if self.n > self.limit or self.held > self.limit_bytes:
             self._shrink()
-        new = list(set(pieces).difference(self.at))
+        distinct, place = coded(pieces)
+        new = [p for p in distinct if p not in self.at]
         if new:
             self._add(new, *self.fill(new))
-        which = np.fromiter(map(self.at.__getitem__, pieces), np.int64, len(pieces))
+        which = np.fromiter(map(self.at.__getitem__, distinct), np.int64, len(distinct))[place]
         self.met[: self.n] += np.bincount(which, minlength=self.n).astype(np.int32)
         sizes = self.size[which].astype(np.int64)
         return self.flat[_ranges(self.start[which], sizes)], sizes
