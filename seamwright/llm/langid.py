@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from .common import picked
-from .words import WordCache, blocks, grams, held, letters
+from .words import WordCache, blocks, grams, held, letters, trim
 
 #: Bound on the expected number of training documents.
 TRAIN_ROWS = 20_000
@@ -200,6 +200,7 @@ def accepted(docs: DataFrame, model: dict, least: float = 0.3, penalty: float =
         for batch in batches:
             found = (identify(None if t is None else t.encode("utf-8", "replace"), m, cache, penalty) for t in batch.column(at).to_pylist())
             yield batch.filter(pa.array([lang != "und" and score >= least for lang, score, _ in found], pa.bool_()))
+        trim()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ..session import ship
 from .common import attach, durable, partitions, picked
 from .components import components
-from .words import held, run_digests, shingle_hashes
+from .words import held, run_digests, shingle_hashes, trim
 
 WORDS, PERCENT = 5, 80
 #: Share of the hash space whose shingles are ranked by frequency; above the longest prefix share (1 - t) with room.
@@ -82,6 +82,7 @@ def _sets(words: int):
             if sets:
                 once = {k: s for k, s in zip(zip(f1.tolist(), f2.tolist(), strict=True), sets, strict=True)}
                 often.add(np.concatenate([s[: np.searchsorted(s, _TOP)] for s in once.values()]))
+        trim()
         k = len(often.items)
         yield pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int32)), pa.nulls(k, pa.int64()), pa.array(often.counts), pa.array(often.items.view(np.int64)), pa.array(np.zeros(k, np.int64))], ["kind", "doc_id", "n", "f1", "f2"])
 
@@ -118,6 +119,7 @@ def _deal(words: int, percent: int, groups: int, heavy):
             for a, b in zip(first.tolist(), [*first[1:].tolist(), len(group)], strict=True):
                 docs, place = np.unique(of[a:b], return_inverse=True)
                 yield pa.RecordBatch.from_arrays([pa.array([group[a]]), *(pa.array([x.tobytes()], pa.binary()) for x in (token[a:b], place.astype(np.int32), keys[docs]))], ["g", "tokens", "places", "sets"])
+        trim()
 
     return run
 
@@ -182,6 +184,7 @@ def _prefixes(words: int, percent: int, heavy):
                     out.append((rep, n, skip, np.array(take, np.uint64).view(np.int64), bits.tobytes(), s.tobytes()))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], kind) for k, kind in enumerate(kinds)], ["rep", "n", "skip", "prefix", "bits", "set"])
+        trim()
 
     return run
 
