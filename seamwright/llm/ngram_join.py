@@ -55,9 +55,10 @@ class _Frequent:
     """A Misra-Gries summary: merges counts and, over ``size`` items, takes the next largest count from all."""
 
     def __init__(self, size: int):
-        self.size, self.items, self.counts = size, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.size, self.items, self.counts, self.total = size, np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
 
     def add(self, items: np.ndarray) -> None:
+        self.total += len(items)
         new, n = np.unique(items, return_counts=True)
         both, place = np.unique(np.concatenate((self.items, new)), return_inverse=True)
         total = np.bincount(place, np.concatenate((self.counts, n)), len(both)).astype(np.int64)
@@ -66,6 +67,12 @@ class _Frequent:
             both, total = both[total > 0], total[total > 0]
         self.items, self.counts = both, total
 
+    def found(self) -> tuple[np.ndarray, np.ndarray]:
+        """Items and counts over one and over the summary's own error, total / size.  So over all tasks an item's count is
+        short by no more than 2 * (sum of totals) / size + (number of tasks), and items met once in a task don't move."""
+        keep = self.counts > max(1, self.total // self.size)
+        return self.items[keep], self.counts[keep]
+
 
 def _sets(words: int):
     """kind 0: doc_id, n, f1, f2 of a document; kind 1: a frequent ranked shingle (f1) and its count in the task (n)."""
@@ -83,8 +90,9 @@ def _sets(words: int):
                 once = {k: s for k, s in zip(zip(f1.tolist(), f2.tolist(), strict=True), sets, strict=True)}
                 often.add(np.concatenate([s[: np.searchsorted(s, _TOP)] for s in once.values()]))
         trim()
-        k = len(often.items)
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int32)), pa.nulls(k, pa.int64()), pa.array(often.counts), pa.array(often.items.view(np.int64)), pa.array(np.zeros(k, np.int64))], ["kind", "doc_id", "n", "f1", "f2"])
+        items, counts = often.found()
+        k = len(items)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int32)), pa.nulls(k, pa.int64()), pa.array(counts), pa.array(items.view(np.int64)), pa.array(np.zeros(k, np.int64))], ["kind", "doc_id", "n", "f1", "f2"])
 
     return run
 
