@@ -283,8 +283,9 @@ def in_order(flat: np.ndarray, sizes: np.ndarray, places: np.ndarray) -> tuple[n
     return flat[_ranges((np.cumsum(sizes) - sizes)[order], sizes[order])], sizes[order]
 
 
-def cached_ids(texts: list[bytes | None], cut, cache: IdCache, size: int = _CHUNK):
-    """Yields (ids, end of each text in them) for groups of texts of about ``size`` bytes; cut maps bytes to pieces."""
+def cached_ids(texts: list[bytes | None], cut, cache: IdCache, size: int = _CHUNK, split=blocks):
+    """Yields (ids, end of each text in them) for groups of texts of about ``size`` bytes; cut maps bytes to pieces,
+    split a long text to parts of about ``size`` bytes whose pieces are those of the text."""
     at = 0
     while at < len(texts):
         pieces, counts, held = [], [], 0
@@ -302,7 +303,7 @@ def cached_ids(texts: list[bytes | None], cut, cache: IdCache, size: int = _CHUN
             ids, sizes = cache.get(pieces)
             yield ids, np.concatenate(([0], np.cumsum(sizes)))[np.cumsum(counts)]
         else:  # a very long text goes through in blocks
-            parts = [cache.get(cut(part))[0] for part in blocks(texts[at], size)]
+            parts = [cache.get(cut(part))[0] for part in split(texts[at], size)]
             ids = np.concatenate(parts)
             yield ids, np.array([len(ids)])
             at += 1
