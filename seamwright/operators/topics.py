@@ -32,6 +32,17 @@ def cross_group_pairs(topics: DataFrame, group: str, least: int = 3) -> DataFram
     return same.filter(F.size("terms") >= least).withColumn("theme", F.array_join("terms", ","))
 
 
+def cross_group_themes(pairs: DataFrame, least_groups: int = 4, label: int = 5) -> DataFrame:
+    """Equal term sets of ``pairs`` merged; those over enough groups stay, unless within one of more groups (or as many, and before it)."""
+    sides = pairs.select("terms", F.explode(F.array("group_a", "group_b")).alias("g"))
+    themes = sides.groupBy("terms").agg(F.countDistinct("g").alias("n_groups")).filter(F.col("n_groups") >= least_groups)
+    themes = themes.withColumn("theme", F.array_join("terms", ",")).withColumn("label", F.array_join(F.slice("terms", 1, label), ","))
+    a, b = (themes.select(F.col("theme").alias(f"t{x}"), F.col("n_groups").alias(f"n{x}"), F.size("terms").alias(f"s{x}"), F.explode("terms").alias("term")) for x in "ab")
+    ahead = (F.col("nb") > F.col("na")) | ((F.col("nb") == F.col("na")) & (F.col("tb") < F.col("ta")))
+    inside = a.join(b, "term").filter((F.col("sa") < F.col("sb")) & ahead).groupBy("ta", "tb", "sa").agg(F.count("*").alias("c")).filter("c = sa")
+    return themes.join(inside.select(F.col("ta").alias("theme")).distinct(), "theme", "left_anti").select("theme", "label", "n_groups")
+
+
 def n_components(docs: int, vocabulary: int, base: int, cap: int = 20) -> int:
     return max(4, min(base, max(4, docs // 15), max(4, vocabulary // 8), cap))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as tx
-from ..operators import charts, enrich, fields, filters, insights, tfidf, tokens, topics
+from ..operators import charts, clusters, enrich, fields, filters, insights, tfidf, tokens, topics
 from ..streaming.events import windowed
 
 QUERIES: dict = {}
@@ -505,3 +505,18 @@ def event_windows(spark, d):
 def sample_per_group(spark, d):
     w = Window.partitionBy("source").orderBy(F.xxhash64("source", "doc_id", F.lit(42)), "doc_id")
     return t(spark, d, "documents").withColumn("r", F.row_number().over(w)).filter("r <= 20").select("source", "doc_id", "r")
+
+
+@query()
+def term_clusters(spark, d):
+    """Clusters among the vocabulary's top 1,000 tokens, the window that consolidation looks at too."""
+    top = tokens.vocabulary(toks(spark, d), n_docs(spark, d)).orderBy(F.desc("corpus_freq"), "token").limit(1000)
+    return clusters.cluster_terms(clusters.embed(top.select(F.col("token").alias("term"))))
+
+
+@query(f"""{_CAT}, p AS (SELECT source, token FROM r WHERE rank <= 15), j AS (SELECT a.source AS ga, b.source AS gb, list(token ORDER BY token) AS terms FROM p a JOIN p b USING (token) WHERE a.source < b.source GROUP BY ALL HAVING count(*) >= 3),
+m AS (SELECT terms, count(DISTINCT g) AS n_groups, array_to_string(terms, ',') AS theme FROM (SELECT terms, unnest([ga, gb]) AS g FROM j) GROUP BY terms)
+SELECT theme, array_to_string(terms[1:5], ',') AS label, n_groups FROM m a WHERE n_groups >= 2 AND NOT EXISTS (SELECT 1 FROM m b WHERE b.n_groups >= 2 AND len(a.terms) < len(b.terms) AND list_has_all(b.terms, a.terms) AND (b.n_groups > a.n_groups OR (b.n_groups = a.n_groups AND b.theme < a.theme)))""")
+def cross_group_themes(spark, d):
+    tops = _slice(spark, d, 15).groupBy("source").agg(F.collect_list("token").alias("top_terms")).withColumn("topic_id", F.lit(0))
+    return topics.cross_group_themes(topics.cross_group_pairs(tops, "source"), least_groups=2)
