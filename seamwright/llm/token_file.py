@@ -1,8 +1,8 @@
 """Token-id shards compressed by a Re-Pair grammar, with random access.
 
 Documents are put in ascending doc_id order (nulls first, equal ids by text), encoded, each ended with ``END`` and cut
-into shards of about ``SHARD`` ids.  In every shard frequent pairs of neighbouring symbols are replaced by nonterminals
-in ``ROUNDS`` rounds; no pair spans two documents.  The shard's image holds the rules, the expansion length of each
+into shards of about ``SHARD`` ids.  In every shard pairs of neighbouring symbols are replaced by nonterminals, in rounds,
+until no pair occurs ``LEAST`` times; no pair spans two documents.  The shard's image holds the rules, the expansion length of each
 rule, the remaining symbols and, for each document, where its symbols and its ids end, so any document (or any range of
 ids in one) is decoded without the others.
 
@@ -41,10 +41,10 @@ from ..session import ship
 from .common import durable, partitions, picked
 from .words import IdCache, cached_ids, held, in_order
 
-END, SHARD, ROUNDS = 2, 1 << 19, 3
-#: Rules of all rounds at most, so that symbols fit 16 bits with the public vocabularies; least occurrences of a pair.
-RULES, LEAST = 16_000, 24
-_BITS = 17
+END, SHARD = 2, 1 << 21
+#: Least occurrences of a pair.
+LEAST = 24
+_BITS = 20
 _MAGIC = b"SWRP"
 _NULL = -(1 << 63)
 
@@ -133,51 +133,71 @@ def word_encoder(path: str) -> WordEncoder:
     return held(f"words:{path}", lambda: WordEncoder(path))
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int, rounds: int = ROUNDS, rules: int = RULES, least: int = LEAST):
-    """(left, right, rules per round, symbols, symbol ends): Re-Pair in rounds.
+def _hashed(code: np.ndarray) -> np.ndarray:
+    return code.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
-    A round counts pairs in hashed places (each place counts the pair it saw last), gives the most frequent ones a new
-    symbol in order of frequency and replaces an occurrence where it ranks before both overlapping neighbours (the
-    earlier of two alike).
+
+def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int, rounds: int | None = None, rules: int | None = None, least: int = LEAST):
+    """(left, right, rules per round, symbols, symbol ends): Re-Pair in rounds, until no pair occurs ``least`` times.
+
+    A round counts every pair exactly (in a run of one symbol, every other place), ranks those of at least ``least``
+    occurrences by frequency and replaces an occurrence where it ranks before both overlapping neighbours.  Pairs that
+    come to fewer than ``least`` replacements wait for the next round.  Only pairs with a symbol of the last round and
+    pairs that were frequent then can be frequent, so later rounds look at those places alone.  ``rounds`` and ``rules``
+    end it earlier.
     """
     seq = ids.astype(np.int64)
     last = np.zeros(len(seq), bool)
     last[ends - 1] = True
+    look = np.ones(len(seq), bool)
     lefts, rights, per = [], [], []
     top = vocabulary
-    for r in range(rounds):
-        room = (vocabulary + rules - top) // (rounds - r)
-        if len(seq) < 2 or room < 1:
-            per.append(0)
-            continue
-        code = (seq[:-1] << 32) | seq[1:]
-        place = ((code.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BITS)).astype(np.int32)
-        place[last[:-1]] = 0
-        seen = np.full(1 << _BITS, -1, np.int64)
-        seen[place] = code
-        seen[0] = -1
-        place[seen[place] != code] = 0
-        count = np.bincount(place, minlength=1 << _BITS)
-        count[0] = 0
-        hot = np.flatnonzero(count >= least)
-        if len(hot) > room:
-            hot = hot[np.argpartition(-count[hot], room - 1)[:room]]
-        hot = hot[np.lexsort((seen[hot], -count[hot]))]
-        per.append(len(hot))
-        if not len(hot):
-            continue
-        rank = np.full(1 << _BITS, 1 << 30, np.int32)
-        rank[hot] = np.arange(len(hot))
-        at = np.concatenate(([1 << 30], rank[place], [1 << 30]))
-        pick = np.flatnonzero((at[1:-1] < at[:-2]) & (at[1:-1] <= at[2:]) & (at[1:-1] < 1 << 30))
-        lefts.append(seen[hot] >> 32)
-        rights.append(seen[hot] & 0xFFFFFFFF)
-        seq[pick] = top + at[1:-1][pick]
-        last[pick] = last[pick + 1]
+    while (rounds is None or len(per) < rounds) and (rules is None or top < vocabulary + rules):
+        at = np.flatnonzero(look[:-1] & ~last[:-1])
+        code = (seq[at] << 32) | seq[at + 1]
+        place = (_hashed(code) >> np.uint64(64 - _BITS)).astype(np.int32)
+        full = np.bincount(place, minlength=1 << _BITS)[place] >= least  # never less than the pair's own count
+        at, code = at[full], code[full]
+        if not len(at):
+            break
+        begins = np.concatenate(([True], (code[1:] != code[:-1]) | (np.diff(at) > 1)))
+        even = (np.arange(len(at)) - np.flatnonzero(begins)[np.cumsum(begins) - 1]) % 2 == 0
+        ordered = np.sort(code[even])
+        first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+        count = np.diff(np.append(first, len(ordered)))
+        hot = count >= least
+        pairs, count = ordered[first[hot]], count[hot]
+        if not len(pairs):
+            break
+        order = np.lexsort((_hashed(pairs), -count))  # ties by hash: in a copied passage a third of the pairs win at once
+        rank = np.empty(len(pairs), np.int32)
+        rank[order] = np.arange(len(pairs))
+        index = np.minimum(np.searchsorted(pairs, code), len(pairs) - 1)
+        found = pairs[index] == code
+        look[:] = False
+        look[at[found]] = True
+        found &= even
+        at, mine = at[found], rank[index[found]]
+        ranks = np.full(len(seq) + 2, 1 << 30, np.int32)
+        ranks[at + 1] = mine
+        pick = (mine < ranks[at]) & (mine < ranks[at + 2])
+        good = np.bincount(mine[pick], minlength=len(pairs)) >= least  # always so for the first
+        if rules is not None:
+            good &= np.cumsum(good) <= vocabulary + rules - top
+        pick &= good[mine]
+        at, mine = at[pick], mine[pick]
+        seq[at] = top + (np.cumsum(good) - 1)[mine]
+        last[at] = last[at + 1]
+        look[at] = True
+        look[at[at > 0] - 1] = True
         keep = np.ones(len(seq), bool)
-        keep[pick + 1] = False
-        seq, last = seq[keep], last[keep]
-        top += len(hot)
+        keep[at + 1] = False
+        seq, last, look = seq[keep], last[keep], look[keep]
+        made = pairs[order][good]
+        lefts.append(made >> 32)
+        rights.append(made & 0xFFFFFFFF)
+        per.append(len(made))
+        top += len(made)
     none = np.zeros(0, np.int64)
     return np.concatenate([none, *lefts]), np.concatenate([none, *rights]), np.array(per, np.int64), seq, np.flatnonzero(last) + 1
 

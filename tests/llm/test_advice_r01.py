@@ -1,0 +1,36 @@
+"""Where an operator used to do less than the whole job."""
+
+from collections import Counter
+
+import numpy as np
+
+from seamwright.llm import token_file
+
+
+def _frequent(seq, ends, least):
+    """Pairs within documents that occur at least ``least`` times without overlap, by brute force."""
+    count, begin = Counter(), 0
+    for end in ends:
+        i = begin
+        while i < end - 1:
+            pair = (int(seq[i]), int(seq[i + 1]))
+            run = i
+            while run < end - 1 and (int(seq[run]), int(seq[run + 1])) == pair:
+                run += 1
+            count[pair] += (run - i + 1) // 2
+            i = run
+        begin = end
+    return {p for p, n in count.items() if n >= least}
+
+
+def test_repair_whole():
+    rng = np.random.default_rng(11)
+    passage = rng.integers(3, 30000, 200)
+    docs = [np.concatenate([rng.integers(3, 30000, 300), passage, np.full(int(rng.integers(0, 90)), 7), rng.integers(3, 40, 300), [token_file.END]]) for _ in range(60)]
+    ids, ends = np.concatenate(docs).astype(np.int32), np.cumsum([len(d) for d in docs])
+    image = token_file.pack(list(range(60)), ids, ends, 30000)
+    s = token_file.Shard(image)
+    assert (s.expand(s.symbols) == ids).all() and not _frequent(s.symbols, s.symbol_ends, token_file.LEAST)
+    assert s.lengths.max() >= 100  # a shared passage becomes a few long rules
+    left, _, per, seq, symbol_ends = token_file.compress(ids, ends, 30000, rules=50)
+    assert len(left) == per.sum() == 50 and len(symbol_ends) == 60
