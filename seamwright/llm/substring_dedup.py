@@ -1,11 +1,16 @@
-"""Substring deduplication by hashing lines and the sentences in them.
+"""Substring deduplication by hashing lines, the sentences in them, and passages chosen by content.
 
 Units are the lines of a text and, in lines of more than one, their sentences (a sentence ends with a word that ends in
-``.``, ``!`` or ``?``), each of at least ``LEAST_WORDS`` words.  A unit is normalised (A-Z lower-cased, white space of
-any length alike) and hashed to 128 bits.  Digests are grouped over all documents; the earliest occurrence by (doc_id,
-place) stays and every other one is marked.  Marked units that touch - or have fewer than ``LEAST_WORDS`` words between
-them - form a span; spans of at least ``LEAST_RUN`` words are removed, so that short lines common to many documents
-(licences, headings) stay.  Spans are code points of the original text.
+``.``, ``!``, ``?`` or another script's mark), each of at least ``LEAST_WORDS`` words, and passages of ``PASSAGE`` words
+anywhere: of every ``WINDOW`` neighbouring ones the one of least hash, so that any ``PASSAGE + WINDOW - 1`` words that two
+texts share hold a passage that is a unit of both, whatever stands around them.  In scripts that are written without
+spaces every character is a word.  A unit is normalised (A-Z lower-cased, white space of any length alike) and hashed to
+128 bits.  Digests are grouped over all documents; the earliest occurrence by (doc_id, place) stays and every other one is
+marked (in one text, if it doesn't overlap the first).  Marked units that touch - or have fewer than ``LEAST_WORDS``
+words between them - form a span; spans of at least ``LEAST_RUN`` words are removed, so that short lines common to many
+documents (licences, headings) stay.  Spans are code points of the original text.  At either end of a shared run up to
+``WINDOW - 1`` words may stay, where no line or sentence begins or ends there; shared runs of fewer than
+``PASSAGE + WINDOW - 1`` words leave only if they hold a unit.
 
 Defined cases: null and empty texts have no units; rows of one doc_id count as one document; a null doc_id ranks last;
 an empty table gives no rows; extra columns are ignored (and kept by ``cleaned``).
@@ -21,21 +26,91 @@ from pyspark.sql.window import Window
 
 from ..session import ship
 from .common import attach, durable, picked
-from .words import run_digests, word_spans
+from .words import _powers, mix64, run_digests, word_spans
 
 LEAST_WORDS, LEAST_RUN = 3, 20
+PASSAGE, WINDOW = 20, 16
+#: Last bytes of words that end a sentence, for marks of two and three bytes.
+_ENDS = {n: np.array([int.from_bytes(c.encode(), "big") for c in "؟۔։።।॥။។。！？｡．…‼⁇⁈⁉" if len(c.encode()) == n]) for n in (2, 3)}
+#: Code points of scripts written without spaces, with their punctuation: Thai and Lao, Myanmar, Khmer, kana, Han, full-width forms.
+_UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3000, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF00, 0xFF9F))
 _SCHEMA = "doc_id long, d1 long, d2 long, first int, end int, start_at int, end_at int, again boolean"
 
 
+def _words(text: bytes):
+    """(first bytes, end bytes, hashes) of the words; characters of scripts without spaces are words of their own, a mark behind stays with its character."""
+    data = np.frombuffer(text, np.uint8)
+    lead = np.flatnonzero(data >= 0xE0)
+    if len(lead):
+        wide = np.concatenate((data, np.zeros(3, np.uint8))).astype(np.int32)
+        code = (wide[lead] & 15) << 12 | (wide[lead + 1] & 63) << 6 | wide[lead + 2] & 63
+        four = data[lead] >= 0xF0
+        own = four & (data[lead] == 0xF0) & (wide[lead + 1] >= 0xA0) & (wide[lead + 1] < 0xB0)  # planes 2 and 3: Han
+        for low, high in _UNSPACED:
+            own |= ~four & (code >= low) & (code <= high)
+        value = (wide[lead] << 16) | (wide[lead + 1] << 8) | wide[lead + 2]
+        own_marks = own & np.isin(value, _ENDS[3])
+        lead, size, marks = lead[own], np.where(four, 4, 3)[own], own_marks[own]
+    if not len(lead):
+        return data, *word_spans(text)
+    cuts = np.union1d(lead[~marks], lead + size)
+    cuts = cuts[(cuts > 0) & (cuts < len(data))]
+    cuts = np.setdiff1d(cuts, lead[marks])
+    starts, ends, hashes = word_spans(np.insert(data, cuts, 32).tobytes())
+    at = np.insert(np.arange(len(data)), cuts, -1)
+    return data, at[starts], at[ends - 1] + 1, hashes
+
+
+def _closes(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which words end a sentence."""
+    out = np.isin(data[ends - 1], (33, 46, 63))
+    if (data >= 0x80).any():
+        wide = np.concatenate((np.zeros(2, np.uint8), data)).astype(np.int32)
+        two = (wide[ends] << 8) | wide[ends + 1]
+        out |= np.isin(two, _ENDS[2]) | np.isin((wide[ends - 1] << 16) | two, _ENDS[3])
+    return out
+
+
+def _slid(x: np.ndarray, n: int, best) -> np.ndarray:
+    """The best of each n neighbours."""
+    size = 1
+    while size < n:
+        step = min(size, n - size)
+        x = best(x[:-step], x[step:])
+        size += step
+    return x
+
+
+def passages(hashes: np.ndarray):
+    """(d1, d2, first word) of the passages that are units: those of least hash among WINDOW neighbours."""
+    none = np.zeros(0, np.int64)
+    if len(hashes) < PASSAGE:
+        return none, none, none
+    up, down = _powers(len(hashes))
+
+    def digest(words):
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words * up[: len(words)], dtype=np.uint64)))
+        return mix64((total[PASSAGE:] - total[:-PASSAGE]) * down[: len(words) - PASSAGE + 1])
+
+    key = digest(hashes)
+    n = min(WINDOW, len(key))
+    least = _slid(key, n, np.minimum)
+    pad = np.zeros(n - 1, np.uint64)
+    chosen = _slid(np.concatenate((pad, least, pad)), n, np.maximum) == key
+    new = np.concatenate(([True], key[1:] != key[:-1]))  # in a run of one word, passages side by side and the last
+    chosen &= ((np.arange(len(key)) - np.flatnonzero(new)[np.cumsum(new) - 1]) % PASSAGE == 0) | np.append(new[1:], True)
+    first = np.flatnonzero(chosen)
+    return mix64(key[first]).view(np.int64), digest(mix64(hashes))[first].view(np.int64), first
+
+
 def units(text: bytes, least: int = LEAST_WORDS):
     """Arrays (d1, d2, first word, end word, first byte, end byte, whether an equal unit stands before it in this text)."""
-    starts, ends, hashes = word_spans(text)
+    data, starts, ends, hashes = _words(text)
     if not len(starts):
         return None
-    data = np.frombuffer(text, np.uint8)
     line = np.cumsum(data == 10)[starts]
     new_line = np.concatenate(([True], line[1:] != line[:-1]))
-    closes = np.isin(data[ends - 1], (33, 46, 63))
+    closes = _closes(data, ends)
     new_sentence = new_line | np.concatenate(([True], closes[:-1]))
     lines, sentences = np.flatnonzero(new_line), np.flatnonzero(new_sentence)
     parts = []
@@ -46,11 +121,13 @@ def units(text: bytes, least: int = LEAST_WORDS):
         if is_line:  # a line of one sentence is that sentence
             good &= np.diff(np.append(np.searchsorted(sentences, first), len(sentences))) > 1
         parts.append([x[good] for x in (d1, d2, first, end)])
+    d1, d2, first = passages(hashes)
+    parts.append([d1, d2, first, first + PASSAGE])
     d1, d2, first, end = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.lexsort((end, first))
     d1, d2, first, end = d1[order], d2[order], first[order], end[order]
-    again = np.ones(len(d1), bool)
-    again[np.unique(d1, return_index=True)[1]] = False
+    _, at, which = np.unique(d1, return_index=True, return_inverse=True)
+    again = first >= end[at][which]  # passages may overlap the first of their kind
     return d1, d2, first, end, starts[first], ends[end - 1], again
 
 

@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 
-from seamwright.llm import token_file
+from seamwright.llm import substring_dedup, token_file
 
 
 def _frequent(seq, ends, least):
@@ -34,3 +34,26 @@ def test_repair_whole():
     assert s.lengths.max() >= 100  # a shared passage becomes a few long rules
     left, _, per, seq, symbol_ends = token_file.compress(ids, ends, 30000, rules=50)
     assert len(left) == per.sum() == 50 and len(symbol_ends) == 60
+
+
+def _prose(n, seed):
+    r = np.random.default_rng(seed)
+    return " ".join("".join(r.choice(list("abcdefghijklmnop"), 5)) for _ in range(n))
+
+
+def test_substring_inside_sentences(spark):
+    run = _prose(60, 1)
+    df = spark.createDataFrame([(1, f"{_prose(30, 2)} {run} {_prose(25, 3)}."), (2, f"{_prose(7, 4)} {run.upper()} {_prose(41, 5)}!"), (3, _prose(90, 6)), (4, "la " * 100)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in substring_dedup.removals(df).collect()}
+    text = {r["doc_id"]: r["text"] for r in df.collect()}
+    assert sorted(got) == [2, 4] and got[2]["keep_id"] == 1 and got[2]["n_words"] >= 60 - 2 * (substring_dedup.WINDOW - 1)
+    assert text[2][got[2]["start"] : got[2]["end"]] in run.upper() and text[4][: got[4]["start"]].split().count("la") >= 20
+
+
+def test_substring_without_spaces(spark):
+    r = np.random.default_rng(8)
+    han = lambda n: "".join(chr(0x4E00 + int(k)) for k in r.integers(0, 8000, n))
+    line, sentence = han(30) + "。", han(25) + "？"
+    df = spark.createDataFrame([(1, f"{han(20)}\n{line}\n{han(12)}。{sentence}{han(9)}"), (2, f"{han(14)}\n{line}\n{han(8)}"), (3, f"{han(11)}！{sentence}{han(10)}")], "doc_id long, text string")
+    text = {r["doc_id"]: r["text"] for r in df.collect()}
+    assert {(r["doc_id"], text[r["doc_id"]][r["start"] : r["end"]], r["keep_id"]) for r in substring_dedup.removals(df).collect()} == {(2, line, 1), (3, sentence, 1)}
