@@ -10,12 +10,13 @@ from pyspark.sql.window import Window
 STOPWORDS = ("the", "and", "for", "are", "was", "with", "that", "this", "from", "not")
 
 
-def letter_tokens(text: Column, limit: int = 500) -> Column:
-    """Lower-case runs of ASCII letters, the first ``limit`` positions (an empty one in front counts)."""
-    return F.slice(F.split(F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), "[^a-zA-Z]+", " ")), " ", -1), 1, limit)
+def letter_tokens(text: Column, limit: int | None = None) -> Column:
+    """Lower-case runs of ASCII letters: all, or the first ``limit`` positions (an empty one in front counts)."""
+    runs = F.split(F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), "[^a-zA-Z]+", " ")), " ", -1)
+    return runs if limit is None else F.slice(runs, 1, limit)
 
 
-def positions(docs: DataFrame, keys=("doc_id",), text: str = "text", limit: int = 500) -> DataFrame:
+def positions(docs: DataFrame, keys=("doc_id",), text: str = "text", limit: int | None = None) -> DataFrame:
     """One row per kept token: keys, pos (from 1), token.  Kept: three letters or more, or ``ai``."""
     rows = docs.select(*keys, F.posexplode(letter_tokens(F.col(text), limit)).alias("pos", "token")).withColumn("pos", F.col("pos") + 1)
     return rows.filter((F.length("token") >= 3) | (F.col("token") == "ai"))

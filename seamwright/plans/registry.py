@@ -27,8 +27,12 @@ def t(spark, d, name):
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def toks(spark, d, keys=("doc_id",)):
-    return tokens.positions(t(spark, d, "documents"), keys)
+#: The SQL beside the queries reads no more positions of a text.
+SQL_POSITIONS = 500
+
+
+def toks(spark, d, keys=("doc_id",), limit=SQL_POSITIONS):
+    return tokens.positions(t(spark, d, "documents"), keys, limit=limit)
 
 
 def n_docs(spark, d):
@@ -71,7 +75,7 @@ def stopword_filter(spark, d):
 @query(f"WITH {_TOK} SELECT doc_id, count(*) AS n_positions, max(pos) AS last_pos FROM u GROUP BY doc_id")
 def theta_position_join(spark, d):
     """Positions by a generator; the join with a table of numbers it stands for never happens."""
-    rows = t(spark, d, "documents").select("doc_id", F.posexplode(tokens.letter_tokens(F.col("text"))).alias("pos", "token"))
+    rows = t(spark, d, "documents").select("doc_id", F.posexplode(tokens.letter_tokens(F.col("text"), SQL_POSITIONS)).alias("pos", "token"))
     return rows.groupBy("doc_id").agg(F.count("*").alias("n_positions"), (F.max("pos") + 1).cast("long").alias("last_pos"))
 
 
@@ -193,8 +197,8 @@ w AS (SELECT doc_id, token, tf, doc_freq AS df, ln((1.0 + n) / (1.0 + doc_freq))
 x AS (SELECT *, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id)) AS tfidf FROM w)"""
 
 
-def _weights(spark, d):
-    return tfidf.tfidf(toks(spark, d), n_docs(spark, d), min_df=3, max_share=0.4)
+def _weights(spark, d, limit=SQL_POSITIONS):
+    return tfidf.tfidf(toks(spark, d, limit=limit), n_docs(spark, d), min_df=3, max_share=0.4)
 
 
 @query(f"{_TFIDF} SELECT doc_id, token, tf, df, round(idf, 6) AS idf, round(tfidf, 6) AS tfidf FROM x")
@@ -230,7 +234,7 @@ def category_contrast_top5(spark, d):
 
 @query()
 def nmf_topics(spark, d):
-    rows = _weights(spark, d).join(t(spark, d, "documents").select("doc_id", "lang"), "doc_id")
+    rows = _weights(spark, d, limit=None).join(t(spark, d, "documents").select("doc_id", "lang"), "doc_id")
     return topics.nmf(rows, "lang").select("lang", "topic_id", F.array_join("top_terms", ",").alias("top_terms"))
 
 
@@ -510,7 +514,7 @@ def sample_per_group(spark, d):
 @query()
 def term_clusters(spark, d):
     """Clusters among the vocabulary's top 1,000 tokens, the window that consolidation looks at too."""
-    top = tokens.vocabulary(toks(spark, d), n_docs(spark, d)).orderBy(F.desc("corpus_freq"), "token").limit(1000)
+    top = tokens.vocabulary(toks(spark, d, limit=None), n_docs(spark, d)).orderBy(F.desc("corpus_freq"), "token").limit(1000)
     return clusters.cluster_terms(clusters.embed(top.select(F.col("token").alias("term"))))
 
 
