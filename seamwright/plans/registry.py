@@ -513,9 +513,9 @@ def sample_per_group(spark, d):
 
 @query()
 def term_clusters(spark, d):
-    """Clusters among the vocabulary's top 1,000 tokens, the window that consolidation looks at too."""
-    top = tokens.vocabulary(toks(spark, d, limit=None), n_docs(spark, d)).orderBy(F.desc("corpus_freq"), "token").limit(1000)
-    return clusters.cluster_terms(clusters.embed(top.select(F.col("token").alias("term"))))
+    """Clusters among all rare tokens, those of fewer than 1,000 documents."""
+    rare = tokens.doc_freq(toks(spark, d, limit=None)).filter("doc_freq < 1000")
+    return clusters.cluster_terms(clusters.embed(rare.select(F.col("token").alias("term"))))
 
 
 @query(f"""{_CAT}, p AS (SELECT source, token FROM r WHERE rank <= 15), j AS (SELECT a.source AS ga, b.source AS gb, list(token ORDER BY token) AS terms FROM p a JOIN p b USING (token) WHERE a.source < b.source GROUP BY ALL HAVING count(*) >= 3),
