@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tokens import ngrams
 
-def inject(docs: DataFrame, lookup: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Appends the lookup's tokens (term, injected) of a document's terms, by first place of the term, then token; each once, none it has."""
-    hits = docs.select(key, F.posexplode("tokens").alias("pos", "term")).join(F.broadcast(lookup), "term")
+
+def inject(docs: DataFrame, lookup: DataFrame, key: str = "doc_id", sizes: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
+    """Appends the lookup's tokens (term, injected) of a document's terms, by first place of the term, then token; each once, none it has.
+
+    Terms are tokens and runs of tokens with a space between, of the numbers in ``sizes``."""
+    terms = F.concat(*[F.transform(F.col("tokens") if n == 1 else ngrams(F.col("tokens"), n), lambda x, i: F.struct(i.alias("pos"), x.alias("term"))) for n in sizes])
+    hits = docs.select(key, F.explode(terms).alias("t")).select(key, "t.pos", "t.term").join(F.broadcast(lookup), "term")
     new = hits.groupBy(key, "injected").agg(F.min("pos").alias("pos")).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "injected"))).alias("n"))
     joined = docs.join(new, key, "left")
     added = F.array_except(F.coalesce(F.transform("n", lambda x: x["injected"]), F.array().cast("array<string>")), F.col("tokens"))

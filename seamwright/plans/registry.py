@@ -163,7 +163,7 @@ h AS (SELECT doc_id, injected, min(pos) AS pos FROM tok JOIN lk ON lk.term = tok
 def _injected(spark, d):
     tk = toks(spark, d)
     classes = spark.createDataFrame([("and", "join"), ("der", "article"), ("ing", "join"), ("que", "relative")], "term string, category string")
-    return enrich.inject(tokens.token_lists(tk), enrich.injection_lookup(classes, tokens.doc_freq(tk), 5, 900))
+    return enrich.inject(tokens.token_lists(tk), enrich.injection_lookup(classes, tokens.doc_freq(tk), 5, 900), sizes=(1,))
 
 
 @query(f"{_INJ} SELECT term, injected FROM lk")

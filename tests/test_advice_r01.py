@@ -1,6 +1,6 @@
 """Where a base operator or query used to do less than the whole job."""
 
-from seamwright.operators import tokens
+from seamwright.operators import enrich, tokens
 from seamwright.plans import registry
 
 
@@ -17,3 +17,10 @@ def test_clusters_of_all_rare_terms(spark, tmp_path):
     spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     found = [r.terms for r in registry.QUERIES["term_clusters"](spark, str(tmp_path)).collect()]
     assert ["zebrafish", "zebrafishes", "zebrafishs"] in found  # beyond the thousand first and more than 4,000 terms
+
+
+def test_inject_phrases(spark):
+    docs = spark.createDataFrame([(1, ["a", "new", "york", "city", "new", "york"]), (2, ["york", "new"]), (3, [])], "doc_id long, tokens array<string>")
+    lookup = spark.createDataFrame([("new york", "__place__"), ("york city new", "__odd__"), ("york", "__name__")], "term string, injected string")
+    got = {r["doc_id"]: r["tokens"] for r in enrich.inject(docs, lookup).collect()}
+    assert got[1][6:] == ["__place__", "__name__", "__odd__"] and got[2] == ["york", "new", "__name__"] and got[3] == []
