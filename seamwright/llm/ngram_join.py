@@ -1,7 +1,8 @@
 """Near-duplicate documents by a grouped prefix join on word shingles (Jaccard similarity).
 
-1. A document is the set of its distinct n-word shingles (64-bit hashes; A-Z folded).  Documents with equal sets (128-bit
-   fingerprint) become one class; everything below works on classes.
+1. A document is the set of its distinct n-word shingles (64-bit hashes; A-Z folded).  Rows with equal sets (128-bit
+   fingerprint) become one class with a number of its own; everything below works on classes, so rows of one doc_id with
+   different texts never meet in one, and doc_ids come back only at the end.
 2. Prefix filter: under one global order of shingles, two sets with similarity >= t share a shingle among the first
    n - ceil(t n) + 1 of each.  Any order is right; rare shingles first keeps candidate lists short.  Exact document
    frequencies are counted for the shingles whose hash lies in the lowest ``RANKED`` of all hashes; the order is: those by
@@ -19,8 +20,9 @@
    taken after each round, so a group of near copies costs its size and no component is missed.
 
 Defined cases: null, empty or wordless texts have an empty set and link with nothing; with fewer words than a shingle
-the whole sequence is the one shingle; repeated rows of one doc_id are copies; rows with a null doc_id get a null
-component and link with nothing; an empty table gives no rows; extra columns are ignored.
+the whole sequence is the one shingle; repeated rows of one doc_id are copies, and where its rows have different texts
+each row has the component of its own text; rows with a null doc_id get a null component and link with nothing; an empty
+table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,8 +41,10 @@ WORDS, PERCENT = 5, 80
 #: Share of the hash space whose shingles are ranked by frequency; above the longest prefix share (1 - t) with room.
 RANKED = 0.35
 COUNTERS, HEAVY, LEAST_HEAVY = 1 << 17, 1 << 18, 256
-#: Counted shingles in one group; members in one block; pairs verified in one group.
-GROUP, BLOCK, PAIRS = 3_000_000, 2048, 1000
+#: Counted shingles in one group; members in one block of a list.
+GROUP, BLOCK = 3_000_000, 2048
+#: Least and most shingles in the sets that one cell verifies (a set may be larger by itself), and what a pair costs besides.
+LOW, HIGH, PAIR = 1 << 13, 1 << 21, 32
 #: Bits of the parity maps.
 BITS = 1024
 _TOP = np.uint64(int(RANKED * (1 << 64)))
@@ -75,7 +79,8 @@ class _Frequent:
 
 
 def _sets(words: int):
-    """kind 0: doc_id, n, f1, f2 of a document; kind 1: a frequent ranked shingle (f1) and its count in the task (n)."""
+    """kind 0: doc_id, key, n, f1, f2 of a row; kind 1: a frequent ranked shingle (f1) and its count in the task (n)."""
+    names = ["kind", "doc_id", "key", "n", "f1", "f2"]
 
     def run(batches):
         held(None)
@@ -85,14 +90,14 @@ def _sets(words: int):
             n = np.array([len(s) for s in sets], np.int64)
             f = [run_digests(s, np.array([0])) if len(s) else (np.zeros(1, np.int64),) * 2 for s in sets]
             f1, f2 = (np.concatenate([x[k] for x in f]) if f else np.zeros(0, np.int64) for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), batch.column(0), pa.array(n), pa.array(f1), pa.array(f2)], ["kind", "doc_id", "n", "f1", "f2"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), batch.column(0), batch.column(2), pa.array(n), pa.array(f1), pa.array(f2)], names)
             if sets:
                 once = {k: s for k, s in zip(zip(f1.tolist(), f2.tolist(), strict=True), sets, strict=True)}
                 often.add(np.concatenate([s[: np.searchsorted(s, _TOP)] for s in once.values()]))
         trim()
         items, counts = often.found()
         k = len(items)
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int32)), pa.nulls(k, pa.int64()), pa.array(counts), pa.array(items.view(np.int64)), pa.array(np.zeros(k, np.int64))], ["kind", "doc_id", "n", "f1", "f2"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int32)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.array(counts), pa.array(items.view(np.int64)), pa.array(np.zeros(k, np.int64))], names)
 
     return run
 
@@ -123,8 +128,8 @@ def _deal(words: int, percent: int, groups: int, heavy):
             group = (token >> np.uint64(11)) % np.uint64(groups)
             order = np.lexsort((token, group))
             token, of, group = token[order], of[order], group[order].astype(np.int64)
-            first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))) if len(group) else np.zeros(0, np.int64)
-            for a, b in zip(first.tolist(), [*first[1:].tolist(), len(group)], strict=True):
+            cuts = [*(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(group)] if len(group) else []
+            for a, b in zip([0, *cuts[:-1]], cuts, strict=False):  # without a ranked shingle there is nothing to deal
                 docs, place = np.unique(of[a:b], return_inverse=True)
                 yield pa.RecordBatch.from_arrays([pa.array([group[a]]), *(pa.array([x.tobytes()], pa.binary()) for x in (token[a:b], place.astype(np.int32), keys[docs]))], ["g", "tokens", "places", "sets"])
         trim()
@@ -214,12 +219,18 @@ def _check(percent: int):
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are similar enough.  A set that many pairs start from moves once per about PAIRS of them."""
+    """The pairs (a, b) that are similar enough; n is the size of b's set, so a cell's load is known before any set moves.
+
+    A set that many pairs start from moves once for each share of them; a share is a quarter of what a task would get if
+    all loads were dealt evenly, within LOW and HIGH shingles."""
     pairs = durable(pairs.distinct(), "pairs")
-    total = pairs.count()
-    often = pairs.groupBy("a").agg(F.count("*").alias("c"))
-    salted = attach(pairs, often, "a", "c", total, "inner").withColumn("salt", F.pmod(F.xxhash64("b"), F.ceil(F.col("c") / PAIRS)))
-    cell = F.pmod(F.xxhash64("a", "salt"), F.lit(max(partitions(pairs.sparkSession), total // PAIRS + 1)))
+    load = F.col("n") + PAIR
+    total, loads = pairs.agg(F.count("*"), F.coalesce(F.sum(load), F.lit(0))).first()
+    parts = partitions(pairs.sparkSession)
+    share = min(max(loads // (4 * parts), LOW), HIGH)
+    often = pairs.groupBy("a").agg(F.count("*").alias("c"), F.sum(load).alias("load"))
+    salted = attach(pairs, often, "a", "c", total, "inner").withColumn("salt", F.pmod(F.xxhash64("b"), F.ceil(F.col("load") / share)))
+    cell = F.pmod(F.xxhash64("a", "salt"), F.lit(max(parts, 2 * loads // share + 1)))
     salted = durable(salted.select("a", "b", cell.alias("cell"), "salt"), "salted")
     members = salted.join(sets.select(F.col("rep").alias("b"), "set"), "b").select("cell", "a", "b", "set")
     firsts = salted.select("cell", "a").distinct().join(sets.select(F.col("rep").alias("a"), "set"), "a").select("cell", "a", F.lit(None).cast("long").alias("b"), "set")
@@ -235,7 +246,7 @@ def _read_lists(percent: int, one_each: bool):
         order = np.lexsort((rep, token))
         token = token[order]
         first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
-        out = [np.zeros((0, 2), np.int64)]
+        out = [np.zeros((0, 3), np.int64)]
         for s, e in zip(first.tolist(), [*first[1:].tolist(), len(token)], strict=True):
             at = order[s:e]
             left = at[own[at] == i[at]]
@@ -254,9 +265,11 @@ def _read_lists(percent: int, one_each: bool):
                 if one_each and len(p):
                     new = np.unique(p, return_index=True)[1]
                     p, q = p[new], q[new]
-                out.append(np.stack((np.minimum(rep[left[p]], rep[right[q]]), np.maximum(rep[left[p]], rep[right[q]])), 1))
+                x1, x2 = left[p], right[q]
+                later = rep[x1] < rep[x2]
+                out.append(np.stack((np.minimum(rep[x1], rep[x2]), np.maximum(rep[x1], rep[x2]), np.where(later, n[x2], n[x1])), 1))
         pair = np.unique(np.concatenate(out), axis=0)
-        return pa.table({"a": pair[:, 0], "b": pair[:, 1]})
+        return pa.table({"a": pair[:, 0], "b": pair[:, 1], "n": pair[:, 2]})
 
     return run
 
@@ -272,16 +285,19 @@ def _candidates(entries: DataFrame, percent: int, one_each: bool) -> DataFrame:
     cells = attach(spread, mixed, "token", "c", size, "inner").withColumn("k", F.ceil(F.col("c") / BLOCK).cast("int")).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("k")).cast("int"))
     cells = cells.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).withColumn("i", F.least("own", "o")).withColumn("j", F.greatest("own", "o"))
     cells = cells.withColumn("cell", F.when(F.col("k") == 1, F.pmod(F.xxhash64("token"), F.lit(max(n, size // 50_000 + 1)))).otherwise(F.xxhash64("token", "i", "j")))
-    return cells.drop("o", "k", "c").groupBy("cell", "i", "j").applyInArrow(_read_lists(percent, one_each), "a long, b long")
+    return cells.drop("o", "k", "c").groupBy("cell", "i", "j").applyInArrow(_read_lists(percent, one_each), "a long, b long, n long")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the least doc_id it reaches by links, itself included)."""
     spark = ship(docs.sparkSession)
     texts = picked(docs, {"doc_id": F.col(id_col).cast("long"), "text": F.col(text_col).cast("binary")})
-    both = durable(texts.mapInArrow(_sets(words), "kind int, doc_id long, n long, f1 long, f2 long"), "sets")
-    rows = both.filter("kind = 0").select("doc_id", "n", "f1", "f2")
-    classes = durable(rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.count("*").alias("copies")), "classes")
+    texts = texts.withColumn("key", F.unhex(F.md5("text")))  # tells rows of one doc_id apart
+    both = durable(texts.mapInArrow(_sets(words), "kind int, doc_id long, key binary, n long, f1 long, f2 long"), "sets")
+    rows = both.filter("kind = 0").select("doc_id", "key", "n", "f1", "f2")
+    linkable = rows.filter("n > 0 AND doc_id IS NOT NULL")
+    classes = linkable.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "key")).alias("one"), F.min("n").alias("n"), F.count("*").alias("copies"))
+    classes = durable(classes.select("f1", "f2", "n", "copies", "one.doc_id", "one.key", F.monotonically_increasing_id().alias("rep")), "classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
     counted = int(total * RANKED) + 1
     known = both.filter("kind = 1").groupBy("f1").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(LEAST_HEAVY, counted // HEAVY)).toArrow()
@@ -295,15 +311,20 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     # own - c ranked shingles that no other set holds come first in the order; a prefix of no more than these links with nothing
     longest = F.col("n") - F.ceil(F.col("n") * percent / 100) + 2
     lists = lists.filter(longest > F.col("own") - F.col("c")).select("f1", "f2", "ranked")
-    needs = classes.join(lists, ["f1", "f2"]).select(F.col("rep").alias("doc_id"), "ranked")
-    once = texts.join(needs, "doc_id").groupBy("doc_id").agg(F.first("text").alias("text"), F.first("ranked").alias("ranked")) if _repeats(rows) else texts.join(needs, "doc_id").select("doc_id", "text", "ranked")
+    needs = classes.join(lists, ["f1", "f2"]).select("doc_id", "key", "rep", "ranked")
+    once = texts.filter("doc_id IS NOT NULL")
+    if not linkable.groupBy("doc_id", "key").count().filter("count > 1").isEmpty():  # repeated rows
+        once = once.groupBy("doc_id", "key").agg(F.first("text").alias("text"))
+    once = once.join(needs, ["doc_id", "key"]).select("rep", "text", "ranked")
     sets = durable(once.mapInArrow(_prefixes(words, percent, heavy), "rep long, n long, skip long, prefix array<long>, bits binary, set binary"), "prefixes")
-    # groups of equal prefix and size, and their lists
-    alike = ["n", "skip", "prefix"]
-    grouped = sets.groupBy(*alike).agg(F.min("rep").alias("gid"), F.count("*").alias("members"))
-    group_of = durable(attach(sets.select("rep", *alike, "bits"), grouped, alike, "members", sets.count(), "inner").select("rep", *alike, "bits", "gid"), "groups")
+    # groups of equal prefix and size, and their lists.  The prefix goes by a digest, so that no long key moves; were two
+    # prefixes to share one, their pairs would fail verification and all members are read by their own prefix below
+    alike = [F.xxhash64(F.lit(k), "n", "skip", "prefix").alias(f"s{k}") for k in (1, 2)]
+    named = sets.select("rep", "n", "skip", "prefix", "bits", *alike)
+    grouped = named.groupBy("s1", "s2").agg(F.min("rep").alias("gid"), F.count("*").alias("members"))
+    group_of = durable(attach(named, grouped, ["s1", "s2"], "members", sets.count(), "inner").drop("s1", "s2", "members"), "groups")
     firsts = group_of.filter("rep = gid").withColumn("comp", F.col("rep"))
-    members = group_of.filter("rep <> gid").select(F.col("gid").alias("a"), F.col("rep").alias("b"))
+    members = group_of.filter("rep <> gid").select(F.col("gid").alias("a"), F.col("rep").alias("b"), "n")
     links = _verify(_candidates(firsts, percent, True).unionByName(members), sets, percent)
     final = components(links)
     for one_each in (True, False):
@@ -313,17 +334,17 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         if not more.isEmpty():
             links = links.unionByName(more)
             final = components(links)
-    named = durable(classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("f1", "f2", "copies", F.coalesce("component", "rep").alias("component_id")), "named")
-    linked = attach(rows.filter("n > 0 AND doc_id IS NOT NULL"), named, ["f1", "f2"], "copies", rows.count(), "inner").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    # components of classes, and their least doc_id
+    placed = durable(classes.select("f1", "f2", "doc_id", "copies", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left"), "placed")
+    joined = placed.filter("component IS NOT NULL")
+    least = durable(joined.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("size")), "components")
+    by = attach(joined, least, "component", "size", joined.count(), "inner").select("f1", "f2", "copies", "component_id")
+    by = durable(by.unionByName(placed.filter("component IS NULL").select("f1", "f2", "copies", F.col("doc_id").alias("component_id"))), "named")
+    linked = attach(linkable, by, ["f1", "f2"], "copies", rows.count(), "inner").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     alone = rows.filter("n = 0 OR doc_id IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)
 
 
-def _repeats(rows: DataFrame) -> bool:
-    """Whether some doc_id stands on more than one row."""
-    return not rows.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty()
-
-
 ORACLE = r"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(w[i:least(i + 3, len(w))], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)),

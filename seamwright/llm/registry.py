@@ -42,8 +42,12 @@ def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+#: Words of the shortest span that op9 reports: licence lines, headings and other short lines that clean documents share stay.
+LEAST_RUN = 20
+
+
 def op9_substring_dedup(spark, sf_dir):
-    return substring_dedup.removals(table(spark, sf_dir, "documents"))
+    return substring_dedup.removals(table(spark, sf_dir, "documents"), least_run=LEAST_RUN).drop("text_key")
 
 
 def op10_language(spark, sf_dir):

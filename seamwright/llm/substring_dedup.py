@@ -1,23 +1,29 @@
 """Substring deduplication by hashing lines, the sentences in them, and passages chosen by content.
 
-Units are the lines of a text and, in lines of more than one, their sentences (a sentence ends with a word that ends in
-``.``, ``!``, ``?`` or another script's mark), each of at least ``LEAST_WORDS`` words, and passages of ``PASSAGE`` words
+Units are the lines of a text; in lines of more than one, their sentences (a sentence ends with a word that ends in
+``.``, ``!``, ``?`` or another script's mark) of at least ``LEAST_WORDS`` words; and passages of ``PASSAGE`` words
 anywhere: of every ``WINDOW`` neighbouring ones the one of least hash, so that any ``PASSAGE + WINDOW - 1`` words that two
 texts share hold a passage that is a unit of both, whatever stands around them.  In scripts that are written without
-spaces every character is a word.  A unit is normalised (A-Z lower-cased, white space of any length alike) and hashed to
-128 bits.  Digests are grouped over all documents; the earliest occurrence by (doc_id, place) stays and every other one is
-marked (in one text, if it doesn't overlap the first).  Marked units that touch - or have fewer than ``LEAST_WORDS``
-words between them - form a span; spans of at least ``LEAST_RUN`` words are removed, so that short lines common to many
-documents (licences, headings) stay.  Spans are code points of the original text.  At either end of a shared run up to
-``WINDOW - 1`` words may stay, where no line or sentence begins or ends there; shared runs of fewer than
+spaces every character is a word.  A unit is normalised (A-Z lower-cased, white space of any length alike) and named by a
+128-bit BLAKE2b digest of its normalised bytes: units of one digest are equal, as nobody can make two that aren't.
+Digests are grouped over all documents; the earliest occurrence by (doc_id, text, place) stays and every other one is
+marked (in one text, if it doesn't overlap the first).  Marked units that touch or overlap form a span, which therefore
+holds marked words only.  Spans of fewer than ``least_run`` words (default 0: none) stay; a caller who wants to leave
+licence lines and headings alone sets it.  Spans are code points of the original text.  At either end of a shared run up
+to ``WINDOW - 1`` words may stay, where no line or sentence begins or ends there; shared runs of fewer than
 ``PASSAGE + WINDOW - 1`` words leave only if they hold a unit.
 
-Defined cases: null and empty texts have no units; rows of one doc_id count as one document; a null doc_id ranks last;
-an empty table gives no rows; extra columns are ignored (and kept by ``cleaned``).
+Defined cases: null and empty texts have no units; a document is a doc_id with a text, so rows of one doc_id (or of none)
+with different texts are documents of their own, and rows that repeat both count as one and share its spans; documents
+of one doc_id rank by a digest of their texts; a null doc_id ranks last, and keep_id is null where only such documents
+hold the unit; an empty table gives no rows; extra columns are ignored (and kept by ``cleaned``).
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,19 +32,19 @@ from pyspark.sql.window import Window
 
 from ..session import ship
 from .common import attach, durable, picked
-from .words import _powers, mix64, run_digests, word_spans
+from .words import window_hashes, word_spans
 
-LEAST_WORDS, LEAST_RUN = 3, 20
+LEAST_WORDS = 3
 PASSAGE, WINDOW = 20, 16
 #: Last bytes of words that end a sentence, for marks of two and three bytes.
 _ENDS = {n: np.array([int.from_bytes(c.encode(), "big") for c in "؟۔։።।॥။។。！？｡．…‼⁇⁈⁉" if len(c.encode()) == n]) for n in (2, 3)}
 #: Code points of scripts written without spaces, with their punctuation: Thai and Lao, Myanmar, Khmer, kana, Han, full-width forms.
 _UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3000, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF00, 0xFF9F))
-_SCHEMA = "doc_id long, d1 long, d2 long, first int, end int, start_at int, end_at int, again boolean"
+_SCHEMA = "doc_id long, key binary, digest binary, first int, end int, start_at int, end_at int, again boolean"
 
 
 def _words(text: bytes):
-    """(first bytes, end bytes, hashes) of the words; characters of scripts without spaces are words of their own, a mark behind stays with its character."""
+    """(bytes, first bytes, end bytes, hashes, normalised bytes, first bytes therein) of the words; characters of scripts without spaces are words of their own, a mark behind stays with its character."""
     data = np.frombuffer(text, np.uint8)
     lead = np.flatnonzero(data >= 0xE0)
     if len(lead):
@@ -52,13 +58,20 @@ def _words(text: bytes):
         own_marks = own & np.isin(value, _ENDS[3])
         lead, size, marks = lead[own], np.where(four, 4, 3)[own], own_marks[own]
     if not len(lead):
-        return data, *word_spans(text)
+        return data, *(got := word_spans(text)), *_normal(text, got)
     cuts = np.union1d(lead[~marks], lead + size)
     cuts = cuts[(cuts > 0) & (cuts < len(data))]
     cuts = np.setdiff1d(cuts, lead[marks])
-    starts, ends, hashes = word_spans(np.insert(data, cuts, 32).tobytes())
+    spaced = np.insert(data, cuts, 32).tobytes()
+    starts, ends, hashes = got = word_spans(spaced)
     at = np.insert(np.arange(len(data)), cuts, -1)
-    return data, at[starts], at[ends - 1] + 1, hashes
+    return data, at[starts], at[ends - 1] + 1, hashes, *_normal(spaced, got)
+
+
+def _normal(text: bytes, words) -> tuple[bytes, np.ndarray]:
+    """The words in lower case with one space behind each, and where each begins."""
+    size = words[1] - words[0] + 1
+    return b" ".join([*text.lower().split(), b""]), np.concatenate((np.zeros(1, np.int64), np.cumsum(size)))
 
 
 def _closes(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -81,103 +94,104 @@ def _slid(x: np.ndarray, n: int, best) -> np.ndarray:
     return x
 
 
-def passages(hashes: np.ndarray):
-    """(d1, d2, first word) of the passages that are units: those of least hash among WINDOW neighbours."""
-    none = np.zeros(0, np.int64)
-    if len(hashes) < PASSAGE:
-        return none, none, none
-    up, down = _powers(len(hashes))
-
-    def digest(words):
-        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words * up[: len(words)], dtype=np.uint64)))
-        return mix64((total[PASSAGE:] - total[:-PASSAGE]) * down[: len(words) - PASSAGE + 1])
-
-    key = digest(hashes)
-    n = min(WINDOW, len(key))
+def passages(hashes: np.ndarray, size: int = PASSAGE, window: int = WINDOW) -> np.ndarray:
+    """First words of the passages that are units: those of least hash among ``window`` neighbours."""
+    if len(hashes) < size or not size:
+        return np.zeros(0, np.int64)
+    key = window_hashes(hashes, size)
+    n = min(window, len(key))
     least = _slid(key, n, np.minimum)
     pad = np.zeros(n - 1, np.uint64)
     chosen = _slid(np.concatenate((pad, least, pad)), n, np.maximum) == key
     new = np.concatenate(([True], key[1:] != key[:-1]))  # in a run of one word, passages side by side and the last
-    chosen &= ((np.arange(len(key)) - np.flatnonzero(new)[np.cumsum(new) - 1]) % PASSAGE == 0) | np.append(new[1:], True)
-    first = np.flatnonzero(chosen)
-    return mix64(key[first]).view(np.int64), digest(mix64(hashes))[first].view(np.int64), first
+    chosen &= ((np.arange(len(key)) - np.flatnonzero(new)[np.cumsum(new) - 1]) % size == 0) | np.append(new[1:], True)
+    return np.flatnonzero(chosen)
 
 
-def units(text: bytes, least: int = LEAST_WORDS):
-    """Arrays (d1, d2, first word, end word, first byte, end byte, whether an equal unit stands before it in this text)."""
-    data, starts, ends, hashes = _words(text)
+def units(text: bytes, least: int = LEAST_WORDS, passage: int = PASSAGE, window: int = WINDOW):
+    """(digests, first words, end words, first bytes, end bytes, whether an equal unit stands before each in this text)."""
+    data, starts, ends, hashes, normal, at = _words(text)
     if not len(starts):
         return None
     line = np.cumsum(data == 10)[starts]
     new_line = np.concatenate(([True], line[1:] != line[:-1]))
-    closes = _closes(data, ends)
-    new_sentence = new_line | np.concatenate(([True], closes[:-1]))
+    new_sentence = new_line | np.concatenate(([True], _closes(data, ends)[:-1]))
     lines, sentences = np.flatnonzero(new_line), np.flatnonzero(new_sentence)
-    parts = []
-    for first, is_line in ((sentences, False), (lines, True)):
-        d1, d2 = run_digests(hashes, first)
-        end = np.append(first[1:], len(starts))
-        good = end - first >= least
-        if is_line:  # a line of one sentence is that sentence
-            good &= np.diff(np.append(np.searchsorted(sentences, first), len(sentences))) > 1
-        parts.append([x[good] for x in (d1, d2, first, end)])
-    d1, d2, first = passages(hashes)
-    parts.append([d1, d2, first, first + PASSAGE])
-    d1, d2, first, end = (np.concatenate(x) for x in zip(*parts, strict=True))
+    line_end, sentence_end = np.append(lines[1:], len(starts)), np.append(sentences[1:], len(starts))
+    long = sentence_end - sentences >= least
+    # a line of one sentence that is long enough is that sentence
+    own = (np.diff(np.append(np.searchsorted(sentences, lines), len(sentences))) > 1) | (line_end - lines < least)
+    some = passages(hashes, passage, window)
+    first = np.concatenate((sentences[long], lines[own], some))
+    end = np.concatenate((sentence_end[long], line_end[own], some + passage))
     order = np.lexsort((end, first))
-    d1, d2, first, end = d1[order], d2[order], first[order], end[order]
-    _, at, which = np.unique(d1, return_index=True, return_inverse=True)
-    again = first >= end[at][which]  # passages may overlap the first of their kind
-    return d1, d2, first, end, starts[first], ends[end - 1], again
+    first, end = first[order], end[order]
+    seen: dict[bytes, int] = {}
+    digests, again = [], []
+    for a, b, e in zip(at[first].tolist(), (at[end] - 1).tolist(), end.tolist(), strict=True):
+        digests.append(d := hashlib.blake2b(normal[a:b], digest_size=16).digest())
+        again.append(seen.setdefault(d, e))
+    return digests, first, end, starts[first], ends[end - 1], first >= np.array(again, np.int64)  # passages may overlap the first of their kind
 
 
-def unit_table(docs: DataFrame, least: int = LEAST_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def unit_table(docs: DataFrame, least: int = LEAST_WORDS, id_col: str = "doc_id", text_col: str = "text", passage: int = PASSAGE, window: int = WINDOW) -> DataFrame:
     ship(docs.sparkSession)
+    names = ["doc_id", "key", "digest", "first", "end", "start_at", "end_at", "again"]
 
     def run(batches):
         for batch in batches:
-            keys, parts = [], []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                got = units(text, least) if text else None
+            owner, digests, parts = [], [], []
+            for row, text in enumerate(batch.column(1).to_pylist()):
+                got = units(text, least, passage, window) if text else None
                 if got is None or not len(got[0]):
                     continue
-                a, b = got[4], got[5]
+                a, b = got[3], got[4]
                 if not text.isascii():
                     at = np.concatenate(([0], np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)))
                     a, b = at[a], at[b]
-                keys.append((key, len(a)))
-                parts.append((*got[:2], got[2].astype(np.int32), got[3].astype(np.int32), a.astype(np.int32), b.astype(np.int32), got[6]))
+                owner.append(np.full(len(a), row))
+                digests += got[0]
+                parts.append((got[1].astype(np.int32), got[2].astype(np.int32), a.astype(np.int32), b.astype(np.int32), got[5]))
             if parts:
-                ids = np.repeat(np.array([0 if k is None else k for k, _ in keys], np.int64), [n for _, n in keys])
-                null = np.repeat(np.array([k is None for k, _ in keys]), [n for _, n in keys])
+                own = pa.array(np.concatenate(owner))
                 columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, mask=null), *map(pa.array, columns)], ["doc_id", "d1", "d2", "first", "end", "start_at", "end_at", "again"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(own), batch.column(2).take(own), pa.array(digests, pa.binary()), *map(pa.array, columns)], names)
+
+    rows = picked(docs, {"doc_id": F.col(id_col).cast("long"), "text": F.col(text_col).cast("binary")})
+    return rows.withColumn("key", text_key(F.col("text"))).mapInArrow(run, _SCHEMA)
+
 
-    return picked(docs, {"doc_id": F.col(id_col).cast("long"), "text": F.col(text_col).cast("binary")}).mapInArrow(run, _SCHEMA)
+def text_key(text):
+    """Tells documents of one doc_id apart."""
+    return F.unhex(F.md5(text))
 
 
-def removals(docs: DataFrame, least: int = LEAST_WORDS, least_run: int = LEAST_RUN) -> DataFrame:
-    """One row per removed span: doc_id, start, end, n_words, n_units, keep_id (lowest doc_id that keeps a unit of it)."""
-    rows = durable(unit_table(docs, least), "units")
-    rank = F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1))
-    groups = rows.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(rank).alias("keep_id")).filter("n > 1")
-    marked = attach(rows, durable(groups, "digests"), ["d1", "d2"], "n", rows.count(), "inner").filter(F.col("again") | (rank != F.col("keep_id")))
-    w = Window.partitionBy("doc_id").orderBy("first", "end", "d1")
-    before = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    marked = marked.withColumn("before", F.coalesce(before, F.lit(-(1 << 20))))
-    marked = marked.withColumn("run", F.sum(F.when(F.col("first") - F.col("before") >= least, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    own = F.greatest(F.col("end") - F.greatest(F.col("first"), F.col("before")), F.lit(0))
-    spans = marked.withColumn("own", own).groupBy("doc_id", "run").agg(
-        F.min("start_at").cast("long").alias("start"), F.max("end_at").cast("long").alias("end"), F.sum("own").cast("long").alias("n_words"), F.count("*").alias("n_units"), F.min("keep_id").alias("keep_id")
-    )
-    return spans.filter(F.col("n_words") >= least_run).select("doc_id", "start", "end", "n_words", "n_units", "keep_id")
+def removals(docs: DataFrame, least: int = LEAST_WORDS, least_run: int = 0, passage: int = PASSAGE, window: int = WINDOW) -> DataFrame:
+    """One row per removed span: doc_id, start, end, n_words, n_units, keep_id (lowest doc_id that keeps a unit of it), text_key."""
+    rows = durable(unit_table(docs, least, passage=passage, window=window), "units")
+    rank = F.struct(F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1)).alias("r"), F.col("doc_id").isNull().alias("none"), F.col("key").alias("k"))
+    groups = rows.groupBy("digest").agg(F.count("*").alias("n"), F.min(rank).alias("owner")).filter("n > 1")
+    marked = attach(rows, durable(groups, "digests"), "digest", "n", rows.count(), "inner").filter(F.col("again") | (rank != F.col("owner")))
+    w = Window.partitionBy("doc_id", "key").orderBy("first", "end")
+    upto = w.rowsBetween(Window.unboundedPreceding, -1)
+    marked = marked.withColumn("before", F.coalesce(F.max("end").over(upto), F.lit(-1)))
+    marked = marked.withColumn("new", F.coalesce((F.lag("first").over(w) != F.col("first")) | (F.lag("end").over(w) != F.col("end")), F.lit(True)))  # repeated rows bring each unit again
+    marked = marked.withColumn("run", F.sum((F.col("first") > F.col("before")).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    own = F.greatest(F.col("end") - F.greatest("first", "before"), F.lit(0))
+    spans = marked.withColumn("own", own).groupBy("doc_id", "key", "run").agg(
+        F.min("start_at").cast("long").alias("start"), F.max("end_at").cast("long").alias("end"), F.sum("own").cast("long").alias("n_words"), F.sum(F.col("new").cast("long")).alias("n_units"),
+        F.min(F.when(~F.col("owner.none"), F.col("owner.r"))).alias("keep_id"),
+    )
+    return spans.filter(F.col("n_words") >= least_run).select("doc_id", "start", "end", "n_words", "n_units", "keep_id", F.col("key").alias("text_key"))
 
 
 def cleaned(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """docs with the spans cut out of ``text``; the spans of a document travel with it, offsets stay those of the original."""
-    per = spans.groupBy(F.col("doc_id").alias("_id")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cut"))
-    joined = docs.join(per, docs["doc_id"].eqNullSafe(F.col("_id")), "left")
-    keep_from = F.concat(F.array(F.lit(0).cast("long")), F.transform("_cut", lambda c: c["end"]))
-    keep_to = F.concat(F.transform("_cut", lambda c: c["start"]), F.array(F.length("text").cast("long")))
+    tag = uuid.uuid4().hex[:8]  # for names that no column of docs has
+    ids, key, cut = f"_id{tag}", f"_key{tag}", f"_cut{tag}"
+    per = spans.groupBy(F.col("doc_id").alias(ids), F.col("text_key").alias(key)).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(cut))
+    joined = docs.join(per, docs["doc_id"].cast("long").eqNullSafe(F.col(ids)) & (text_key(docs["text"].cast("binary")) == F.col(key)), "left")
+    keep_from = F.concat(F.array(F.lit(0).cast("long")), F.transform(cut, lambda c: c["end"]))
+    keep_to = F.concat(F.transform(cut, lambda c: c["start"]), F.array(F.length("text").cast("long")))
     kept = F.array_join(F.zip_with(keep_from, keep_to, lambda a, b: F.substring("text", (a + 1).cast("int"), F.greatest(b - a, F.lit(0)).cast("int"))), "")
-    return joined.withColumn("text", F.when(F.col("_cut").isNull(), F.col("text")).otherwise(kept)).select(*docs.columns)
+    return joined.withColumn("text", F.when(F.col(cut).isNull(), F.col("text")).otherwise(kept)).select(*docs.columns)

@@ -5,11 +5,14 @@ Texts are UTF-8 bytes.  A word is a maximal run of bytes outside
 expression ``[^\\x20\\x09-\\x0D]+`` finds on code points, as those white-space
 characters are single bytes that never occur inside a multi-byte character.
 
-Shingle hashes are 64 bits wide: a polynomial over per-byte random constants
-gives each word a position-independent value, the values of a shingle's words
-are combined with one odd multiplier per place, and a finaliser mixes the
-bits.  Two different shingles share a value with probability about 2**-64.
-Nothing here depends on Python's ``hash`` (which differs between workers).
+Shingle hashes are 64 bits wide: every byte of a word stands for a random
+number of its own for each place in the word (tabulation), whose sum is the
+word's value; the values of a shingle's words are combined with one odd
+multiplier per place, and a finaliser mixes the bits.  The numbers are fixed
+and independent of the text, so two different words or shingles share a value
+with probability about 2**-64; no polynomial is involved whose terms could
+cancel.  Nothing here depends on Python's ``hash`` (which differs between
+workers).
 """
 
 from __future__ import annotations
@@ -19,14 +22,14 @@ import ctypes
 import numpy as np
 import pyarrow as pa
 
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_BYTE = np.random.default_rng(20240601).integers(1, 2**63, 256, dtype=np.uint64)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+#: A random number for each place in a word (the last row is for bytes further on, mixed with their place) and byte.
+_PLACES = 48
+_BYTE = np.random.default_rng(20240601).integers(0, 2**64, (_PLACES + 1) * 256, dtype=np.uint64)
 _PLACE = np.random.default_rng(20240602).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _CHUNK = 1 << 22
-_POWERS: dict[str, np.ndarray] = {}
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -38,17 +41,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if "b" not in _POWERS or len(_POWERS["b"]) < n:
-        size = max(n, 1 << 16)
-        steps = np.full(size, _BASE, np.uint64)
-        steps[0] = 1
-        back = np.full(size, _INVERSE, np.uint64)
-        back[0] = 1
-        _POWERS["b"], _POWERS["i"] = np.multiply.accumulate(steps), np.multiply.accumulate(back)
-    return _POWERS["b"][:n], _POWERS["i"][:n]
-
-
 def lower_ascii(data: np.ndarray) -> np.ndarray:
     """A-Z to a-z, all other bytes as they are."""
     return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
@@ -79,26 +71,47 @@ def _spans(text: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(starts):
         return none, none, np.zeros(0, np.uint64)
-    up, down = _powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[lower_ascii(data) if lower else data] * up[:-1], out=total[1:])
-    value = (total[ends] - total[starts]) * down[starts]
-    return starts, ends, mix64(value + (ends - starts).astype(np.uint64) * _PLACE[63])
+    sizes = ends - starts
+    first = np.cumsum(sizes) - sizes
+    own = data[inside[1:-1].view(bool)]
+    place = np.arange(len(own)) - np.repeat(first, sizes)
+    far = np.flatnonzero(place >= _PLACES) if sizes.max() > _PLACES else ()
+    value = _BYTE[(np.minimum(place, _PLACES) << 8) + (lower_ascii(own) if lower else own)]
+    if len(far):
+        value[far] = mix64(value[far] + place[far].astype(np.uint64) * _STEP)
+    return starts, ends, mix64(np.add.reduceat(value, first) + sizes.astype(np.uint64) * _PLACE[63])
 
 
 def run_digests(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent digests of each run of words; run i has the words from first[i] up to the next run."""
+    """Two digests of each run of hashes, its order included; run i has those from first[i] up to the next run.
+
+    Every hash is mixed with its place before it is added, and mixed once more for the second digest."""
     size = np.diff(np.append(first, len(hashes)))
     place = np.arange(len(hashes)) - np.repeat(first, size)
-    out = []
+    value, out = hashes, []
     for k in (0, 1):
-        base = _PLACE[40 + k]
-        powers = np.full(int(size.max()) if len(size) else 0, base, np.uint64)
-        powers = np.multiply.accumulate(powers)
-        out.append(mix64(np.add.reduceat(hashes * powers[place], first) + size.astype(np.uint64) * _PLACE[50 + k]).view(np.int64))
+        value = mix64(value + place.astype(np.uint64) * _STEP + _PLACE[40 + k])
+        out.append(mix64(np.add.reduceat(value, first) + size.astype(np.uint64) * _PLACE[50 + k]).view(np.int64))
     return out[0], out[1]
 
 
+def window_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
+    """One hash for each n neighbours, their order included, put together from those of 1, 2, 4, ... neighbours."""
+
+    def both(x, y):
+        return mix64(x * _PLACE[61] + mix64(y + _PLACE[62]))
+
+    power, size, out, done = hashes, 1, None, 0
+    while True:
+        if n & size:
+            m = max(len(hashes) - done - size + 1, 0)
+            out, done = (power if out is None else both(out[:m], power[done:])), done + size
+        size *= 2
+        if size > n:
+            return out
+        power = both(power[: -size // 2], power[size // 2 :])
+
+
 def shingle_hashes(text: bytes, n: int, lower: bool = True) -> np.ndarray:
     """The sorted distinct n-word shingles of a text; with 1 to n - 1 words, the whole sequence as one."""
     words = word_hashes(text, lower)
