@@ -2,21 +2,25 @@
 
 Documents are put in ascending doc_id order (nulls first, equal ids by text), encoded, each ended with ``END`` and cut
 into shards of about ``SHARD`` ids.  In every shard pairs of neighbouring symbols are replaced by nonterminals, in rounds,
-until no pair occurs ``LEAST`` times; no pair spans two documents.  The shard's image holds the rules, the expansion length of each
-rule, the remaining symbols and, for each document, where its symbols and its ids end, so any document (or any range of
-ids in one) is decoded without the others.
+until no pair occurs ``LEAST`` (two) times; no pair spans two documents.  The shard's image holds the rules, the expansion
+length of each rule, the remaining symbols and, for each document, where its symbols and its ids end, so any document (or
+any range of ids in one) is decoded without the others.
 
 Image, all little-endian: magic ``SWRP``, then eight uint32: version, vocabulary size, rules, rounds, documents,
-symbols, bytes per symbol (2 or 4), 0; then rules per round (uint32), doc_id (int64; the least int64 for null), id ends
-and symbol ends (uint64 each), left and right of each rule, its expansion length (uint32), symbols.
+symbols, bits per symbol, 0; then rules per round (uint32), doc_id (int64; the least int64 for null), id ends and symbol
+ends (uint64 each), left and right of each rule, its expansion length (uint32), symbols.  Left, right and symbols take
+``bits`` bits each, lowest first, every list padded to a multiple of eight numbers, so number k lies at a known bit.
 
-Shards are rows of a Parquet table (part, shard, start in part, ids, image): Spark's committer makes a lost executor
-harmless and any file system will do.
+Shards are rows of a Parquet table (part, shard, first_id, last_id, own_start, n_docs, n_ids, image): Spark's committer
+makes a lost executor harmless and any file system will do.  Each row is a row group of its own, so that a filter on
+first_id and last_id opens the shard that holds a document and no other (``document``); ``directory`` lists the shards
+with their absolute starts.
 
 Encoding goes by words: the tokenizer drops white space and never joins what it separates, so the ids of a text are
-those of its words in order, and each distinct word is encoded once per worker.  Where the file's normaliser folds case,
-A-Z are folded before words are told apart, and new words of letters (with one full stop or comma behind) skip the
-normaliser and the splitting expression, which would leave them as they are.
+those of its words in order.  Arrow folds case (where the file's normaliser does), splits and numbers the words of a
+group of texts; marks behind letters, which the splitting expression sets apart, are numbered for themselves; every
+distinct piece is encoded once per worker.  New pieces of letters skip the normaliser and the splitting expression, which
+would leave them as they are.
 
 Defined cases: null text counts as empty and gives just the end id; repeated doc_ids stand next to each other; an empty
 table gives no rows; extra columns are ignored; an empty shard is never written.
@@ -26,25 +30,26 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
-import unicodedata
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship
 from .common import durable, partitions, picked
-from .words import IdCache, cached_ids, held, in_order
+from .words import IdTable, blocks, held, in_order, ranges
 
 END, SHARD = 2, 1 << 21
 #: Least occurrences of a pair.
-LEAST = 24
-_BITS = 20
+LEAST = 2
+#: Bytes of text whose words are looked up at once.
+GROUP = 12 << 20
+_NONE = np.int32((1 << 31) - 1)
 _MAGIC = b"SWRP"
 _NULL = -(1 << 63)
 
@@ -59,12 +64,12 @@ def _byte_letters() -> str:
 class WordEncoder:
     """Ids by word for one tokenizer file."""
 
-    _PLAIN = re.compile(rb"([a-z\x80-\xff]+)([.,]?)")
+    #: Letters that the normaliser leaves alone, and ASCII marks but the one that special tokens begin with.
+    _LETTERS, _MARKS = "[a-zß-öø-ÿ]+", r"[!-/:;=-@\[-`{-~]+"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the threads here
         self.tok = Tokenizer.from_file(path)
         self.vocabulary = self.tok.get_vocab_size()
         with open(path, encoding="utf-8") as f:
@@ -80,53 +85,89 @@ class WordEncoder:
             self.closes = np.zeros(self.vocabulary, bool)
             self.closes[[i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")]] = True
             self.shown = dict(enumerate(_byte_letters())) | {32: " "}
-        self.cache = IdCache(self._fill)
-
-    def _plain(self, word: bytes):
-        if word.isalpha():  # ASCII letters only
-            return word, 1
-        if word[-1] in b".," and word[:-1].isalpha():
-            return word[:-1] + b" " + word[-1:], 2
-        m = self._PLAIN.fullmatch(word)
-        if m is None:
-            return None
-        core = m[1]
-        if not core.isascii():
-            text = core.decode()
-            if not text.isalpha() or text != text.lower() or not unicodedata.is_normalized("NFC", text) or (m[2] and core[-1] >= 128):
-                return None
-        return (core + b" " + m[2], 2) if m[2] else (core, 1)
+        self.cache = IdTable(self._fill)
 
     def _fill(self, words: list[bytes]):
-        plain = [self._plain(w) for w in words] if self.fast else [None] * len(words)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the threads here; the library reads this at each call
+        if self.fast:
+            plain = pc.match_substring_regex(pa.array(words, pa.binary()).view(pa.string()), f"^{self._LETTERS}$").to_numpy(zero_copy_only=False)
+        else:
+            plain = np.zeros(len(words), bool)
         ids, sizes, places = [np.zeros(0, np.int32)], [], []
         for quick in (True, False):
-            at = [i for i, p in enumerate(plain) if (p is not None) == quick]
-            if not at:
+            at = np.flatnonzero(plain == quick)
+            if not len(at):
                 continue
-            places.append(np.array(at))
+            places.append(at)
             if quick:
-                texts = [b" ".join([plain[i][0] for i in at[k : k + 512]]).decode("latin-1").translate(self.shown) for k in range(0, len(at), 512)]
+                own = [words[i] for i in at.tolist()]
+                texts = [b" ".join(own[k : k + 512]).decode("latin-1") for k in range(0, len(own), 512)]
+                texts = [t if t.isascii() else t.translate(self.shown) for t in texts]
                 flat = np.concatenate([np.array(e.ids, np.int32) for e in self.fast.encode_batch_fast(texts, add_special_tokens=False)])
-                cut = (np.flatnonzero(self.closes[flat]) + 1)[np.cumsum([plain[i][1] for i in at]) - 1]
-                if cut[-1] != len(flat):
+                cut = np.flatnonzero(self.closes[flat]) + 1  # one word end a word
+                if len(cut) != len(at) or cut[-1] != len(flat):
                     raise ValueError("word ends of the short cut don't fit")
                 ids.append(flat)
                 sizes.append(np.diff(np.concatenate(([0], cut))))
             else:
-                lists = [e.ids for e in self.tok.encode_batch_fast([words[i].decode("utf-8", "replace") for i in at], add_special_tokens=False)]
+                lists = [e.ids for e in self.tok.encode_batch_fast([words[i].decode("utf-8", "replace") for i in at.tolist()], add_special_tokens=False)]
                 ids.append(np.fromiter((x for one in lists for x in one), np.int32))
                 sizes.append(np.array([len(x) for x in lists], np.int64))
         return in_order(np.concatenate(ids), np.concatenate(sizes), np.concatenate(places))
 
-    def cut(self, text: bytes) -> list[bytes]:
-        """The words; case is folded except where a special token's text might arise by it."""
-        return (text.lower() if self.folds and b"<|" not in text else text).split()
-
-    def encode(self, texts: list[bytes | None]):
-        """Yields (ids, ends) for groups of texts, each text's ids followed by END."""
-        for ids, ends in cached_ids(texts, self.cut, self.cache):
-            yield np.insert(ids, ends, END), ends + np.arange(1, len(ends) + 1)
+    def _words(self, texts: pa.Array):
+        """(words of each text, every word's number, the distinct words' cores and the marks behind these)."""
+        plain = texts.view(pa.string())
+        low = plain
+        if self.folds:
+            low = pc.ascii_lower(plain)
+            special = pc.match_substring(plain, "<|")  # case is kept where a special token's text might arise by folding
+            if pc.any(special).as_py():
+                low = pc.if_else(special, plain, low)
+        parts = pc.ascii_split_whitespace(low)
+        found = parts.flatten().dictionary_encode()
+        cores = names = found.dictionary
+        marks = pa.array([""] * len(names), pa.string())
+        if self.fast:
+            both = pc.extract_regex(names, f"^(?P<core>{self._LETTERS})(?P<marks>{self._MARKS})$")
+            cores, marks = pc.coalesce(pc.struct_field(both, "core"), names), pc.fill_null(pc.struct_field(both, "marks"), "")
+        return pc.list_value_length(parts).to_numpy(), found.indices.to_numpy(), cores, marks
+
+    def _group(self, texts: pa.Array):
+        """(ids of all texts, each followed by END; where each text's end)."""
+        counts, index, cores, marks = self._words(texts)
+        n = len(cores)
+        pieces = pa.concat_arrays([cores, marks]).dictionary_encode()
+        of = pieces.indices.to_numpy()
+        met = np.bincount(index, minlength=n)
+        times = np.bincount(of, np.concatenate((met, met)), len(pieces.dictionary)).astype(np.int64)
+        number = self.cache.find(pieces.dictionary.view(pa.binary()), times)[of].reshape(2, n).T.ravel()
+        own, begin = self.cache.size[number], self.cache.start[number]
+        flat = np.append(self.cache.flat[ranges(begin, own)], np.int32(END))  # the lists of the distinct words, then END as one more
+        sizes = np.append(own.reshape(n, 2).sum(1), 1).astype(np.int32)
+        start = np.cumsum(sizes, dtype=np.int32) - sizes
+        ends = np.cumsum(counts, dtype=np.int64)
+        index = np.insert(index, ends, n)
+        size = sizes[index]
+        return flat[ranges(start[index], size)], np.cumsum(size, dtype=np.int64)[ends + np.arange(len(ends))]
+
+    def encode(self, texts: pa.Array):
+        """Yields (ids, ends) for groups of texts (binary), each text's ids followed by END."""
+        texts = pc.fill_null(texts, b"")
+        upto = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
+        at = 0
+        while at < len(texts):
+            before = upto[at - 1] if at else 0
+            end = int(np.searchsorted(upto, before + GROUP)) + 1
+            if end > at + 1 and upto[min(end, len(texts)) - 1] - before > 2 * GROUP:
+                end -= 1  # a very long text goes by itself
+            if end == at + 1 and upto[at] - before > 2 * GROUP:  # in blocks cut at white space
+                parts = [self._group(pa.array([b], pa.binary()))[0] for b in blocks(texts[at].as_py(), GROUP)]
+                ids = np.concatenate([*(p[:-1] for p in parts), np.array([END], np.int32)])
+                yield ids, np.array([len(ids)])
+            else:
+                yield self._group(texts.slice(at, end - at))
+            at = end
 
 
 def word_encoder(path: str) -> WordEncoder:
@@ -134,74 +175,117 @@ def word_encoder(path: str) -> WordEncoder:
 
 
 def _hashed(code: np.ndarray) -> np.ndarray:
-    return code.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return code * np.uint64(0x9E3779B97F4A7C15)
+
+
+def _overlapping(at: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Places in runs of one symbol whose pair overlaps a counted one before it: every other place."""
+    same = np.flatnonzero((code[1:] == code[:-1]) & (at[1:] == at[:-1] + 1)) + 1
+    if not len(same):
+        return same
+    begins = np.concatenate(([True], np.diff(same) > 1))
+    nth = np.arange(len(same)) - np.flatnonzero(begins)[np.cumsum(begins) - 1]
+    return at[same[nth % 2 == 0]]
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int, rounds: int | None = None, rules: int | None = None, least: int = LEAST):
     """(left, right, rules per round, symbols, symbol ends): Re-Pair in rounds, until no pair occurs ``least`` times.
 
-    A round counts every pair exactly (in a run of one symbol, every other place), ranks those of at least ``least``
-    occurrences by frequency and replaces an occurrence where it ranks before both overlapping neighbours.  Pairs that
-    come to fewer than ``least`` replacements wait for the next round.  Only pairs with a symbol of the last round and
-    pairs that were frequent then can be frequent, so later rounds look at those places alone.  ``rounds`` and ``rules``
-    end it earlier.
+    A round counts every pair exactly (in a run of one symbol, every other place) by sorting (pair, place) numbers, ranks
+    those of at least ``least`` occurrences by frequency and replaces an occurrence where it ranks before both overlapping
+    neighbours.  Pairs that come to fewer than ``least`` replacements wait for the next round.  Only pairs with a symbol of
+    the last round and pairs that were frequent then can be frequent, so later rounds look at those places alone.
+    ``rounds`` and ``rules`` end it earlier.
     """
-    seq = ids.astype(np.int64)
+    seq = ids.astype(np.int32)
     last = np.zeros(len(seq), bool)
     last[ends - 1] = True
-    look = np.ones(len(seq), bool)
+    at = np.flatnonzero(~last[:-1])
     lefts, rights, per = [], [], []
     top = vocabulary
-    while (rounds is None or len(per) < rounds) and (rules is None or top < vocabulary + rules):
-        at = np.flatnonzero(look[:-1] & ~last[:-1])
-        code = (seq[at] << 32) | seq[at + 1]
-        place = (_hashed(code) >> np.uint64(64 - _BITS)).astype(np.int32)
-        full = np.bincount(place, minlength=1 << _BITS)[place] >= least  # never less than the pair's own count
-        at, code = at[full], code[full]
-        if not len(at):
-            break
-        begins = np.concatenate(([True], (code[1:] != code[:-1]) | (np.diff(at) > 1)))
-        even = (np.arange(len(at)) - np.flatnonzero(begins)[np.cumsum(begins) - 1]) % 2 == 0
-        ordered = np.sort(code[even])
-        first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-        count = np.diff(np.append(first, len(ordered)))
+    while len(at) and (rounds is None or len(per) < rounds) and (rules is None or top < vocabulary + rules):
+        symbol, place = int(top - 1).bit_length(), len(seq).bit_length()
+        if 2 * symbol + place > 64:
+            raise ValueError("too many ids and symbols for one shard")
+        code = (seq[at].astype(np.uint64) << np.uint64(symbol)) | seq[at + 1].astype(np.uint64)
+        overlap = _overlapping(at, code)
+        key = (code << np.uint64(place)) | at.astype(np.uint64)
+        key.sort()
+        code, at = key >> np.uint64(place), (key & np.uint64((1 << place) - 1)).astype(np.int64)
+        first = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
+        size = np.diff(np.append(first, len(code)))
+        count = size
+        if len(overlap):
+            skip = np.zeros(len(seq), np.int64)
+            skip[overlap] = 1
+            count = size - np.add.reduceat(skip[at], first)
         hot = count >= least
-        pairs, count = ordered[first[hot]], count[hot]
-        if not len(pairs):
+        if not hot.any():
             break
+        pairs, count = code[first[hot]], count[hot]
         order = np.lexsort((_hashed(pairs), -count))  # ties by hash: in a copied passage a third of the pairs win at once
         rank = np.empty(len(pairs), np.int32)
-        rank[order] = np.arange(len(pairs))
-        index = np.minimum(np.searchsorted(pairs, code), len(pairs) - 1)
-        found = pairs[index] == code
-        look[:] = False
-        look[at[found]] = True
-        found &= even
-        at, mine = at[found], rank[index[found]]
-        ranks = np.full(len(seq) + 2, 1 << 30, np.int32)
-        ranks[at + 1] = mine
-        pick = (mine < ranks[at]) & (mine < ranks[at + 2])
-        good = np.bincount(mine[pick], minlength=len(pairs)) >= least  # always so for the first
+        rank[order] = np.arange(len(pairs), dtype=np.int32)
+        at = at[np.repeat(hot, size)]
+        look = np.zeros(len(seq), bool)
+        look[at] = True
+        ranks = np.full(len(seq) + 2, _NONE, np.int32)
+        ranks[at + 1] = np.repeat(rank, size[hot])
+        ranks[overlap + 1] = _NONE
+        mine = ranks[1:-1]
+        at = np.flatnonzero((mine < ranks[:-2]) & (mine < ranks[2:]))
+        mine = mine[at]
+        good = np.bincount(mine, minlength=len(pairs)) >= least  # always so for the first
         if rules is not None:
             good &= np.cumsum(good) <= vocabulary + rules - top
-        pick &= good[mine]
-        at, mine = at[pick], mine[pick]
-        seq[at] = top + (np.cumsum(good) - 1)[mine]
+        own = good[mine]
+        at, mine = at[own], mine[own]
+        seq[at] = (top - 1 + np.cumsum(good))[mine]
         last[at] = last[at + 1]
         look[at] = True
         look[at[at > 0] - 1] = True
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         seq, last, look = seq[keep], last[keep], look[keep]
+        at = np.flatnonzero(look[:-1] & ~last[:-1])
         made = pairs[order][good]
-        lefts.append(made >> 32)
-        rights.append(made & 0xFFFFFFFF)
+        lefts.append((made >> np.uint64(symbol)).astype(np.int64))
+        rights.append((made & np.uint64((1 << symbol) - 1)).astype(np.int64))
         per.append(len(made))
         top += len(made)
     none = np.zeros(0, np.int64)
     return np.concatenate([none, *lefts]), np.concatenate([none, *rights]), np.array(per, np.int64), seq, np.flatnonzero(last) + 1
 
 
+def packed(numbers: np.ndarray, bits: int) -> bytes:
+    """Numbers of ``bits`` bits each; eight of them take ``bits`` bytes."""
+    x = np.zeros((-(-len(numbers) // 8), 8), np.uint64)
+    x.ravel()[: len(numbers)] = numbers
+    out = np.zeros((len(x), bits), np.uint8)
+    for k in range(8):
+        byte, shift = divmod(k * bits, 8)
+        value = x[:, k] << np.uint64(shift)
+        for i in range(byte, min(bits, byte + (bits + shift + 7) // 8)):
+            out[:, i] |= (value >> np.uint64(8 * (i - byte))).astype(np.uint8)
+    return out.tobytes()
+
+
+def unpacked(image: np.ndarray, first: int, end: int, bits: int) -> np.ndarray:
+    """Numbers [first, end) of a packed list."""
+    if first >= end:
+        return np.zeros(0, np.int32)
+    a, b = first // 8, -(-end // 8)
+    rows = image[a * bits : b * bits].reshape(b - a, bits)
+    out = np.empty((b - a, 8), np.int32)
+    for k in range(8):
+        byte, shift = divmod(k * bits, 8)
+        value = np.zeros(b - a, np.uint64)
+        for i in range(byte, min(bits, byte + (bits + shift + 7) // 8)):
+            value |= rows[:, i].astype(np.uint64) << np.uint64(8 * (i - byte))
+        out[:, k] = (value >> np.uint64(shift)) & np.uint64((1 << bits) - 1)
+    return out.ravel()[first - 8 * a : end - 8 * a]
+
+
 def pack(doc_ids: list[int | None], ids: np.ndarray, ends: np.ndarray, vocabulary: int, **how) -> bytes:
     left, right, per, seq, symbol_ends = compress(ids, ends, vocabulary, **how)
     length = np.ones(vocabulary + len(left), np.int64)
@@ -209,11 +293,11 @@ def pack(doc_ids: list[int | None], ids: np.ndarray, ends: np.ndarray, vocabular
     for n in per.tolist():
         length[at : at + n] = length[left[at - vocabulary : at - vocabulary + n]] + length[right[at - vocabulary : at - vocabulary + n]]
         at += n
-    width = 2 if vocabulary + len(left) <= 1 << 16 else 4
-    kind = f"<u{width}"
-    head = _MAGIC + struct.pack("<8I", 1, vocabulary, len(left), len(per), len(doc_ids), len(seq), width, 0)
+    bits = max(1, int(vocabulary + len(left) - 1).bit_length())
+    head = _MAGIC + struct.pack("<8I", 2, vocabulary, len(left), len(per), len(doc_ids), len(seq), bits, 0)
     keys = np.array([_NULL if d is None else d for d in doc_ids], "<i8")
-    return b"".join((head, per.astype("<u4").tobytes(), keys.tobytes(), ends.astype("<u8").tobytes(), symbol_ends.astype("<u8").tobytes(), left.astype(kind).tobytes(), right.astype(kind).tobytes(), length[vocabulary:].astype("<u4").tobytes(), seq.astype(kind).tobytes()))
+    plain = (per.astype("<u4"), keys, ends.astype("<u8"), symbol_ends.astype("<u8"))
+    return b"".join((head, *(x.tobytes() for x in plain), packed(left, bits), packed(right, bits), length[vocabulary:].astype("<u4").tobytes(), packed(seq, bits)))
 
 
 class Shard:
@@ -222,8 +306,8 @@ class Shard:
     def __init__(self, image: bytes):
         if image[:4] != _MAGIC:
             raise ValueError("not a token shard")
-        version, self.vocabulary, rules, rounds, docs, symbols, width, _ = struct.unpack_from("<8I", image, 4)
-        if version != 1:
+        version, self.vocabulary, rules, rounds, docs, self.size, self.bits, _ = struct.unpack_from("<8I", image, 4)
+        if version != 2:
             raise ValueError(f"shard version {version}")
         at = 36
 
@@ -233,33 +317,50 @@ class Shard:
             at += out.nbytes
             return out
 
+        bytes_of = lambda n: -(-n // 8) * self.bits
         self.per = take(rounds, "<u4").astype(np.int64)
         self.doc_ids, self.ends, self.symbol_ends = take(docs, "<i8"), take(docs, "<u8").astype(np.int64), take(docs, "<u8").astype(np.int64)
-        kind = f"<u{width}"
-        self.left, self.right, self.lengths, self.symbols = take(rules, kind).astype(np.int32), take(rules, kind).astype(np.int32), take(rules, "<u4"), take(symbols, kind)
+        self.left, self.right = (unpacked(take(bytes_of(rules), np.uint8), 0, rules, self.bits) for _ in range(2))
+        self.lengths, self.packed = take(rules, "<u4").astype(np.int64), take(bytes_of(self.size), np.uint8)
+
+    def symbols(self, first: int = 0, end: int | None = None) -> np.ndarray:
+        return unpacked(self.packed, first, self.size if end is None else end, self.bits)
+
+    def _sizes(self, symbols: np.ndarray) -> np.ndarray:
+        """How many ids each symbol stands for."""
+        out = np.ones(len(symbols), np.int64)
+        rule = np.flatnonzero(symbols >= self.vocabulary)
+        out[rule] = self.lengths[symbols[rule] - self.vocabulary]
+        return out
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        """Rules of the last round first: each round only refers to earlier ones."""
-        seq = symbols.astype(np.int32)
-        top = self.vocabulary + int(self.per.sum())
-        for n in self.per[::-1].tolist():
-            low = top - n
-            hit = np.flatnonzero(seq >= low) if n else ()
-            if len(hit):
-                rule = seq[hit] - self.vocabulary
-                seq[hit] = self.left[rule]
-                seq = np.insert(seq, hit + 1, self.right[rule])
-            top = low
-        return seq
+        """All rules of a level at once; expansion lengths say where each part goes."""
+        size = self._sizes(symbols)
+        out = np.empty(int(size.sum()), np.int32)
+        rule = symbols >= self.vocabulary
+        place = np.cumsum(size) - size
+        out[place[~rule]] = symbols[~rule]
+        place, now = place[rule], symbols[rule] - self.vocabulary
+        while len(now):
+            left, right = self.left[now], self.right[now]
+            sides = ((place, left), (place + self._sizes(left), right))
+            place, now = [], []
+            for at, part in sides:
+                rule = part >= self.vocabulary
+                plain = np.flatnonzero(~rule)
+                out[at[plain]] = part[plain]
+                deep = np.flatnonzero(rule)
+                place.append(at[deep])
+                now.append(part[deep] - self.vocabulary)
+            place, now = np.concatenate(place), np.concatenate(now)
+        return out
 
     def document(self, k: int, first: int = 0, end: int | None = None) -> np.ndarray:
         """Ids [first, end) of the k-th document; expansion lengths lead to the symbols that hold them."""
-        symbols = self.symbols[self.symbol_ends[k - 1] if k else 0 : self.symbol_ends[k]].astype(np.int64)
+        symbols = self.symbols(int(self.symbol_ends[k - 1]) if k else 0, int(self.symbol_ends[k]))
         if not first and end is None:
             return self.expand(symbols)
-        size = np.ones(len(symbols), np.int64)
-        rule = symbols >= self.vocabulary
-        size[rule] = self.lengths[symbols[rule] - self.vocabulary]
+        size = self._sizes(symbols)
         upto = np.cumsum(size)
         end = int(upto[-1]) if end is None else min(end, int(upto[-1]))
         if first >= end:
@@ -269,9 +370,27 @@ class Shard:
         return self.expand(symbols[a:b])[first - skipped : end - skipped]
 
 
+def _gathered(batches):
+    """doc_ids and texts of as many batches as make up a group."""
+    ids, texts, size = [], [], 0
+    for batch in batches:
+        ids += batch.column(0).to_pylist()
+        texts.append(batch.column(1))
+        size += batch.column(1).nbytes
+        if size >= GROUP:
+            yield ids, pa.concat_arrays(texts)
+            ids, texts, size = [], [], 0
+    if ids:
+        yield ids, pa.concat_arrays(texts)
+
+
+_SHARDS = "part int, shard long, first_id long, last_id long, own_start long, n_docs long, n_ids long, image binary"
+
+
 def write(docs: DataFrame, path: str, shard: int = SHARD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encodes and writes; returns the table of shards as read back: part, shard, own_start, n_ids, image."""
+    """Encodes and writes; returns the table of shards as read back, see _SHARDS."""
     ship(docs.sparkSession)
+    names = [x.split()[0] for x in _SHARDS.split(", ")]
 
     def run(batches):
         encoder = word_encoder(path)
@@ -282,14 +401,14 @@ def write(docs: DataFrame, path: str, shard: int = SHARD, id_col: str = "doc_id"
             nonlocal keys, lists, held, number, own
             ends = np.cumsum([len(x) for x in lists])
             image = pack(keys, np.concatenate(lists), ends, encoder.vocabulary)
-            out = pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([number], pa.int64()), pa.array([own], pa.int64()), pa.array([held], pa.int64()), pa.array([image], pa.binary())], ["part", "shard", "own_start", "n_ids", "image"])
+            ids = [_NULL if k is None else k for k in (keys[0], keys[-1])]  # in order, nulls first
+            out = pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *(pa.array([x], pa.int64()) for x in (number, *ids, own, len(keys), held)), pa.array([image], pa.binary())], names)
             keys, lists, number, own, held = [], [], number + 1, own + held, 0
             return out
 
-        for batch in batches:
-            ids_of = batch.column(0).to_pylist()
+        for ids_of, texts in _gathered(batches):
             at = 0
-            for ids, ends in encoder.encode(batch.column(1).to_pylist()):
+            for ids, ends in encoder.encode(texts):
                 for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
                     keys.append(ids_of[at])
                     lists.append(ids[a:b])
@@ -303,30 +422,56 @@ def write(docs: DataFrame, path: str, shard: int = SHARD, id_col: str = "doc_id"
     rows = picked(docs, {"doc_id": F.col(id_col).cast("long"), "text": F.col(text_col).cast("binary")})
     order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
     ranged = rows.repartitionByRange(partitions(docs.sparkSession), F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc(), order[1])
-    return durable(ranged.mapInArrow(run, "part int, shard long, own_start long, n_ids long, image binary"), "token-shards")
+    # a row group for each shard: the writer holds one at a time, and a reader that filters by id opens no other
+    return durable(ranged.mapInArrow(run, _SHARDS), "token-shards", **{"parquet.block.row.count.limit": 1})
 
 
-def read(shards: DataFrame) -> DataFrame:
-    """Decodes every document from its shard: doc_id, start, n_tokens, ids_crc32."""
-    ship(shards.sparkSession)
+def _bases(shards: DataFrame) -> DataFrame:
+    """part, base: the ids before each part.  One sum a part reaches the driver."""
     sums = sorted((r["part"], r["n"]) for r in shards.groupBy("part").agg(F.sum("n_ids").alias("n")).collect())
     base, at = [], 0
     for part, n in sums:
         base.append((part, at))
         at += n
-    bases = shards.sparkSession.createDataFrame(base, "part int, base long")
+    return shards.sparkSession.createDataFrame(base, "part int, base long")
+
+
+def directory(shards: DataFrame) -> DataFrame:
+    """part, shard, first_id, last_id (null: documents without one), start (ids of all shards before), n_docs, n_ids."""
+    ids = [F.when(F.col(c) != _NULL, F.col(c)).alias(c) for c in ("first_id", "last_id")]
+    return shards.drop("image").join(F.broadcast(_bases(shards)), "part").select("part", "shard", *ids, (F.col("base") + F.col("own_start")).alias("start"), "n_docs", "n_ids")
+
+
+def document(shards: DataFrame, doc_id: int, first: int = 0, end: int | None = None) -> DataFrame:
+    """doc_id, ids: ids [first, end) of the documents of that id.  Reads the shards whose range holds the id only."""
+    ship(shards.sparkSession)
 
+    def run(batches):
+        for batch in batches:
+            for image in batch.column(0).to_pylist():
+                s = Shard(image)
+                at = np.flatnonzero(s.doc_ids == doc_id).tolist()
+                lists = [s.document(k, first, end).astype(np.int32) for k in at]
+                yield pa.RecordBatch.from_arrays([pa.array([doc_id] * len(at), pa.int64()), pa.array(lists, pa.list_(pa.int32()))], ["doc_id", "ids"])
+
+    held_by = shards.filter((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id)).select("image")
+    return held_by.mapInArrow(run, "doc_id long, ids array<int>")
+
+
+def read(shards: DataFrame) -> DataFrame:
+    """Decodes every document from its shard: doc_id, start, n_tokens, ids_crc32."""
+    ship(shards.sparkSession)
     def run(batches):
         for batch in batches:
             for start, image in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 s = Shard(image)
-                ids = s.expand(s.symbols).astype("<u4")
+                ids = s.expand(s.symbols()).astype("<u4")
                 first = np.concatenate(([0], s.ends[:-1]))
                 crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(first.tolist(), s.ends.tolist(), strict=True)]
                 keys = pa.array(s.doc_ids, pa.int64(), mask=s.doc_ids == _NULL)
                 yield pa.RecordBatch.from_arrays([keys, pa.array(start + first), pa.array(s.ends - first), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    placed = shards.join(F.broadcast(bases), "part").select((F.col("base") + F.col("own_start")).alias("start"), "image")
+    placed = shards.join(F.broadcast(_bases(shards)), "part").select((F.col("base") + F.col("own_start")).alias("start"), "image")
     return placed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

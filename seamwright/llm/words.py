@@ -21,6 +21,7 @@ import ctypes
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: A random number for each place in a word (the last row is for bytes further on, mixed with their place) and byte.
@@ -263,37 +264,80 @@ class IdCache:
         kept = [p for p, o in zip(self.at, often.tolist(), strict=True) if o]  # in order of coming
         which = np.flatnonzero(often)
         sizes = self.size[which].astype(np.int64)
-        flat = self.flat[_ranges(self.start[which], sizes)]
+        flat = self.flat[ranges(self.start[which], sizes)]
         self.clear()
         if len(kept) <= self.limit // 2 and sum(map(len, kept)) <= self.limit_bytes // 2:
             self._add(kept, flat, sizes)
 
-    def get(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(the lists of all pieces, one after another; their lengths)."""
-        if not pieces:
-            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+    def find(self, distinct: list[bytes], times: np.ndarray) -> np.ndarray:
+        """Numbers of distinct pieces in start, size and met, valid until the next call; times: how often each is met now."""
         if self.n > self.limit or self.held > self.limit_bytes:
             self._shrink()
-        distinct, place = coded(pieces)
         new = [p for p in distinct if p not in self.at]
         if new:
             self._add(new, *self.fill(new))
-        which = np.fromiter(map(self.at.__getitem__, distinct), np.int64, len(distinct))[place]
-        self.met[: self.n] += np.bincount(which, minlength=self.n).astype(np.int32)
+        which = np.fromiter(map(self.at.__getitem__, distinct), np.int64, len(distinct))
+        self.met[which] += times.astype(np.int32)
+        return which
+
+    def get(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(the lists of all pieces, one after another; their lengths)."""
+        if not pieces:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        distinct, place = coded(pieces)
+        which = self.find(distinct, np.bincount(place))[place]
         sizes = self.size[which].astype(np.int64)
-        return self.flat[_ranges(self.start[which], sizes)], sizes
+        return self.flat[ranges(self.start[which], sizes)], sizes
 
 
-def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+class IdTable:
+    """What IdCache is, for pieces in Arrow arrays: they are looked up there, and only new ones become Python objects."""
+
+    def __init__(self, fill, limit: int = 900_000, limit_bytes: int = 96 << 20):
+        self.fill, self.limit, self.limit_bytes = fill, limit, limit_bytes
+        self._keep(np.zeros(0, np.int64))
+
+    def _keep(self, which: np.ndarray) -> None:
+        if not len(which):
+            self.pieces = pa.array([], pa.binary())
+            self.start, self.size, self.met, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+            return
+        self.flat, self.size = self.flat[ranges(self.start[which], self.size[which])], self.size[which]
+        self.pieces, self.start, self.met = self.pieces.take(pa.array(which)), np.cumsum(self.size) - self.size, np.zeros(len(which), np.int64)
+
+    def find(self, distinct: pa.Array, times: np.ndarray) -> np.ndarray:
+        """Numbers of distinct pieces in start and size, valid until the next call; times: how often each is met now."""
+        if len(self.pieces) > self.limit or self.pieces.nbytes > self.limit_bytes:
+            often = np.flatnonzero(self.met > 1)
+            self._keep(often if len(often) <= self.limit // 2 and self.pieces.take(pa.array(often)).nbytes <= self.limit_bytes // 2 else often[:0])
+        found = pc.index_in(distinct, value_set=self.pieces)
+        number = found.fill_null(-1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            fresh = distinct.take(pa.array(new))
+            flat, sizes = self.fill(fresh.to_pylist())
+            number[new] = np.arange(len(self.pieces), len(self.pieces) + len(new))
+            self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(sizes) - sizes))
+            self.pieces, self.flat, self.size = pa.concat_arrays([self.pieces, fresh]), np.concatenate((self.flat, flat)), np.concatenate((self.size, sizes))
+            self.met = np.concatenate((self.met, np.zeros(len(new), np.int64)))
+        self.met[number] += times
+        return number
+
+
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for each start, size many."""
-    ends = np.cumsum(sizes)
-    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if total + (int(starts.max()) if len(starts) else 0) < 1 << 31 else np.int64  # half the memory to walk through
+    out = np.repeat((starts - ends + sizes).astype(kind), sizes)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 def in_order(flat: np.ndarray, sizes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Lists given one after another, the k-th meant for places[k], put in the order of places."""
     order = np.argsort(places)
-    return flat[_ranges((np.cumsum(sizes) - sizes)[order], sizes[order])], sizes[order]
+    return flat[ranges((np.cumsum(sizes) - sizes)[order], sizes[order])], sizes[order]
 
 
 def cached_ids(texts: list[bytes | None], cut, cache: IdCache, size: int = _CHUNK, split=blocks):

@@ -148,7 +148,7 @@ def test_repair_round_trip():
     ends = np.array([1, 7, 9000, 20000])
     image = token_file.pack([5, None, 6, 7], ids, ends, 10, rounds=5, least=2)
     s = token_file.Shard(image)
-    assert (s.expand(s.symbols) == ids).all() and len(s.left) and len(s.symbols) < len(ids)
+    assert (s.expand(s.symbols()) == ids).all() and len(s.left) and s.size < len(ids)
     assert all((s.document(k) == ids[a:b]).all() for k, (a, b) in enumerate(zip([0, *ends[:-1]], ends, strict=True)))
 
 

@@ -30,7 +30,7 @@ def test_repair_whole():
     ids, ends = np.concatenate(docs).astype(np.int32), np.cumsum([len(d) for d in docs])
     image = token_file.pack(list(range(60)), ids, ends, 30000)
     s = token_file.Shard(image)
-    assert (s.expand(s.symbols) == ids).all() and not _frequent(s.symbols, s.symbol_ends, token_file.LEAST)
+    assert (s.expand(s.symbols()) == ids).all() and not _frequent(s.symbols(), s.symbol_ends, token_file.LEAST)
     assert s.lengths.max() >= 100  # a shared passage becomes a few long rules
     left, _, per, seq, symbol_ends = token_file.compress(ids, ends, 30000, rules=50)
     assert len(left) == per.sum() == 50 and len(symbol_ends) == 60
