@@ -42,3 +42,12 @@ def components(edges: DataFrame) -> DataFrame:
             break
         sign = new
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def least_ids(classes: DataFrame, tree: DataFrame, own: str) -> DataFrame:
+    """classes (rep and others) with ``component_id``: the least ``own`` of all classes in a class's component, its own where it has no edge."""
+    placed = durable(classes.join(tree.select(F.col("node").alias("rep"), "component"), "rep", "left"), "placed")
+    joined = placed.filter("component IS NOT NULL")
+    least = durable(joined.groupBy("component").agg(F.min(own).alias("component_id"), F.count("*").alias("size")), "components")
+    named = attach(joined, least, "component", "size", joined.count(), "inner").drop("component", "size")
+    return named.unionByName(placed.filter("component IS NULL").drop("component").withColumn("component_id", F.col(own)))

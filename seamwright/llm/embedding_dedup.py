@@ -12,16 +12,22 @@ The number of filters follows the number of vectors (about ``BUCKET`` vectors ea
 least ``RECALL`` of random pairs just at the threshold share a filter, measured on ``TRIALS`` such pairs, so pairs in
 the data (at or above the threshold) are found at that rate or better.
 
-Exact copies are collapsed first.  A filter with more than ``BLOCK`` vectors is split into blocks and worked on as pairs
+Exact copies are collapsed first, into classes with numbers of their own.  Only (filter, class) rows are counted and dealt;
+vectors join them for the verification alone.  A filter with more than ``BLOCK`` vectors is split into blocks and worked on as pairs
 of blocks, so no task holds more than two blocks however large a group of near copies is; each task returns one row per
 vector (its verified links, and one edge to its least neighbour in the task), never all pairs.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components link with nothing, nor do
-vectors of different lengths; repeated rows are copies; an empty table gives no rows; extra columns are ignored.
+vectors of different lengths; vectors are scaled by their largest component before anything is squared, so finite
+vectors of any size count; -0.0 equals 0.0; repeated rows are copies, and where a vec_id stands on different vectors each
+row has the links of its own vector; rows with a null vec_id link with nothing; an empty table gives no rows; extra
+columns are ignored.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,10 +35,12 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from .common import attach, durable, picked
-from .components import components
+from .components import components, least_ids
 
 THRESHOLD, RECALL, TRIALS = 0.9, 0.995, 3000
 BUCKET, BLOCK = 64, 1024
+#: Caps below this are never tried.
+LEAST_CAP = 0.5
 SEED = 20240917
 
 
@@ -53,8 +61,9 @@ class ProductCode:
         turned = unit @ self.rotation
         return [turned[:, cut] @ code.T for cut, code in zip(self.cuts, self.codes, strict=True)]
 
-    def decode(self, unit: np.ndarray, cap: float) -> list[np.ndarray]:
-        """For each row the sorted numbers of all filters with an inner product of at least cap times its best one."""
+    def decode(self, unit: np.ndarray, cap: float, shares: bool = False) -> list:
+        """For each row the sorted numbers of all filters with an inner product of at least cap times its best one; with
+        ``shares`` also these products as shares of the best."""
         products = self.products(unit)
         orders = [np.argsort(-p, axis=1, kind="stable") for p in products]
         tops = [np.take_along_axis(p, o, 1) for p, o in zip(products, orders, strict=True)]
@@ -72,10 +81,12 @@ class ProductCode:
                 inner = np.arange(total) - np.repeat(np.cumsum(n) - n, n)
                 branch_id = branch_id[which] * self.size + order[inner]
                 branch_sum = branch_sum[which] + top[inner]
-            out.append(np.sort(branch_id))
+            at = np.argsort(branch_id)
+            out.append((branch_id[at], branch_sum[at] / best[0][r]) if shares else branch_id[at])
         return out
 
 
+@lru_cache(64)
 def settings(n: int, dim: int, threshold: float = THRESHOLD) -> tuple[int, int, float]:
     """(directions per block, blocks, cap) for n vectors: filters ~ n * (filters per vector, about 16) / BUCKET."""
     filters = max(256.0, n * 16 / BUCKET)
@@ -90,16 +101,27 @@ def settings(n: int, dim: int, threshold: float = THRESHOLD) -> tuple[int, int,
     b -= (a * b).sum(1, keepdims=True) * a
     norm = np.linalg.norm(b, axis=1, keepdims=True)
     b = threshold * a + np.sqrt(1 - threshold**2) * b / np.where(norm > 0, norm, 1)
-    low, high = 0.0, 1.0
-    for _ in range(10):
-        cap = (low + high) / 2
-        fa, fb = (code.decode(x, cap) for x in (a, b)) if cap > 0.5 else (a, a)
-        found = np.mean([len(np.intersect1d(x, y, True)) > 0 for x, y in zip(fa, fb, strict=True)]) if cap > 0.5 else 1.0
-        low, high = (cap, high) if found >= RECALL else (low, cap)
-    return size, blocks, low
+    cap = 0.8  # lists get longer as it falls, so they are made once at a likely value and again only if that is too high
+    while True:
+        most = []  # for each pair the highest cap at which it shares a filter
+        for (fa, sa), (fb, sb) in zip(*(code.decode(x, cap, True) for x in (a, b)), strict=True):
+            _, i, j = np.intersect1d(fa, fb, True, True)
+            most.append(np.minimum(sa[i], sb[j]).max() if len(i) else 0.0)
+        found = float(np.sort(most)[int(TRIALS * (1 - RECALL))])
+        if found >= cap or cap <= LEAST_CAP:
+            return size, blocks, max(found, LEAST_CAP)
+        cap = max(cap - 0.1, LEAST_CAP)
+
+
+def scaled(m: np.ndarray) -> np.ndarray:
+    """Unit rows; the largest component goes first, so that no square over- or underflows."""
+    m = m / np.abs(m).max(1, keepdims=True)
+    return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
 def _filters(plans: dict[int, tuple[int, int, float]]):
+    """rep, copies, dim, filters and the vector as bytes, in single precision where nothing is lost."""
+
     def run(batches):
         codes = {d: ProductCode(d, s, b) for d, (s, b, _) in plans.items()}
         for batch in batches:
@@ -109,18 +131,15 @@ def _filters(plans: dict[int, tuple[int, int, float]]):
                 by.setdefault(len(v), []).append(i)
             for dim, at in by.items():
                 m = np.array([vectors[i] for i in at], np.float64)
-                unit = m / np.linalg.norm(m, axis=1, keepdims=True)
-                lists = codes[dim].decode(unit, plans[dim][2])
-                ids, copies = (np.array(batch.column(k).to_pylist(), np.int64)[at] for k in (0, 1))
-                n = np.array([len(x) for x in lists])
-                which = np.repeat(np.arange(len(at)), n)
-                packed = [x.astype("<i8").tobytes() for x in lists]
-                small = m.astype("<f4")
-                exact = (small == m).all(1)  # single precision where nothing is lost
-                images = [(small[i] if e else m[i]).tobytes() for i, e in enumerate(exact.tolist())]
+                lists = codes[dim].decode(scaled(m), plans[dim][2])
+                with np.errstate(over="ignore"):
+                    small = m.astype("<f4")
+                images = [(small[i] if e else m[i]).tobytes() for i, e in enumerate((small == m).all(1).tolist())]
+                ends = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int32)
+                filters = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *lists])))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(which), dim, np.int32)), pa.array(np.concatenate([np.zeros(0, np.int64), *lists])), pa.array(ids[which]), pa.array(copies[which]), pa.array([packed[i] for i in which.tolist()], pa.binary()), pa.array([images[i] for i in which.tolist()], pa.binary())],
-                    ["dim", "filter", "rep", "copies", "filters", "vector"],
+                    [batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), pa.array(np.full(len(at), dim, np.int32)), filters, pa.array(images, pa.binary())],
+                    ["rep", "copies", "dim", "filters", "vector"],
                 )
 
     return run
@@ -146,8 +165,7 @@ def _verify(threshold: float):
         number = table.column("filter")[0].as_py()
         ids, copies = table.column("rep").to_numpy(), table.column("copies").to_numpy()
         dim = table.column("dim")[0].as_py()
-        units = np.array([np.frombuffer(x, "<f4" if len(x) == 4 * dim else "<f8") for x in table.column("vector").to_pylist()], np.float64)
-        units /= np.linalg.norm(units, axis=1, keepdims=True)
+        units = scaled(np.array([np.frombuffer(x, "<f4" if len(x) == 4 * dim else "<f8") for x in table.column("vector").to_pylist()], np.float64))
         a = np.flatnonzero(own == i)
         b = a if i == j else np.flatnonzero(own == j)
         close = units[a] @ units[b].T >= threshold
@@ -156,10 +174,11 @@ def _verify(threshold: float):
         if close.any():
             # only rows and columns with a close pair can share a lower filter that matters
             ra, rb = np.flatnonzero(close.any(1)), np.flatnonzero(close.any(0))
-            lower = [x[x < number] for x in (np.frombuffer(x, "<i8") for x in table.column("filters").to_pylist())]
-            seen, place = np.unique(np.concatenate([np.zeros(0, np.int64), *lower]), return_inverse=True)
+            lists = table.column("filters").combine_chunks()
+            every, of = lists.flatten().to_numpy(), np.repeat(np.arange(len(ids)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            seen, place = np.unique(every[every < number], return_inverse=True)
             has = np.zeros((len(ids), len(seen)), np.float32)
-            has[np.repeat(np.arange(len(ids)), [len(x) for x in lower]), place] = 1
+            has[of[every < number], place] = 1
             close[np.ix_(ra, rb)] &= has[a[ra]] @ has[b[rb]].T < 0.5
         links = np.zeros(len(ids), np.int64)
         np.add.at(links, a, close @ copies[b])
@@ -179,28 +198,44 @@ def _verify(threshold: float):
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
-    spark = ship(vectors.sparkSession)
-    rows = picked(vectors, {"vec_id": F.col(id_col).cast("long"), "v": F.col(vector_col).cast("array<double>")})
+    ship(vectors.sparkSession)
+    kind = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = picked(vectors, {"vec_id": F.col(id_col).cast("long"), "v": F.col(vector_col).cast(kind)})
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
-    good = F.coalesce(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite & (norm > 0) & (norm < float("inf")), F.lit(False))
-    rows = durable(rows.withColumn("good", good), "vectors")
-    valid = rows.filter("good").select("vec_id", "v")
-    classes = durable(valid.groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "classes")
-    dims = {r["d"]: r["n"] for r in classes.groupBy(F.size("v").alias("d")).count().withColumnRenamed("count", "n").collect()}
+    good = F.coalesce(F.col("vec_id").isNotNull() & finite & F.exists("v", lambda x: x != 0), F.lit(False))
+    plain = F.transform("v", lambda x: F.when(x == 0, F.lit(0).cast(kind[6:-1])).otherwise(x))  # no -0.0
+    keys = [F.xxhash64(F.lit(k), "v").alias(f"h{k}") for k in (1, 2)]
+    rows = durable(rows.withColumn("good", good).withColumn("v", F.when(F.col("good"), plain)), "vectors")
+    # classes by the vectors themselves; their rows find them by a digest
+    classes = rows.filter("good").groupBy("v").agg(F.min("vec_id").alias("first_id"), F.count("*").alias("copies"))
+    classes = durable(classes.select("v", "first_id", "copies", *keys, F.monotonically_increasing_id().alias("rep")), "classes")
+    dims = {r["d"]: r["n"] for r in classes.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).collect()}
     plans = {d: settings(n, d, threshold) for d, n in dims.items()}
-    out = rows.select("vec_id", "v", "good")
-    spread = durable(classes.select("rep", "copies", "v").mapInArrow(_filters(plans), "dim int, filter long, rep long, copies long, filters binary, vector binary"), "filters")
-    counts = durable(spread.groupBy("dim", "filter").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
-    cells = attach(spread, counts, ["dim", "filter"], "n", spread.count(), "inner")
+    listed = durable(classes.select("rep", "copies", "v").mapInArrow(_filters(plans), "rep long, copies long, dim int, filters array<long>, vector binary"), "filters")
+    spread = listed.select("dim", F.explode("filters").alias("filter"), "rep")
+    sizes = spread.groupBy("dim", "filter").agg(F.count("*").alias("n"))
+    buckets = durable(sizes.filter("n > 1"), "buckets")
+    total = buckets.agg(F.sum("n")).first()[0] or 0
+    cells = attach(spread, buckets, ["dim", "filter"], "n", total, "inner")
     cells = cells.withColumn("k", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("k")).cast("int"))
     cells = cells.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).withColumn("i", F.least("own", "o")).withColumn("j", F.greatest("own", "o"))
-    found = cells.groupBy("dim", "filter", "i", "j").applyInArrow(_verify(threshold), "rep long, links long, root long")
-    found = durable(found, "links")
+    cells = cells.select("filter", "rep", "own", "i", "j").join(listed, "rep")
+    found = durable(cells.groupBy("dim", "filter", "i", "j").applyInArrow(_verify(threshold), "rep long, links long, root long"), "links")
     tree = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     per = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    full = classes.join(per, "rep", "left").join(tree.withColumnRenamed("node", "rep"), "rep", "left")
-    full = full.select("v", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    linked = attach(out.filter("good").drop("good"), durable(full, "classes-linked"), "v", "copies", out.count(), "inner").select("vec_id", "n_links", "component_id")
-    alone = out.filter("NOT good").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    named = least_ids(classes.select("rep", "first_id", "copies", "h1", "h2").join(per, "rep", "left"), tree, "first_id")
+    named = durable(named.select("h1", "h2", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"), "named")
+    linked = attach(rows.filter("good").select("vec_id", *keys), named, ["h1", "h2"], "copies", rows.count(), "inner").select("vec_id", "n_links", "component_id")
+    alone = rows.filter("NOT good").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+ORACLE = r"""
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+g AS (SELECT vec_id, e, sqrt(list_sum([x * x FOR x IN e])) AS n FROM v WHERE len(e) > 0 AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0 AND list_sum([abs(x) FOR x IN e]) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_dot_product(a.e, b.e) / a.n / b.n >= 0.9),
+r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM v JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id
+"""

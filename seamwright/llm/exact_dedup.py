@@ -4,8 +4,9 @@ A text is normalised (each run of ``[\\x20\\x09-\\x0D]`` becomes one space) and
 after at least ``MIN_CHUNK`` characters, behind the next place whose last four characters fit ``CUT``, or at
 ``MAX_CHUNK``.  Each chunk gets a 128-bit identifier.  The distinct (identifier, chunk) pairs are grouped once to
 verify that no identifier stands for two contents; if one did, the identifiers become SHA-256 and are verified
-again.  From then on documents are compared as ordered lists of identifiers (recipes); texts, long ones above
-all, never move again.
+again.  From then on documents are compared as ordered lists of identifiers (recipes), which move once; rows find
+their group by the digest of their text.  ``exact_groups`` moves no text after the verification, and
+``distinct_documents`` only where more rows go than may be broadcast.
 
 Defined cases: null text counts as empty; empty texts are equal to each other; a row repeated with the same doc_id
 counts in group_size and is ``kept`` like its twin; a null doc_id never wins over a number; an empty table gives no
@@ -14,12 +15,16 @@ rows; extra columns of the input are ignored.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import attach, durable, picked
 
 MIN_CHUNK, MAX_CHUNK = 512, 8192
+#: So many (doc_id, digest) keys, of some 70 bytes each, may be broadcast.
+BROADCAST_ROWS = 100_000
 CUT = "(?<=[aeiou][nrst][gdhe] )"
 
 
@@ -51,8 +56,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         raise ValueError("two chunks share a SHA-256")
     recipe = F.flatten(F.transform(chunks(F.col("t")), lambda c: _identifier(c, strong)))
     rows = durable(texts.select("doc_id", F.sha2("t", 256).alias("text_sha256"), recipe.alias("recipe")), "recipes")
-    groups = durable(rows.groupBy("recipe").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")).filter("group_size > 1"), "groups")
-    out = attach(rows, groups, "recipe", "group_size", rows.count())
+    groups = rows.groupBy("recipe").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"), F.first("text_sha256").alias("text_sha256"))
+    groups = durable(groups.filter("group_size > 1").drop("recipe"), "groups")
+    out = attach(rows.drop("recipe"), groups, "text_sha256", "group_size", rows.count())
     return out.select(
         "doc_id",
         F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
@@ -64,13 +70,20 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def distinct_documents(docs: DataFrame) -> DataFrame:
     """docs with one row of each group of equal texts: that of the smallest doc_id, once if that row is repeated."""
-    key = F.sha2(normalised(F.col("text")), 256)
-    groups = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "group_size")
-    kept = durable(groups.groupBy("_id", "_sha").agg(F.count("*").alias("_rows")), "kept")
-    out = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_id")) & (key == F.col("_sha")), "left_semi")
-    if kept.filter("_rows > 1").isEmpty():
-        return out
-    return out.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    tag = uuid.uuid4().hex[:8]  # for names that no column of docs has
+    ids, sha, own = f"_id{tag}", f"_sha{tag}", f"_own{tag}"
+    found = exact_groups(docs).select(F.col("doc_id").alias(ids), F.unhex("text_sha256").alias(sha), "kept", "group_size")
+    found = durable(found.filter("group_size > 1"), "decisions")
+    lost = found.filter("NOT kept").select(ids, sha).distinct()
+    twice = durable(found.filter("kept").groupBy(ids, sha).agg(F.count("*").alias("n")).filter("n > 1").select(ids, sha), "repeats")
+    lost = durable(lost.unionByName(twice), "lost")
+    few = lost.count() <= BROADCAST_ROWS
+    keyed = docs.withColumn(own, F.unhex(F.sha2(normalised(F.col("text")), 256)))
+    same = keyed["doc_id"].eqNullSafe(F.col(ids)) & (keyed[own] == F.col(sha))
+    out = keyed.join(F.broadcast(lost) if few else lost, same, "left_anti")
+    if not twice.isEmpty():  # rows that repeat doc_id and text alike: one of each
+        out = out.unionByName(keyed.join(F.broadcast(twice) if few else twice, same, "left_semi").dropDuplicates(["doc_id", own]))
+    return out.drop(own)
 
 
 ORACLE = r"""

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from .common import attach, durable, partitions, picked
-from .components import components
+from .components import components, least_ids
 from .words import held, run_digests, shingle_hashes, trim
 
 WORDS, PERCENT = 5, 80
@@ -334,12 +334,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         if not more.isEmpty():
             links = links.unionByName(more)
             final = components(links)
-    # components of classes, and their least doc_id
-    placed = durable(classes.select("f1", "f2", "doc_id", "copies", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left"), "placed")
-    joined = placed.filter("component IS NOT NULL")
-    least = durable(joined.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("size")), "components")
-    by = attach(joined, least, "component", "size", joined.count(), "inner").select("f1", "f2", "copies", "component_id")
-    by = durable(by.unionByName(placed.filter("component IS NULL").select("f1", "f2", "copies", F.col("doc_id").alias("component_id"))), "named")
+    by = durable(least_ids(classes.select("f1", "f2", "doc_id", "copies", "rep"), final, "doc_id").select("f1", "f2", "copies", "component_id"), "named")
     linked = attach(linkable, by, ["f1", "f2"], "copies", rows.count(), "inner").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     alone = rows.filter("n = 0 OR doc_id IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)

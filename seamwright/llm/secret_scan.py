@@ -1,10 +1,11 @@
 """Secret scanning: three fixed patterns, and random strings exposed by their token efficiency.
 
 Natural words and names cost few tokens per character under a byte-pair vocabulary; random strings cost many.  A
-candidate is a maximal run of ``LEAST`` or more of ``[A-Za-z0-9+/_=-]`` with a digit and a letter, outside the spans
-of the fixed patterns.  Known digests (a run of hex digits of a usual digest length) and identifiers (UUIDs; words and
-numbers joined by ``_``, ``-`` or ``/``, each part all letters or all digits) are excluded.  What then has fewer than
-``RATIO`` characters per token is a span of kind ``random``.
+candidate is a maximal run of ``[A-Za-z0-9+/_=-]`` with ``LEAST`` or more letters and digits, outside the spans of the fixed
+patterns.  Known digests (a run of hex digits of a usual digest length) and identifiers are excluded.  Identifiers are
+UUIDs, numbers, and two or more parts joined by ``_``, ``-``, ``/``, ``=`` or ``+``, each a number or a word: letters in lower
+case, upper case or capitalised that are at most ``SHORT`` or by themselves token-efficient.  What then has fewer than
+``RATIO`` characters per token is a span of kind ``random``, whether or not it holds digits.
 
 Fixed patterns, on ASCII in either case for ``assign``: see ASSIGN, ACCESS and the runs of 16 or more ``[0-9a-f]``.  A
 match that is too short is dropped but still takes its characters.  Spans are code points of the whole text, end
@@ -20,6 +21,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +36,13 @@ ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 LEAST, RATIO = 20, 2.0
+#: Letters of a part of an identifier that needn't be token-efficient.
+SHORT = 3
 DIGESTS = {32, 40, 48, 56, 64, 96, 128}
 _UUID = re.compile(rb"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 _HEX = re.compile(rb"[0-9a-f]+|[0-9A-F]+")
-_NAME = re.compile(rb"(?:[A-Za-z]+|[0-9]+)(?:[_/=+-]+(?:[A-Za-z]+|[0-9]+))*[_/=+-]*")
+_JOINT = re.compile(rb"[_/=+-]+")
+_PART = re.compile(rb"[0-9]+|[a-z]+|[A-Z]+|[A-Z][a-z]+")
 _ENCODINGS: dict[str, object] = {}
 
 
@@ -48,7 +53,8 @@ def _class(chars: bytes) -> np.ndarray:
 
 
 _IS_HEX = _class(b"0123456789abcdef")
-_IS_RUN = _class(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")
+_JOINTS = b"+/_=-"
+_IS_RUN = _class(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789" + _JOINTS)
 
 
 def runs(data: np.ndarray, member: np.ndarray, least: int) -> list[tuple[int, int]]:
@@ -61,21 +67,28 @@ def runs(data: np.ndarray, member: np.ndarray, least: int) -> list[tuple[int, in
     for i in range(1, need):
         hit &= grid[i : len(grid) - need + 1 + i]
     out, done = [], 0
-    n = len(data)
     for p in (np.flatnonzero(hit) * 4).tolist():
         if p < done:
             continue
-        a = b = p
-        while a > 0 and member[data[a - 1]]:
-            a -= 1
-        while b < n and member[data[b]]:
-            b += 1
-        done = b
+        a = _edge(data, member, p, -1) + 1
+        done = b = _edge(data, member, p, 1)
         if b - a >= least:
             out.append((a, b))
     return out
 
 
+def _edge(data: np.ndarray, member: np.ndarray, at: int, step: int) -> int:
+    """The first place from ``at`` on in one direction that is no member (-1 or the length at the ends), by growing blocks."""
+    size = 64
+    while 0 <= at < len(data):
+        part = data[at : at + size] if step > 0 else data[max(0, at - size + 1) : at + 1][::-1]
+        if not (inside := member[part]).all():
+            return at + step * int(inside.argmin())
+        at += step * len(part)
+        size *= 2
+    return at
+
+
 def encoding(path: str | None = None):
     """The tiktoken encoding of a rank file (default: the public byte_bpe_50k)."""
     import public_tokenizers
@@ -89,9 +102,18 @@ def encoding(path: str | None = None):
     return _ENCODINGS[path]
 
 
-def excluded(run: bytes) -> bool:
+def efficient(run: bytes, enc, ratio: float) -> bool:
+    return len(run) >= ratio * len(enc.encode_ordinary(run.decode()))
+
+
+def excluded(run: bytes, enc, ratio: float = RATIO) -> bool:
     """Known digests and identifiers."""
-    return bool(_HEX.fullmatch(run) and len(run) in DIGESTS) or bool(_UUID.fullmatch(run)) or bool(_NAME.fullmatch(run)) or not re.search(rb"[0-9]", run) or not re.search(rb"[A-Za-z]", run)
+    if (_HEX.fullmatch(run) and len(run) in DIGESTS) or _UUID.fullmatch(run) or run.isdigit():
+        return True
+    parts = [p for p in _JOINT.split(run) if p]
+    if len(parts) < 2 or not all(map(_PART.fullmatch, parts)):
+        return False
+    return all(p.isdigit() or len(p) <= SHORT or efficient(p, enc, ratio) for p in parts)
 
 
 def scan(text: bytes, enc, ratio: float = RATIO, least: int = LEAST) -> list[tuple[int, int, int]]:
@@ -106,12 +128,15 @@ def scan(text: bytes, enc, ratio: float = RATIO, least: int = LEAST) -> list[tup
     if b"AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 18]
     found += [(a, 2, b) for a, b in runs(data, _IS_HEX, 16)]
-    base = sorted(found)
+    base = sorted((a, b) for a, _, b in found)
+    begins, upto = [a for a, _ in base], [0]
+    for _, b in base:
+        upto.append(max(upto[-1], b))
     for a, b in runs(data, _IS_RUN, least):
         run = text[a:b]
-        if any(s < b and a < e for s, _, e in base) or excluded(run):
+        if upto[bisect_left(begins, b)] > a:  # a fixed span that begins before the run's end ends behind its start
             continue
-        if (b - a) / len(enc.encode_ordinary(run.decode())) < ratio:
+        if len(run.translate(None, _JOINTS)) >= least and not efficient(run, enc, ratio) and not excluded(run, enc, ratio):
             found.append((a, 3, b))
     if found and not text.isascii():
         at = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
