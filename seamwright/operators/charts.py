@@ -40,6 +40,68 @@ def total_variation(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def separators(group: DataFrame, corpus: DataFrame, by: str, least: float = 0.005, top: int = 2) -> DataFrame:
     """Categories that a group has more of than the corpus by over ``least``, the ``top`` largest."""
-    rows = group.join(F.broadcast(corpus.select("category", F.col("pct").alias("base"))), "category", "left").withColumn("diff", F.round(F.col("pct") - F.coalesce("base", F.lit(0.0)), 4))
+    rows = group.join(corpus.select("category", F.col("pct").alias("base")), "category", "left").withColumn("diff", F.round(F.col("pct") - F.coalesce("base", F.lit(0.0)), 4))
     ranked = rows.filter(F.col("diff") > least).withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(F.desc("diff"), "category")))
     return ranked.filter(F.col("rank") <= top).select(by, "category", "diff", "rank")
+
+
+def by_insight(projects: DataFrame, members: DataFrame, fields: list[str], key: str, top: dict[str, int] | None = None) -> DataFrame:
+    """insight_id, field, category, n, pct: value counts of every field for every insight and, as ``full_corpus``, for all projects.
+
+    Fields are unpivoted, so projects are read and counted once for all of them; null is a category.  top: for these fields an
+    insight shows its most frequent categories only (shares are still of all).  members: insight_id, key."""
+    rows = projects.select(key, F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("category")) for f in fields])).alias("x")).select(key, "x.*")
+    counts = members.distinct().join(rows, key).groupBy("insight_id", "field", "category").agg(F.count("*").alias("n"))
+    both = counts.unionByName(rows.groupBy("field", "category").agg(F.count("*").alias("n")).withColumn("insight_id", F.lit("full_corpus")))
+    out = both.withColumn("pct", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("insight_id", "field")), 4))
+    if top:
+        most = F.create_map(*[F.lit(x) for kv in top.items() for x in kv])
+        place = F.row_number().over(Window.partitionBy("insight_id", "field").orderBy(F.desc("n"), F.asc_nulls_last("category")))
+        limit = F.when(F.col("insight_id") != "full_corpus", F.try_element_at(most, F.col("field")))
+        out = out.withColumn("_r", place).filter(limit.isNull() | (F.col("_r") <= limit)).drop("_r")
+    return out.select("insight_id", "field", "category", "n", "pct")
+
+
+def distinctness(counts: DataFrame, sizes: DataFrame, least: int = 500) -> DataFrame:
+    """insight_id, field, tvd of the insights with more than ``least`` projects, and ``mean_tvd`` over the fields.
+
+    counts: what ``by_insight`` gives; sizes: insight_id, n."""
+    base = counts.filter("insight_id = 'full_corpus'").select("field", "category", F.col("pct").alias("q"))
+    own = counts.filter("insight_id <> 'full_corpus'").join(sizes.filter(F.col("n") > least).select("insight_id"), "insight_id", "left_semi")
+    # half the sum over both sides: what an insight has, and what only the corpus has
+    same = (base["field"] == own["field"]) & base["category"].eqNullSafe(own["category"])
+    found = own.join(base, same, "left").select("insight_id", own["field"], F.abs(F.col("pct") - F.coalesce("q", F.lit(0.0))).alias("d"), F.coalesce("q", F.lit(0.0)).alias("met"))
+    total = base.groupBy("field").agg(F.sum("q").alias("all"))
+    per = found.groupBy("insight_id", "field").agg(F.sum("d").alias("d"), F.sum("met").alias("met")).join(total, "field")
+    per = per.select("insight_id", "field", F.round((F.col("d") + F.col("all") - F.col("met")) / 2, 4).alias("tvd"))
+    return per.withColumn("mean_tvd", F.round(F.avg("tvd").over(Window.partitionBy("insight_id")), 4))
+
+
+def xmax(counts: DataFrame, room: float = 1.2) -> DataFrame:
+    """field, xmax: where an axis ends that holds every insight's shares."""
+    return counts.groupBy("field").agg(F.round(F.max("pct") * room, 4).alias("xmax"))
+
+
+def row_mean(columns: list[str], digits: int = 4) -> Column:
+    """Mean of a row's columns; nulls don't count, and without any the mean is null."""
+    there = F.array_compact(F.array(*[F.col(c).cast("double") for c in columns]))
+    return F.round(F.when(F.size(there) > 0, F.aggregate(there, F.lit(0.0), lambda s, x: s + x) / F.size(there)), digits)
+
+
+def weighted_shares(df: DataFrame, by: str, columns: dict[str, str], weight: str) -> DataFrame:
+    """by, label, weighted_avg: a label's column weighted by ``weight``; nulls of the column count in the weights only, 0 without weight."""
+    total = F.sum(weight)
+    wide = df.groupBy(by).agg(*[F.round(F.when(total > 0, F.sum(F.col(c) * F.col(weight)) / total).otherwise(0.0), 4).alias(k) for k, c in columns.items()])
+    return wide.unpivot([by], list(columns), "label", "weighted_avg")
+
+
+def label_distance(a: DataFrame, b: DataFrame, value: str = "weighted_avg", scale: float = 100.0) -> DataFrame:
+    """Half the sum of differences over the labels that both have (inner join), in parts of ``scale``."""
+    both = a.select("label", F.col(value).alias("p")).join(b.select("label", F.col(value).alias("q")), "label")
+    return both.agg(F.round(F.sum(F.abs(F.col("p") - F.col("q"))) / 2 / scale, 4).alias("distance"))
+
+
+def map_rows(projects: DataFrame, members: DataFrame, field: str, key: str) -> DataFrame:
+    """insight_id, category, n, pct without nulls, ``full_corpus`` included."""
+    counts = by_insight(projects.filter(F.col(field).isNotNull()), members, [field], key)
+    return counts.drop("field")

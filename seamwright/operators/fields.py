@@ -40,6 +40,20 @@ def token_waterfall(tokens: Column, priority: list[str], default: str = "__NA__"
     return F.coalesce(F.regexp_replace(F.get(found, F.lit(0)), "^__|__$", ""), F.lit(default))
 
 
+def experience_years(date: Column, start_year: Column) -> Column:
+    """Whole years from a start year to a date's year."""
+    return F.year(date) - start_year
+
+
+def modulo_sample(id_col: Column, of: int = 50, keep: int = 1) -> Column:
+    """The rows of one residue class: a sample that a caller asks for."""
+    return F.pmod(id_col, F.lit(of)) == keep
+
+
+def zip5(zip_code: Column) -> Column:
+    return F.substring(zip_code, 1, 5)
+
+
 def date_bins(date: Column, bins: list[tuple[str, str, str]]) -> Column:
     """(label, first day, last day): the first bin that holds the date, both ends included."""
     out = None

@@ -1,4 +1,8 @@
-"""Evidence, packaging, deduplication and ranking of findings."""
+"""Insights: candidates and their checks, evidence, packaging, duplicates, scores, tiers and report sections.
+
+An insight row has insight_id, section (``KEY`` or another name for insights of one group), category_bucket (the group, or
+null), title, finding and other text fields, its claimed and verified topics, and what ``evidence`` adds to it.
+"""
 
 from __future__ import annotations
 
@@ -6,11 +10,86 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: Section of insights across groups.
+KEY = "key_insights"
+TEXTS = ("title", "finding", "evidence_basis", "scope_or_caveat", "why_it_matters")
+NEEDED = TEXTS[:4]
+#: Weights of the parts of a confidence score, and the worth of a topic by its coherence flag.
+WEIGHTS = {"volume": 0.30, "breadth": 0.10, "quality": 0.20, "bridge": 0.25, "cleanliness": 0.15}
+QUALITY = {"coherent": 1.0, "mixed": 0.6, "redundant": 0.2, "unclear": 0.0, "unknown": 0.0}
+
+
+def candidates(structured: DataFrame, by_group: str = "by_group") -> DataFrame:
+    """insight_id, section, category_bucket, insight: KI_001... for the key insights, then BG_001... through all groups in order.
+
+    structured: the columns ``key_insights`` (array of insights) and ``by_group`` (map or array of entries, key and value)."""
+    entries = F.col(by_group) if structured.schema[by_group].dataType.typeName() == "array" else F.map_entries(by_group)
+    key = structured.select(F.posexplode(KEY).alias("k", "insight"))
+    key = key.select(F.format_string("KI_%03d", F.col("k") + 1).alias("insight_id"), F.lit(KEY).alias("section"), F.lit(None).cast("string").alias("category_bucket"), "insight")
+    flat = F.flatten(F.transform(entries, lambda e: F.transform(e["value"], lambda x: F.struct(e["key"].alias("bucket"), x.alias("insight")))))
+    rest = structured.select(F.posexplode(flat).alias("k", "e"))
+    rest = rest.select(F.format_string("BG_%03d", F.col("k") + 1).alias("insight_id"), F.lit(by_group).alias("section"), F.col("e.bucket").alias("category_bucket"), F.col("e.insight").alias("insight"))
+    return key.unionByName(rest)
+
+
+def normalized(insights: DataFrame, groups: list[str]) -> DataFrame:
+    """Text fields trimmed, ``source_topics`` cut down to known groups and each topic once, in order; ``problem`` names what is missing or null.
+
+    insights: text fields and source_topics, an array of (group, topic_id)."""
+    known = F.filter(F.coalesce("source_topics", F.array()), lambda s: F.trim(s["group"]).isin(*groups) & s["topic_id"].isNotNull())
+    tidy = F.array_distinct(F.transform(known, lambda s: F.struct(F.trim(s["group"]).alias("group"), s["topic_id"].cast("int").alias("topic_id"))))
+    out = insights.withColumns({c: F.trim(F.coalesce(c, F.lit(""))) for c in TEXTS} | {"source_topics_claimed": F.col("source_topics"), "source_topics": tidy})
+    missing = F.array_compact(F.array(*[F.when(F.col(c) == "", c) for c in NEEDED]))
+    return out.withColumn("problem", F.when(F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ", "))))
+
+
+def section_problems(found: DataFrame, groups: DataFrame, cross: tuple[int, int], per_group: tuple[int, int]) -> DataFrame:
+    """category_bucket (null: key insights), n, problem: where the number of insights is outside its range, or a group has none.
+
+    groups: category_bucket of the groups that must come."""
+    n = found.groupBy("section", "category_bucket").agg(F.count("*").alias("n"))
+    key = n.filter(F.col("section") == KEY).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(F.lit(None).cast("string").alias("category_bucket"), "n", F.lit(cross[0]).alias("lo"), F.lit(cross[1]).alias("hi"))
+    each = groups.select("category_bucket").distinct().join(n.filter(F.col("section") != KEY).select("category_bucket", "n"), "category_bucket", "left")
+    each = each.select("category_bucket", F.coalesce("n", F.lit(0)).cast("long").alias("n"), F.lit(per_group[0]).alias("lo"), F.lit(per_group[1]).alias("hi"))
+    out = key.unionByName(each).filter(~F.col("n").between(F.col("lo"), F.col("hi")))
+    return out.select("category_bucket", "n", F.format_string("%d insights, expected %d to %d", "n", "lo", "hi").alias("problem"))
+
 
 def support(bridge: DataFrame, keys: list[str], project: str, share: str = "topic_share") -> DataFrame:
     return bridge.groupBy(*keys).agg(F.countDistinct(project).alias("supporting_projects"), F.round(F.avg(share), 6).alias("mean_share"), F.round(F.percentile(share, 0.5), 6).alias("median_share"))
 
 
+def evidence(cited: DataFrame, bridge: DataFrame, labels: DataFrame, project: str) -> DataFrame:
+    """Per insight and verified topic: label, description, flag (``unknown`` without one), distinct projects, mean and median share.
+
+    cited: insight_id, topic_key; bridge: topic_key, project, topic_share; labels: topic_key, label, description, coherence_flag
+    (the first of several by label counts)."""
+    per = support(bridge, ["topic_key"], project)
+    first = F.min(F.struct("label", "description", "coherence_flag")).alias("l")
+    one = labels.groupBy("topic_key").agg(first).select("topic_key", "l.*")
+    out = cited.select("insight_id", "topic_key").distinct().join(per, "topic_key", "left").join(one, "topic_key", "left")
+    blank = F.lit("[not found]")
+    return out.select(
+        "insight_id", "topic_key", F.coalesce("label", blank).alias("label"), F.coalesce("description", blank).alias("description"), F.coalesce("coherence_flag", F.lit("unknown")).alias("coherence_flag"),
+        F.coalesce("supporting_projects", F.lit(0)).alias("supporting_projects"), F.coalesce("mean_share", F.lit(0.0)).alias("mean_share"), F.coalesce("median_share", F.lit(0.0)).alias("median_share"),
+    )
+
+
+def best_topics(cited: DataFrame, bridge: DataFrame, project: str, least: int = 1) -> DataFrame:
+    """Per insight and supporting project the topic of its highest share (ties: the lowest key), and how many of the cited it has."""
+    rows = cited.select("insight_id", "topic_key").distinct().join(bridge.select("topic_key", project, "topic_share"), "topic_key")
+    best = F.max_by("topic_key", F.struct("topic_share", F.transform(F.split("topic_key", ""), lambda c: -F.ascii(c))))
+    return rows.groupBy("insight_id", project).agg(best.alias("topic_key"), F.max("topic_share").alias("topic_share"), F.count("*").alias("n_topics")).filter(F.col("n_topics") >= least)
+
+
+def traced(cited: DataFrame, bridge: DataFrame, project: str, most: int = 500) -> DataFrame:
+    """Per insight: distinct supporting projects, and the first ``most`` of their ids (a report's limit)."""
+    rows = cited.select("insight_id", "topic_key").distinct().join(bridge.select("topic_key", project), "topic_key").select("insight_id", project).distinct()
+    w = Window.partitionBy("insight_id").orderBy(project)
+    ranked = rows.withColumn("r", F.row_number().over(w))
+    return ranked.groupBy("insight_id").agg(F.count("*").alias("project_count"), F.array_sort(F.collect_list(F.when(F.col("r") <= most, F.col(project)))).alias("project_ids"))
+
+
 def top_projects(scores: DataFrame, key: str, project: str, order: list[Column], limit: int = 500) -> DataFrame:
     ranked = scores.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter(F.col("rank") <= limit)
     return ranked.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", F.col(project).cast("string").alias("p")))), lambda x: x["p"]), ",").alias("top_project_ids"))
@@ -26,35 +105,152 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def screened_pairs(insights: DataFrame, bucket: str, least_topics: float = 0.30, least_title: float = 0.45, least_text: float = 0.40) -> DataFrame:
-    """Pairs in one bucket that overlap in topics, title or text.  insights: insight_id, bucket, topics, title, words."""
-    a, b = (insights.select(F.col(bucket), *[F.col(c).alias(f"{c}_{s}") for c in ("insight_id", "topics", "title", "words")]) for s in "ab")
-    pairs = a.join(b, bucket).filter("insight_id_a < insight_id_b")
-    pairs = pairs.select(bucket, "insight_id_a", "insight_id_b", *[F.round(jaccard(F.col(f"{c}_a"), F.col(f"{c}_b")), 6).alias(f"{c}_overlap") for c in ("topics", "title", "words")])
+    """Pairs in one bucket that overlap in topics, title or text.  insights: insight_id, bucket, topics, title, words.
+
+    A pair that passes shares an element of one kind, so rows meet in the elements they hold - never a bucket with itself -
+    and a pair is formed at the least of the elements it shares only."""
+    kinds = ("topics", "title", "words")
+
+    def elements(c):
+        return F.transform(F.coalesce(F.col(c).cast("array<string>"), F.array().cast("array<string>")), lambda x: F.xxhash64(F.lit(c), x))
+
+    held = F.array_distinct(F.concat(*[elements(c) for c in kinds]))
+    a, b = (insights.select(F.col(bucket), *[F.col(c).alias(f"{c}_{s}") for c in ("insight_id", *kinds)], held.alias(f"held_{s}")) for s in "ab")
+    pairs = a.withColumn("at", F.explode("held_a")).join(b.withColumn("at", F.explode("held_b")), [bucket, "at"])
+    pairs = pairs.filter((F.col("insight_id_a") < F.col("insight_id_b")) & (F.array_min(F.array_intersect("held_a", "held_b")) == F.col("at")))
+    pairs = pairs.select(bucket, "insight_id_a", "insight_id_b", *[F.round(jaccard(F.col(f"{c}_a"), F.col(f"{c}_b")), 6).alias(f"{c}_overlap") for c in kinds])
     return pairs.filter((F.col("topics_overlap") >= least_topics) | (F.col("title_overlap") >= least_title) | (F.col("words_overlap") >= least_text))
 
 
-def greedy_dedupe(ranked: list[str], edges: set[tuple[str, str]]) -> list[str]:
-    """Best first, an insight stays unless it has an edge to one that stays.  For the few insights of a report."""
-    kept: list[str] = []
+def pair_kinds(insights: DataFrame) -> DataFrame:
+    """``bucket`` and ``pair_kind`` for ``screened_pairs``: key insights are compared with each other, others within their group, the two never."""
+    key = F.col("section") == KEY
+    return insights.withColumn("bucket", F.when(key, F.lit("key")).otherwise(F.concat(F.lit("group="), "category_bucket"))).withColumn("pair_kind", F.when(key, "key_vs_key").otherwise("bg_vs_same_bg"))
+
+
+def duplicates(pairs: DataFrame, high: float = 0.80, topics: float = 0.60, title: float = 0.60, text: float = 0.55) -> DataFrame:
+    """Screened pairs that are duplicates: topics overlap by ``high``, or all three by their least."""
+    return pairs.filter((F.col("topics_overlap") >= high) | ((F.col("topics_overlap") >= topics) & (F.col("title_overlap") >= title) & (F.col("words_overlap") >= text)))
+
+
+def greedy_dedupe(ranked: list[str], edges: set[tuple[str, str]]) -> dict[str, str | None]:
+    """For each insight, best first, the best kept one that it duplicates, or None: then it stays itself."""
+    near: dict[str, set[str]] = {}
+    for x, y in edges:
+        near.setdefault(x, set()).add(y)
+        near.setdefault(y, set()).add(x)
+    out: dict[str, str | None] = {}
     for x in ranked:
-        if not any((min(x, y), max(x, y)) in edges for y in kept):
-            kept.append(x)
-    return kept
+        kept = {y for y in near.get(x, ()) if y in out and out[y] is None}
+        out[x] = min(kept, key=ranked.index) if len(kept) > 1 else next(iter(kept), None)
+    return out
+
+
+def dedupe(insights: DataFrame, edges: DataFrame, order: list[Column], most: int = 100_000) -> tuple[DataFrame, DataFrame]:
+    """(insights that stay, audit): best first by ``order``, an insight goes if it duplicates one that stays.
+
+    The choice is sequential, so insight ids and duplicate pairs come to the driver; a report has tens of them, and more than
+    ``most`` raise ValueError.  audit: dropped_insight_id, matched_kept_insight_id, pair_kind and overlaps."""
+    ranked = [r[0] for r in insights.orderBy(*order).select("insight_id").limit(most + 1).collect()]
+    found = [(r[0], r[1]) for r in edges.select("insight_id_a", "insight_id_b").limit(most + 1).collect()]
+    if max(len(ranked), len(found)) > most:
+        raise ValueError(f"more than {most} insights or duplicate pairs")
+    place = {x: k for k, x in enumerate(ranked)}
+    matched = [(x, y) for x, y in greedy_dedupe(ranked, {(x, y) for x, y in found if x in place and y in place}).items() if y is not None]
+    kind = insights.schema["insight_id"].dataType.simpleString()
+    gone = insights.sparkSession.createDataFrame(matched, f"dropped_insight_id {kind}, matched_kept_insight_id {kind}")
+    low, high = F.least("dropped_insight_id", "matched_kept_insight_id"), F.greatest("dropped_insight_id", "matched_kept_insight_id")
+    audit = gone.join(edges, (edges["insight_id_a"] == low) & (edges["insight_id_b"] == high)).drop("insight_id_a", "insight_id_b")
+    return insights.join(gone.select(F.col("dropped_insight_id").alias("insight_id")), "insight_id", "left_anti"), audit.withColumn("reason", F.lit("deterministic_obvious_duplicate"))
+
+
+def confidence(insights: DataFrame, volume_scale: Column | float, breadth_scale: float, bridge_scale: float, high: float, medium: float) -> DataFrame:
+    """Five scores of at most 100, their weighted sum (one decimal) and its band.
+
+    insights: supporting_projects, n_topics (verified), n_claimed, flags (array of coherence flags of the verified topics),
+    mean_share (over the verified topics).  Without claimed topics the verification counts nothing."""
+    worth = F.create_map(*[F.lit(x) for kv in QUALITY.items() for x in kv])
+    flags = F.coalesce("flags", F.array().cast("array<string>"))
+    total = F.aggregate(flags, F.lit(0.0), lambda s, x: s + F.coalesce(F.try_element_at(worth, F.coalesce(x, F.lit("unknown"))), F.lit(0.0)))
+    parts = {
+        "volume": F.least(F.lit(100.0), 100.0 * F.col("supporting_projects") / volume_scale),
+        "breadth": F.least(F.lit(100.0), 100.0 * F.col("n_topics") / breadth_scale),
+        "quality": F.when(F.size(flags) > 0, 100.0 * total / F.size(flags)).otherwise(0.0),
+        "bridge": F.least(F.lit(100.0), 100.0 * F.coalesce("mean_share", F.lit(0.0)) / bridge_scale),
+        "cleanliness": F.when(F.col("n_claimed") > 0, 100.0 * F.pow(F.col("n_topics") / F.col("n_claimed"), 2)).otherwise(0.0),
+    }
+    out = insights.withColumns({f"{k}_score": v for k, v in parts.items()})
+    score = F.greatest(F.lit(0.0), F.least(F.lit(100.0), sum(w * F.col(f"{k}_score") for k, w in WEIGHTS.items())))
+    out = out.withColumn("confidence_score", F.round(score, 1)).withColumns({f"{k}_score": F.round(f"{k}_score", 1) for k in WEIGHTS})
+    return out.withColumn("confidence_band", F.when(F.col("confidence_score") >= high, "high").when(F.col("confidence_score") >= medium, "medium").otherwise("low"))
+
+
+def volume_scale(groups: DataFrame, multiplier: float) -> Column:
+    """The number of projects that scores 100: a multiple of the median group size.  groups: size (one row a group)."""
+    return groups.agg(F.percentile("size", 0.5) * multiplier).scalar()
+
+
+def tiers(scored: DataFrame, top: dict, secondary: dict, tertiary: dict) -> DataFrame:
+    """``tier`` and ``rejected_reason_code``.  Each rule has least values by name: confidence, projects, quality, bridge and, for the top, topics.
+
+    Insights rejected before (``early_rejected_reason_code``) and those whose claimed topics were all struck come first."""
+    column = {"confidence": "confidence_score", "projects": "supporting_projects", "quality": "quality_score", "bridge": "bridge_score", "topics": "n_topics"}
+
+    def holds(rule):
+        out = F.lit(True)
+        for name, least in rule.items():
+            out = out & (F.col(column[name]) >= least)
+        return out
+
+    early = F.col("early_rejected_reason_code") if "early_rejected_reason_code" in scored.columns else F.lit(None).cast("string")
+    struck = (F.col("n_claimed") > 0) & (F.col("n_topics") == 0)
+    out_of_hand = early.isNotNull() | struck
+    tier = F.when(out_of_hand, "rejected").when(holds(top), "top").when(holds(secondary), "secondary").when(holds(tertiary), "tertiary").otherwise("rejected")
+    why = F.when(early.isNotNull(), early).when(struck, "verification_failed").when(F.col("tier") != "rejected", None)
+    for name, code in (("projects", "low_support"), ("quality", "low_topic_quality"), ("bridge", "low_bridge_strength")):
+        why = why.when(F.col(column[name]) < tertiary[name], code)
+    return scored.withColumn("tier", tier).withColumn("rejected_reason_code", why.otherwise("below_thresholds"))
+
+
+def calibration(scored: DataFrame, ceiling: float = 99.9, fields: tuple[str, ...] = (*(f"{k}_score" for k in WEIGHTS), "confidence_score", "supporting_projects", "n_topics", "mean_share")) -> DataFrame:
+    """One row a field: n, mean, least, quartiles, most, and the share of insights at the ceiling."""
+    long = scored.select(F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("v")) for c in fields])).alias("x")).select("x.*")
+    q = [F.round(F.percentile("v", p), 4).alias(f"p{int(100 * p)}") for p in (0.25, 0.5, 0.75)]
+    return long.groupBy("field").agg(F.count("v").alias("n"), F.round(F.avg("v"), 4).alias("mean"), F.min("v").alias("least"), *q, F.max("v").alias("most"), F.round(F.avg((F.col("v") >= ceiling).cast("double")), 4).alias("at_ceiling"))
+
 
+def dead_zone(tiered: DataFrame, least_score: float = 40, least_projects: int = 10) -> DataFrame:
+    """Rejected insights with moderate support: they fall through between the tiers."""
+    return tiered.filter((F.col("tier") == "rejected") & (F.col("confidence_score") >= least_score) & (F.col("supporting_projects") >= least_projects))
 
-def confidence(volume: Column, breadth: Column, quality: Column, share: Column, ratio: Column) -> Column:
-    """Weighted parts of 100, each capped; the ratio counts squared."""
-    capped = lambda c: F.least(F.greatest(c, F.lit(0.0)), F.lit(100.0))
-    return F.round(0.30 * capped(volume) + 0.10 * capped(breadth) + 0.20 * capped(quality) + 0.25 * capped(share) + 0.15 * capped(100 * ratio * ratio), 2)
 
+def topline(insights: DataFrame, main_cross: int = 5, least_ratio: float = 0.0) -> DataFrame:
+    """``report_section`` and ``report_order``: the best key insights and each group's best one (of enough verification ratio) come first, the rest is appendix.
 
-def tier(score: Column, projects: Column) -> Column:
-    return F.when(projects < 20, "rejected").when(score >= 70, "top").when(score >= 50, "secondary").otherwise("tertiary")
+    insights: section, category_bucket, supporting_projects, n_topics, mean_share, verification_ratio, title, insight_id.  The
+    best have most projects, then topics, then share; ties by title, then id.  Groups are ranked in tasks of their own; the
+    key insights of a report (tens of rows) are one group."""
+    best = [F.desc("supporting_projects"), F.desc("n_topics"), F.desc("mean_share"), F.asc("title"), F.asc("insight_id")]
+    cross = F.col("section") == KEY
+    able = F.lit(True) if least_ratio <= 0 else F.col("verification_ratio") >= least_ratio
+    pool = [F.col("section"), F.when(~cross, F.col("category_bucket"))]
+    # a group without a name has no place in the main section, as it would be left out of a grouping
+    ranked = insights.withColumn("_able", F.coalesce(able & (cross | F.col("category_bucket").isNotNull()), F.lit(False))).withColumn("_r", F.row_number().over(Window.partitionBy(*pool, "_able").orderBy(*best)))
+    main = F.col("_able") & (F.col("_r") <= F.when(cross, main_cross).otherwise(1))
+    name = F.concat(F.when(main, "main_").otherwise("appendix_"), F.when(cross, "cross").otherwise("by_group"))
+    placed = ranked.withColumn("report_section", name)
+    # main groups are numbered through by bucket; appendix groups each for themselves
+    own = Window.partitionBy("report_section", F.when(F.col("report_section") == "appendix_by_group", F.col("category_bucket"))).orderBy(F.when(F.col("report_section") == "main_by_group", F.col("category_bucket")), *best)
+    return placed.withColumn("report_order", F.row_number().over(own)).drop("_able", "_r")
 
 
-def topline(insights: DataFrame, group: str, order: list[Column], main: int = 5) -> DataFrame:
-    """Section and place: the best ``main`` overall, then each group's best, then the rest."""
-    overall = insights.withColumn("r", F.row_number().over(Window.orderBy(*order)))
-    rest = overall.withColumn("g", F.row_number().over(Window.partitionBy(group, F.col("r") <= main).orderBy(*order)))
-    section = F.when(F.col("r") <= main, "main_cross").when(F.col("g") == 1, "main_by_group").otherwise("appendix")
-    return rest.withColumn("section", section).withColumn("place", F.row_number().over(Window.partitionBy("section").orderBy("r"))).drop("r", "g")
+def nested(report: DataFrame, by_group: str = "by_group") -> DataFrame:
+    """One row, ``document``: JSON of key_insights and of each group's insights, by section, order and title.  For a report's rows."""
+    names = [c for c in report.columns if c not in ("section", "category_bucket")]
+    item = F.struct("report_section", "report_order", "title", F.struct(*names).alias("item"))
+    items = lambda c: F.transform(F.array_sort(F.collect_list(c)), lambda x: x["item"])
+    groups = report.withColumn("bucket", F.when(F.col("section") != KEY, F.coalesce("category_bucket", F.lit("")))).groupBy("bucket").agg(items(item).alias("items"))
+    entry = F.when(F.col("bucket").isNotNull(), F.struct(F.col("bucket").alias("key"), F.col("items").alias("value")))
+    key = F.coalesce(F.first(F.when(F.col("bucket").isNull(), F.col("items")), ignorenulls=True), F.first(F.filter("items", lambda x: F.lit(False))))
+    doc = F.struct(key.alias(KEY), F.map_from_entries(F.array_sort(F.collect_list(entry))).alias(by_group))
+    return groups.agg(doc.alias("d")).select(F.to_json("d").alias("document"))

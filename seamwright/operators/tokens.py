@@ -6,8 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: English function words left out of token lists.
+#: Stopwords of the queries; a caller brings a list or a table of its own.
 STOPWORDS = ("the", "and", "for", "are", "was", "with", "that", "this", "from", "not")
+#: Fixed value: the ends of words that a stemmer is likely to have cut off (in words of at most eight letters).
+TRUNCATED = "(at|iv|iz|az|ig|if|ic|olog)$"
+#: Fixed value: the words that the term vectoriser sees, on lower-cased text; injected tokens (``__x__``) are none of them.
+VECTOR_TERM = r"(?U)\b[a-z][a-z_\-]*\b"
 
 
 def letter_tokens(text: Column, limit: int | None = None) -> Column:
@@ -30,13 +34,27 @@ def doc_freq(tokens: DataFrame, key: str = "doc_id") -> DataFrame:
     return tokens.select(key, "token").distinct().groupBy("token").agg(F.count("*").alias("doc_freq"))
 
 
-def vocabulary(tokens: DataFrame, n_docs: int, key: str = "doc_id") -> DataFrame:
-    return corpus_freq(tokens).join(doc_freq(tokens, key), "token").withColumn("docs_pct", F.round(F.col("doc_freq") / n_docs, 6))
+def vocabulary(tokens: DataFrame, n_docs: int | Column, key: str = "doc_id") -> DataFrame:
+    """token, corpus_freq, doc_freq, docs_pct.  A token's occurrences are counted per document once, for both numbers."""
+    per = tokens.groupBy(key, "token").agg(F.count("*").alias("c"))
+    return per.groupBy("token").agg(F.sum("c").alias("corpus_freq"), F.count("*").alias("doc_freq")).withColumn("docs_pct", F.round(F.col("doc_freq") / n_docs, 6))
+
+
+def doc_freq_summary(frequencies: DataFrame) -> DataFrame:
+    """One row: retained terms, least, greatest and median document frequency.  frequencies: doc_freq."""
+    return frequencies.agg(F.count("*").alias("retained"), F.min("doc_freq").alias("least"), F.max("doc_freq").alias("most"), F.percentile("doc_freq", 0.5).alias("median"))
+
+
+def without(tokens: DataFrame, stopwords) -> DataFrame:
+    """stopwords: words, or a table with a column ``token`` of any length."""
+    if isinstance(stopwords, DataFrame):
+        return tokens.join(stopwords.select("token").distinct(), "token", "left_anti")
+    return tokens.filter(~F.col("token").isin(*stopwords)) if stopwords else tokens
 
 
 def extract(tokens: DataFrame, min_docs: int, stopwords=STOPWORDS, key: str = "doc_id") -> DataFrame:
     """One row per document: its frequent tokens in order, comma-joined."""
-    keep = doc_freq(tokens, key).filter(F.col("doc_freq") >= min_docs).filter(~F.col("token").isin(*stopwords))
+    keep = without(doc_freq(tokens, key).filter(F.col("doc_freq") >= min_docs), stopwords)
     kept = tokens.join(keep.select("token"), "token", "left_semi")
     ordered = F.array_sort(F.collect_list(F.struct("pos", "token")))
     return kept.groupBy(key).agg(ordered.alias("t")).select(key, F.array_join(F.transform("t", lambda x: x["token"]), ",").alias("tokens"))
@@ -59,25 +77,29 @@ def apply_map(tokens: Column, mapping: Column) -> Column:
 
 
 def consolidation_candidates(freq: DataFrame, window: int = 1000, known: dict[str, str] | None = None) -> DataFrame:
-    """The most frequent tokens that look cut off or plural, with a replacement: known fix, without s, without es, or ''."""
+    """The ``window`` most frequent tokens (ties by token): flag_type ``truncation`` or '', and a replacement or ''.
+
+    A replacement is the known fix, else the token without ``s``, else without ``es`` where the window has that word.  The
+    window is a list to be read by people; its size is a parameter."""
     top = freq.orderBy(F.desc("corpus_freq"), "token").limit(window)
-    names = top.select(F.col("token").alias("base"))
-    cut = (F.length("token") <= 8) & F.col("token").rlike("(at|iv|iz|az|ig|if|ic|olog)$")
+    cut = (F.length("token") <= 8) & F.col("token").rlike(TRUNCATED)
     plural = F.col("token").endswith("s") & ~F.col("token").endswith("ss") & (F.length("token") > 3)
     less_s, less_es = F.expr("substring(token, 1, length(token) - 1)"), F.expr("substring(token, 1, length(token) - 2)")
     rows = top.withColumn("s", F.when(plural, less_s)).withColumn("es", F.when(F.col("token").endswith("es") & (F.length("token") > 4), less_es))
-    rows = rows.join(F.broadcast(names.withColumnRenamed("base", "b1")), F.col("s") == F.col("b1"), "left").join(F.broadcast(names.withColumnRenamed("base", "b2")), F.col("es") == F.col("b2"), "left")
+    for c in ("s", "es"):
+        rows = rows.join(top.select(F.col("token").alias(f"has_{c}")), F.col(c) == F.col(f"has_{c}"), "left")
     fix = F.create_map(*[F.lit(x) for kv in known.items() for x in kv])[F.col("token")] if known else F.lit(None).cast("string")
-    flag = F.when(cut, "truncation").when(F.col("b1").isNotNull() | F.col("b2").isNotNull(), "plural")
-    return rows.withColumn("flag_type", flag).filter(F.col("flag_type").isNotNull()).select("token", "corpus_freq", "flag_type", F.coalesce(fix, "b1", "b2", F.lit("")).alias("replacement"))
+    return rows.select("token", "corpus_freq", F.when(cut, "truncation").otherwise("").alias("flag_type"), F.coalesce(fix, "has_s", "has_es", F.lit("")).alias("replacement"))
+
 
+def sparsity_filter(tokens: DataFrame, n_docs: int | Column, min_df: int, max_share: float, cap: int = 80, least: int = 5, key: str = "doc_id") -> DataFrame:
+    """doc, kept tokens (half-open document-frequency bounds, first occurrences, at most cap), whether retained.
 
-def sparsity_filter(tokens: DataFrame, n_docs: int, min_df: int, max_share: float, cap: int = 80, least: int = 5, key: str = "doc_id") -> DataFrame:
-    """doc, kept tokens (half-open document-frequency bounds, first occurrences, at most cap), whether retained."""
-    keep = doc_freq(tokens, key).filter((F.col("doc_freq") >= min_df) & (F.col("doc_freq") < n_docs * max_share)).select("token")
-    kept = tokens.join(keep, "token", "left_semi")
-    lists = token_lists(kept, key).withColumn("tokens", F.slice(F.array_distinct("tokens"), 1, cap))
-    return tokens.select(key).distinct().join(lists, key, "left").withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>"))).withColumn("retained", F.size("tokens") >= least)
+    One aggregate finds first occurrences; frequencies and lists come of it, so texts are split once."""
+    first = tokens.groupBy(key, "token").agg(F.min("pos").alias("pos"))
+    keep = first.groupBy("token").agg(F.count("*").alias("df")).filter((F.col("df") >= min_df) & (F.col("df") < n_docs * F.lit(max_share))).select("token", F.lit(True).alias("keep"))
+    lists = first.join(keep, "token", "left").groupBy(key).agg(F.array_sort(F.collect_list(F.when(F.col("keep"), F.struct("pos", "token")))).alias("t"))
+    return lists.select(key, F.slice(F.transform("t", lambda x: x["token"]), 1, cap).alias("tokens")).withColumn("retained", F.size("tokens") >= least)
 
 
 def ngrams(tokens: Column, n: int) -> Column:
@@ -87,17 +109,40 @@ def ngrams(tokens: Column, n: int) -> Column:
     return F.when(last >= 1, grams).otherwise(F.array().cast("array<string>"))
 
 
+def ngram_terms(lists: DataFrame, sizes=(1, 2, 3), key: str = "doc_id") -> DataFrame:
+    """key, n, term: the n-grams of all sizes in one pass over the token lists."""
+
+    def sized(n):
+        return F.transform(F.col("tokens") if n == 1 else ngrams(F.col("tokens"), n), lambda x: F.struct(F.lit(n).alias("n"), x.alias("term")))
+
+    every = F.concat(*[sized(n) for n in sizes])
+    return lists.select(key, F.explode(every).alias("t")).select(key, "t.n", "t.term")
+
+
 def ngram_vocabulary(lists: DataFrame, sizes=(1, 2, 3), min_df: int = 8, max_share: float = 0.4, key: str = "doc_id") -> DataFrame:
     """term, n, doc_freq, corpus_freq with closed bounds."""
-    n_docs = lists.count()
-    grams = [lists.select(key, F.lit(n).alias("n"), F.explode(ngrams(F.col("tokens"), n)).alias("term")) for n in sizes]
-    rows = grams[0]
-    for g in grams[1:]:
-        rows = rows.unionByName(g)
-    per = rows.groupBy(key, "n", "term").agg(F.count("*").alias("c"))
-    return per.groupBy("n", "term").agg(F.count("*").alias("doc_freq"), F.sum("c").alias("corpus_freq")).filter((F.col("doc_freq") >= min_df) & (F.col("doc_freq") <= max_share * n_docs))
+    per = ngram_terms(lists, sizes, key).groupBy(key, "n", "term").agg(F.count("*").alias("c"))
+    out = per.groupBy("n", "term").agg(F.count("*").alias("doc_freq"), F.sum("c").alias("corpus_freq"))
+    return out.filter((F.col("doc_freq") >= min_df) & (F.col("doc_freq") <= F.lit(max_share) * lists.agg(F.count("*")).scalar()))
+
+
+def taxonomy_vocabulary(unigrams: DataFrame, grams: DataFrame) -> DataFrame:
+    """Both vocabularies as one, each term once; ``unigrams`` wins.  Both: term, doc_freq, corpus_freq; the result has term_type and source too."""
+    both = unigrams.select("term", "doc_freq", "corpus_freq", F.lit("unigram").alias("source")).unionByName(grams.select("term", "doc_freq", "corpus_freq", F.lit("ngram").alias("source")))
+    first = F.min_by(F.struct("doc_freq", "corpus_freq", "source"), F.struct((F.col("source") != "unigram").alias("late"), (-F.col("doc_freq")).alias("d"), "corpus_freq")).alias("x")
+    n = F.size(F.split("term", " "))
+    return both.groupBy("term").agg(first).select("term", "x.*", F.when(n == 1, "unigram").when(n == 2, "bigram").otherwise("ngram").alias("term_type"))
+
+
+def vector_terms(docs: DataFrame, sizes=(1, 1), mode: str = "reference", key: str = "doc_id") -> DataFrame:
+    """key, token: one row an occurrence of a term of the vectoriser, n-grams of ``sizes`` (least, most).
+
+    mode ``reference``: the words VECTOR_TERM finds in the joined tokens, in lower case - hyphens and underscores inside words
+    stay, injected tokens don't count; ``array``: the token array as it is.  docs: key, tokens."""
+    words = F.regexp_extract_all(F.lower(F.array_join("tokens", " ")), F.lit(VECTOR_TERM), F.lit(0)) if mode == "reference" else F.col("tokens")
+    return ngram_terms(docs.select(key, words.alias("tokens")), range(sizes[0], sizes[1] + 1), key).select(key, F.col("term").alias("token"))
 
 
 def lemmatize(tokens: DataFrame, lemmas: DataFrame) -> DataFrame:
     """Table-backed lemmas: (token, lemma); tokens without one stay."""
-    return tokens.join(F.broadcast(lemmas), "token", "left").withColumn("token", F.coalesce("lemma", "token")).drop("lemma")
+    return tokens.join(lemmas, "token", "left").withColumn("token", F.coalesce("lemma", "token")).drop("lemma")

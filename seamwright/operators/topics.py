@@ -1,22 +1,18 @@
-"""Topics: shares, ranks, themes across groups, and a factorisation per group."""
+"""Topics: shares, ranks and themes across groups."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import ship
-
 
 def bridge(weights: DataFrame, group: str, project: str, topic: str, weight: str, least: float) -> DataFrame:
     """Share of each topic in a project's total weight (0 when the total isn't positive), where it reaches ``least``."""
     total = F.sum(weight).over(Window.partitionBy(group, project))
     share = F.when(total > 0, F.col(weight) / total).otherwise(0.0)
     key = F.concat(F.lit(f"{group}="), F.col(group).cast("string"), F.lit("|topic="), F.col(topic).cast("string"))
-    return weights.withColumn("topic_share", share).filter(F.round("topic_share", 9) >= least).withColumn("topic_key", key)
+    return weights.withColumn("topic_share", share).filter(F.col("topic_share") >= least).withColumn("topic_key", key)
 
 
 def rank(weights: DataFrame, group: str, project: str, topic: str, weight: str) -> DataFrame:
@@ -43,44 +39,27 @@ def cross_group_themes(pairs: DataFrame, least_groups: int = 4, label: int = 5)
     return themes.join(inside.select(F.col("ta").alias("theme")).distinct(), "theme", "left_anti").select("theme", "label", "n_groups")
 
 
-def n_components(docs: int, vocabulary: int, base: int, cap: int = 20) -> int:
-    return max(4, min(base, max(4, docs // 15), max(4, vocabulary // 8), cap))
-
-
-def _factorise(v: np.ndarray, k: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Nonnegative V ~ W H by hierarchical alternating least squares from a nonnegative SVD start."""
-    u, s, t = np.linalg.svd(v, full_matrices=False)
-    k = min(k, len(s))
-    w, h = np.zeros((len(v), k)), np.zeros((k, v.shape[1]))
-    for j in range(k):
-        x, y = u[:, j], t[j]
-        pos, neg = (np.maximum(x, 0), np.maximum(y, 0)), (np.maximum(-x, 0), np.maximum(-y, 0))
-        a, b = pos if np.linalg.norm(pos[0]) * np.linalg.norm(pos[1]) >= np.linalg.norm(neg[0]) * np.linalg.norm(neg[1]) else neg
-        m = np.sqrt(s[j] * np.linalg.norm(a) * np.linalg.norm(b))
-        w[:, j], h[j] = m * a / (np.linalg.norm(a) or 1), m * b / (np.linalg.norm(b) or 1)
-    for _ in range(rounds):
-        for m, n, target in ((w, h, v), (h.T, w.T, v.T)):
-            gram, right = n @ n.T, target @ n.T
-            for j in range(k):
-                m[:, j] = np.maximum(0, m[:, j] + (right[:, j] - m @ gram[:, j]) / max(gram[j, j], 1e-12))
-    return w, h
-
-
-def nmf(weights: DataFrame, group: str, key: str = "doc_id", k: int = 4, top: int = 15, terms: int = 300, rounds: int = 60) -> DataFrame:
-    """Topics per group: topic_id, top_terms, top_weights.  A group's matrix is bounded by its ``terms`` best terms."""
-    ship(weights.sparkSession)
-    totals = weights.groupBy(group, "token").agg(F.sum("tfidf").alias("t"))
-    best = totals.withColumn("r", F.row_number().over(Window.partitionBy(group).orderBy(F.desc(F.round("t", 9)), "token"))).filter(F.col("r") <= terms).select(group, "token")
-    kind = weights.schema[group].dataType.simpleString()
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        m = pdf.pivot_table(index=key, columns="token", values="tfidf", fill_value=0.0).sort_index(axis=0).sort_index(axis=1)
-        _, h = _factorise(m.to_numpy(), k, rounds)
-        names = m.columns.to_numpy()
-        rows = []
-        for j, row in enumerate(h):
-            at = np.lexsort((names, -row))[:top]
-            rows.append((pdf[group].iloc[0], j, names[at].tolist(), row[at].tolist()))
-        return pd.DataFrame(rows, columns=[group, "topic_id", "top_terms", "top_weights"])
-
-    return weights.join(best, [group, "token"]).select(group, key, "token", "tfidf").groupBy(group).applyInPandas(one, f"{group} {kind}, topic_id int, top_terms array<string>, top_weights array<double>")
+def n_components(docs: int, vocabulary: int, base: int = 15, per_topic: int = 15, small: bool = False, small_cap: int = 8) -> int:
+    """Topics of a group, four at least: ``base``, one for ``per_topic`` documents, one for eight terms, and where groups are ``small`` no more than ``small_cap``."""
+    return max(4, min(base, max(4, docs // per_topic), max(4, vocabulary // 8), small_cap if small else base))
+
+
+def components_of(docs: Column, vocabulary: Column, base: int = 15, per_topic: int = 15, small: Column | None = None, small_cap: int = 8) -> Column:
+    """``n_components`` as a column."""
+    part = lambda c, k: F.greatest(F.lit(4), F.floor(c / k))
+    cap = F.lit(base) if small is None else F.when(small, small_cap).otherwise(base)
+    return F.greatest(F.lit(4), F.least(F.lit(base), part(docs, per_topic), part(vocabulary, 8), cap)).cast("int")
+
+
+def slices(sizes: DataFrame, group: str, base: int = 15, least_vocabulary: int = 60, least_nnz: int = 300, small_below: float = 125, per_topic: int = 15, small_cap: int = 8) -> DataFrame:
+    """group, docs, vocabulary, nnz, n_components, skip_reason (null: the group is factorised).
+
+    sizes: group, docs, vocabulary, nnz.  Groups are small when their median size is below ``small_below``."""
+    small = sizes.agg(F.percentile("docs", 0.5) < small_below).scalar()
+    k = components_of(F.col("docs"), F.col("vocabulary"), base, per_topic, small, small_cap)
+    why = F.when(F.col("vocabulary") < least_vocabulary, "low_retained_vocab").when(F.col("nnz") < least_nnz, "low_tfidf_nnz").when(F.col("vocabulary") < F.col("n_components"), "vocab_below_topic_count")
+    return sizes.select(group, "docs", "vocabulary", "nnz", k.alias("n_components")).withColumn("skip_reason", why)
+
+
+def slice_sizes(weights: DataFrame, group: str, key: str = "doc_id") -> DataFrame:
+    return weights.groupBy(group).agg(F.countDistinct(key).alias("docs"), F.countDistinct("token").alias("vocabulary"), F.count("*").alias("nnz"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as tx
-from ..operators import charts, clusters, enrich, fields, filters, insights, tfidf, tokens, topics
+from ..operators import charts, clusters, enrich, factorise, fields, filters, insights, labels, quality, tfidf, tokens, topics
 from ..streaming.events import windowed
 
 QUERIES: dict = {}
@@ -27,20 +27,18 @@ def t(spark, d, name):
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-#: The SQL beside the queries reads no more positions of a text.
-SQL_POSITIONS = 500
-
-
-def toks(spark, d, keys=("doc_id",), limit=SQL_POSITIONS):
-    return tokens.positions(t(spark, d, "documents"), keys, limit=limit)
+def toks(spark, d, keys=("doc_id",)):
+    """Tokens of whole texts."""
+    return tokens.positions(t(spark, d, "documents"), keys)
 
 
 def n_docs(spark, d):
-    return t(spark, d, "documents").count()
+    """A scalar in the plan: nothing runs before the query does."""
+    return t(spark, d, "documents").agg(F.count("*")).scalar()
 
 
 _STOP = ", ".join(f"'{w}'" for w in tokens.STOPWORDS)
-_TOK = """a AS (SELECT doc_id, source, lang, string_split(lower(regexp_replace(coalesce(text, ''), '[^a-zA-Z]+', ' ', 'g')), ' ')[1:500] AS w FROM documents),
+_TOK = """a AS (SELECT doc_id, source, lang, string_split(lower(regexp_replace(coalesce(text, ''), '[^a-zA-Z]+', ' ', 'g')), ' ') AS w FROM documents),
 u AS (SELECT doc_id, source, lang, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM a),
 tok AS (SELECT * FROM u WHERE length(token) >= 3 OR token = 'ai'),
 df AS (SELECT token, count(DISTINCT doc_id) AS doc_freq, count(*) AS corpus_freq FROM tok GROUP BY token),
@@ -75,19 +73,16 @@ def stopword_filter(spark, d):
 @query(f"WITH {_TOK} SELECT doc_id, count(*) AS n_positions, max(pos) AS last_pos FROM u GROUP BY doc_id")
 def theta_position_join(spark, d):
     """Positions by a generator; the join with a table of numbers it stands for never happens."""
-    rows = t(spark, d, "documents").select("doc_id", F.posexplode(tokens.letter_tokens(F.col("text"), SQL_POSITIONS)).alias("pos", "token"))
+    rows = t(spark, d, "documents").select("doc_id", F.posexplode(tokens.letter_tokens(F.col("text"))).alias("pos", "token"))
     return rows.groupBy("doc_id").agg(F.count("*").alias("n_positions"), (F.max("pos") + 1).cast("long").alias("last_pos"))
 
 
-@query(f"""WITH {_TOK}, top AS (SELECT token, corpus_freq FROM df ORDER BY corpus_freq DESC, token LIMIT 1000),
-c AS (SELECT *, CASE WHEN ends_with(token, 's') AND NOT ends_with(token, 'ss') AND length(token) > 3 THEN token[:-2] END AS s,
-             CASE WHEN ends_with(token, 'es') AND length(token) > 4 THEN token[:-3] END AS es FROM top),
-f AS (SELECT c.token, c.corpus_freq, CASE WHEN length(c.token) <= 8 AND regexp_matches(c.token, '(at|iv|iz|az|ig|if|ic|olog)$') THEN 'truncation'
-             WHEN x.token IS NOT NULL OR y.token IS NOT NULL THEN 'plural' END AS flag_type, coalesce(x.token, y.token, '') AS replacement
-      FROM c LEFT JOIN top x ON x.token = c.s LEFT JOIN top y ON y.token = c.es)
-SELECT * FROM f WHERE flag_type IS NOT NULL""")
+@query(f"""WITH {_TOK}, top AS (SELECT token, corpus_freq FROM df ORDER BY corpus_freq DESC, token LIMIT 1000)
+SELECT token, corpus_freq, CASE WHEN length(token) <= 8 AND regexp_matches(token, '(at|iv|iz|az|ig|if|ic|olog)$') THEN 'truncation' ELSE '' END AS flag_type,
+  CASE WHEN token = 'las' THEN 'la' WHEN ends_with(token, 's') AND NOT ends_with(token, 'ss') AND length(token) > 3 AND token[:-2] IN (SELECT token FROM top) THEN token[:-2]
+       WHEN ends_with(token, 'es') AND length(token) > 4 AND token[:-3] IN (SELECT token FROM top) THEN token[:-3] ELSE '' END AS replacement FROM top""")
 def consolidation_candidates(spark, d):
-    return tokens.consolidation_candidates(tokens.corpus_freq(toks(spark, d)))
+    return tokens.consolidation_candidates(tokens.corpus_freq(toks(spark, d)), known={"las": "la"})
 
 
 @query(f"WITH {_TOK} SELECT doc_id, string_agg(CASE token WHEN 'tion' THEN 'ion' WHEN 'ing' THEN 'in' ELSE token END, ',' ORDER BY pos) AS tokens FROM tok GROUP BY doc_id")
@@ -197,8 +192,8 @@ w AS (SELECT doc_id, token, tf, doc_freq AS df, ln((1.0 + n) / (1.0 + doc_freq))
 x AS (SELECT *, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id)) AS tfidf FROM w)"""
 
 
-def _weights(spark, d, limit=SQL_POSITIONS):
-    return tfidf.tfidf(toks(spark, d, limit=limit), n_docs(spark, d), min_df=3, max_share=0.4)
+def _weights(spark, d):
+    return tfidf.tfidf(toks(spark, d), n_docs(spark, d), min_df=3, max_share=0.4)
 
 
 @query(f"{_TFIDF} SELECT doc_id, token, tf, df, round(idf, 6) AS idf, round(tfidf, 6) AS tfidf FROM x")
@@ -232,10 +227,24 @@ def category_contrast_top5(spark, d):
     return rows.withColumn("k", F.row_number().over(Window.partitionBy("source").orderBy(F.desc("contrast"), "token"))).filter("k <= 5")
 
 
+def _model(spark, d):
+    """Weights by language, and topic numbers by the rule, from the whole filtered vocabulary."""
+    rows = _weights(spark, d).join(t(spark, d, "documents").select("doc_id", "lang"), "doc_id").filter("lang IS NOT NULL")
+    sliced = topics.slices(topics.slice_sizes(rows, "lang"), "lang").filter("skip_reason IS NULL")
+    return factorise.nmf(rows, "lang", {r["lang"]: r["n_components"] for r in sliced.collect()})
+
+
 @query()
 def nmf_topics(spark, d):
-    rows = _weights(spark, d, limit=None).join(t(spark, d, "documents").select("doc_id", "lang"), "doc_id")
-    return topics.nmf(rows, "lang").select("lang", "topic_id", F.array_join("top_terms", ",").alias("top_terms"))
+    return _model(spark, d).topics().select("lang", "topic_id", F.array_join("top_terms", ",").alias("top_terms"))
+
+
+@query(f"""{_TFIDF}, z AS (SELECT source, count(DISTINCT doc_id) AS docs, count(DISTINCT token) AS vocabulary, count(*) AS nnz FROM x JOIN documents USING (doc_id) GROUP BY source),
+k AS (SELECT *, greatest(4, least(15, greatest(4, docs // 15), greatest(4, vocabulary // 8), CASE WHEN (SELECT median(docs) FROM z) < 125 THEN 8 ELSE 15 END))::INT AS n_components FROM z)
+SELECT *, CASE WHEN vocabulary < 60 THEN 'low_retained_vocab' WHEN nnz < 300 THEN 'low_tfidf_nnz' WHEN vocabulary < n_components THEN 'vocab_below_topic_count' END AS skip_reason FROM k""")
+def slice_eligibility(spark, d):
+    rows = _weights(spark, d).join(t(spark, d, "documents").select("doc_id", "source"), "doc_id")
+    return topics.slices(topics.slice_sizes(rows, "source"), "source")
 
 
 @query(f"{_CAT}, p AS (SELECT source, token FROM r WHERE rank <= 15), j AS (SELECT a.source AS group_a, b.source AS group_b, token FROM p a JOIN p b USING (token) WHERE a.source < b.source) SELECT group_a, group_b, string_agg(token, ',' ORDER BY token) AS theme FROM j GROUP BY ALL HAVING count(*) >= 3")
@@ -244,17 +253,18 @@ def cross_group_pairs(spark, d):
     return topics.cross_group_pairs(tops, "source").select("group_a", "group_b", "theme")
 
 
-@query(f"WITH {_TOK}, n AS (SELECT source, count(*) AS docs FROM documents GROUP BY source), v AS (SELECT source, count(DISTINCT token) AS vocab FROM tok GROUP BY source) SELECT source, greatest(4, least(15, greatest(4, docs // 15), greatest(4, vocab // 8), 20))::INT AS k FROM n JOIN v USING (source)")
+@query(f"""WITH {_TOK}, n AS (SELECT source, count(*) AS docs FROM documents GROUP BY source), v AS (SELECT source, count(DISTINCT token) AS vocab FROM tok GROUP BY source)
+SELECT source, greatest(4, least(15, greatest(4, docs // 15), greatest(4, vocab // 8), CASE WHEN (SELECT median(docs) FROM n) < 125 THEN 8 ELSE 15 END))::INT AS k FROM n JOIN v USING (source)""")
 def topic_count_rule(spark, d):
     docs = t(spark, d, "documents").groupBy("source").agg(F.count("*").alias("docs"))
     vocab = toks(spark, d, ("doc_id", "source")).groupBy("source").agg(F.countDistinct("token").alias("vocab"))
-    part = lambda c, k: F.greatest(F.lit(4), F.floor(F.col(c) / k))
-    return docs.join(vocab, "source").select("source", F.greatest(F.lit(4), F.least(F.lit(15), part("docs", 15), part("vocab", 8), F.lit(20))).cast("int").alias("k"))
+    small = docs.agg(F.percentile("docs", 0.5) < 125).scalar()
+    return docs.join(vocab, "source").select("source", topics.components_of(F.col("docs"), F.col("vocab"), small=small).alias("k"))
 
 
 _W = """w AS (SELECT l_returnflag AS grp, l_orderkey AS project, l_linenumber AS topic, round(sum(l_extendedprice), 2) AS weight FROM lineitem GROUP BY ALL),
 s AS (SELECT *, CASE WHEN sum(weight) OVER p > 0 THEN weight / sum(weight) OVER p ELSE 0 END AS topic_share FROM w WINDOW p AS (PARTITION BY grp, project)),
-br AS (SELECT *, 'grp=' || grp || '|topic=' || topic AS topic_key FROM s WHERE round(topic_share, 9) >= 0.3)"""
+br AS (SELECT *, 'grp=' || grp || '|topic=' || topic AS topic_key FROM s WHERE topic_share >= 0.3)"""
 
 
 def _topic_weights(spark, d):
@@ -311,27 +321,165 @@ def packaging(spark, d):
     return insights.package(_insights(spark, d)).select("insight_id", "supporting_projects", "mean_share")
 
 
-_CONF = "round(0.30 * least(supporting_projects / 30.0, 100.0) + 0.10 * 50.0 + 0.20 * 80.0 + 0.25 * least(100 * mean_share, 100.0) + 0.15 * 100.0, 2)"
+# A report's insights on these topics: a key insight for each topic number over all groups, and one for each group and pair
+# of neighbouring topics.  Some of the cited topics don't stand up to verification.
+_REP = f"""WITH {_W}, tk AS (SELECT DISTINCT grp, topic, topic_key FROM br),
+cite AS (SELECT 'KI_' || lpad(topic::VARCHAR, 3, '0') AS insight_id, 'key_insights' AS section, NULL::VARCHAR AS category_bucket, grp, topic, topic_key, topic AS own FROM tk
+ UNION ALL SELECT 'BG_' || grp || own, 'by_group', grp, grp, topic, topic_key, own FROM (SELECT *, unnest([topic - 1, topic]) AS own FROM tk) WHERE own BETWEEN 1 AND 6),
+ver AS (SELECT *, CASE topic % 4 WHEN 0 THEN 'coherent' WHEN 1 THEN 'mixed' WHEN 2 THEN 'redundant' ELSE 'unclear' END AS flag FROM cite WHERE (topic + ascii(grp)) % 5 <> 0),
+per AS (SELECT topic_key, count(DISTINCT project) AS n, round(avg(topic_share), 6) AS mean_share, round(quantile_cont(topic_share, 0.5), 6) AS median_share FROM br GROUP BY topic_key),
+sup AS (SELECT insight_id, count(DISTINCT project) AS supporting_projects FROM ver JOIN br USING (topic_key) GROUP BY insight_id),
+cl AS (SELECT insight_id, any_value(section) AS section, any_value(category_bucket) AS category_bucket, any_value(own) AS own, count(*) AS n_claimed FROM cite GROUP BY insight_id),
+vf AS (SELECT insight_id, count(*) AS n_topics, list(flag ORDER BY topic_key) AS flags, list(topic_key ORDER BY topic_key) AS topics, avg(mean_share) AS mean_share FROM ver JOIN per USING (topic_key) GROUP BY insight_id),
+rep AS (SELECT cl.insight_id, section, category_bucket, 'Findings on theme ' || (own % 3) || coalesce(' of ' || category_bucket, '') AS title, 'Projects ask for theme ' || (own % 2) || ' more often' AS finding,
+ n_claimed, coalesce(n_topics, 0) AS n_topics, coalesce(flags, []) AS flags, coalesce(topics, []) AS topics, coalesce(supporting_projects, 0) AS supporting_projects, coalesce(round(mean_share, 6), 0) AS mean_share,
+ round(coalesce(n_topics, 0) / n_claimed::DOUBLE, 6) AS verification_ratio FROM cl LEFT JOIN vf USING (insight_id) LEFT JOIN sup USING (insight_id))"""
+
+
+def _cited(spark, d):
+    tk = _bridge(spark, d).select("grp", "topic", "topic_key").distinct()
+    key = tk.select(F.concat(F.lit("KI_"), F.lpad(F.col("topic").cast("string"), 3, "0")).alias("insight_id"), F.lit(insights.KEY).alias("section"), F.lit(None).cast("string").alias("category_bucket"), "grp", "topic", "topic_key", F.col("topic").alias("own"))
+    by = tk.withColumn("own", F.explode(F.array(F.col("topic") - 1, F.col("topic")))).filter(F.col("own").between(1, 6))
+    return key.unionByName(by.select(F.concat(F.lit("BG_"), "grp", F.col("own").cast("string")).alias("insight_id"), F.lit("by_group").alias("section"), F.col("grp").alias("category_bucket"), "grp", "topic", "topic_key", "own"))
+
+
+def _verified(spark, d):
+    flag = F.element_at(F.array(F.lit("coherent"), F.lit("mixed"), F.lit("redundant"), F.lit("unclear")), (F.col("topic") % 4 + 1).cast("int"))
+    return _cited(spark, d).filter((F.col("topic") + F.ascii("grp")) % 5 != 0).withColumn("flag", flag)
+
+
+def _report(spark, d):
+    """One row an insight, with everything that packaging, dedupe, scores and sections read."""
+    br, ver = _bridge(spark, d), _verified(spark, d)
+    claimed = _cited(spark, d).groupBy("insight_id").agg(F.first("section").alias("section"), F.first("category_bucket").alias("category_bucket"), F.first("own").alias("own"), F.count("*").alias("n_claimed"))
+    per = insights.support(br, ["topic_key"], "project")
+    found = ver.join(per, "topic_key").groupBy("insight_id").agg(F.count("*").alias("n_topics"), F.array_sort(F.collect_list(F.struct("topic_key", "flag"))).alias("l"), F.avg("mean_share").alias("mean_share"))
+    sup = ver.select("insight_id", "topic_key").join(br.select("topic_key", "project"), "topic_key").groupBy("insight_id").agg(F.countDistinct("project").alias("supporting_projects"))
+    none = F.array().cast("array<string>")
+    rows = claimed.join(found, "insight_id", "left").join(sup, "insight_id", "left")
+    rows = rows.select(
+        "insight_id", "section", "category_bucket",
+        F.concat(F.lit("Findings on theme "), (F.col("own") % 3).cast("string"), F.coalesce(F.concat(F.lit(" of "), "category_bucket"), F.lit(""))).alias("title"),
+        F.concat(F.lit("Projects ask for theme "), (F.col("own") % 2).cast("string"), F.lit(" more often")).alias("finding"),
+        "n_claimed", F.coalesce("n_topics", F.lit(0)).alias("n_topics"), F.coalesce(F.transform("l", lambda x: x["flag"]), none).alias("flags"), F.coalesce(F.transform("l", lambda x: x["topic_key"]), none).alias("topics"),
+        F.coalesce("supporting_projects", F.lit(0)).alias("supporting_projects"), F.coalesce(F.round("mean_share", 6), F.lit(0.0)).alias("mean_share"),
+    )
+    return rows.withColumn("verification_ratio", F.round(F.col("n_topics") / F.col("n_claimed"), 6))
+
+
+@query(f"""{_REP} SELECT v.insight_id, topic_key, 'T' || v.topic AS label, v.flag AS coherence_flag, coalesce(n, 0) AS supporting_projects, coalesce(mean_share, 0) AS mean_share, coalesce(median_share, 0) AS median_share FROM ver v LEFT JOIN per USING (topic_key)""")
+def evidence_table(spark, d):
+    ver = _verified(spark, d)
+    named = ver.select("topic_key", F.concat(F.lit("T"), F.col("topic").cast("string")).alias("label"), F.lit("").alias("description"), F.col("flag").alias("coherence_flag"))
+    return insights.evidence(ver, _bridge(spark, d), named, "project").drop("description")
+
+
+@query(f"""{_REP}, h AS (SELECT insight_id, project, topic_key, topic_share, row_number() OVER (PARTITION BY insight_id, project ORDER BY topic_share DESC, topic_key) AS r, count(*) OVER (PARTITION BY insight_id, project) AS n_topics FROM ver JOIN br USING (topic_key))
+SELECT insight_id, project, topic_key, round(topic_share, 6) AS topic_share, n_topics FROM h WHERE r = 1""")
+def evidence_projects(spark, d):
+    return insights.best_topics(_verified(spark, d), _bridge(spark, d), "project").withColumn("topic_share", F.round("topic_share", 6))
+
+
+@query(f"""{_REP}, p AS (SELECT DISTINCT insight_id, project FROM ver JOIN br USING (topic_key)), q AS (SELECT *, row_number() OVER (PARTITION BY insight_id ORDER BY project) AS r FROM p)
+SELECT insight_id, count(*) AS project_count, string_agg(project::VARCHAR, ',' ORDER BY project) FILTER (r <= 500) AS project_ids FROM q GROUP BY insight_id""")
+def traceability(spark, d):
+    return insights.traced(_verified(spark, d), _bridge(spark, d), "project").withColumn("project_ids", F.array_join(F.col("project_ids").cast("array<string>"), ","))
+
+
+_PACK = "supporting_projects >= 20 AND mean_share >= 0.4 AND n_topics >= 1"
+_DUP = f"""{_REP}, acc AS (SELECT *, CASE WHEN section = 'key_insights' THEN 'key' ELSE 'group=' || category_bucket END AS bucket, list_distinct(string_split(lower(title), ' ')) AS tw, list_distinct(string_split(lower(title || ' ' || finding), ' ')) AS xw FROM rep WHERE {_PACK}),
+ov AS (SELECT a.insight_id AS a, b.insight_id AS b, CASE WHEN a.section = 'key_insights' THEN 'key_vs_key' ELSE 'bg_vs_same_bg' END AS pair_kind,
+ round(len(list_intersect(a.topics, b.topics)) / len(list_distinct(list_concat(a.topics, b.topics)))::DOUBLE, 6) AS topics_overlap,
+ round(len(list_intersect(a.tw, b.tw)) / len(list_distinct(list_concat(a.tw, b.tw)))::DOUBLE, 6) AS title_overlap,
+ round(len(list_intersect(a.xw, b.xw)) / len(list_distinct(list_concat(a.xw, b.xw)))::DOUBLE, 6) AS words_overlap FROM acc a JOIN acc b ON a.bucket = b.bucket AND a.insight_id < b.insight_id),
+e AS (SELECT * FROM ov WHERE topics_overlap >= 0.8 OR (topics_overlap >= 0.3 AND title_overlap >= 0.6 AND words_overlap >= 0.55)),
+o AS (SELECT insight_id, row_number() OVER (ORDER BY mean_share DESC, supporting_projects DESC, verification_ratio DESC, insight_id) AS k FROM acc),
+adj AS (SELECT x.k, list(y.k) AS near FROM (SELECT a, b FROM e UNION ALL SELECT b, a FROM e) p JOIN o x ON x.insight_id = p.a JOIN o y ON y.insight_id = p.b GROUP BY x.k),
+oo AS (SELECT o.*, coalesce(near, []) AS near FROM o LEFT JOIN adj USING (k)),
+g AS (SELECT 0 AS k, []::BIGINT[] AS kept, NULL::BIGINT AS hit UNION ALL SELECT oo.k, CASE WHEN list_has_any(g.kept, oo.near) THEN g.kept ELSE list_append(g.kept, oo.k) END, list_min(list_intersect(g.kept, oo.near)) FROM g JOIN oo ON oo.k = g.k + 1)"""
+_DUP = _DUP.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _deduped(spark, d):
+    words = lambda c: F.array_distinct(F.split(F.lower(c), " "))
+    acc = insights.pair_kinds(insights.package(_report(spark, d))).withColumns({"title_words": words(F.col("title")), "words": words(F.concat("title", F.lit(" "), "finding"))})
+    pairs = insights.screened_pairs(acc.select("insight_id", "bucket", "topics", F.col("title_words").alias("title"), "words"), "bucket")
+    edges = insights.duplicates(pairs, topics=0.3).withColumn("pair_kind", F.when(F.col("bucket") == "key", "key_vs_key").otherwise("bg_vs_same_bg")).drop("bucket")
+    return insights.dedupe(acc, edges, [F.desc("mean_share"), F.desc("supporting_projects"), F.desc("verification_ratio"), F.asc("insight_id")])
+
+
+@query(f"{_DUP} SELECT insight_id FROM g JOIN o USING (k) WHERE hit IS NULL")
+def dedupe(spark, d):
+    return _deduped(spark, d)[0].select("insight_id")
 
 
-def _confidence():
-    return insights.confidence(F.col("supporting_projects") / 30.0, F.lit(50.0), F.lit(80.0), 100 * F.col("mean_share"), F.lit(1.0))
+@query(f"{_DUP} SELECT o.insight_id AS dropped_insight_id, p.insight_id AS matched_kept_insight_id, pair_kind, topics_overlap, title_overlap, words_overlap, 'deterministic_obvious_duplicate' AS reason FROM g JOIN o USING (k) JOIN o p ON p.k = g.hit JOIN e ON e.a = least(o.insight_id, p.insight_id) AND e.b = greatest(o.insight_id, p.insight_id)")
+def dedupe_audit(spark, d):
+    return _deduped(spark, d)[1]
 
 
-@query(f"{_INS} SELECT insight_id, {_CONF}::DOUBLE AS confidence FROM e")
+_TIERS = {"top": {"confidence": 70, "projects": 40, "topics": 2, "quality": 40, "bridge": 60}, "secondary": {"confidence": 55, "projects": 25, "quality": 30, "bridge": 50}, "tertiary": {"confidence": 40, "projects": 15, "quality": 20, "bridge": 40}}
+_SCORE = f"""{_REP}, vs AS (SELECT 0.5 * median(n) AS v FROM (SELECT count(DISTINCT project) AS n FROM w GROUP BY grp)),
+p AS (SELECT *, least(100.0, 100.0 * supporting_projects / (SELECT v FROM vs)) AS a, least(100.0, 100.0 * n_topics / 3.0) AS b,
+ CASE WHEN len(flags) > 0 THEN 100.0 * list_sum([CASE f WHEN 'coherent' THEN 1.0 WHEN 'mixed' THEN 0.6 WHEN 'redundant' THEN 0.2 ELSE 0.0 END FOR f IN flags])::DOUBLE / len(flags) ELSE 0 END AS c,
+ least(100.0, 100.0 * mean_share / 0.6) AS e, CASE WHEN n_claimed > 0 THEN 100.0 * pow(n_topics / n_claimed::DOUBLE, 2) ELSE 0 END AS f FROM rep),
+sc AS (SELECT insight_id, section, supporting_projects, n_topics, n_claimed, mean_share, round(a, 1)::DOUBLE AS volume_score, round(b, 1)::DOUBLE AS breadth_score, round(c, 1)::DOUBLE AS quality_score, round(e, 1)::DOUBLE AS bridge_score, round(f, 1)::DOUBLE AS cleanliness_score,
+ round((0.30::DOUBLE * a + 0.10::DOUBLE * b + 0.20::DOUBLE * c + 0.25::DOUBLE * e + 0.15::DOUBLE * f)::DOUBLE, 1) AS confidence_score FROM p),
+ti AS (SELECT *, CASE WHEN confidence_score >= 70 THEN 'high' WHEN confidence_score >= 50 THEN 'medium' ELSE 'low' END AS confidence_band,
+ CASE WHEN n_claimed > 0 AND n_topics = 0 THEN 'rejected' WHEN confidence_score >= 70 AND supporting_projects >= 40 AND n_topics >= 2 AND quality_score >= 40 AND bridge_score >= 60 THEN 'top'
+  WHEN confidence_score >= 55 AND supporting_projects >= 25 AND quality_score >= 30 AND bridge_score >= 50 THEN 'secondary'
+  WHEN confidence_score >= 40 AND supporting_projects >= 15 AND quality_score >= 20 AND bridge_score >= 40 THEN 'tertiary' ELSE 'rejected' END AS tier FROM sc)"""
+_SCORES = ("volume_score", "breadth_score", "quality_score", "bridge_score", "cleanliness_score")
+
+
+def _scored(spark, d):
+    sizes = _topic_weights(spark, d).groupBy("grp").agg(F.countDistinct("project").alias("size"))
+    return insights.confidence(_report(spark, d), insights.volume_scale(sizes, 0.5), 3.0, 0.6, 70, 50)
+
+
+@query(f"{_SCORE} SELECT insight_id, {', '.join(_SCORES)}, confidence_score, confidence_band FROM ti")
 def confidence(spark, d):
-    return _insights(spark, d).select("insight_id", _confidence().alias("confidence"))
+    return _scored(spark, d).select("insight_id", *_SCORES, "confidence_score", "confidence_band")
 
 
-@query(f"{_INS} SELECT insight_id, CASE WHEN supporting_projects < 20 THEN 'rejected' WHEN {_CONF} >= 70 THEN 'top' WHEN {_CONF} >= 50 THEN 'secondary' ELSE 'tertiary' END AS tier FROM e")
+@query(f"""{_SCORE} SELECT insight_id, tier, CASE WHEN n_claimed > 0 AND n_topics = 0 THEN 'verification_failed' WHEN tier <> 'rejected' THEN NULL WHEN supporting_projects < 15 THEN 'low_support'
+ WHEN quality_score < 20 THEN 'low_topic_quality' WHEN bridge_score < 40 THEN 'low_bridge_strength' ELSE 'below_thresholds' END AS rejected_reason_code FROM ti""")
 def tiering(spark, d):
-    return _insights(spark, d).select("insight_id", insights.tier(_confidence(), F.col("supporting_projects")).alias("tier"))
+    return insights.tiers(_scored(spark, d), **_TIERS).select("insight_id", "tier", "rejected_reason_code")
+
+
+@query(f"""{_SCORE}, l AS (SELECT unnest(['volume_score', 'breadth_score', 'quality_score', 'bridge_score', 'cleanliness_score', 'confidence_score', 'supporting_projects', 'n_topics', 'mean_share']) AS field,
+ unnest([volume_score, breadth_score, quality_score, bridge_score, cleanliness_score, confidence_score, supporting_projects::DOUBLE, n_topics::DOUBLE, mean_share::DOUBLE]) AS v FROM ti)
+SELECT field, count(v) AS n, round(avg(v), 4) AS mean, min(v) AS least, round(quantile_cont(v, 0.25), 4) AS p25, round(quantile_cont(v, 0.5), 4) AS p50, round(quantile_cont(v, 0.75), 4) AS p75, max(v) AS most, round(avg((v >= 99.9)::INT::DOUBLE), 4) AS at_ceiling FROM l GROUP BY field""")
+def calibration(spark, d):
+    return insights.calibration(_scored(spark, d))
 
 
-@query(f"""{_INS}, o AS (SELECT *, row_number() OVER (ORDER BY mean_share DESC, insight_id) AS r FROM e), g AS (SELECT *, row_number() OVER (PARTITION BY grp, r <= 5 ORDER BY r) AS g FROM o),
-sec AS (SELECT insight_id, r, CASE WHEN r <= 5 THEN 'main_cross' WHEN g = 1 THEN 'main_by_group' ELSE 'appendix' END AS section FROM g) SELECT insight_id, section, row_number() OVER (PARTITION BY section ORDER BY r) AS place FROM sec""")
+@query(f"{_SCORE} SELECT insight_id, confidence_score FROM ti WHERE tier = 'rejected' AND confidence_score >= 40 AND supporting_projects >= 10")
+def dead_zone(spark, d):
+    return insights.dead_zone(insights.tiers(_scored(spark, d), **_TIERS)).select("insight_id", "confidence_score")
+
+
+_TOP = f"""{_REP}, b AS (SELECT *, section = 'key_insights' AS x, verification_ratio >= 0.75 AS able FROM rep),
+k AS (SELECT *, row_number() OVER (PARTITION BY section, CASE WHEN NOT x THEN category_bucket END, able ORDER BY supporting_projects DESC, n_topics DESC, mean_share DESC, title, insight_id) AS r FROM b),
+m AS (SELECT *, CASE WHEN able AND r <= CASE WHEN x THEN 5 ELSE 1 END THEN 'main_' ELSE 'appendix_' END || CASE WHEN x THEN 'cross' ELSE 'by_group' END AS report_section FROM k),
+top AS (SELECT *, row_number() OVER (PARTITION BY report_section, CASE WHEN report_section = 'appendix_by_group' THEN category_bucket END
+ ORDER BY CASE WHEN report_section = 'main_by_group' THEN category_bucket END, supporting_projects DESC, n_topics DESC, mean_share DESC, title, insight_id) AS report_order FROM m)"""
+
+
+@query(f"{_TOP} SELECT insight_id, report_section, report_order FROM top")
 def topline(spark, d):
-    return insights.topline(_insights(spark, d), "grp", [F.desc("mean_share"), F.asc("insight_id")]).select("insight_id", "section", "place")
+    return insights.topline(_report(spark, d), 5, 0.75).select("insight_id", "report_section", "report_order")
+
+
+@query(f"""{_TOP}, o AS (SELECT section, category_bucket, insight_id, report_section, row_number() OVER (PARTITION BY section, category_bucket ORDER BY report_section, report_order, title) AS place FROM top)
+SELECT CASE WHEN section = 'key_insights' THEN 'key_insights' ELSE category_bucket END AS part, place, insight_id, report_section FROM o""")
+def nested_report(spark, d):
+    """The nested document, read back: what each part lists and in which order."""
+    doc = insights.nested(insights.topline(_report(spark, d), 5, 0.75))
+    item = "array<struct<insight_id string, report_section string>>"
+    read = doc.select(F.from_json("document", f"key_insights {item}, by_group map<string, {item}>").alias("d")).select(F.explode(F.map_concat("d.by_group", F.create_map(F.lit("key_insights"), "d.key_insights"))).alias("part", "items"))
+    return read.select("part", F.posexplode("items").alias("k", "x")).select("part", (F.col("k") + 1).alias("place"), "x.insight_id", "x.report_section")
 
 
 _SETS = """WITH s AS (SELECT p_partkey AS insight_id, p_brand AS bucket, list_distinct(string_split(lower(p_name), ' ')) AS title, list_distinct(string_split(lower(p_type), ' ')) AS words, [p_size % 5, p_size % 7] AS topics FROM part),
@@ -426,8 +574,9 @@ def geo_left_join(spark, d):
 
 @query("SELECT source, doc_id, length(text) AS n FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY length(text) DESC, doc_id) = 1")
 def essay_lookup(spark, d):
-    w = Window.partitionBy("source").orderBy(F.desc(F.length("text")), "doc_id")
-    return t(spark, d, "documents").withColumn("r", F.row_number().over(w)).filter("r = 1").select("source", "doc_id", F.length("text").cast("long").alias("n"))
+    """The longest text of each source, ties by id: an aggregate, so no text moves."""
+    best = F.max(F.struct(F.length("text").cast("long").alias("n"), (-F.col("doc_id")).alias("i"))).alias("x")
+    return t(spark, d, "documents").groupBy("source").agg(best).select("source", (-F.col("x.i")).alias("doc_id"), "x.n")
 
 
 @query("SELECT quality AS category, count(*) AS n, round(count(*) / sum(count(*)) OVER ()::DOUBLE, 4) AS pct FROM documents LEFT JOIN labels USING (doc_id) GROUP BY quality")
@@ -505,16 +654,16 @@ def event_windows(spark, d):
     return windowed(t(spark, d, "events")).withColumn("total", F.round("total", 4)).withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
-@query()
+@query("SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY md5('42:' || doc_id::VARCHAR), doc_id) AS r FROM documents QUALIFY r <= 20")
 def sample_per_group(spark, d):
-    w = Window.partitionBy("source").orderBy(F.xxhash64("source", "doc_id", F.lit(42)), "doc_id")
-    return t(spark, d, "documents").withColumn("r", F.row_number().over(w)).filter("r <= 20").select("source", "doc_id", "r")
+    w = Window.partitionBy("source").orderBy(F.md5(F.concat(F.lit("42:"), F.col("doc_id").cast("string"))), "doc_id")
+    return t(spark, d, "documents").select("source", "doc_id").withColumn("r", F.row_number().over(w)).filter("r <= 20")
 
 
 @query()
 def term_clusters(spark, d):
     """Clusters among all rare tokens, those of fewer than 1,000 documents."""
-    rare = tokens.doc_freq(toks(spark, d, limit=None)).filter("doc_freq < 1000")
+    rare = tokens.doc_freq(toks(spark, d)).filter("doc_freq < 1000")
     return clusters.cluster_terms(clusters.embed(rare.select(F.col("token").alias("term"))))
 
 
@@ -524,3 +673,214 @@ SELECT theme, array_to_string(terms[1:5], ',') AS label, n_groups FROM m a WHERE
 def cross_group_themes(spark, d):
     tops = _slice(spark, d, 15).groupBy("source").agg(F.collect_list("token").alias("top_terms")).withColumn("topic_id", F.lit(0))
     return topics.cross_group_themes(topics.cross_group_pairs(tops, "source"), least_groups=2)
+
+
+_TAX = [("jobs", ["state of", "Union_address ", "the"], ["  of  the"], "2-4%"), ("letters", ["que la", "lorem"], None, "30%"), ("other", [], ["in the", "no such phrase"], "n/a")]
+_TAX_SQL = "tax(category, terms, target) AS (VALUES ('jobs', ['state of', 'union address', 'of the'], '2-4%'), ('letters', ['que la'], '30%'), ('other', ['in the', 'no such phrase'], 'n/a'))"
+
+
+def _taxonomy(spark):
+    return spark.createDataFrame(_TAX, "category string, examples array<string>, counter_examples array<string>, target_coverage_pct string")
+
+
+@query(f"{_GRAMS}, {_TAX_SQL}, p AS (SELECT DISTINCT unnest(terms) AS term FROM tax) SELECT term, term IN (SELECT term FROM v WHERE doc_freq >= 8 AND doc_freq <= 0.9 * (SELECT count(*) FROM lists)) AS available FROM p")
+def phrase_anchors(spark, d):
+    v = tokens.ngram_vocabulary(tokens.token_lists(toks(spark, d)), max_share=0.9)
+    return enrich.phrase_anchors(_taxonomy(spark), v)
+
+
+_PHRASES = """pm(term, injected) AS (VALUES ('and', '__cat_join__'), ('und der', '__framing_pair__'), ('de la que', '__framing_three__'), ('que', '__subject_relative__')),
+pg AS (SELECT doc_id, injected, min(i) AS pos FROM (SELECT doc_id, n, i, array_to_string(l[i:i + n - 1], ' ') AS term FROM (SELECT doc_id, l, n, unnest(range(1, len(l) - n + 2)) AS i FROM lists, (VALUES (1), (2), (3)) v(n) WHERE len(l) >= n)) JOIN pm USING (term) GROUP BY ALL),
+px AS (SELECT doc_id, string_agg(injected, ',' ORDER BY pos, injected) AS i FROM pg GROUP BY doc_id)"""
+
+
+@query(f"WITH {_TOK}, {_PHRASES} SELECT doc_id, array_to_string(l, ',') || coalesce(',' || i, '') AS tokens FROM lists LEFT JOIN px USING (doc_id)")
+def inject_phrases(spark, d):
+    lookup = spark.createDataFrame([("and", "__cat_join__"), ("und der", "__framing_pair__"), ("de la que", "__framing_three__"), ("que", "__subject_relative__")], "term string, injected string")
+    return enrich.inject(tokens.token_lists(toks(spark, d)), lookup).select("doc_id", F.array_join("tokens", ",").alias("tokens"))
+
+
+_SEM = [("and", "join", "plain", 1), ("der", "article", None, 1), ("ing", "join", "", 2), ("absent", "x", "y", 2)]
+_FRAME = [("and", "barrier_removal"), ("que", "subject_relative"), ("der", "context_german"), ("des", None)]
+
+
+@query(f"""WITH {_TOK}, sem(term, c, s) AS (VALUES ('and', 'join', 'plain'), ('der', 'article', NULL), ('ing', 'join', ''), ('absent', 'x', 'y')),
+fr(term, c) AS (VALUES ('and', 'barrier_removal'), ('que', 'subject_relative'), ('der', 'context_german')), ok AS (SELECT token AS term, doc_freq FROM df WHERE doc_freq >= 5)
+SELECT DISTINCT term, injected FROM (SELECT term, '__cat_' || c || '__' AS injected FROM sem JOIN ok USING (term) WHERE doc_freq <= 400 UNION ALL SELECT term, '__sub_' || s || '__' FROM sem JOIN ok USING (term) WHERE doc_freq <= 400 AND s <> ''
+UNION ALL SELECT term, CASE WHEN c LIKE 'subject\\_%' ESCAPE '\\' OR c LIKE 'context\\_%' ESCAPE '\\' THEN '__' ELSE '__framing_' END || c || '__' FROM fr JOIN ok USING (term) WHERE doc_freq <= 400 OR (term = 'and' AND c = 'barrier_removal'))""")
+def injection_lookup_full(spark, d):
+    sem = spark.createDataFrame(_SEM, "term string, primary_category string, subcategory string, source_cluster int")
+    frame = spark.createDataFrame(_FRAME, "term string, category string")
+    kept = spark.createDataFrame([("and", "barrier_removal"), ("que", "another")], "term string, category string")
+    return enrich.full_lookup(sem, frame, tokens.doc_freq(toks(spark, d)).withColumnRenamed("token", "term"), 5, 400, kept)
+
+
+@query("""WITH g AS (SELECT p_brand AS cluster, list_sort(list_distinct(list(p_type))) AS terms, CASE min(p_partkey) % 3 WHEN 0 THEN 'inject' WHEN 1 THEN 'split' ELSE 'discard' END AS decision FROM part GROUP BY p_brand)
+SELECT cluster AS source_cluster, unnest(terms) AS term, 'c_' || cluster AS primary_category, 's' AS subcategory FROM g WHERE decision = 'inject'
+UNION ALL SELECT cluster, unnest(terms[1:2]), 'first', NULL FROM g WHERE decision = 'split'""")
+def gate_expand(spark, d):
+    part = t(spark, d, "part").groupBy(F.col("p_brand").alias("cluster")).agg(F.sort_array(F.collect_set("p_type")).alias("terms"), F.min("p_partkey").alias("k"))
+    decision = F.when(F.col("k") % 3 == 0, "inject").when(F.col("k") % 3 == 1, "split").otherwise("discard")
+    groups = F.array(F.struct(F.lit("first").alias("category"), F.slice("terms", 1, 2).alias("terms")))
+    return enrich.expand_gate(part.select("cluster", "terms", decision.alias("decision"), F.concat(F.lit("c_"), "cluster").alias("category"), F.lit("s").alias("subcategory"), groups.alias("groups")))
+
+
+@query("""WITH c AS (SELECT p_type AS category, count(*) AS n FROM part GROUP BY p_type), t(category, target) AS (VALUES ('ECONOMY BRASS', 3.0), ('no such type', 5.0), ('PROMO COPPER', 60.0))
+SELECT category, round(coalesce(100.0 * n / (SELECT sum(n) FROM c), 0), 6)::DOUBLE AS actual_pct, target::DOUBLE AS target_pct FROM t LEFT JOIN c USING (category) WHERE abs(coalesce(100.0 * n / (SELECT sum(n) FROM c), 0) - target) > 2""")
+def coverage_deviation(spark, d):
+    want = spark.createDataFrame([("ECONOMY BRASS", "2-4%"), ("no such type", " 5% "), ("PROMO COPPER", "60"), ("unknown", "some"), ("none", None)], "category string, target_coverage_pct string")
+    return enrich.coverage_deviation(t(spark, d, "part").select(F.col("p_type").alias("category")), want, 2).withColumn("actual_pct", F.round("actual_pct", 6))
+
+
+_LAB = f"""WITH {_W}, tt AS (SELECT grp, topic, ['term ' || topic, 'word' || topic, 'two words', 'x' || (topic % 3)] AS top_terms FROM (SELECT DISTINCT grp, topic FROM w)),
+hv AS (SELECT grp, topic, project, row_number() OVER (PARTITION BY grp, topic ORDER BY weight DESC, project) AS k FROM w)"""
+
+
+def _top_terms(spark, d):
+    tt = _topic_weights(spark, d).select("grp", "topic").distinct()
+    k = F.col("topic").cast("string")
+    return tt.select("grp", F.col("topic").alias("topic_id"), F.array(F.concat(F.lit("term "), k), F.concat(F.lit("word"), k), F.lit("two words"), F.concat(F.lit("x"), (F.col("topic") % 3).cast("string"))).alias("top_terms"))
+
+
+@query(f"""{_LAB} SELECT grp, topic AS topic_id, 'word' || topic || ', x' || (topic % 3) AS unigrams, 'term ' || topic || ', two words' AS bigrams, array_to_string(top_terms, ', ') AS nmf_terms,
+(SELECT string_agg('- ' || coalesce(o_orderpriority, ''), chr(10) ORDER BY k) FROM hv LEFT JOIN orders ON o_orderkey = project WHERE hv.grp = tt.grp AND hv.topic = tt.topic AND k <= 5) AS snippets FROM tt""")
+def label_payload(spark, d):
+    w = _topic_weights(spark, d).withColumnRenamed("topic", "topic_id")
+    texts = t(spark, d, "orders").select(F.col("o_orderkey").alias("project"), F.col("o_orderpriority").alias("text"))
+    return labels.payloads(_top_terms(spark, d), w, texts, "grp", "project")
+
+
+@query(f"""{_LAB} SELECT grp, string_agg('  ' || grp || ' | topic ' || topic || ' | label: L' || topic || ' | coherence: mixed | top_terms: ' || array_to_string(top_terms[1:3], ', ') || ' | description: ', chr(10) ORDER BY topic) AS lines FROM tt GROUP BY grp""")
+def topic_lines(spark, d):
+    rows = _top_terms(spark, d).withColumns({"proposed_label": F.concat(F.lit("__framing__ L"), F.col("topic_id").cast("string")), "coherence_flag": F.lit("mixed"), "description": F.lit(None).cast("string")})
+    return labels.topic_lines(rows, "grp", 3)
+
+
+@query("WITH b AS (SELECT n_regionkey, n_name, row_number() OVER (ORDER BY n_regionkey, n_name) AS i, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_name) AS k FROM nation) SELECT 'KI_' || lpad((n_regionkey + 1)::VARCHAR, 3, '0') AS insight_id, 'key_insights' AS section, NULL AS category_bucket, n_name AS title FROM b WHERE k = 1 UNION ALL SELECT 'BG_' || lpad(i::VARCHAR, 3, '0'), 'by_group', n_regionkey::VARCHAR, n_name FROM b")
+def insight_candidates(spark, d):
+    n = t(spark, d, "nation").groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct(F.col("n_name").alias("title")))).alias("value"))
+    doc = n.agg(F.array_sort(F.collect_list(F.struct("n_regionkey", "value"))).alias("l"))
+    doc = doc.select(F.transform("l", lambda x: x["value"][0]).alias(insights.KEY), F.transform("l", lambda x: F.struct(x["n_regionkey"].cast("string").alias("key"), x["value"].alias("value"))).alias("by_group"))
+    return insights.candidates(doc).select("insight_id", "section", "category_bucket", "insight.title")
+
+
+@query("""SELECT c_custkey, trim(c_name) AS title, CASE WHEN c_acctbal < 0 THEN 'missing finding' END AS problem, [c_mktsegment || '|' || c_nationkey] AS topics FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')
+UNION ALL SELECT c_custkey, trim(c_name), CASE WHEN c_acctbal < 0 THEN 'missing finding' END, [] FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')""")
+def insight_normalized(spark, d):
+    c = t(spark, d, "customer")
+    topic = F.struct(F.concat(F.lit(" "), "c_mktsegment").alias("group"), F.col("c_nationkey").cast("double").alias("topic_id"))
+    rows = c.select("c_custkey", F.concat(F.lit("  "), "c_name").alias("title"), F.when(F.col("c_acctbal") >= 0, "found").alias("finding"), F.lit("e").alias("evidence_basis"), F.lit("s").alias("scope_or_caveat"), F.lit(None).cast("string").alias("why_it_matters"), F.array(topic, topic).alias("source_topics"))
+    out = insights.normalized(rows, ["BUILDING", "MACHINERY"])
+    return out.select("c_custkey", "title", "problem", F.transform("source_topics", lambda s: F.concat_ws("|", s["group"], s["topic_id"].cast("string"))).alias("topics"))
+
+
+@query(f"{_REP}, n AS (SELECT section, category_bucket, count(*) AS n FROM rep GROUP BY ALL) SELECT NULL AS category_bucket, sum(n)::BIGINT AS n FROM n WHERE section = 'key_insights' HAVING sum(n) NOT BETWEEN 4 AND 6 UNION ALL SELECT g.b, coalesce(n, 0) FROM (VALUES ('A'), ('R'), ('Z')) g(b) LEFT JOIN n ON n.category_bucket = g.b WHERE coalesce(n, 0) NOT BETWEEN 2 AND 5")
+def section_problems(spark, d):
+    groups = spark.createDataFrame([("A",), ("R",), ("Z",)], "category_bucket string")
+    return insights.section_problems(_report(spark, d), groups, (4, 6), (2, 5)).drop("problem")
+
+
+_CHART = """ch AS (SELECT insight_id, field, category, count(*) AS n FROM (SELECT 'P' || (o_orderkey % 6) AS insight_id, unnest(['status', 'priority']) AS field, unnest([o_orderstatus, o_orderpriority]) AS category FROM orders
+UNION ALL SELECT 'full_corpus', unnest(['status', 'priority']), unnest([o_orderstatus, o_orderpriority]) FROM orders) GROUP BY ALL),
+cp AS (SELECT *, round(n / sum(n) OVER (PARTITION BY insight_id, field)::DOUBLE, 4) AS pct FROM ch)"""
+
+
+def _charts(spark, d, top=None):
+    o = t(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"))
+    members = o.select(F.concat(F.lit("P"), (F.col("o_orderkey") % 6).cast("string")).alias("insight_id"), "o_orderkey")
+    return charts.by_insight(o, members, ["status", "priority"], "o_orderkey", top)
+
+
+@query(f"WITH {_CHART} SELECT insight_id, field, category, n, pct FROM (SELECT *, row_number() OVER (PARTITION BY insight_id, field ORDER BY n DESC, category) AS r FROM cp) WHERE insight_id = 'full_corpus' OR field <> 'priority' OR r <= 3")
+def insight_charts(spark, d):
+    return _charts(spark, d, {"priority": 3})
+
+
+@query(f"""WITH {_CHART}, z AS (SELECT insight_id, max(s) AS s FROM (SELECT insight_id, field, sum(n) AS s FROM cp GROUP BY ALL) GROUP BY insight_id),
+k AS (SELECT DISTINCT i.insight_id, b.field, b.category FROM cp b, z i WHERE i.insight_id <> 'full_corpus' AND s > 240),
+f AS (SELECT k.insight_id, k.field, round(sum(abs(coalesce(a.pct, 0) - coalesce(b.pct, 0))) / 2, 4) AS tvd FROM k LEFT JOIN cp a ON a.insight_id = k.insight_id AND a.field = k.field AND a.category = k.category LEFT JOIN cp b ON b.insight_id = 'full_corpus' AND b.field = k.field AND b.category = k.category GROUP BY ALL)
+SELECT *, round(avg(tvd) OVER (PARTITION BY insight_id), 4) AS mean_tvd FROM f""")
+def distinctness(spark, d):
+    members = t(spark, d, "orders").groupBy(F.concat(F.lit("P"), (F.col("o_orderkey") % 6).cast("string")).alias("insight_id")).agg(F.count("*").alias("n"))
+    return charts.distinctness(_charts(spark, d), members, 240)
+
+
+@query(f"WITH {_CHART} SELECT field, round(max(pct) * 1.2, 4) AS xmax FROM cp GROUP BY field")
+def chart_xmax(spark, d):
+    return charts.xmax(_charts(spark, d))
+
+
+@query("""WITH a AS (SELECT c_nationkey AS n, 'bal' AS label, round(sum(c_acctbal * c_custkey) / sum(c_custkey), 4) AS w FROM customer GROUP BY c_nationkey UNION ALL SELECT c_nationkey, 'one', round(sum(CASE WHEN c_acctbal > 0 THEN c_custkey END) / sum(c_custkey), 4) FROM customer GROUP BY c_nationkey)
+SELECT n AS c_nationkey, label, w::DOUBLE AS weighted_avg FROM a""")
+def weighted_shares(spark, d):
+    c = t(spark, d, "customer").withColumn("positive", F.when(F.col("c_acctbal") > 0, 1))
+    return charts.weighted_shares(c, "c_nationkey", {"bal": "c_acctbal", "one": "positive"}, "c_custkey")
+
+
+@query("""WITH a(label, p) AS (SELECT c_mktsegment, round(avg(c_acctbal), 4) FROM customer WHERE c_nationkey < 5 GROUP BY 1), b(label, q) AS (SELECT c_mktsegment, round(avg(c_acctbal), 4) FROM customer WHERE c_mktsegment <> 'BUILDING' GROUP BY 1)
+SELECT round(sum(abs(p - q)) / 2 / 100, 4) AS distance FROM a JOIN b USING (label)""")
+def label_distance(spark, d):
+    c = t(spark, d, "customer")
+    mean = lambda rows: rows.groupBy(F.col("c_mktsegment").alias("label")).agg(F.round(F.avg("c_acctbal"), 4).alias("weighted_avg"))
+    return charts.label_distance(mean(c.filter("c_nationkey < 5")), mean(c.filter("c_mktsegment <> 'BUILDING'")))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, round((l_discount + l_tax + l_quantity) / 3, 4) AS mean FROM lineitem")
+def row_mean(spark, d):
+    return t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", charts.row_mean(["l_discount", "l_tax", "l_quantity"]).alias("mean"))
+
+
+@query("SELECT c_custkey, year(DATE '2024-06-30') - (1990 + c_nationkey) AS years FROM customer")
+def experience_years(spark, d):
+    return t(spark, d, "customer").select("c_custkey", fields.experience_years(F.lit("2024-06-30").cast("date"), 1990 + F.col("c_nationkey")).alias("years"))
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 50 = 1")
+def modulo_sample(spark, d):
+    """A sampling operator: one residue class of 50 is what it is for."""
+    return t(spark, d, "orders").filter(fields.modulo_sample(F.col("o_orderkey"))).select("o_orderkey")
+
+
+@query(f"WITH {_TOK} SELECT count(*) AS retained, min(doc_freq) AS least, max(doc_freq) AS most, median(doc_freq)::DOUBLE AS median FROM df WHERE doc_freq >= 3")
+def doc_freq_summary(spark, d):
+    return tokens.doc_freq_summary(tokens.doc_freq(toks(spark, d)).filter("doc_freq >= 3"))
+
+
+@query(f"""WITH {_TOK}, n AS (SELECT doc_id, count(*) AS n FROM tok GROUP BY doc_id), top AS (SELECT token FROM df ORDER BY corpus_freq DESC, token LIMIT 200), b AS (SELECT coalesce(string_agg(token, ',' ORDER BY token), '') AS v FROM top WHERE token IN ({_STOP}))
+SELECT 'cp1' AS checkpoint, count(*) AS n_docs, (SELECT count(*) FROM df) AS vocabulary, (SELECT sum(corpus_freq)::BIGINT FROM df) AS n_tokens, min(n) AS least, median(n)::DOUBLE AS p50, max(n) AS most, (SELECT v FROM b) AS stopword_violations, (SELECT v = '' FROM b) AS no_stopwords FROM n""")
+def quality_gate(spark, d):
+    return quality.quality_report(toks(spark, d), tokens.STOPWORDS, "cp1")
+
+
+@query(f"""{_GRAMS}, u1 AS (SELECT token AS term, doc_freq, corpus_freq, 'unigram' AS source FROM df WHERE doc_freq >= 2), g2 AS (SELECT term, doc_freq, corpus_freq, 'ngram' AS source FROM v WHERE doc_freq >= 8 AND doc_freq <= 0.4 * (SELECT count(*) FROM lists))
+SELECT *, CASE len(string_split(term, ' ')) WHEN 1 THEN 'unigram' WHEN 2 THEN 'bigram' ELSE 'ngram' END AS term_type FROM (SELECT * FROM u1 UNION ALL SELECT * FROM g2 WHERE term NOT IN (SELECT term FROM u1))""")
+def taxonomy_union(spark, d):
+    tk = toks(spark, d)
+    uni = tokens.vocabulary(tk, 1).filter("doc_freq >= 2").withColumnRenamed("token", "term")
+    return tokens.taxonomy_vocabulary(uni, tokens.ngram_vocabulary(tokens.token_lists(tk)))
+
+
+@query(f"""{_GRAMS}, tf AS (SELECT doc_id, term AS token, count(*) AS tf FROM g WHERE n <= 2 GROUP BY ALL), d2 AS (SELECT token, count(*) AS df FROM tf GROUP BY token), nd AS (SELECT count(*) AS n FROM documents),
+w AS (SELECT doc_id, token, tf, df, ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf FROM tf JOIN d2 USING (token), nd WHERE df >= 10 AND df <= 0.4 * n)
+SELECT doc_id, token, tf, df, round(tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id)), 6) AS tfidf FROM w""")
+def tfidf_ngrams(spark, d):
+    """Single words and pairs as terms, from the vectoriser's own words."""
+    terms = tokens.vector_terms(tokens.token_lists(toks(spark, d)), (1, 2))
+    return tfidf.tfidf(terms, n_docs(spark, d), min_df=10, max_share=0.4).select("doc_id", "token", "tf", "df", F.round("tfidf", 6).alias("tfidf"))
+
+
+_STAR = """SELECT o.o_orderkey, c.c_name, cn.n_name AS customer_nation, cr.r_name AS customer_region, s.s_name, sn.n_name AS supplier_nation, sr.r_name AS supplier_region, p.p_type, coalesce(lb.quality, -1) AS quality, e.event_type IS NOT NULL AS seen,
+CASE WHEN c.c_acctbal < 0 THEN 'Yes' ELSE 'No' END AS in_debt, CASE o.o_orderstatus WHEN 'F' THEN 'Done' WHEN 'O' THEN 'Open' ELSE 'Other' END AS state
+FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN nation cn ON cn.n_nationkey = c.c_nationkey LEFT JOIN region cr ON cr.r_regionkey = cn.n_regionkey
+LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey LEFT JOIN part p ON p.p_partkey = l.l_partkey LEFT JOIN supplier s ON s.s_suppkey = l.l_suppkey LEFT JOIN nation sn ON sn.n_nationkey = s.s_nationkey LEFT JOIN region sr ON sr.r_regionkey = sn.n_regionkey
+LEFT JOIN labels lb ON lb.doc_id = o.o_orderkey LEFT JOIN (SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events WHERE event_type = 'click') e ON e.user_id = o.o_custkey AND e.day = CAST(l.l_shipdate AS DATE)
+WHERE (NOT (o.o_orderstatus = 'P') OR (o.o_orderstatus = 'P') IS NULL) AND (NOT (upper(sr.r_name) = 'ASIA') OR (upper(sr.r_name) = 'ASIA') IS NULL)
+GROUP BY ALL"""
+
+
+@query(_STAR)
+def attributes_snowflake(spark, d):
+    """Facts with every table around them, some of these twice, and one join on key and day; grouping by all columns takes away what fanned out."""
+    for name in ("orders", "customer", "nation", "region", "lineitem", "part", "supplier", "labels", "events"):
+        t(spark, d, name).createOrReplaceTempView(name)
+    return spark.sql(_STAR)

@@ -22,8 +22,10 @@ def build_session(app: str = "seamwright", master: str | None = None, **conf: st
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Sends this package to the Python workers, once per application, and where Arrow batches have Spark's default size
-    makes them smaller: ten thousand documents at once would take hundreds of megabytes in each worker."""
+    """Sends this package to the Python workers, once per application.
+
+    Where the session's Arrow batches have Spark's default size it makes them smaller, for the whole session: ten thousand
+    documents at once would take hundreds of megabytes in each worker.  A session with other sizes keeps them."""
     sc = spark.sparkContext
     for key, default, ours in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "2000"), ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "16777216b")):
         if spark.conf.get(key, default) == default:

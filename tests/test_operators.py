@@ -16,9 +16,9 @@ def test_position_cap_counts_leading_empty(spark):
 
 
 def test_consolidation(spark):
-    f = spark.createDataFrame([("word", 9), ("words", 8), ("classes", 7), ("class", 6), ("motiv", 5), ("bus", 4)], "token string, corpus_freq long")
-    got = {r["token"]: (r["flag_type"], r["replacement"]) for r in tokens.consolidation_candidates(f).collect()}
-    assert got == {"words": ("plural", "word"), "classes": ("plural", "class"), "motiv": ("truncation", "")}
+    f = spark.createDataFrame([("word", 9), ("words", 8), ("classes", 7), ("class", 6), ("motiv", 5), ("bus", 4), ("boss", 3), ("activ", 2)], "token string, corpus_freq long")
+    got = {r["token"]: (r["flag_type"], r["replacement"]) for r in tokens.consolidation_candidates(f, 7, {"bus": "buses", "activ": "active"}).collect()}
+    assert got == {"word": ("", ""), "words": ("", "word"), "classes": ("", "class"), "class": ("", ""), "motiv": ("truncation", ""), "bus": ("", "buses"), "boss": ("", "")}
 
 
 def test_map_is_one_pass(spark):
@@ -33,7 +33,9 @@ def test_filters(spark):
     assert filters.apply_filters(df, []).count() == 3
     assert [r["id"] for r in filters.apply_filters(df, [{"field": "g", "op": "is_null"}]).collect()] == [2]
     assert filters.exclude_groups(df, "g", ["a"]).count() == 2
-    for bad in ({"field": "zz", "op": "eq", "value": 1}, {"field": "g", "op": "like"}, {"field": "v", "op": "range"}):
+    with pytest.raises(ValueError):
+        filters.apply_filters(df, [], "or")
+    for bad in ({"field": "zz", "op": "eq", "value": 1}, {"field": "g", "op": "like"}, {"field": "v", "op": "range"}, {"field": "g", "op": "in", "values": []}):
         with pytest.raises(ValueError):
             filters.validate(df, [bad])
     s = filters.summary(df, [{"field": "v", "op": "not_null"}]).first()
@@ -63,21 +65,14 @@ def test_bridge_bounds(spark):
     assert sorted((r["p"], r["topic"]) for r in got) == [(1, 0), (1, 1)]
 
 
-def test_nmf_finds_planted_topics(spark):
-    rows = [("g", d, w, 1.0) for d in range(20) for w in (("a", "b", "c") if d % 2 else ("x", "y", "z"))]
-    df = spark.createDataFrame(rows, "grp string, doc_id long, token string, tfidf double")
-    got = topics.nmf(df, "grp", k=2, top=3).collect()
-    assert sorted(sorted(r["top_terms"]) for r in got) == [["a", "b", "c"], ["x", "y", "z"]]
-    assert all(w >= 0 for r in got for w in r["top_weights"])
-
-
 def test_greedy_dedupe():
-    assert insights.greedy_dedupe(["a", "b", "c"], {("a", "b"), ("b", "c")}) == ["a", "c"]
+    assert insights.greedy_dedupe(["a", "b", "c"], {("a", "b"), ("b", "c")}) == {"a": None, "b": "a", "c": None}
+    assert insights.greedy_dedupe(["a", "b", "c"], {("a", "c"), ("b", "c")}) == {"a": None, "b": None, "c": "a"}
 
 
 def test_rule():
-    assert topics.n_components(1000, 1000, 15) == 15
-    assert topics.n_components(10, 10, 15) == 4
+    assert topics.n_components(1000, 1000, 15) == 15 and topics.n_components(10_000, 10_000, 25) == 25
+    assert topics.n_components(10, 10, 15) == 4 and topics.n_components(1000, 1000, 15, small=True) == 8
 
 
 def test_tvd_one_sided(spark):
