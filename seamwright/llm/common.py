@@ -2,38 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..durable import durable, shared_dir
+
+__all__ = ["attach", "durable", "partitions", "picked", "shared_dir", "table", "with_offsets"]
 #: A key is frequent when it holds at least 1/FREQUENT of all rows, so there are at most FREQUENT such keys.
 FREQUENT = 1000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where one machine is both (tests)."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    master = spark.sparkContext.master
-    if master != "local" and not master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    held = getattr(spark, "_seamwright_dir", None)
-    if held is None:
-        held = spark._seamwright_dir = tempfile.mkdtemp(prefix="seamwright-")
-    return held
-
-
-def durable(df: DataFrame, name: str, **options) -> DataFrame:
-    """Writes df as Parquet under shared_dir() and reads it back: the lineage ends there and lost executors cost nothing."""
-    path = f"{shared_dir(df.sparkSession)}/seamwright/{name}-{uuid.uuid4().hex}"
-    df.write.mode("error").options(compression="zstd", **options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -47,7 +47,7 @@ LEAST_RUN = 20
 
 
 def op9_substring_dedup(spark, sf_dir):
-    return substring_dedup.removals(table(spark, sf_dir, "documents"), least_run=LEAST_RUN).drop("text_key")
+    return substring_dedup.removals(table(spark, sf_dir, "documents"), least_run=LEAST_RUN).drop("a", "k")
 
 
 def op10_language(spark, sf_dir):

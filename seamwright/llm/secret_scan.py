@@ -58,35 +58,13 @@ _IS_RUN = _class(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 
 
 def runs(data: np.ndarray, member: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Maximal runs of at least ``least`` members.  A run of that length covers least // 4 places in a row that are multiples of 4; only there it is looked for."""
-    grid = member[data[::4]]
-    need = least // 4
-    if len(grid) < need:
-        return []
-    hit = grid[: len(grid) - need + 1].copy()
-    for i in range(1, need):
-        hit &= grid[i : len(grid) - need + 1 + i]
-    out, done = [], 0
-    for p in (np.flatnonzero(hit) * 4).tolist():
-        if p < done:
-            continue
-        a = _edge(data, member, p, -1) + 1
-        done = b = _edge(data, member, p, 1)
-        if b - a >= least:
-            out.append((a, b))
-    return out
-
-
-def _edge(data: np.ndarray, member: np.ndarray, at: int, step: int) -> int:
-    """The first place from ``at`` on in one direction that is no member (-1 or the length at the ends), by growing blocks."""
-    size = 64
-    while 0 <= at < len(data):
-        part = data[at : at + size] if step > 0 else data[max(0, at - size + 1) : at + 1][::-1]
-        if not (inside := member[part]).all():
-            return at + step * int(inside.argmin())
-        at += step * len(part)
-        size *= 2
-    return at
+    """Maximal runs of at least ``least`` members."""
+    inside = np.zeros(len(data) + 2, np.int8)
+    inside[1:-1] = member[data]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])  # starts and ends in turn
+    starts, ends = edges[::2], edges[1::2]
+    long = np.flatnonzero(ends - starts >= least)
+    return list(zip(starts[long].tolist(), ends[long].tolist(), strict=True))
 
 
 def encoding(path: str | None = None):

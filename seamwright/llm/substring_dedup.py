@@ -40,7 +40,9 @@ PASSAGE, WINDOW = 20, 16
 _ENDS = {n: np.array([int.from_bytes(c.encode(), "big") for c in "؟۔։።।॥။។。！？｡．…‼⁇⁈⁉" if len(c.encode()) == n]) for n in (2, 3)}
 #: Code points of scripts written without spaces, with their punctuation: Thai and Lao, Myanmar, Khmer, kana, Han, full-width forms.
 _UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3000, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF00, 0xFF9F))
-_SCHEMA = "doc_id long, key binary, digest binary, first int, end int, start_at int, end_at int, again boolean"
+#: A unit in seven numbers: its document (see ``document_keys``), its digest, first and end word, first and end code point
+#: (two in one, the first one high), and flags: 1 if an equal unit stands before it in this text, 2 if the doc_id is null.
+_SCHEMA = "a long, k long, d1 long, d2 long, words long, places long, flags int"
 
 
 def _words(text: bytes):
@@ -134,14 +136,19 @@ def units(text: bytes, least: int = LEAST_WORDS, passage: int = PASSAGE, window:
     return digests, first, end, starts[first], ends[end - 1], first >= np.array(again, np.int64)  # passages may overlap the first of their kind
 
 
+def document_keys(doc_id, text):
+    """(a, k): a document is a doc_id with a text (64-bit hash k); without doc_id a second hash stands for it."""
+    return F.coalesce(doc_id, F.xxhash64(F.lit(1), text)).alias("a"), F.xxhash64(text).alias("k")
+
+
 def unit_table(docs: DataFrame, least: int = LEAST_WORDS, id_col: str = "doc_id", text_col: str = "text", passage: int = PASSAGE, window: int = WINDOW) -> DataFrame:
     ship(docs.sparkSession)
-    names = ["doc_id", "key", "digest", "first", "end", "start_at", "end_at", "again"]
+    names = [x.split()[0] for x in _SCHEMA.split(", ")]
 
     def run(batches):
         for batch in batches:
             owner, digests, parts = [], [], []
-            for row, text in enumerate(batch.column(1).to_pylist()):
+            for row, text in enumerate(batch.column(3).to_pylist()):
                 got = units(text, least, passage, window) if text else None
                 if got is None or not len(got[0]):
                     continue
@@ -151,46 +158,48 @@ def unit_table(docs: DataFrame, least: int = LEAST_WORDS, id_col: str = "doc_id"
                     a, b = at[a], at[b]
                 owner.append(np.full(len(a), row))
                 digests += got[0]
-                parts.append((got[1].astype(np.int32), got[2].astype(np.int32), a.astype(np.int32), b.astype(np.int32), got[5]))
+                parts.append(((got[1] << 32) | got[2], (a << 32) | b, got[5]))
             if parts:
-                own = pa.array(np.concatenate(owner))
-                columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(own), batch.column(2).take(own), pa.array(digests, pa.binary()), *map(pa.array, columns)], names)
+                own = np.concatenate(owner)
+                words, places, again = (np.concatenate(x) for x in zip(*parts, strict=True))
+                d = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+                a, k, none = (batch.column(c).to_numpy(zero_copy_only=False)[own] for c in range(3))
+                yield pa.RecordBatch.from_arrays([*map(pa.array, (a, k, d[:, 0], d[:, 1], words, places, (again + 2 * none).astype(np.int32)))], names)
 
     rows = picked(docs, {"doc_id": F.col(id_col).cast("long"), "text": F.col(text_col).cast("binary")})
-    return rows.withColumn("key", text_key(F.col("text"))).mapInArrow(run, _SCHEMA)
-
-
-def text_key(text):
-    """Tells documents of one doc_id apart."""
-    return F.unhex(F.md5(text))
+    return rows.select(*document_keys(F.col("doc_id"), F.col("text")), F.col("doc_id").isNull().cast("int").alias("none"), "text").mapInArrow(run, _SCHEMA)
 
 
 def removals(docs: DataFrame, least: int = LEAST_WORDS, least_run: int = 0, passage: int = PASSAGE, window: int = WINDOW) -> DataFrame:
-    """One row per removed span: doc_id, start, end, n_words, n_units, keep_id (lowest doc_id that keeps a unit of it), text_key."""
+    """One row per removed span: doc_id, start, end, n_words, n_units, keep_id (lowest doc_id that keeps a unit of it), and a, k (see ``document_keys``)."""
     rows = durable(unit_table(docs, least, passage=passage, window=window), "units")
-    rank = F.struct(F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1)).alias("r"), F.col("doc_id").isNull().alias("none"), F.col("key").alias("k"))
-    groups = rows.groupBy("digest").agg(F.count("*").alias("n"), F.min(rank).alias("owner")).filter("n > 1")
-    marked = attach(rows, durable(groups, "digests"), "digest", "n", rows.count(), "inner").filter(F.col("again") | (rank != F.col("owner")))
-    w = Window.partitionBy("doc_id", "key").orderBy("first", "end")
+    none = F.col("flags") >= 2
+    rank = F.struct(none.alias("none"), "a", "k")
+    groups = rows.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(rank).alias("owner")).filter("n > 1")
+    marked = attach(rows, durable(groups, "digests"), ["d1", "d2"], "n", rows.count(), "inner").filter((F.col("flags") % 2 == 1) | (rank != F.col("owner")))
+    high, low = lambda c: F.shiftright(c, 32), lambda c: F.col(c).bitwiseAND(0xFFFFFFFF)
+    keep = F.when(~F.col("owner.none"), F.col("owner.a")).alias("keep")
+    marked = marked.select(none.alias("none"), "a", "k", high("words").alias("first"), low("words").alias("end"), high("places").alias("start_at"), low("places").alias("end_at"), keep)
+    document = ["none", "a", "k"]
+    w = Window.partitionBy(*document).orderBy("first", "end")
     upto = w.rowsBetween(Window.unboundedPreceding, -1)
     marked = marked.withColumn("before", F.coalesce(F.max("end").over(upto), F.lit(-1)))
     marked = marked.withColumn("new", F.coalesce((F.lag("first").over(w) != F.col("first")) | (F.lag("end").over(w) != F.col("end")), F.lit(True)))  # repeated rows bring each unit again
     marked = marked.withColumn("run", F.sum((F.col("first") > F.col("before")).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     own = F.greatest(F.col("end") - F.greatest("first", "before"), F.lit(0))
-    spans = marked.withColumn("own", own).groupBy("doc_id", "key", "run").agg(
-        F.min("start_at").cast("long").alias("start"), F.max("end_at").cast("long").alias("end"), F.sum("own").cast("long").alias("n_words"), F.sum(F.col("new").cast("long")).alias("n_units"),
-        F.min(F.when(~F.col("owner.none"), F.col("owner.r"))).alias("keep_id"),
-    )
-    return spans.filter(F.col("n_words") >= least_run).select("doc_id", "start", "end", "n_words", "n_units", "keep_id", F.col("key").alias("text_key"))
+    spans = marked.withColumn("own", own).groupBy(*document, "run").agg(
+        F.min("start_at").alias("start"), F.max("end_at").alias("end"), F.sum("own").alias("n_words"), F.sum(F.col("new").cast("long")).alias("n_units"), F.min("keep").alias("keep_id")
+    )
+    return spans.filter(F.col("n_words") >= least_run).select(F.when(~F.col("none"), F.col("a")).alias("doc_id"), "start", "end", "n_words", "n_units", "keep_id", "a", "k")
 
 
 def cleaned(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """docs with the spans cut out of ``text``; the spans of a document travel with it, offsets stay those of the original."""
     tag = uuid.uuid4().hex[:8]  # for names that no column of docs has
-    ids, key, cut = f"_id{tag}", f"_key{tag}", f"_cut{tag}"
-    per = spans.groupBy(F.col("doc_id").alias(ids), F.col("text_key").alias(key)).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(cut))
-    joined = docs.join(per, docs["doc_id"].cast("long").eqNullSafe(F.col(ids)) & (text_key(docs["text"].cast("binary")) == F.col(key)), "left")
+    ids, cut, a, k = (f"_{c}{tag}" for c in ("id", "cut", "a", "k"))
+    per = spans.groupBy(F.col("doc_id").alias(ids), F.col("a").alias(a), F.col("k").alias(k)).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(cut))
+    own_a, own_k = document_keys(docs["doc_id"].cast("long"), docs["text"].cast("binary"))
+    joined = docs.join(per, docs["doc_id"].cast("long").eqNullSafe(F.col(ids)) & (own_a == F.col(a)) & (own_k == F.col(k)), "left")
     keep_from = F.concat(F.array(F.lit(0).cast("long")), F.transform(cut, lambda c: c["end"]))
     keep_to = F.concat(F.transform(cut, lambda c: c["start"]), F.array(F.length("text").cast("long")))
     kept = F.array_join(F.zip_with(keep_from, keep_to, lambda a, b: F.substring("text", (a + 1).cast("int"), F.greatest(b - a, F.lit(0)).cast("int"))), "")

@@ -1,9 +1,10 @@
 """Lines, sentences and passages against a walk through the words in Python."""
 
-import hashlib
 import random
 import re
-from collections import defaultdict
+
+import numpy as np
+import xxhash
 
 from seamwright.llm import substring_dedup
 
@@ -25,8 +26,17 @@ def units(text, least):
     return sorted(found), words
 
 
+def keys(doc_id, text):
+    """What a document is known by, in order of rank."""
+    k = xxhash.xxh64(text.encode(), seed=42).intdigest()
+    a = xxhash.xxh64(text.encode(), seed=xxhash.xxh64(np.int32(1).tobytes(), seed=42).intdigest()).intdigest()
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    return doc_id is None, signed(a) if doc_id is None else doc_id, signed(k), text
+
+
 def brute(rows, least, least_run):
-    docs = sorted({(d is None, d or 0, hashlib.md5((t or "").encode()).digest(), t or "") for d, t in rows})
+    """Spans of all documents, and what the text of each is without them."""
+    docs, left = sorted({keys(d, t or "") for d, t in rows}), {}
     owner, out = {}, []
     for doc in docs:
         for _, _, u in units(doc[3], least)[0]:
@@ -43,12 +53,14 @@ def brute(rows, least, least_run):
                 spans.append([])
             spans[-1].append((i, j, u))
             upto = max(upto, j)
-        for s in spans:
+        left[doc] = doc[3]
+        for s in spans[::-1]:
             held = {k for i, j, _ in s for k in range(i, j)}
             keep = min((owner[u][1] for _, _, u in s if not owner[u][0]), default=None)
             if len(held) >= least_run:
+                left[doc] = left[doc][: words[min(held)][0]] + left[doc][words[max(held)][1] :]
                 out.append((None if doc[0] else doc[1], words[min(held)][0], words[max(held)][1], len(held), len(s), keep))
-    return sorted(out, key=str)
+    return sorted(out, key=str), left
 
 
 def table(spark, rows):
@@ -70,17 +82,11 @@ def test_lines_and_sentences(spark):
     df = table(spark, rows)
     for least_run in (0, 4):
         spans = substring_dedup.removals(df, least_run=least_run, passage=0)
-        assert sorted((tuple(r)[:6] for r in spans.collect()), key=str) == brute(rows, substring_dedup.LEAST_WORDS, least_run)
-    by = defaultdict(list)
-    for r in substring_dedup.removals(df, passage=0).collect():
-        by[(r["doc_id"], bytes(r["text_key"]))].append((r["start"], r["end"]))
-    want = []
-    for d, t in rows:
-        for a, b in sorted(by[(d, hashlib.md5((t or "").encode()).digest())], reverse=True):
-            t = t[:a] + t[b:]
-        want.append((d, t, "x", 1))
-    got = substring_dedup.cleaned(df, substring_dedup.removals(df, passage=0))
-    assert got.columns == df.columns and sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+        want, left = brute(rows, substring_dedup.LEAST_WORDS, least_run)
+        assert sorted((tuple(r)[:6] for r in spans.collect()), key=str) == want
+    got = substring_dedup.cleaned(df, spans)
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(((d, t and left[keys(d, t)], "x", 1) for d, t in rows), key=str)
 
 
 def test_null_ids_keep_what_repeats_nothing(spark):
