@@ -12,10 +12,11 @@ The number of filters follows the number of vectors (about ``BUCKET`` vectors ea
 least ``RECALL`` of random pairs just at the threshold share a filter, measured on ``TRIALS`` such pairs, so pairs in
 the data (at or above the threshold) are found at that rate or better.
 
-Exact copies are collapsed first, into classes with numbers of their own.  Only (filter, class) rows are counted and dealt;
-vectors join them for the verification alone.  A filter with more than ``BLOCK`` vectors is split into blocks and worked on as pairs
-of blocks, so no task holds more than two blocks however large a group of near copies is; each task returns one row per
-vector (its verified links, and one edge to its least neighbour in the task), never all pairs.
+Exact copies are collapsed first, into classes with numbers of their own.  Filters that differ in the last block only have
+one head; a class goes to the heads of its filters, so its vector moves once for several filters, and their buckets are
+verified there one by one.  Heads of more than ``HEAD`` classes are dealt by filter instead, and a filter with more than
+``BLOCK`` classes as pairs of blocks of them, so no task holds more however large a group of near copies is.  Each task
+returns rows per vector (its verified links, and one edge to its least neighbour in the bucket), never all pairs.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components link with nothing, nor do
 vectors of different lengths; vectors are scaled by their largest component before anything is squared, so finite
@@ -36,9 +37,10 @@ from pyspark.sql import functions as F
 from ..session import ship
 from .common import attach, durable, picked
 from .components import components, least_ids
+from .words import ranges
 
 THRESHOLD, RECALL, TRIALS = 0.9, 0.995, 3000
-BUCKET, BLOCK = 64, 1024
+BUCKET, BLOCK, HEAD = 64, 1024, 32_768
 #: Caps below this are never tried.
 LEAST_CAP = 0.5
 SEED = 20240917
@@ -158,40 +160,85 @@ def _forest(linked: np.ndarray) -> np.ndarray:
         label = new
 
 
+class _Cell:
+    """Classes that met in a task, and what their buckets have shown so far."""
+
+    def __init__(self, table: pa.Table, threshold: float):
+        dim = table.column("dim")[0].as_py()
+        self.threshold = threshold
+        self.ids, self.copies = table.column("rep").to_numpy(), table.column("copies").to_numpy()
+        self.units = scaled(np.array([np.frombuffer(x, "<f4" if len(x) == 4 * dim else "<f8") for x in table.column("vector").to_pylist()], np.float64))
+        lists = table.column("filters").combine_chunks()
+        self.every, self.size = lists.flatten().to_numpy(), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        self.first = np.cumsum(self.size) - self.size
+        self.out = [(np.zeros(0, np.int64),) * 3]
+
+    def _lower(self, rows: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row's place in rows, filter) of the rows' filters below a number."""
+        every, of = self.every[ranges(self.first[rows], self.size[rows])], np.repeat(np.arange(len(rows)), self.size[rows])
+        return of[every < number], every[every < number]
+
+    def add(self, number: int, a: np.ndarray, b: np.ndarray | None = None) -> None:
+        """The pairs within a, or between a and b, that are close and share no lower filter, where they count already."""
+        close = self.units[a] @ self.units[a if b is None else b].T >= self.threshold
+        if b is None:
+            np.fill_diagonal(close, False)
+        if not close.any():
+            return
+        both = a if b is None else np.concatenate((a, b))
+        of, lower = self._lower(both, number)
+        seen, place = np.unique(lower, return_inverse=True)
+        has = np.zeros((len(both), len(seen)), np.float32)
+        has[of, place] = 1
+        close &= has[: len(a)] @ has[0 if b is None else len(a) :].T < 0.5
+        links = close @ self.copies[a if b is None else b]
+        full = close
+        if b is not None:
+            links = np.concatenate((links, close.T @ self.copies[a]))
+            full = np.zeros((len(both), len(both)), bool)
+            full[: len(a), len(a) :] = close
+            full |= full.T
+        order = np.argsort(self.ids[both], kind="stable")
+        root = np.empty(len(both), np.int64)
+        root[order] = self.ids[both][order][_forest(full[np.ix_(order, order)])]
+        found = np.flatnonzero(links)
+        self.out.append((self.ids[both][found], links[found], root[found]))
+
+    def result(self) -> pa.Table:
+        return pa.table({k: np.concatenate(x) for k, x in zip(("rep", "links", "root"), zip(*self.out, strict=True), strict=True)})
+
+
 def _verify(threshold: float):
+    """A filter's bucket, or a pair of blocks of it."""
+
     def run(table: pa.Table) -> pa.Table:
-        own = table.column("own").to_numpy()
+        cell, own = _Cell(table, threshold), table.column("own").to_numpy()
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        number = table.column("filter")[0].as_py()
-        ids, copies = table.column("rep").to_numpy(), table.column("copies").to_numpy()
-        dim = table.column("dim")[0].as_py()
-        units = scaled(np.array([np.frombuffer(x, "<f4" if len(x) == 4 * dim else "<f8") for x in table.column("vector").to_pylist()], np.float64))
-        a = np.flatnonzero(own == i)
-        b = a if i == j else np.flatnonzero(own == j)
-        close = units[a] @ units[b].T >= threshold
-        if i == j:
-            np.fill_diagonal(close, False)
-        if close.any():
-            # only rows and columns with a close pair can share a lower filter that matters
-            ra, rb = np.flatnonzero(close.any(1)), np.flatnonzero(close.any(0))
-            lists = table.column("filters").combine_chunks()
-            every, of = lists.flatten().to_numpy(), np.repeat(np.arange(len(ids)), lists.value_lengths().to_numpy(zero_copy_only=False))
-            seen, place = np.unique(every[every < number], return_inverse=True)
-            has = np.zeros((len(ids), len(seen)), np.float32)
-            has[of[every < number], place] = 1
-            close[np.ix_(ra, rb)] &= has[a[ra]] @ has[b[rb]].T < 0.5
-        links = np.zeros(len(ids), np.int64)
-        np.add.at(links, a, close @ copies[b])
-        if i != j:
-            np.add.at(links, b, close.T @ copies[a])
-        full = np.zeros((len(ids), len(ids)), bool)
-        full[np.ix_(a, b)] = close
-        full |= full.T
-        order = np.argsort(ids, kind="stable")
-        root = np.empty(len(ids), np.int64)
-        root[order] = ids[order][_forest(full[np.ix_(order, order)])]
-        out = np.flatnonzero(links)
-        return pa.table({"rep": ids[out], "links": links[out], "root": root[out]})
+        cell.add(table.column("filter")[0].as_py(), np.flatnonzero(own == i), None if i == j else np.flatnonzero(own == j))
+        return cell.result()
+
+    return run
+
+
+def _verify_head(threshold: float, strides: dict[int, int]):
+    """All buckets of a head."""
+
+    def run(table: pa.Table) -> pa.Table:
+        cell = _Cell(table, threshold)
+        head, stride = table.column("head")[0].as_py(), strides[table.column("dim")[0].as_py()]
+        of = np.repeat(np.arange(len(cell.ids)), cell.size)
+        here = np.flatnonzero(cell.every // stride == head)
+        here = here[np.lexsort((of[here], cell.every[here]))]
+        number, of = cell.every[here], of[here]
+        cuts = [*(np.flatnonzero(number[1:] != number[:-1]) + 1).tolist(), len(number)]
+        for s, e in zip([0, *cuts[:-1]], cuts, strict=True):
+            rows = [of[k : min(k + BLOCK, e)] for k in range(s, e, BLOCK)]
+            for x, a in enumerate(rows):
+                if len(a) > 1:
+                    cell.add(int(number[s]), a)
+                for b in rows[:x]:
+                    cell.add(int(number[s]), a, b)
+        return cell.result()
 
     return run
 
@@ -212,15 +259,25 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
     dims = {r["d"]: r["n"] for r in classes.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).collect()}
     plans = {d: settings(n, d, threshold) for d, n in dims.items()}
     listed = durable(classes.select("rep", "copies", "v").mapInArrow(_filters(plans), "rep long, copies long, dim int, filters array<long>, vector binary"), "filters")
-    spread = listed.select("dim", F.explode("filters").alias("filter"), "rep")
-    sizes = spread.groupBy("dim", "filter").agg(F.count("*").alias("n"))
-    buckets = durable(sizes.filter("n > 1"), "buckets")
-    total = buckets.agg(F.sum("n")).first()[0] or 0
-    cells = attach(spread, buckets, ["dim", "filter"], "n", total, "inner")
-    cells = cells.withColumn("k", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("k")).cast("int"))
-    cells = cells.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).withColumn("i", F.least("own", "o")).withColumn("j", F.greatest("own", "o"))
-    cells = cells.select("filter", "rep", "own", "i", "j").join(listed, "rep")
-    found = durable(cells.groupBy("dim", "filter", "i", "j").applyInArrow(_verify(threshold), "rep long, links long, root long"), "links")
+    # heads of moderate size by themselves, the filters of all others one by one
+    strides = {d: size for d, (size, _, _) in plans.items()}
+    stride = F.create_map(*[F.lit(x).cast("long") for kv in strides.items() for x in kv])[F.col("dim").cast("long")] if strides else F.lit(1).cast("long")
+    headed = listed.withColumn("stride", stride).withColumn("heads", F.expr("array_distinct(transform(filters, f -> f div stride))"))
+    spread = headed.select("dim", F.explode("heads").alias("head"), "rep")
+    sizes = durable(spread.groupBy("dim", "head").agg(F.count("*").alias("n")).filter("n > 1"), "heads")
+    few, many = sizes.filter(F.col("n") <= HEAD), sizes.filter(F.col("n") > HEAD)
+    cells = spread.join(few.select("dim", "head"), ["dim", "head"]).select("head", "rep").join(listed, "rep")
+    kind = "rep long, links long, root long"
+    found = cells.groupBy("dim", "head").applyInArrow(_verify_head(threshold, strides), kind)
+    if not many.isEmpty():
+        crowded = headed.select("dim", "stride", F.explode("filters").alias("filter"), "rep").withColumn("head", F.expr("filter div stride")).join(many.select("dim", "head"), ["dim", "head"], "left_semi").select("dim", "filter", "rep")
+        buckets = durable(crowded.groupBy("dim", "filter").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
+        split = attach(crowded, buckets, ["dim", "filter"], "n", buckets.agg(F.sum("n")).first()[0] or 0, "inner")
+        split = split.withColumn("k", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("k")).cast("int"))
+        split = split.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).withColumn("i", F.least("own", "o")).withColumn("j", F.greatest("own", "o"))
+        split = split.select("filter", "rep", "own", "i", "j").join(listed, "rep")
+        found = found.unionByName(split.groupBy("dim", "filter", "i", "j").applyInArrow(_verify(threshold), kind))
+    found = durable(found, "links")
     tree = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     per = found.groupBy("rep").agg(F.sum("links").alias("links"))
     named = least_ids(classes.select("rep", "first_id", "copies", "h1", "h2").join(per, "rep", "left"), tree, "first_id")

@@ -35,9 +35,10 @@ def brute(rows):
     return sorted(((d, links[i], least[root(i)] if units[i] is not None else d, d == (least[root(i)] if units[i] is not None else d) and d is not None or (d is None)) for i, (d, _) in enumerate(rows)), key=str)
 
 
-@pytest.mark.parametrize("block", [1024, 5])
-def test_rows(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "head"), [(1024, 32_768), (5, 12)])
+def test_rows(spark, monkeypatch, block, head):
     monkeypatch.setattr(embedding_dedup, "BLOCK", block)
+    monkeypatch.setattr(embedding_dedup, "HEAD", head)
     rng = np.random.default_rng(2)
     base = rng.standard_normal((12, 16))
     rows = [(k, (base[k % 12] + 0.12 * rng.standard_normal(16)).tolist()) for k in range(90)]
