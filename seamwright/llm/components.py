@@ -45,7 +45,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def least_ids(classes: DataFrame, tree: DataFrame, own: str) -> DataFrame:
-    """classes (rep and others) with ``component_id``: the least ``own`` of all classes in a class's component, its own where it has no edge."""
+    """classes (rep and others) with ``component_id``: the least ``own`` (a number, or a struct that holds it) of all classes in a class's
+    component, its own where it has no edge."""
     placed = durable(classes.join(tree.select(F.col("node").alias("rep"), "component"), "rep", "left"), "placed")
     joined = placed.filter("component IS NOT NULL")
     least = durable(joined.groupBy("component").agg(F.min(own).alias("component_id"), F.count("*").alias("size")), "components")

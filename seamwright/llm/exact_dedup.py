@@ -20,11 +20,9 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, durable, picked
+from .common import BROADCAST_ROWS, attach, durable, picked
 
 MIN_CHUNK, MAX_CHUNK = 512, 8192
-#: So many (doc_id, digest) keys, of some 70 bytes each, may be broadcast.
-BROADCAST_ROWS = 100_000
 CUT = "(?<=[aeiou][nrst][gdhe] )"
 
 

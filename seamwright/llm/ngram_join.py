@@ -27,13 +27,15 @@ table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship
-from .common import attach, durable, partitions, picked
+from .common import BROADCAST_ROWS, attach, durable, partitions, picked
 from .components import components, least_ids
 from .words import held, run_digests, shingle_hashes, trim
 
@@ -290,6 +292,25 @@ def _candidates(entries: DataFrame, percent: int, one_each: bool) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the least doc_id it reaches by links, itself included)."""
+    return _resolved(docs, words, percent, id_col, text_col).select("doc_id", "n_shingles", F.col("least.doc_id").alias("component_id"))
+
+
+def distinct_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """docs with one document of each group of near duplicates: that of the least doc_id, ties by a digest of the text.
+
+    Rows without doc_id, or without words, stay.  Texts move only where more rows go than may be broadcast."""
+    tag = uuid.uuid4().hex[:8]  # for names that no column of docs has
+    ids, key = f"_id{tag}", f"_key{tag}"
+    found = _resolved(docs, words, percent, "doc_id", "text")
+    lost = found.filter((F.col("doc_id") != F.col("least.doc_id")) | (F.col("key") != F.col("least.key"))).select(F.col("doc_id").alias(ids), F.col("key").alias(key)).distinct()
+    lost = durable(lost, "lost")
+    few = lost.count() <= BROADCAST_ROWS
+    same = (docs["doc_id"].cast("long") == F.col(ids)) & (F.unhex(F.md5(docs["text"].cast("binary"))) == F.col(key))
+    return docs.join(F.broadcast(lost) if few else lost, same, "left_anti")
+
+
+def _resolved(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, key (digest of the text), n_shingles, least: the least (doc_id, key) of the row's component."""
     spark = ship(docs.sparkSession)
     texts = picked(docs, {"doc_id": F.col(id_col).cast("long"), "text": F.col(text_col).cast("binary")})
     texts = texts.withColumn("key", F.unhex(F.md5("text")))  # tells rows of one doc_id apart
@@ -334,9 +355,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         if not more.isEmpty():
             links = links.unionByName(more)
             final = components(links)
-    by = durable(least_ids(classes.select("f1", "f2", "doc_id", "copies", "rep"), final, "doc_id").select("f1", "f2", "copies", "component_id"), "named")
-    linked = attach(linkable, by, ["f1", "f2"], "copies", rows.count(), "inner").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = rows.filter("n = 0 OR doc_id IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    own = classes.select("f1", "f2", "copies", "rep", F.struct("doc_id", "key").alias("one"))
+    by = durable(least_ids(own, final, "one").select("f1", "f2", "copies", F.col("component_id").alias("least")), "named")
+    linked = attach(linkable, by, ["f1", "f2"], "copies", rows.count(), "inner").select("doc_id", "key", F.col("n").alias("n_shingles"), "least")
+    alone = rows.filter("n = 0 OR doc_id IS NULL").select("doc_id", "key", F.col("n").alias("n_shingles"), F.struct("doc_id", "key").alias("least"))
     return linked.unionByName(alone)
 
 

@@ -4,8 +4,8 @@ Features are the n-grams of each word (letters and digits, a mark at either end)
 documents of either class that hold an n-gram are counted; the log of the ratio of their smoothed shares scales that
 n-gram's count, and logistic regression with an L2 penalty weighs the scaled features.  A text's score is
 ``sigmoid(bias + sum over its words of the word's n-gram weights)``: as the sum runs over words, each distinct word is
-computed once per worker.  N-grams with a ratio near 1 or in very few documents get no weight, so that the sum over a
-very long clean text stays put.
+computed once per worker.  N-grams with a ratio near 1 or in very few documents are no evidence of either class and get no
+weight, so that the sum over a very long clean text stays put; all others are features, however many.
 
 Training: at most about ``TRAIN_ROWS`` labelled documents (whole texts), chosen by hash.
 
@@ -30,8 +30,8 @@ from .words import WordCache, blocks, grams, held, letters
 #: Bound on the expected number of training documents.
 TRAIN_ROWS = 20_000
 BITS, SIZES = 18, (3, 4, 5, 6)
-#: Least absolute log-count ratio, least number of documents of a kept n-gram, and the most n-grams kept.
-LEAST_RATIO, LEAST_DOCS, MOST_FEATURES = 1.5, 5, 4096
+#: Least absolute log-count ratio and least number of documents of an n-gram that counts as evidence.
+LEAST_RATIO, LEAST_DOCS = 1.5, 5
 ALPHA, L2, STEPS = 1.0, 1e-5, 600
 
 
@@ -100,8 +100,7 @@ def fit(labelled: DataFrame, rows: int = TRAIN_ROWS, seed: int = 11) -> dict:
     held = np.zeros((2, 1 << BITS))
     np.add.at(held, (label[bucket >= 0], bucket[bucket >= 0]), n[bucket >= 0])
     ratio = np.log((held[1] + ALPHA) / (docs[1] + 2 * ALPHA)) - np.log((held[0] + ALPHA) / (docs[0] + 2 * ALPHA))
-    weight = np.abs(ratio) * np.sqrt(held.sum(0)) * ((np.abs(ratio) >= LEAST_RATIO) & (held.sum(0) >= LEAST_DOCS))
-    kept = np.sort(np.argsort(-weight, kind="stable")[: min(MOST_FEATURES, int((weight > 0).sum()))])
+    kept = np.flatnonzero((np.abs(ratio) >= LEAST_RATIO) & (held.sum(0) >= LEAST_DOCS))
     if not len(kept):
         model["bias"] = float(np.log(docs[1] / docs[0]))
         return model

@@ -2,7 +2,7 @@
 
 import pytest
 
-from seamwright.llm import exact_dedup
+from seamwright.llm import exact_dedup, ngram_join
 
 SCHEMA = "doc_id long, text string, kept string, text_sha256 int"
 
@@ -27,3 +27,16 @@ def test_chunk_identifiers_that_clash(spark, monkeypatch):
     monkeypatch.setattr(exact_dedup, "_identifier", lambda chunk, strong: whole(chunk, True) if strong else F.array(F.length(chunk).cast("long"), F.lit(0).cast("long")))
     df = spark.createDataFrame([(1, "one", "k", 0), (2, "two", "k", 0), (3, "one", "k", 0)], SCHEMA)
     assert sorted((r["doc_id"], r["keep_id"], r["group_size"]) for r in exact_dedup.exact_groups(df).collect()) == [(1, 1, 2), (2, 2, 1), (3, 1, 2)]
+
+
+@pytest.mark.parametrize("bound", [exact_dedup.BROADCAST_ROWS, 0])
+def test_one_document_of_each_near_group(spark, monkeypatch, bound):
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", bound)
+    a, b = (" ".join(f"{c}{k}" for k in range(60)) for c in "ab")
+    rows = [(5, a), (5, b), (6, a + " one"), (7, b + " one"), (7, "other words"), (5, b + " two"), (None, a), (8, None), (9, " ")]
+    df = spark.createDataFrame([(d, t, "k", 9) for d, t in rows], SCHEMA)
+    left = ngram_join.distinct_documents(df)
+    assert left.columns == df.columns
+    got = sorted((r["doc_id"], r["text"]) for r in left.filter("doc_id IS NOT NULL AND doc_id < 8").collect())
+    assert (5, a) in got and (7, "other words") in got and len(got) == 3 and got[1][1] in (b, b + " two")
+    assert left.filter("doc_id IS NULL OR doc_id >= 8").count() == 3
