@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seamwright.durable import discard, durable, latest, scratch
 from seamwright.llm import exact_dedup, langid, mixing, ngram_join, sp_codec
-from seamwright.llm.common import durable, table
+from seamwright.llm.common import table
 
 #: Two stages need models (n-grams, a tokenizer), so the rows aren't expressible in SQL.
 ORACLE_SQL = None
@@ -24,9 +25,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, 0.8) stays; rows without doc_id stay."""
-    found = ngram_join.near_duplicates(docs)
-    kept = durable(found.filter("doc_id = component_id").select("doc_id").distinct(), "kept")
-    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.filter(F.col("doc_id").isNull()))
+    return ngram_join.distinct_documents(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +42,12 @@ STAGES = [("language", language), ("exact_dedup", exact), ("ngram_join", near),
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages; what a stage wrote on its way, and the stage before it, are deleted once its own table is written."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = durable(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scratch(spark):
+            docs = durable(stage(spark, docs, sf_dir), f"stage-{name}")
+        if last:
+            discard(spark, [last])
+        last = latest(spark)
     return STAGES[-1][1](spark, docs, sf_dir)
