@@ -35,3 +35,12 @@ def json_number(text: Column, field: str) -> Column:
 
 def clean_label(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, "__[a-z_]+__\\s*", ""))
+
+
+def link(base: str, fields: list[str], filter_field: str, ids: Column, limit: int = 500, most: int = 200) -> Column:
+    """The address of a page that lists rows by id; null without ids.  An address holds ``most`` ids at most."""
+    if not fields:
+        raise ValueError("a link needs at least one field")
+    quoted = F.url_encode(F.array_join(F.slice(ids.cast("array<string>"), 1, most), ","))
+    address = F.concat(F.lit(f"{base}?fields="), F.url_encode(F.lit(",".join(fields))), F.lit("&f["), F.url_encode(F.lit(filter_field)), F.lit("]="), quoted, F.lit(f"&limit={limit}"))
+    return F.when(F.size(ids) > 0, address)

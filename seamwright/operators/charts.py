@@ -73,7 +73,9 @@ def distinctness(counts: DataFrame, sizes: DataFrame, least: int = 500) -> DataF
     found = own.join(base, same, "left").select("insight_id", own["field"], F.abs(F.col("pct") - F.coalesce("q", F.lit(0.0))).alias("d"), F.coalesce("q", F.lit(0.0)).alias("met"))
     total = base.groupBy("field").agg(F.sum("q").alias("all"))
     per = found.groupBy("insight_id", "field").agg(F.sum("d").alias("d"), F.sum("met").alias("met")).join(total, "field")
-    per = per.select("insight_id", "field", F.round((F.col("d") + F.col("all") - F.col("met")) / 2, 4).alias("tvd"))
+    # shares have four digits, so the sum is a whole number of these; its half is rounded up where it must be
+    whole = F.round((F.col("d") + F.col("all") - F.col("met")) * 10_000)
+    per = per.select("insight_id", "field", (F.floor((whole + 1) / 2) / 10_000).alias("tvd"))
     return per.withColumn("mean_tvd", F.round(F.avg("tvd").over(Window.partitionBy("insight_id")), 4))
 
 
@@ -105,3 +107,10 @@ def map_rows(projects: DataFrame, members: DataFrame, field: str, key: str) -> D
     """insight_id, category, n, pct without nulls, ``full_corpus`` included."""
     counts = by_insight(projects.filter(F.col(field).isNotNull()), members, [field], key)
     return counts.drop("field")
+
+
+def group_summary(members: DataFrame, group: str, key: str) -> DataFrame:
+    """One row: groups, median and largest number of distinct members, and the largest group (ties by name).  Null groups are left out."""
+    sizes = members.filter(F.col(group).isNotNull()).groupBy(group).agg(F.countDistinct(key).alias("n"))
+    largest = F.max_by(F.col(group), F.struct("n", F.transform(F.split(F.col(group).cast("string"), ""), lambda c: -F.ascii(c))))
+    return sizes.agg(F.count("*").alias("n_groups"), F.percentile("n", 0.5).alias("median_size"), F.max("n").alias("largest_size"), largest.alias("largest"))

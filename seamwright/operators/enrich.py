@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..durable import durable
 from .tokens import ngrams
 
 #: Prefixes of category names that already say what the category is about.
@@ -82,8 +83,9 @@ def injection_lookup(classified: DataFrame, vocabulary: DataFrame, least: int, c
 def inject(docs: DataFrame, lookup: DataFrame, key: str = "doc_id", sizes: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
     """Appends the lookup's tokens (term, injected) of a document's terms, by first place of the term, then token; each once, none it has.
 
-    Terms are tokens and runs of tokens with a space between, of the numbers in ``sizes``.  The join is left to the planner:
-    a small lookup goes by broadcast, a large one by its terms."""
+    Terms are tokens and runs of tokens with a space between, of the numbers in ``sizes``.  The lookup is written first, so
+    the planner knows its size: a small one goes by broadcast and no token moves, a large one meets the tokens by term."""
+    lookup = durable(lookup.select("term", "injected"), "lookup")
     terms = F.concat(*[F.transform(F.col("tokens") if n == 1 else ngrams(F.col("tokens"), n), lambda x, i: F.struct(i.alias("pos"), x.alias("term"))) for n in sizes])
     hits = docs.select(key, F.explode(terms).alias("t")).select(key, "t.pos", "t.term").join(lookup, "term")
     new = hits.groupBy(key, "injected").agg(F.min("pos").alias("pos")).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "injected"))).alias("n"))

@@ -65,3 +65,20 @@ def date_bins(date: Column, bins: list[tuple[str, str, str]]) -> Column:
 
 def local_date(timestamp: Column, zone: str = "America/New_York") -> Column:
     return F.to_date(F.from_utc_timestamp(timestamp, zone))
+
+
+def crossed(*parts: Column, missing: str = "Unknown") -> Column:
+    """Fields joined to one grouping field; null parts get a name."""
+    return F.concat_ws(" | ", *[F.coalesce(p.cast("string"), F.lit(missing)) for p in parts])
+
+
+def ordered_by(value: Column, order: list[str]) -> Column:
+    """Sort key for an explicit order of categories; others come after them, null last."""
+    place = F.array_position(F.array(*[F.lit(x) for x in order]), value)
+    return F.when(value.isNull(), len(order) + 2).when(place > 0, place.cast("int")).otherwise(len(order) + 1)
+
+
+def family(field: str, families: dict[str, list[str]], default: str) -> str:
+    """The first family one of whose words the name of a grouping field holds: how thin its groups are likely to be."""
+    name = field.lower()
+    return next((k for k, words in families.items() if any(w in name for w in words)), default)

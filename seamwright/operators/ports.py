@@ -72,3 +72,17 @@ def verify_topics(claims: DataFrame, prompt: str, model: Callable[[str], str], *
     told = ask(claims, prompt, model, **how)
     kept = F.array_intersect(F.array_distinct("topic_keys"), F.coalesce(json_reply("array<string>"), F.array().cast("array<string>")))
     return told.withColumn("verified", kept).withColumn("ratio", F.when(F.size("topic_keys") > 0, F.size("verified") / F.size(F.array_distinct("topic_keys"))))
+
+
+def judge_pairs(pairs: DataFrame, insights: DataFrame, model: Callable[[str], str], shown: Sequence[str] = ("section", "category_bucket", "title", "finding"), **how) -> DataFrame:
+    """pairs (insight_id_a, insight_id_b and their overlaps) with ``duplicate`` and ``reason``: a model's decision on each screened pair.
+
+    The reply is JSON {duplicate, reason}; a failed call or another reply keeps both insights."""
+    told = pairs
+    for side in "ab":
+        text = F.concat_ws("\n", *[F.concat(F.lit(f"{c}: "), F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in shown])
+        told = told.join(insights.select(F.col("insight_id").alias(f"insight_id_{side}"), text.alias(f"_{side}")), f"insight_id_{side}")
+    hints = [F.format_string(f"{c}: %.3f", F.col(c)) for c in pairs.columns if c.endswith("_overlap")]
+    prompt = F.concat_ws("\n\n", F.lit("Do both insights say the same? Answer JSON {duplicate, reason}."), F.concat(F.lit("A\n"), "_a"), F.concat(F.lit("B\n"), "_b"), F.concat_ws("\n", *hints))
+    told = ask(told.withColumn("_prompt", prompt), "_prompt", model, **how).withColumn("g", json_reply("duplicate boolean, reason string"))
+    return told.select(*pairs.columns, F.coalesce("g.duplicate", F.lit(False)).alias("duplicate"), F.coalesce("g.reason", "error").alias("reason"))

@@ -65,6 +65,12 @@ def token_lists(tokens: DataFrame, key: str = "doc_id") -> DataFrame:
     return tokens.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("t")).select(key, F.transform("t", lambda x: x["token"]).alias("tokens"))
 
 
+def token_arrays(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, tokens: the kept tokens of each row's text in order, without a shuffle; rows without any are left out."""
+    kept = F.filter(letter_tokens(F.col(text)), lambda x: (F.length(x) >= 3) | (x == "ai"))
+    return docs.select(key, kept.alias("tokens")).filter(F.size("tokens") > 0)
+
+
 def first_occurrences(tokens: DataFrame, key: str = "doc_id") -> DataFrame:
     """Ranks a token's occurrences in a document (row_number) and keeps the distinct-document count by conditional sum."""
     ranked = tokens.withColumn("rn", F.row_number().over(Window.partitionBy(key, "token").orderBy("pos")))

@@ -27,6 +27,10 @@ def t(spark, d, name):
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def token_arrays(spark, d):
+    return tokens.token_arrays(t(spark, d, "documents"))
+
+
 def toks(spark, d, keys=("doc_id",)):
     """Tokens of whole texts."""
     return tokens.positions(t(spark, d, "documents"), keys)
@@ -88,7 +92,7 @@ def consolidation_candidates(spark, d):
 @query(f"WITH {_TOK} SELECT doc_id, string_agg(CASE token WHEN 'tion' THEN 'ion' WHEN 'ing' THEN 'in' ELSE token END, ',' ORDER BY pos) AS tokens FROM tok GROUP BY doc_id")
 def consolidation_apply(spark, d):
     mapping = F.create_map(F.lit("tion"), F.lit("ion"), F.lit("ing"), F.lit("in"))
-    return tokens.token_lists(toks(spark, d)).select("doc_id", F.array_join(tokens.apply_map(F.col("tokens"), mapping), ",").alias("tokens"))
+    return token_arrays(spark, d).select("doc_id", F.array_join(tokens.apply_map(F.col("tokens"), mapping), ",").alias("tokens"))
 
 
 @query(f"WITH {_TOK}, m(token, lemma) AS (VALUES ('las', 'la'), ('los', 'el'), ('des', 'de')) SELECT coalesce(lemma, token) AS token, count(*) AS n FROM tok LEFT JOIN m USING (token) GROUP BY ALL")
@@ -141,12 +145,12 @@ v AS (SELECT n, term, count(DISTINCT doc_id) AS doc_freq, count(*) AS corpus_fre
 
 @query(f"{_GRAMS} SELECT n, term, doc_freq, corpus_freq FROM v WHERE doc_freq >= 8 AND doc_freq <= 0.4 * (SELECT count(*) FROM lists)")
 def ngram_vocab(spark, d):
-    return tokens.ngram_vocabulary(tokens.token_lists(toks(spark, d)))
+    return tokens.ngram_vocabulary(token_arrays(spark, d))
 
 
 @query(f"{_GRAMS} SELECT term, CASE n WHEN 1 THEN 'unigram' WHEN 2 THEN 'bigram' ELSE 'ngram' END AS term_type, max(doc_freq) AS doc_freq FROM v WHERE doc_freq >= 8 AND doc_freq <= 0.4 * (SELECT count(*) FROM lists) GROUP BY ALL")
 def taxonomy_artifact(spark, d):
-    v = tokens.ngram_vocabulary(tokens.token_lists(toks(spark, d)))
+    v = tokens.ngram_vocabulary(token_arrays(spark, d))
     return v.groupBy("term").agg(F.max("doc_freq").alias("doc_freq")).select("term", tx.term_type(F.col("term")).alias("term_type"), "doc_freq")
 
 
@@ -158,7 +162,7 @@ h AS (SELECT doc_id, injected, min(pos) AS pos FROM tok JOIN lk ON lk.term = tok
 def _injected(spark, d):
     tk = toks(spark, d)
     classes = spark.createDataFrame([("and", "join"), ("der", "article"), ("ing", "join"), ("que", "relative")], "term string, category string")
-    return enrich.inject(tokens.token_lists(tk), enrich.injection_lookup(classes, tokens.doc_freq(tk), 5, 900), sizes=(1,))
+    return enrich.inject(token_arrays(spark, d), enrich.injection_lookup(classes, tokens.doc_freq(tk), 5, 900), sizes=(1,))
 
 
 @query(f"{_INJ} SELECT term, injected FROM lk")
@@ -685,7 +689,7 @@ def _taxonomy(spark):
 
 @query(f"{_GRAMS}, {_TAX_SQL}, p AS (SELECT DISTINCT unnest(terms) AS term FROM tax) SELECT term, term IN (SELECT term FROM v WHERE doc_freq >= 8 AND doc_freq <= 0.9 * (SELECT count(*) FROM lists)) AS available FROM p")
 def phrase_anchors(spark, d):
-    v = tokens.ngram_vocabulary(tokens.token_lists(toks(spark, d)), max_share=0.9)
+    v = tokens.ngram_vocabulary(token_arrays(spark, d), max_share=0.9)
     return enrich.phrase_anchors(_taxonomy(spark), v)
 
 
@@ -697,7 +701,7 @@ px AS (SELECT doc_id, string_agg(injected, ',' ORDER BY pos, injected) AS i FROM
 @query(f"WITH {_TOK}, {_PHRASES} SELECT doc_id, array_to_string(l, ',') || coalesce(',' || i, '') AS tokens FROM lists LEFT JOIN px USING (doc_id)")
 def inject_phrases(spark, d):
     lookup = spark.createDataFrame([("and", "__cat_join__"), ("und der", "__framing_pair__"), ("de la que", "__framing_three__"), ("que", "__subject_relative__")], "term string, injected string")
-    return enrich.inject(tokens.token_lists(toks(spark, d)), lookup).select("doc_id", F.array_join("tokens", ",").alias("tokens"))
+    return enrich.inject(token_arrays(spark, d), lookup).select("doc_id", F.array_join("tokens", ",").alias("tokens"))
 
 
 _SEM = [("and", "join", "plain", 1), ("der", "article", None, 1), ("ing", "join", "", 2), ("absent", "x", "y", 2)]
@@ -798,7 +802,7 @@ def insight_charts(spark, d):
 
 @query(f"""WITH {_CHART}, z AS (SELECT insight_id, max(s) AS s FROM (SELECT insight_id, field, sum(n) AS s FROM cp GROUP BY ALL) GROUP BY insight_id),
 k AS (SELECT DISTINCT i.insight_id, b.field, b.category FROM cp b, z i WHERE i.insight_id <> 'full_corpus' AND s > 240),
-f AS (SELECT k.insight_id, k.field, round(sum(abs(coalesce(a.pct, 0) - coalesce(b.pct, 0))) / 2, 4) AS tvd FROM k LEFT JOIN cp a ON a.insight_id = k.insight_id AND a.field = k.field AND a.category = k.category LEFT JOIN cp b ON b.insight_id = 'full_corpus' AND b.field = k.field AND b.category = k.category GROUP BY ALL)
+f AS (SELECT k.insight_id, k.field, floor((round(sum(abs(coalesce(a.pct, 0) - coalesce(b.pct, 0))) * 10000) + 1) / 2) / 10000 AS tvd FROM k LEFT JOIN cp a ON a.insight_id = k.insight_id AND a.field = k.field AND a.category = k.category LEFT JOIN cp b ON b.insight_id = 'full_corpus' AND b.field = k.field AND b.category = k.category GROUP BY ALL)
 SELECT *, round(avg(tvd) OVER (PARTITION BY insight_id), 4) AS mean_tvd FROM f""")
 def distinctness(spark, d):
     members = t(spark, d, "orders").groupBy(F.concat(F.lit("P"), (F.col("o_orderkey") % 6).cast("string")).alias("insight_id")).agg(F.count("*").alias("n"))
@@ -857,7 +861,7 @@ SELECT *, CASE len(string_split(term, ' ')) WHEN 1 THEN 'unigram' WHEN 2 THEN 'b
 def taxonomy_union(spark, d):
     tk = toks(spark, d)
     uni = tokens.vocabulary(tk, 1).filter("doc_freq >= 2").withColumnRenamed("token", "term")
-    return tokens.taxonomy_vocabulary(uni, tokens.ngram_vocabulary(tokens.token_lists(tk)))
+    return tokens.taxonomy_vocabulary(uni, tokens.ngram_vocabulary(token_arrays(spark, d)))
 
 
 @query(f"""{_GRAMS}, tf AS (SELECT doc_id, term AS token, count(*) AS tf FROM g WHERE n <= 2 GROUP BY ALL), d2 AS (SELECT token, count(*) AS df FROM tf GROUP BY token), nd AS (SELECT count(*) AS n FROM documents),
@@ -865,7 +869,7 @@ w AS (SELECT doc_id, token, tf, df, ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf FROM
 SELECT doc_id, token, tf, df, round(tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id)), 6) AS tfidf FROM w""")
 def tfidf_ngrams(spark, d):
     """Single words and pairs as terms, from the vectoriser's own words."""
-    terms = tokens.vector_terms(tokens.token_lists(toks(spark, d)), (1, 2))
+    terms = tokens.vector_terms(token_arrays(spark, d), (1, 2))
     return tfidf.tfidf(terms, n_docs(spark, d), min_df=10, max_share=0.4).select("doc_id", "token", "tf", "df", F.round("tfidf", 6).alias("tfidf"))
 
 
@@ -884,3 +888,57 @@ def attributes_snowflake(spark, d):
     for name in ("orders", "customer", "nation", "region", "lineitem", "part", "supplier", "labels", "events"):
         t(spark, d, name).createOrReplaceTempView(name)
     return spark.sql(_STAR)
+
+
+@query("SELECT c_custkey, CASE WHEN c_acctbal < 0 AND c_mktsegment = 'BUILDING' THEN 'both' WHEN c_nationkey < 5 THEN 'rural' ELSE 'none' END || ' | ' || CASE WHEN c_custkey % 7 = 0 THEN 'Unknown' ELSE c_mktsegment END AS field FROM customer")
+def efs_by_grade(spark, d):
+    kind = fields.waterfall(((F.col("c_acctbal") < 0) & (F.col("c_mktsegment") == "BUILDING"), "both"), (F.col("c_nationkey") < 5, "rural"), default="none")
+    band = F.when(F.col("c_custkey") % 7 != 0, F.col("c_mktsegment"))
+    return t(spark, d, "customer").select("c_custkey", fields.crossed(kind, band).alias("field"))
+
+
+@query("SELECT category, n, row_number() OVER (ORDER BY CASE category WHEN '5-LOW' THEN 1 WHEN '1-URGENT' THEN 2 ELSE 3 END, category) AS place FROM (SELECT o_orderpriority AS category, count(*) AS n FROM orders GROUP BY 1)")
+def ordered_categories(spark, d):
+    """Few categories: one window over all of them."""
+    counts = charts.value_counts(t(spark, d, "orders"), "o_orderpriority").drop("pct")
+    return counts.withColumn("place", F.row_number().over(Window.orderBy(fields.ordered_by(F.col("category"), ["5-LOW", "1-URGENT"]), "category")))
+
+
+@query("SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END DESC NULLS LAST, o_orderkey) AS place FROM orders QUALIFY place <= 3")
+def mixed_sort(spark, d):
+    price = F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice"))
+    w = Window.partitionBy("o_custkey").orderBy(price.desc_nulls_last(), "o_orderkey")
+    return t(spark, d, "orders").select("o_custkey", "o_orderkey", F.row_number().over(w).alias("place")).filter("place <= 3")
+
+
+@query("WITH z AS (SELECT c_mktsegment AS g, count(DISTINCT c_nationkey) AS n FROM customer GROUP BY 1) SELECT count(*) AS n_groups, median(n)::DOUBLE AS median_size, max(n) AS largest_size, (SELECT g FROM z ORDER BY n DESC, g LIMIT 1) AS largest FROM z")
+def group_sizes(spark, d):
+    return charts.group_summary(t(spark, d, "customer"), "c_mktsegment", "c_nationkey")
+
+
+@query("SELECT 'both' AS side, n FROM (SELECT c_nationkey AS n FROM customer INTERSECT SELECT s_nationkey FROM supplier) UNION ALL SELECT 'customers', n FROM (SELECT c_nationkey AS n FROM customer EXCEPT SELECT s_nationkey FROM supplier) UNION ALL SELECT 'all', n FROM (SELECT c_nationkey AS n FROM customer UNION SELECT s_nationkey FROM supplier)")
+def value_sets(spark, d):
+    a, b = t(spark, d, "customer").select(F.col("c_nationkey").alias("n")), t(spark, d, "supplier").select(F.col("s_nationkey").alias("n"))
+    parts = (("both", a.intersect(b)), ("customers", a.subtract(b)), ("all", a.union(b).distinct()))
+    out = [df.select(F.lit(side).alias("side"), "n") for side, df in parts]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+@query("WITH r AS (SELECT doc_id % 100 AS k, doc_id, length(text) AS n, row_number() OVER (PARTITION BY doc_id % 100 ORDER BY CASE WHEN source = 'src0' THEN 0 ELSE 1 END, length(text) DESC, doc_id) AS r FROM documents WHERE text <> '') SELECT k, doc_id, n FROM r WHERE r = 1")
+def essay_priority(spark, d):
+    """A dedicated source's text beats others, then the longest wins."""
+    best = F.max(F.struct((F.col("source") == "src0").alias("own"), F.length("text").cast("long").alias("n"), (-F.col("doc_id")).alias("i"))).alias("x")
+    return t(spark, d, "documents").filter("text <> ''").groupBy((F.col("doc_id") % 100).alias("k")).agg(best).select("k", (-F.col("x.i")).alias("doc_id"), "x.n")
+
+
+@query("WITH g AS (SELECT DISTINCT lpad(c_custkey::VARCHAR, 7, '0')[1:5] AS zip, 'city' || (c_custkey // 100 % 3) AS city FROM customer WHERE c_custkey % 500 < 200) SELECT c_custkey, coalesce(city, 'other') AS geo FROM customer LEFT JOIN g ON g.zip = lpad(c_custkey::VARCHAR, 7, '0')[1:5]")
+def zip_groups(spark, d):
+    c = t(spark, d, "customer").withColumn("zip", fields.zip5(F.lpad(F.col("c_custkey").cast("string"), 7, "0")))
+    groups = c.filter("c_custkey % 500 < 200").select("zip", F.concat(F.lit("city"), F.floor(F.col("c_custkey") / 100) % 3).alias("city")).distinct()
+    return c.join(groups, "zip", "left").select("c_custkey", F.coalesce("city", F.lit("other")).alias("geo"))
+
+
+@query("SELECT c_mktsegment, 'https://example.com/list?fields=a.id%2Ca.text&f[a.id]=' || string_agg(c_custkey::VARCHAR, '%2C' ORDER BY c_custkey) || '&limit=500' AS link FROM (SELECT * FROM customer QUALIFY row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) <= 3) GROUP BY c_mktsegment")
+def report_links(spark, d):
+    ids = t(spark, d, "customer").groupBy("c_mktsegment").agg(F.sort_array(F.collect_list("c_custkey")).alias("ids"))
+    return ids.select("c_mktsegment", tx.link("https://example.com/list", ["a.id", "a.text"], "a.id", F.col("ids"), most=3).alias("link"))

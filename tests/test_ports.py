@@ -77,3 +77,16 @@ def test_reports(spark):
     assert reports.manifest("s", "r", {"o": df}, {}, 1.0)["outputs"]["o"]["rows"] == 2
     with pytest.raises(ValueError):
         reports.html_report("t", {"rows": df}, most=1)
+
+
+def test_judged_pairs(spark):
+    rows = spark.createDataFrame([(k, "t" + k, "f") for k in "abc"], "insight_id string, title string, finding string")
+    pairs = spark.createDataFrame([("a", "b", 0.5), ("a", "c", 0.4), ("b", "c", 0.6)], "insight_id_a string, insight_id_b string, topics_overlap double")
+
+    def model(prompt):
+        if "0.400" in prompt:
+            raise RuntimeError("down")
+        return '{"duplicate": %s, "reason": "r"}' % ("true" if "title: tb" in prompt and "title: ta" in prompt else "false")
+
+    got = ports.judge_pairs(pairs, rows, model, shown=("title", "finding"), tries=1).collect()
+    assert {(r["insight_id_a"], r["insight_id_b"]): r["duplicate"] for r in got} == {("a", "b"): True, ("a", "c"): False, ("b", "c"): False}
