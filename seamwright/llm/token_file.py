@@ -179,13 +179,13 @@ def _hashed(code: np.ndarray) -> np.ndarray:
 
 
 def _overlapping(at: np.ndarray, code: np.ndarray) -> np.ndarray:
-    """Places in runs of one symbol whose pair overlaps a counted one before it: every other place."""
+    """Which pairs, in runs of one symbol, overlap a counted one before them: every other one."""
     same = np.flatnonzero((code[1:] == code[:-1]) & (at[1:] == at[:-1] + 1)) + 1
     if not len(same):
         return same
     begins = np.concatenate(([True], np.diff(same) > 1))
     nth = np.arange(len(same)) - np.flatnonzero(begins)[np.cumsum(begins) - 1]
-    return at[same[nth % 2 == 0]]
+    return same[nth % 2 == 0]
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int, rounds: int | None = None, rules: int | None = None, least: int = LEAST):
@@ -198,40 +198,38 @@ def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int, rounds: int | N
     ``rounds`` and ``rules`` end it earlier.
     """
     seq = ids.astype(np.int32)
-    last = np.zeros(len(seq), bool)
-    last[ends - 1] = True
-    at = np.flatnonzero(~last[:-1])
+    flags = np.zeros(len(seq), np.uint8)  # 1: the last symbol of a document, 2: a pair to look at begins here
+    flags[ends - 1] = 1
+    at = np.flatnonzero(flags[:-1] == 0)
     lefts, rights, per = [], [], []
     top = vocabulary
     while len(at) and (rounds is None or len(per) < rounds) and (rules is None or top < vocabulary + rules):
         symbol, place = int(top - 1).bit_length(), len(seq).bit_length()
-        if 2 * symbol + place > 64:
+        if 2 * symbol + place > 63:
             raise ValueError("too many ids and symbols for one shard")
         code = (seq[at].astype(np.uint64) << np.uint64(symbol)) | seq[at + 1].astype(np.uint64)
         overlap = _overlapping(at, code)
         key = (code << np.uint64(place)) | at.astype(np.uint64)
+        key[overlap] = np.iinfo(np.uint64).max  # behind all others
+        flags &= 1
+        flags[at[overlap]] |= 2
         key.sort()
+        key = key[: len(key) - len(overlap)]
         code, at = key >> np.uint64(place), (key & np.uint64((1 << place) - 1)).astype(np.int64)
         first = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
-        size = np.diff(np.append(first, len(code)))
-        count = size
-        if len(overlap):
-            skip = np.zeros(len(seq), np.int64)
-            skip[overlap] = 1
-            count = size - np.add.reduceat(skip[at], first)
+        count = np.diff(np.append(first, len(code)))
         hot = count >= least
         if not hot.any():
             break
+        at = at[np.repeat(hot, count)]
         pairs, count = code[first[hot]], count[hot]
-        order = np.lexsort((_hashed(pairs), -count))  # ties by hash: in a copied passage a third of the pairs win at once
+        # most frequent first, ties by hash: in a copied passage a third of the pairs win at once
+        order = np.argsort(((len(seq) - count).astype(np.uint64) << np.uint64(64 - place)) | (_hashed(pairs) >> np.uint64(place)))
         rank = np.empty(len(pairs), np.int32)
         rank[order] = np.arange(len(pairs), dtype=np.int32)
-        at = at[np.repeat(hot, size)]
-        look = np.zeros(len(seq), bool)
-        look[at] = True
+        flags[at] |= 2
         ranks = np.full(len(seq) + 2, _NONE, np.int32)
-        ranks[at + 1] = np.repeat(rank, size[hot])
-        ranks[overlap + 1] = _NONE
+        ranks[at + 1] = np.repeat(rank, count)
         mine = ranks[1:-1]
         at = np.flatnonzero((mine < ranks[:-2]) & (mine < ranks[2:]))
         mine = mine[at]
@@ -241,20 +239,19 @@ def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int, rounds: int | N
         own = good[mine]
         at, mine = at[own], mine[own]
         seq[at] = (top - 1 + np.cumsum(good))[mine]
-        last[at] = last[at + 1]
-        look[at] = True
-        look[at[at > 0] - 1] = True
+        flags[at] = 2 | flags[at + 1]
+        flags[at[at > 0] - 1] |= 2
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        seq, last, look = seq[keep], last[keep], look[keep]
-        at = np.flatnonzero(look[:-1] & ~last[:-1])
+        seq, flags = seq[keep], flags[keep]
+        at = np.flatnonzero(flags[:-1] == 2)
         made = pairs[order][good]
         lefts.append((made >> np.uint64(symbol)).astype(np.int64))
         rights.append((made & np.uint64((1 << symbol) - 1)).astype(np.int64))
         per.append(len(made))
         top += len(made)
     none = np.zeros(0, np.int64)
-    return np.concatenate([none, *lefts]), np.concatenate([none, *rights]), np.array(per, np.int64), seq, np.flatnonzero(last) + 1
+    return np.concatenate([none, *lefts]), np.concatenate([none, *rights]), np.array(per, np.int64), seq, np.flatnonzero(flags & 1) + 1
 
 
 def packed(numbers: np.ndarray, bits: int) -> bytes:
@@ -355,6 +352,25 @@ class Shard:
             place, now = np.concatenate(place), np.concatenate(now)
         return out
 
+    def everything(self) -> np.ndarray:
+        """All ids of the shard: rules are expanded once, in the order they were made, and symbols copy from these."""
+        size = np.concatenate((np.ones(self.vocabulary, np.int64), self.lengths))
+        start = np.cumsum(size) - size
+        if start[-1] + size[-1] > self.vocabulary + 4 * int(self.ends[-1]):  # rules that hold long ones again and again
+            return self.expand(self.symbols())
+        flat = np.empty(int(start[-1] + size[-1]), np.int32)
+        flat[: self.vocabulary] = np.arange(self.vocabulary)
+        parts = np.stack((self.left, self.right), 1)
+        first = 0
+        for n in self.per.tolist():
+            sides = parts[first : first + n].ravel()
+            out = flat[ranges(start[sides], size[sides])]
+            at = int(start[self.vocabulary + first])
+            flat[at : at + len(out)] = out
+            first += n
+        symbols = self.symbols()
+        return flat[ranges(start[symbols], size[symbols])]
+
     def document(self, k: int, first: int = 0, end: int | None = None) -> np.ndarray:
         """Ids [first, end) of the k-th document; expansion lengths lead to the symbols that hold them."""
         symbols = self.symbols(int(self.symbol_ends[k - 1]) if k else 0, int(self.symbol_ends[k]))
@@ -465,7 +481,7 @@ def read(shards: DataFrame) -> DataFrame:
         for batch in batches:
             for start, image in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 s = Shard(image)
-                ids = s.expand(s.symbols()).astype("<u4")
+                ids = s.everything().astype("<u4")
                 first = np.concatenate(([0], s.ends[:-1]))
                 crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(first.tolist(), s.ends.tolist(), strict=True)]
                 keys = pa.array(s.doc_ids, pa.int64(), mask=s.doc_ids == _NULL)

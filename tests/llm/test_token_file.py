@@ -44,7 +44,7 @@ def test_no_pair_twice():
     ids = np.concatenate([rng.integers(0, 6, 3000), np.full(500, 4), np.tile(rng.integers(0, 50, 40), 30)]).astype(np.int32)
     ends = np.sort(np.append(rng.choice(np.arange(1, len(ids)), 20, replace=False), len(ids)))
     s = token_file.Shard(token_file.pack(list(range(21)), ids, ends, 50))
-    assert (s.expand(s.symbols()) == ids).all()
+    assert (s.expand(s.symbols()) == ids).all() and (s.everything() == ids).all()
     count = {}
     for a, b in zip([0, *s.symbol_ends[:-1].tolist()], s.symbol_ends.tolist(), strict=True):
         at, symbols = a, s.symbols(a, b).tolist()
@@ -53,6 +53,9 @@ def test_no_pair_twice():
             count[pair] = count.get(pair, 0) + 1
             at += 2 if at + 2 < b and symbols[at - a + 2] == pair[0] == pair[1] else 1
     assert max(count.values()) == 1
+    long = np.concatenate([np.full(5000, 3), *(np.arange(k) for k in range(60))]).astype(np.int32)  # rules within rules
+    t = token_file.Shard(token_file.pack([0], long, np.array([len(long)]), 70))
+    assert (t.everything() == long).all() and (t.expand(t.symbols()) == long).all()
     plain = token_file.pack([0], np.arange(9, dtype=np.int32), np.array([9]), 10)  # nothing to replace
     assert (token_file.Shard(plain).document(0) == np.arange(9)).all()
 
