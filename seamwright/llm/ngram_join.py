@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from ..session import ship
 from .common import BROADCAST_ROWS, attach, durable, partitions, picked
 from .components import components, least_ids
-from .words import held, run_digests, shingle_hashes, trim
+from .words import held, set_digest, shingle_hashes, trim
 
 WORDS, PERCENT = 5, 80
 #: Share of the hash space whose shingles are ranked by frequency; above the longest prefix share (1 - t) with room.
@@ -50,6 +50,7 @@ LOW, HIGH, PAIR = 1 << 13, 1 << 21, 32
 #: Bits of the parity maps.
 BITS = 1024
 _TOP = np.uint64(int(RANKED * (1 << 64)))
+_SHARE = (_TOP >> np.uint64(32)) + np.uint64(1)
 
 
 def prefix_size(n, percent: int):
@@ -90,11 +91,11 @@ def _sets(words: int):
         for batch in batches:
             sets = [shingle_hashes(t, words) if t else np.zeros(0, np.uint64) for t in batch.column(1).to_pylist()]
             n = np.array([len(s) for s in sets], np.int64)
-            f = [run_digests(s, np.array([0])) if len(s) else (np.zeros(1, np.int64),) * 2 for s in sets]
-            f1, f2 = (np.concatenate([x[k] for x in f]) if f else np.zeros(0, np.int64) for k in (0, 1))
+            f = [set_digest(s) for s in sets]
+            f1, f2 = (np.array([x[k] for x in f], np.int64) for k in (0, 1))
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), batch.column(0), batch.column(2), pa.array(n), pa.array(f1), pa.array(f2)], names)
             if sets:
-                once = {k: s for k, s in zip(zip(f1.tolist(), f2.tolist(), strict=True), sets, strict=True)}
+                once = dict(zip(f, sets, strict=True))
                 often.add(np.concatenate([s[: np.searchsorted(s, _TOP)] for s in once.values()]))
         trim()
         items, counts = often.found()
@@ -115,8 +116,7 @@ def _deal(words: int, percent: int, groups: int, heavy):
             for text in batch.column(0).to_pylist():
                 s = shingle_hashes(text, words) if text else None
                 if s is not None and len(s):
-                    f1, f2 = run_digests(s, np.array([0]))
-                    once[(int(f1[0]), int(f2[0]))] = s
+                    once[set_digest(s)] = s
             if not once:
                 continue
             parts = [s[: np.searchsorted(s, _TOP)] for s in once.values()]
@@ -127,9 +127,9 @@ def _deal(words: int, percent: int, groups: int, heavy):
             beyond = keys[prefix_size(keys[:, 2], percent) > keys[:, 3]]
             if len(beyond):
                 yield pa.RecordBatch.from_arrays([pa.array([int(beyond[0, 0]) % groups]), pa.array([b""]), pa.array([b""]), pa.array([beyond.tobytes()])], ["g", "tokens", "places", "sets"])
-            group = (token >> np.uint64(11)) % np.uint64(groups)
-            order = np.lexsort((token, group))
-            token, of, group = token[order], of[order], group[order].astype(np.int64)
+            order = np.argsort(token)
+            token, of = token[order], of[order]
+            group = ((token >> np.uint64(32)) * np.uint64(groups) // _SHARE).astype(np.int64)  # ranges of hashes, so they come in order too
             cuts = [*(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(group)] if len(group) else []
             for a, b in zip([0, *cuts[:-1]], cuts, strict=False):  # without a ranked shingle there is nothing to deal
                 docs, place = np.unique(of[a:b], return_inverse=True)

@@ -83,19 +83,6 @@ def _spans(text: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return starts, ends, mix64(np.add.reduceat(value, first) + sizes.astype(np.uint64) * _PLACE[63])
 
 
-def run_digests(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two digests of each run of hashes, its order included; run i has those from first[i] up to the next run.
-
-    Every hash is mixed with its place before it is added, and mixed once more for the second digest."""
-    size = np.diff(np.append(first, len(hashes)))
-    place = np.arange(len(hashes)) - np.repeat(first, size)
-    value, out = hashes, []
-    for k in (0, 1):
-        value = mix64(value + place.astype(np.uint64) * _STEP + _PLACE[40 + k])
-        out.append(mix64(np.add.reduceat(value, first) + size.astype(np.uint64) * _PLACE[50 + k]).view(np.int64))
-    return out[0], out[1]
-
-
 def window_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     """One hash for each n neighbours, their order included, put together from those of 1, 2, 4, ... neighbours."""
 
@@ -122,7 +109,19 @@ def shingle_hashes(text: bytes, n: int, lower: bool = True) -> np.ndarray:
     value = np.full(len(words) - k + 1, np.uint64(k), np.uint64)
     for i in range(k):
         value = value + words[i : len(words) - k + 1 + i] * _PLACE[i]
-    return np.unique(mix64(value))
+    value = mix64(value)
+    value.sort()
+    return value[np.concatenate(([True], value[1:] != value[:-1]))]
+
+
+def set_digest(hashes: np.ndarray) -> tuple[int, int]:
+    """A 128-bit digest of a set of hashes: two sums, the second over values mixed once more.  (0, 0) for none."""
+    if not len(hashes):
+        return 0, 0
+    n = np.array([len(hashes)], np.uint64)
+    both = np.concatenate((hashes.sum(keepdims=True) + n * _PLACE[52], mix64(hashes + _PLACE[53]).sum(keepdims=True) + n * _PLACE[54]))
+    a, b = mix64(both).view(np.int64).tolist()
+    return a, b
 
 
 def blocks(text: bytes, size: int = _CHUNK):
