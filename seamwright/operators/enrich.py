@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..durable import durable
 from .tokens import ngrams
 
-#: Prefixes of category names that already say what the category is about.
+#: Prefixes of category names that already say what the category is about.
 NAMESPACES = ("sensitive_context", "framing", "subject", "industry", "request", "context")
 
 

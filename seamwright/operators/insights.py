@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Section of insights across groups.
+#: Fixed values of the insight format: the section of insights across groups, the text fields, those that must be there.
 KEY = "key_insights"
 TEXTS = ("title", "finding", "evidence_basis", "scope_or_caveat", "why_it_matters")
 NEEDED = TEXTS[:4]
-#: Weights of the parts of a confidence score, and the worth of a topic by its coherence flag.
+#: Weights of the parts of a confidence score, and the worth of a topic by its coherence flag.
 WEIGHTS = {"volume": 0.30, "breadth": 0.10, "quality": 0.20, "bridge": 0.25, "cleanliness": 0.15}
 QUALITY = {"coherent": 1.0, "mixed": 0.6, "redundant": 0.2, "unclear": 0.0, "unknown": 0.0}
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import clean_label
 from . import ports
 
-#: Reply schema of a topic label, and what its coherence flag may be.
+#: Reply schema of a topic label, and what its coherence flag may be.
 LABEL = "proposed_label string, description string, coherence_flag string, notes string"
 FLAGS = ("coherent", "mixed", "redundant", "unclear")
 

@@ -140,12 +140,12 @@ def taxonomy_vocabulary(unigrams: DataFrame, grams: DataFrame) -> DataFrame:
     return both.groupBy("term").agg(first).select("term", "x.*", F.when(n == 1, "unigram").when(n == 2, "bigram").otherwise("ngram").alias("term_type"))
 
 
-def vector_terms(docs: DataFrame, sizes=(1, 1), mode: str = "reference", key: str = "doc_id") -> DataFrame:
+def vector_terms(docs: DataFrame, sizes=(1, 1), mode: str = "words", key: str = "doc_id") -> DataFrame:
     """key, token: one row an occurrence of a term of the vectoriser, n-grams of ``sizes`` (least, most).
 
-    mode ``reference``: the words VECTOR_TERM finds in the joined tokens, in lower case - hyphens and underscores inside words
+    mode ``words``: the words VECTOR_TERM finds in the joined tokens, in lower case - hyphens and underscores inside words
     stay, injected tokens don't count; ``array``: the token array as it is.  docs: key, tokens."""
-    words = F.regexp_extract_all(F.lower(F.array_join("tokens", " ")), F.lit(VECTOR_TERM), F.lit(0)) if mode == "reference" else F.col("tokens")
+    words = F.regexp_extract_all(F.lower(F.array_join("tokens", " ")), F.lit(VECTOR_TERM), F.lit(0)) if mode == "words" else F.col("tokens")
     return ngram_terms(docs.select(key, words.alias("tokens")), range(sizes[0], sizes[1] + 1), key).select(key, F.col("term").alias("token"))
 
 

@@ -875,19 +875,20 @@ def tfidf_ngrams(spark, d):
 
 _STAR = """SELECT o.o_orderkey, c.c_name, cn.n_name AS customer_nation, cr.r_name AS customer_region, s.s_name, sn.n_name AS supplier_nation, sr.r_name AS supplier_region, p.p_type, coalesce(lb.quality, -1) AS quality, e.event_type IS NOT NULL AS seen,
 CASE WHEN c.c_acctbal < 0 THEN 'Yes' ELSE 'No' END AS in_debt, CASE o.o_orderstatus WHEN 'F' THEN 'Done' WHEN 'O' THEN 'Open' ELSE 'Other' END AS state
-FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN nation cn ON cn.n_nationkey = c.c_nationkey LEFT JOIN region cr ON cr.r_regionkey = cn.n_regionkey
-LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey LEFT JOIN part p ON p.p_partkey = l.l_partkey LEFT JOIN supplier s ON s.s_suppkey = l.l_suppkey LEFT JOIN nation sn ON sn.n_nationkey = s.s_nationkey LEFT JOIN region sr ON sr.r_regionkey = sn.n_regionkey
-LEFT JOIN labels lb ON lb.doc_id = o.o_orderkey LEFT JOIN (SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events WHERE event_type = 'click') e ON e.user_id = o.o_custkey AND e.day = CAST(l.l_shipdate AS DATE)
+FROM {orders} o LEFT JOIN {customer} c ON c.c_custkey = o.o_custkey LEFT JOIN {nation} cn ON cn.n_nationkey = c.c_nationkey LEFT JOIN {region} cr ON cr.r_regionkey = cn.n_regionkey
+LEFT JOIN {lineitem} l ON l.l_orderkey = o.o_orderkey LEFT JOIN {part} p ON p.p_partkey = l.l_partkey LEFT JOIN {supplier} s ON s.s_suppkey = l.l_suppkey LEFT JOIN {nation} sn ON sn.n_nationkey = s.s_nationkey LEFT JOIN {region} sr ON sr.r_regionkey = sn.n_regionkey
+LEFT JOIN {labels} lb ON lb.doc_id = o.o_orderkey LEFT JOIN (SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM {events} WHERE event_type = 'click') e ON e.user_id = o.o_custkey AND e.day = CAST(l.l_shipdate AS DATE)
 WHERE (NOT (o.o_orderstatus = 'P') OR (o.o_orderstatus = 'P') IS NULL) AND (NOT (upper(sr.r_name) = 'ASIA') OR (upper(sr.r_name) = 'ASIA') IS NULL)
 GROUP BY ALL"""
 
 
-@query(_STAR)
+_STAR_TABLES = ("orders", "customer", "nation", "region", "lineitem", "part", "supplier", "labels", "events")
+
+
+@query(_STAR.format(**{n: n for n in _STAR_TABLES}))
 def attributes_snowflake(spark, d):
     """Facts with every table around them, some of these twice, and one join on key and day; grouping by all columns takes away what fanned out."""
-    for name in ("orders", "customer", "nation", "region", "lineitem", "part", "supplier", "labels", "events"):
-        t(spark, d, name).createOrReplaceTempView(name)
-    return spark.sql(_STAR)
+    return spark.sql(_STAR, **{n: t(spark, d, n) for n in _STAR_TABLES})
 
 
 @query("SELECT c_custkey, CASE WHEN c_acctbal < 0 AND c_mktsegment = 'BUILDING' THEN 'both' WHEN c_nationkey < 5 THEN 'rural' ELSE 'none' END || ' | ' || CASE WHEN c_custkey % 7 = 0 THEN 'Unknown' ELSE c_mktsegment END AS field FROM customer")
