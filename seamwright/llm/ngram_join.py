@@ -165,6 +165,7 @@ def _shared(table: pa.Table) -> pa.Table:
     who = np.concatenate((uniq[owner[keep]], alone))
     none = np.arange(len(who)) >= int(keep.sum())
     columns = [np.concatenate((x, np.zeros(len(alone), np.int64))) for x in (token[keep].view(np.int64), df[keep].astype(np.int64))]
+    trim(table.nbytes)
     return pa.table({"f1": who[:, 0], "f2": who[:, 1], "n": who[:, 2], "own": who[:, 3], "token": pa.array(columns[0], mask=none), "df": pa.array(columns[1], mask=none)})
 
 
@@ -215,6 +216,8 @@ def _check(percent: int):
                 both = len(np.intersect1d(p, q, True))
                 if 100 * both >= percent * (len(p) + len(q) - both):
                     hit.append((x, y))
+        del sets, firsts
+        trim(table.nbytes)
         return pa.table({"a": pa.array([x for x, _ in hit], pa.int64()), "b": pa.array([y for _, y in hit], pa.int64())})
 
     return run
@@ -271,6 +274,8 @@ def _read_lists(percent: int, one_each: bool):
                 later = rep[x1] < rep[x2]
                 out.append(np.stack((np.minimum(rep[x1], rep[x2]), np.maximum(rep[x1], rep[x2]), np.where(later, n[x2], n[x1])), 1))
         pair = np.unique(np.concatenate(out), axis=0)
+        del bits, out
+        trim(table.nbytes)
         return pa.table({"a": pair[:, 0], "b": pair[:, 1], "n": pair[:, 2]})
 
     return run

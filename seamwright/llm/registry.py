@@ -68,4 +68,4 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language": op10_language,
 }
-ORACLES = {"op1_mix": mixing.ORACLE, "op2_ngram_join": ngram_join.ORACLE, "op8_exact_dedup": exact_dedup.ORACLE}
+ORACLES = {"op1_mix": mixing.ORACLE, "op2_ngram_join": ngram_join.ORACLE, "op5_embedding_dedup": embedding_dedup.ORACLE, "op8_exact_dedup": exact_dedup.ORACLE}

@@ -30,7 +30,7 @@ _BYTE = np.random.default_rng(20240601).integers(0, 2**64, (_PLACES + 1) * 256,
 _PLACE = np.random.default_rng(20240602).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
-_CHUNK = 1 << 22
+_CHUNK = 1 << 20
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -75,7 +75,7 @@ def _spans(text: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray
     sizes = ends - starts
     first = np.cumsum(sizes) - sizes
     own = data[inside[1:-1].view(bool)]
-    place = np.arange(len(own)) - np.repeat(first, sizes)
+    place = np.arange(len(own), dtype=np.int32) - np.repeat(first.astype(np.int32), sizes)
     far = np.flatnonzero(place >= _PLACES) if sizes.max() > _PLACES else ()
     value = _BYTE[(np.minimum(place, _PLACES) << 8) + (lower_ascii(own) if lower else own)]
     if len(far):
@@ -135,17 +135,13 @@ def blocks(text: bytes, size: int = _CHUNK):
         at = end
 
 
-def coded(pieces: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """(distinct pieces in order of coming, each piece's number among them)."""
-    found = pa.array(pieces, pa.large_binary()).dictionary_encode()
-    return found.dictionary.to_pylist(), found.indices.to_numpy()
-
-
 _HELD: dict[str, object] = {}
 
 
-def trim() -> None:
-    """Gives freed memory back to the system: idle workers would keep it beside the next stage's."""
+def trim(beyond: int = 0) -> None:
+    """Gives freed memory back to the system: idle workers would keep it beside the next stage's.  Does nothing for less than 8 MB."""
+    if 0 < beyond < 8 << 20:
+        return
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
@@ -153,6 +149,16 @@ def trim() -> None:
         pass
 
 
+def frugal() -> None:
+    """Has the allocator return large blocks at once and keep one arena for all threads: for workers that encode in small steps."""
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        for option, value in ((-3, 1 << 20), (-1, 1 << 20), (-8, 1)):  # M_MMAP_THRESHOLD, M_TRIM_THRESHOLD, M_ARENA_MAX
+            libc.mallopt(option, value)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def held(key: str | None, make=None):
     """The one cache of this worker, made anew when another was asked for before: workers live through many stages."""
     if key not in _HELD:
@@ -229,69 +235,14 @@ def grams(points: np.ndarray, of: np.ndarray, sizes, bits: int):
         yield of[at + (1 if n > 1 else 0)], (mix64(value[at]) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-class IdCache:
+class IdTable:
     """Lists of numbers for pieces of text, computed once for each distinct piece.
 
-    ``fill`` maps a list of pieces to (all their numbers, how many each has).  When the cache holds more than ``limit``
-    pieces or ``limit_bytes`` bytes of them, only those met again since they came stay, if they are at most half of it.
+    Pieces are kept and looked up in Arrow arrays; only new ones become Python objects.  ``fill`` maps a list of pieces to
+    (all their numbers, how many each has).  When the table holds more than ``limit`` pieces or ``limit_bytes`` bytes of
+    them, only those met again since they came stay, if they are at most half of it.
     """
 
-    def __init__(self, fill, limit: int = 900_000, limit_bytes: int = 96 << 20):
-        self.fill, self.limit, self.limit_bytes = fill, limit, limit_bytes
-        self.clear()
-
-    def clear(self) -> None:
-        self.at: dict[bytes, int] = {}
-        self.held, self.n, self.used = 0, 0, 0
-        self.start, self.size, self.met, self.flat = np.zeros(1024, np.int64), np.zeros(1024, np.int32), np.zeros(1024, np.int32), np.zeros(4096, np.int32)
-
-    def _add(self, pieces: list[bytes], flat: np.ndarray, sizes: np.ndarray) -> None:
-        total, n = len(flat), self.n + len(pieces)
-        if n > len(self.start):
-            self.start, self.size, self.met = (np.resize(x, 3 * n // 2) for x in (self.start, self.size, self.met))
-        if self.used + total > len(self.flat):
-            self.flat = np.resize(self.flat, 3 * (self.used + total) // 2)
-        self.flat[self.used : self.used + total] = flat
-        self.size[self.n : n] = sizes
-        self.start[self.n : n] = self.used + np.cumsum(sizes) - sizes
-        self.met[self.n : n] = 0
-        self.at.update(zip(pieces, range(self.n, n), strict=True))
-        self.n, self.used, self.held = n, self.used + total, self.held + sum(map(len, pieces))
-
-    def _shrink(self) -> None:
-        often = self.met[: self.n] > 1
-        kept = [p for p, o in zip(self.at, often.tolist(), strict=True) if o]  # in order of coming
-        which = np.flatnonzero(often)
-        sizes = self.size[which].astype(np.int64)
-        flat = self.flat[ranges(self.start[which], sizes)]
-        self.clear()
-        if len(kept) <= self.limit // 2 and sum(map(len, kept)) <= self.limit_bytes // 2:
-            self._add(kept, flat, sizes)
-
-    def find(self, distinct: list[bytes], times: np.ndarray) -> np.ndarray:
-        """Numbers of distinct pieces in start, size and met, valid until the next call; times: how often each is met now."""
-        if self.n > self.limit or self.held > self.limit_bytes:
-            self._shrink()
-        new = [p for p in distinct if p not in self.at]
-        if new:
-            self._add(new, *self.fill(new))
-        which = np.fromiter(map(self.at.__getitem__, distinct), np.int64, len(distinct))
-        self.met[which] += times.astype(np.int32)
-        return which
-
-    def get(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(the lists of all pieces, one after another; their lengths)."""
-        if not pieces:
-            return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        distinct, place = coded(pieces)
-        which = self.find(distinct, np.bincount(place))[place]
-        sizes = self.size[which].astype(np.int64)
-        return self.flat[ranges(self.start[which], sizes)], sizes
-
-
-class IdTable:
-    """What IdCache is, for pieces in Arrow arrays: they are looked up there, and only new ones become Python objects."""
-
     def __init__(self, fill, limit: int = 900_000, limit_bytes: int = 96 << 20):
         self.fill, self.limit, self.limit_bytes = fill, limit, limit_bytes
         self._keep(np.zeros(0, np.int64))
@@ -322,6 +273,16 @@ class IdTable:
         self.met[number] += times
         return number
 
+    def get(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(the lists of all pieces, one after another; their lengths)."""
+        if not pieces:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        found = pa.array(pieces, pa.binary()).dictionary_encode()
+        place = found.indices.to_numpy()
+        which = self.find(found.dictionary, np.bincount(place))[place]
+        sizes = self.size[which]
+        return self.flat[ranges(self.start[which], sizes)], sizes
+
 
 def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for each start, size many."""
@@ -339,7 +300,7 @@ def in_order(flat: np.ndarray, sizes: np.ndarray, places: np.ndarray) -> tuple[n
     return flat[ranges((np.cumsum(sizes) - sizes)[order], sizes[order])], sizes[order]
 
 
-def cached_ids(texts: list[bytes | None], cut, cache: IdCache, size: int = _CHUNK, split=blocks):
+def cached_ids(texts: list[bytes | None], cut, cache: IdTable, size: int = _CHUNK, split=blocks):
     """Yields (ids, end of each text in them) for groups of texts of about ``size`` bytes; cut maps bytes to pieces,
     split a long text to parts of about ``size`` bytes whose pieces are those of the text."""
     at = 0
