@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, exact_dedup, langid, mixing, ngram_join, secret_scan, sp_codec, substring_dedup, token_file, toxicity
+from . import embedding_dedup, exact_dedup, langid, mixing, ngram_join, resampling, secret_scan, sp_codec, substring_dedup, token_file, toxicity
 from .common import table
 
 
@@ -56,6 +56,10 @@ def op10_language(spark, sf_dir):
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
 
 
+def op13_resampling(spark, sf_dir):
+    return resampling.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_ngram_join": op2_ngram_join,
@@ -67,5 +71,6 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language": op10_language,
+    "op13_resampling": op13_resampling,
 }
-ORACLES = {"op1_mix": mixing.ORACLE, "op2_ngram_join": ngram_join.ORACLE, "op5_embedding_dedup": embedding_dedup.ORACLE, "op8_exact_dedup": exact_dedup.ORACLE}
+ORACLES = {"op1_mix": mixing.ORACLE, "op2_ngram_join": ngram_join.ORACLE, "op5_embedding_dedup": embedding_dedup.ORACLE, "op8_exact_dedup": exact_dedup.ORACLE, "op13_resampling": resampling.ORACLE}
