@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, exact_dedup, html_text, langid, mixing, ngram_join, resampling, secret_scan, sp_codec, substring_dedup, token_file, toxicity
+from . import embedding_dedup, exact_dedup, html_text, langid, mixing, ngram_join, prefix_trie, resampling, secret_scan, sp_codec, substring_dedup, token_file, toxicity
 from .common import table
 
 
@@ -56,6 +56,10 @@ def op10_language(spark, sf_dir):
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
 
 
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations"))).drop("turn")
+
+
 def op12_html_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -75,7 +79,8 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language": op10_language,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_html_text": op12_html_text,
     "op13_resampling": op13_resampling,
 }
-ORACLES = {"op1_mix": mixing.ORACLE, "op2_ngram_join": ngram_join.ORACLE, "op5_embedding_dedup": embedding_dedup.ORACLE, "op8_exact_dedup": exact_dedup.ORACLE, "op12_html_text": html_text.ORACLE, "op13_resampling": resampling.ORACLE}
+ORACLES = {"op1_mix": mixing.ORACLE, "op2_ngram_join": ngram_join.ORACLE, "op5_embedding_dedup": embedding_dedup.ORACLE, "op8_exact_dedup": exact_dedup.ORACLE, "op11_prefix_trie": prefix_trie.ORACLE, "op12_html_text": html_text.ORACLE, "op13_resampling": resampling.ORACLE}
