@@ -217,6 +217,7 @@ def weights(docs: DataFrame, gain: np.ndarray, id_col: str = "doc_id", text_col:
     """doc_id, n_features, weight, n_words and the kept columns, one row per document."""
     shared = ship(docs.sparkSession).sparkContext.broadcast(gain)
     keep = keep or {}
+    names = ["doc_id", "n_features", "weight", "n_words", *keep]
 
     def run(batches):
         table = shared.value
@@ -230,7 +231,7 @@ def weights(docs: DataFrame, gain: np.ndarray, id_col: str = "doc_id", text_col:
                         edge = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
                         weight[doc[edge]] += np.add.reduceat(table[bucket], edge)
                         counted[doc[edge]] += np.diff(np.concatenate((edge, [len(doc)])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x) for x in (counted, weight, words)), *(batch.column(2 + k) for k in range(len(keep)))], ["doc_id", "n_features", "weight", "n_words", *keep])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x) for x in (counted, weight, words)), *(batch.columns[2:])], names)
         trim()
 
     rows = picked(docs, {"doc_id": F.col(id_col).cast("long"), "text": F.col(text_col).cast("binary")} | keep)
