@@ -1,41 +1,11 @@
 import json
 
-import numpy as np
 import pytest
 
-from seamwright.operators import clusters, ports, topics
+from seamwright.operators import ports, topics
 from seamwright.sources import reports
 
 
-def plain_linkage(v, within):
-    """Merges groups by the mean of all their distances, from the definition."""
-    u = v / np.linalg.norm(v, axis=1, keepdims=True)
-    d, groups = 1 - u @ u.T, [[i] for i in range(len(v))]
-    while len(groups) > 1:
-        m, a, b = min((d[np.ix_(x, y)].mean(), i, j) for i, x in enumerate(groups) for j, y in enumerate(groups) if i < j)
-        if m > within:
-            break
-        groups[a] += groups.pop(b)
-    return {frozenset(g) for g in groups}
-
-
-@pytest.mark.parametrize("seed", range(5))
-def test_average_linkage(seed):
-    v = np.random.default_rng(seed).normal(size=(40, 4))
-    got = clusters.average_linkage(v, 0.35)
-    assert {frozenset(np.flatnonzero(got == g).tolist()) for g in np.unique(got)} == plain_linkage(v, 0.35)
-
-
-def test_cluster_terms(spark):
-    df = spark.createDataFrame([("teach",), ("teaching",), ("teachings",), ("zebra",), (None,), ("teach",)], "term string")
-    embedded = clusters.embed(df)
-    assert [r.terms for r in clusters.cluster_terms(embedded, 0.6).collect()] == [["teach", "teaching", "teachings"]]
-    assert clusters.cluster_terms(embedded, 0.6, least=4).count() == 0
-    assert clusters.cluster_terms(embedded.limit(0)).count() == 0
-    with pytest.raises(ValueError):
-        clusters.cluster_terms(embedded, most=2)
-
-
 def test_gate_and_failures(spark):
     df = spark.createDataFrame([(["a", "b", "c"],), (["d", "e"],), (["x", "y"],)], "terms array<string>")
 
