@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .quantiles import quantile_columns
+
 
 def value_counts(df: DataFrame, field: str, by: list[str] | None = None, keep_null: bool = True) -> DataFrame:
     by = by or []
@@ -22,10 +24,15 @@ def fixed_bin(value: Column, edges: list[float]) -> Column:
     return out
 
 
-def quantile_edges(df: DataFrame, field: str, parts: int = 5) -> list[float]:
-    """Distinct linear-interpolation quantiles."""
-    got = df.agg(F.percentile(field, F.array(*[F.lit(k / parts) for k in range(parts + 1)])).alias("q")).first()["q"] or []
-    return list(dict.fromkeys(got))
+def quantile_edges(df: DataFrame, field: str, parts: int = 5) -> list[Column]:
+    """Linear-interpolation quantiles in order, equal ones included; null without values."""
+    return list(quantile_columns(df, field, {f"q{k}": k / parts for k in range(parts + 1)}).values())
+
+
+def quantile_bin(value: Column, edges: list[Column]) -> Column:
+    """Number of the right-closed bin between the distinct edges (the first also holds its left edge); null outside all."""
+    below = [F.when((e < value) & (F.lit(True) if k == 0 else e > edges[k - 1]), 1).otherwise(0) for k, e in enumerate(edges)]
+    return F.when((value >= edges[0]) & (value <= edges[-1]), F.greatest(F.lit(0), sum(below[1:], below[0]) - 1))
 
 
 def weighted_average(value: str, weight: str) -> Column:
@@ -113,4 +120,4 @@ def group_summary(members: DataFrame, group: str, key: str) -> DataFrame:
     """One row: groups, median and largest number of distinct members, and the largest group (ties by name).  Null groups are left out."""
     sizes = members.filter(F.col(group).isNotNull()).groupBy(group).agg(F.countDistinct(key).alias("n"))
     largest = F.max_by(F.col(group), F.struct("n", F.transform(F.split(F.col(group).cast("string"), ""), lambda c: -F.ascii(c))))
-    return sizes.agg(F.count("*").alias("n_groups"), F.percentile("n", 0.5).alias("median_size"), F.max("n").alias("largest_size"), largest.alias("largest"))
+    return sizes.agg(F.count("*").alias("n_groups"), F.max("n").alias("largest_size"), largest.alias("largest")).withColumns(quantile_columns(sizes, "n", {"median_size": 0.5}))

@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..durable import durable
+from .quantiles import quantile_columns, with_quantiles
+
 #: Fixed values of the insight format: the section of insights across groups, the text fields, those that must be there.
 KEY = "key_insights"
 TEXTS = ("title", "finding", "evidence_basis", "scope_or_caveat", "why_it_matters")
@@ -56,7 +59,9 @@ def section_problems(found: DataFrame, groups: DataFrame, cross: tuple[int, int]
 
 
 def support(bridge: DataFrame, keys: list[str], project: str, share: str = "topic_share") -> DataFrame:
-    return bridge.groupBy(*keys).agg(F.countDistinct(project).alias("supporting_projects"), F.round(F.avg(share), 6).alias("mean_share"), F.round(F.percentile(share, 0.5), 6).alias("median_share"))
+    """Distinct projects, mean and median share of each key."""
+    found = bridge.groupBy(*keys).agg(F.countDistinct(project).alias("supporting_projects"), F.round(F.avg(share), 6).alias("mean_share"))
+    return with_quantiles(found, bridge, keys, share, {"median_share": 0.5}).withColumn("median_share", F.round("median_share", 6))
 
 
 def evidence(cited: DataFrame, bridge: DataFrame, labels: DataFrame, project: str) -> DataFrame:
@@ -85,9 +90,10 @@ def best_topics(cited: DataFrame, bridge: DataFrame, project: str, least: int =
 def traced(cited: DataFrame, bridge: DataFrame, project: str, most: int = 500) -> DataFrame:
     """Per insight: distinct supporting projects, and the first ``most`` of their ids (a report's limit)."""
     rows = cited.select("insight_id", "topic_key").distinct().join(bridge.select("topic_key", project), "topic_key").select("insight_id", project).distinct()
-    w = Window.partitionBy("insight_id").orderBy(project)
-    ranked = rows.withColumn("r", F.row_number().over(w))
-    return ranked.groupBy("insight_id").agg(F.count("*").alias("project_count"), F.array_sort(F.collect_list(F.when(F.col("r") <= most, F.col(project)))).alias("project_ids"))
+    n = rows.groupBy("insight_id").agg(F.count("*").alias("project_count"))
+    first = rows.withColumn("r", F.row_number().over(Window.partitionBy("insight_id").orderBy(project))).filter(F.col("r") <= most)
+    ids = first.groupBy("insight_id").agg(F.array_sort(F.collect_list(project)).alias("project_ids"))
+    return n.join(ids, "insight_id")
 
 
 def top_projects(scores: DataFrame, key: str, project: str, order: list[Column], limit: int = 500) -> DataFrame:
@@ -133,32 +139,34 @@ def duplicates(pairs: DataFrame, high: float = 0.80, topics: float = 0.60, title
     return pairs.filter((F.col("topics_overlap") >= high) | ((F.col("topics_overlap") >= topics) & (F.col("title_overlap") >= title) & (F.col("words_overlap") >= text)))
 
 
-def greedy_dedupe(ranked: list[str], edges: set[tuple[str, str]]) -> dict[str, str | None]:
-    """For each insight, best first, the best kept one that it duplicates, or None: then it stays itself."""
-    near: dict[str, set[str]] = {}
-    for x, y in edges:
-        near.setdefault(x, set()).add(y)
-        near.setdefault(y, set()).add(x)
-    out: dict[str, str | None] = {}
-    for x in ranked:
-        kept = {y for y in near.get(x, ()) if y in out and out[y] is None}
-        out[x] = min(kept, key=ranked.index) if len(kept) > 1 else next(iter(kept), None)
-    return out
-
-
-def dedupe(insights: DataFrame, edges: DataFrame, order: list[Column], most: int = 100_000) -> tuple[DataFrame, DataFrame]:
+def dropped(ranked: DataFrame, edges: DataFrame) -> DataFrame:
+    """dropped_insight_id, matched_kept_insight_id: best first, a row goes if it duplicates one that stays; matched with the best of these.
+
+    ranked: insight_id, place (lower is better, no ties); edges: insight_id_a, insight_id_b.  The choice is that of one pass in
+    order, made in rounds: what has no better neighbour left stays, its neighbours go, and decided edges leave.  Rounds end when
+    no edge is left; their number is at most the longest chain of ever worse neighbours, each is written, and none reaches the driver."""
+    a, b = (ranked.select(F.col("insight_id").alias(f"insight_id_{s}"), F.col("place").alias(f"place_{s}")) for s in "ab")
+    both = edges.select("insight_id_a", "insight_id_b").filter("insight_id_a <> insight_id_b").join(a, "insight_id_a").join(b, "insight_id_b")
+    first = F.col("place_a") < F.col("place_b")
+    pairs = both.select(F.when(first, F.col("insight_id_a")).otherwise(F.col("insight_id_b")).alias("better"), F.when(first, F.col("insight_id_b")).otherwise(F.col("insight_id_a")).alias("worse"), F.least("place_a", "place_b").alias("place"))
+    pairs = undecided = durable(pairs.distinct(), "duplicate-pairs")
+    gone = pairs.select("worse").limit(0)
+    while not undecided.isEmpty():
+        stays = undecided.select("better").distinct().join(undecided.select(F.col("worse").alias("better")), "better", "left_anti")
+        lost = durable(undecided.join(stays, "better", "left_semi").select("worse").distinct(), "dropped")
+        undecided = durable(undecided.join(lost, "worse", "left_anti").join(lost.select(F.col("worse").alias("better")), "better", "left_anti"), "undecided")
+        gone = gone.unionByName(lost)
+    kept = pairs.join(gone, "worse", "left_semi").join(gone.select(F.col("worse").alias("better")), "better", "left_anti")
+    return kept.groupBy("worse").agg(F.min_by("better", "place").alias("better")).select(F.col("worse").alias("dropped_insight_id"), F.col("better").alias("matched_kept_insight_id"))
+
+
+def dedupe(insights: DataFrame, edges: DataFrame, order: list[Column]) -> tuple[DataFrame, DataFrame]:
     """(insights that stay, audit): best first by ``order``, an insight goes if it duplicates one that stays.
 
-    The choice is sequential, so insight ids and duplicate pairs come to the driver; a report has tens of them, and more than
-    ``most`` raise ValueError.  audit: dropped_insight_id, matched_kept_insight_id, pair_kind and overlaps."""
-    ranked = [r[0] for r in insights.orderBy(*order).select("insight_id").limit(most + 1).collect()]
-    found = [(r[0], r[1]) for r in edges.select("insight_id_a", "insight_id_b").limit(most + 1).collect()]
-    if max(len(ranked), len(found)) > most:
-        raise ValueError(f"more than {most} insights or duplicate pairs")
-    place = {x: k for k, x in enumerate(ranked)}
-    matched = [(x, y) for x, y in greedy_dedupe(ranked, {(x, y) for x, y in found if x in place and y in place}).items() if y is not None]
-    kind = insights.schema["insight_id"].dataType.simpleString()
-    gone = insights.sparkSession.createDataFrame(matched, f"dropped_insight_id {kind}, matched_kept_insight_id {kind}")
+    ``order`` must end with a column that tells all rows apart.  Places come from sorted ranges, so no task orders all rows.
+    audit: dropped_insight_id, matched_kept_insight_id, pair_kind and overlaps."""
+    ranked = insights.repartitionByRange(*order).sortWithinPartitions(*order).select("insight_id", F.monotonically_increasing_id().alias("place"))
+    gone = durable(dropped(durable(ranked, "places"), edges), "dropped")
     low, high = F.least("dropped_insight_id", "matched_kept_insight_id"), F.greatest("dropped_insight_id", "matched_kept_insight_id")
     audit = gone.join(edges, (edges["insight_id_a"] == low) & (edges["insight_id_b"] == high)).drop("insight_id_a", "insight_id_b")
     return insights.join(gone.select(F.col("dropped_insight_id").alias("insight_id")), "insight_id", "left_anti"), audit.withColumn("reason", F.lit("deterministic_obvious_duplicate"))
@@ -187,7 +195,7 @@ def confidence(insights: DataFrame, volume_scale: Column | float, breadth_scale:
 
 def volume_scale(groups: DataFrame, multiplier: float) -> Column:
     """The number of projects that scores 100: a multiple of the median group size.  groups: size (one row a group)."""
-    return groups.agg(F.percentile("size", 0.5) * multiplier).scalar()
+    return quantile_columns(groups, "size", {"m": 0.5})["m"] * multiplier
 
 
 def tiers(scored: DataFrame, top: dict, secondary: dict, tertiary: dict) -> DataFrame:
@@ -215,8 +223,9 @@ def tiers(scored: DataFrame, top: dict, secondary: dict, tertiary: dict) -> Data
 def calibration(scored: DataFrame, ceiling: float = 99.9, fields: tuple[str, ...] = (*(f"{k}_score" for k in WEIGHTS), "confidence_score", "supporting_projects", "n_topics", "mean_share")) -> DataFrame:
     """One row a field: n, mean, least, quartiles, most, and the share of insights at the ceiling."""
     long = scored.select(F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("v")) for c in fields])).alias("x")).select("x.*")
-    q = [F.round(F.percentile("v", p), 4).alias(f"p{int(100 * p)}") for p in (0.25, 0.5, 0.75)]
-    return long.groupBy("field").agg(F.count("v").alias("n"), F.round(F.avg("v"), 4).alias("mean"), F.min("v").alias("least"), *q, F.max("v").alias("most"), F.round(F.avg((F.col("v") >= ceiling).cast("double")), 4).alias("at_ceiling"))
+    q = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    found = long.groupBy("field").agg(F.count("v").alias("n"), F.round(F.avg("v"), 4).alias("mean"), F.min("v").alias("least"), F.max("v").alias("most"), F.round(F.avg((F.col("v") >= ceiling).cast("double")), 4).alias("at_ceiling"))
+    return with_quantiles(found, long, ["field"], "v", q).withColumns({c: F.round(c, 4) for c in q})
 
 
 def dead_zone(tiered: DataFrame, least_score: float = 40, least_projects: int = 10) -> DataFrame:

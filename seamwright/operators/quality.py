@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .quantiles import quantile_columns
+
 
 def quality_report(tokens: DataFrame, stopwords, label: str, window: int = 200, key: str = "doc_id") -> DataFrame:
     """One row: label, documents, distinct and all tokens, least, median and greatest tokens a document, the stopwords among the
@@ -13,7 +15,7 @@ def quality_report(tokens: DataFrame, stopwords, label: str, window: int = 200,
     freq = tokens.groupBy("token").agg(F.count("*").alias("n"))
     top = freq.orderBy(F.desc("n"), "token").limit(window)
     bad = top.filter(F.col("token").isin(*stopwords)).agg(F.array_join(F.sort_array(F.collect_list("token")), ",")).scalar()
-    docs = per.agg(F.count("*").alias("n_docs"), F.min("n").alias("least"), F.percentile("n", 0.5).alias("p50"), F.max("n").alias("most"))
+    docs = per.agg(F.count("*").alias("n_docs"), F.min("n").alias("least"), F.max("n").alias("most")).withColumns(quantile_columns(per, "n", {"p50": 0.5}))
     total = freq.agg(F.struct(F.count("*").alias("u"), F.sum("n").alias("t"))).scalar()
     out = docs.select(F.lit(label).alias("checkpoint"), "n_docs", total["u"].alias("vocabulary"), total["t"].alias("n_tokens"), "least", "p50", "most", bad.alias("stopword_violations"))
     return out.withColumn("no_stopwords", F.col("stopword_violations") == "")

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .quantiles import quantile_columns
+
 #: Stopwords of the queries; a caller brings a list or a table of its own.
 STOPWORDS = ("the", "and", "for", "are", "was", "with", "that", "this", "from", "not")
 #: Fixed value: the ends of words that a stemmer is likely to have cut off (in words of at most eight letters).
@@ -42,7 +44,8 @@ def vocabulary(tokens: DataFrame, n_docs: int | Column, key: str = "doc_id") ->
 
 def doc_freq_summary(frequencies: DataFrame) -> DataFrame:
     """One row: retained terms, least, greatest and median document frequency.  frequencies: doc_freq."""
-    return frequencies.agg(F.count("*").alias("retained"), F.min("doc_freq").alias("least"), F.max("doc_freq").alias("most"), F.percentile("doc_freq", 0.5).alias("median"))
+    median = quantile_columns(frequencies, "doc_freq", {"median": 0.5})
+    return frequencies.agg(F.count("*").alias("retained"), F.min("doc_freq").alias("least"), F.max("doc_freq").alias("most")).withColumns(median)
 
 
 def without(tokens: DataFrame, stopwords) -> DataFrame:

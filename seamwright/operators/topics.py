@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .quantiles import quantile_columns
+
 
 def bridge(weights: DataFrame, group: str, project: str, topic: str, weight: str, least: float) -> DataFrame:
     """Share of each topic in a project's total weight (0 when the total isn't positive), where it reaches ``least``."""
@@ -55,7 +57,7 @@ def slices(sizes: DataFrame, group: str, base: int = 15, least_vocabulary: int =
     """group, docs, vocabulary, nnz, n_components, skip_reason (null: the group is factorised).
 
     sizes: group, docs, vocabulary, nnz.  Groups are small when their median size is below ``small_below``."""
-    small = sizes.agg(F.percentile("docs", 0.5) < small_below).scalar()
+    small = quantile_columns(sizes, "docs", {"m": 0.5})["m"] < small_below
     k = components_of(F.col("docs"), F.col("vocabulary"), base, per_topic, small, small_cap)
     why = F.when(F.col("vocabulary") < least_vocabulary, "low_retained_vocab").when(F.col("nnz") < least_nnz, "low_tfidf_nnz").when(F.col("vocabulary") < F.col("n_components"), "vocab_below_topic_count")
     return sizes.select(group, "docs", "vocabulary", "nnz", k.alias("n_components")).withColumn("skip_reason", why)

@@ -7,6 +7,7 @@ from pyspark.sql.window import Window
 
 from ..functions import text as tx
 from ..operators import charts, clusters, enrich, factorise, fields, filters, insights, labels, quality, tfidf, tokens, topics
+from ..operators.quantiles import quantile_columns
 from ..streaming.events import windowed
 
 QUERIES: dict = {}
@@ -125,8 +126,8 @@ def sparsity_excluded(spark, d):
 SELECT count(*) AS n_docs, round(avg(n), 6) AS mean, round(stddev_samp(n), 6) AS std, min(n) AS least, quantile_cont(n, 0.25) AS p25, quantile_cont(n, 0.5) AS p50, quantile_cont(n, 0.75) AS p75, max(n) AS most FROM l""")
 def quality_stats(spark, d):
     n = toks(spark, d).groupBy("doc_id").agg(F.count("*").alias("n"))
-    q = [F.percentile("n", p).alias(f"p{int(100 * p)}") for p in (0.25, 0.5, 0.75)]
-    return n.agg(F.count("*").alias("n_docs"), F.round(F.avg("n"), 6).alias("mean"), F.round(F.stddev_samp("n"), 6).alias("std"), F.min("n").alias("least"), *q, F.max("n").alias("most"))
+    q = quantile_columns(n, "n", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    return n.agg(F.count("*").alias("n_docs"), F.round(F.avg("n"), 6).alias("mean"), F.round(F.stddev_samp("n"), 6).alias("std"), F.min("n").alias("least"), F.max("n").alias("most")).withColumns(q)
 
 
 @query(f"WITH {_TOK} SELECT token, corpus_freq, doc_freq, round(doc_freq / (SELECT count(*) FROM documents)::DOUBLE, 6) AS docs_pct FROM df")
@@ -262,7 +263,7 @@ SELECT source, greatest(4, least(15, greatest(4, docs // 15), greatest(4, vocab
 def topic_count_rule(spark, d):
     docs = t(spark, d, "documents").groupBy("source").agg(F.count("*").alias("docs"))
     vocab = toks(spark, d, ("doc_id", "source")).groupBy("source").agg(F.countDistinct("token").alias("vocab"))
-    small = docs.agg(F.percentile("docs", 0.5) < 125).scalar()
+    small = quantile_columns(docs, "docs", {"m": 0.5})["m"] < 125
     return docs.join(vocab, "source").select("source", topics.components_of(F.col("docs"), F.col("vocab"), small=small).alias("k"))
 
 
@@ -396,7 +397,7 @@ ov AS (SELECT a.insight_id AS a, b.insight_id AS b, CASE WHEN a.section = 'key_i
  round(len(list_intersect(a.topics, b.topics)) / len(list_distinct(list_concat(a.topics, b.topics)))::DOUBLE, 6) AS topics_overlap,
  round(len(list_intersect(a.tw, b.tw)) / len(list_distinct(list_concat(a.tw, b.tw)))::DOUBLE, 6) AS title_overlap,
  round(len(list_intersect(a.xw, b.xw)) / len(list_distinct(list_concat(a.xw, b.xw)))::DOUBLE, 6) AS words_overlap FROM acc a JOIN acc b ON a.bucket = b.bucket AND a.insight_id < b.insight_id),
-e AS (SELECT * FROM ov WHERE topics_overlap >= 0.8 OR (topics_overlap >= 0.3 AND title_overlap >= 0.6 AND words_overlap >= 0.55)),
+e AS (SELECT * FROM ov WHERE topics_overlap >= 0.8 OR (topics_overlap >= 0.6 AND title_overlap >= 0.6 AND words_overlap >= 0.55)),
 o AS (SELECT insight_id, row_number() OVER (ORDER BY mean_share DESC, supporting_projects DESC, verification_ratio DESC, insight_id) AS k FROM acc),
 adj AS (SELECT x.k, list(y.k) AS near FROM (SELECT a, b FROM e UNION ALL SELECT b, a FROM e) p JOIN o x ON x.insight_id = p.a JOIN o y ON y.insight_id = p.b GROUP BY x.k),
 oo AS (SELECT o.*, coalesce(near, []) AS near FROM o LEFT JOIN adj USING (k)),
@@ -408,7 +409,7 @@ def _deduped(spark, d):
     words = lambda c: F.array_distinct(F.split(F.lower(c), " "))
     acc = insights.pair_kinds(insights.package(_report(spark, d))).withColumns({"title_words": words(F.col("title")), "words": words(F.concat("title", F.lit(" "), "finding"))})
     pairs = insights.screened_pairs(acc.select("insight_id", "bucket", "topics", F.col("title_words").alias("title"), "words"), "bucket")
-    edges = insights.duplicates(pairs, topics=0.3).withColumn("pair_kind", F.when(F.col("bucket") == "key", "key_vs_key").otherwise("bg_vs_same_bg")).drop("bucket")
+    edges = insights.duplicates(pairs).withColumn("pair_kind", F.when(F.col("bucket") == "key", "key_vs_key").otherwise("bg_vs_same_bg")).drop("bucket")
     return insights.dedupe(acc, edges, [F.desc("mean_share"), F.desc("supporting_projects"), F.desc("verification_ratio"), F.asc("insight_id")])
 
 
@@ -604,7 +605,7 @@ def cost_bins(spark, d):
 @query("WITH q AS (SELECT quantile_cont(c_acctbal, [0.2, 0.4, 0.6, 0.8]) AS e FROM customer) SELECT CASE WHEN c_acctbal <= e[1] THEN 0 WHEN c_acctbal <= e[2] THEN 1 WHEN c_acctbal <= e[3] THEN 2 WHEN c_acctbal <= e[4] THEN 3 ELSE 4 END AS bin, count(*) AS n FROM customer, q GROUP BY bin")
 def quintile_bins(spark, d):
     c = t(spark, d, "customer")
-    return c.select(charts.fixed_bin(F.col("c_acctbal"), charts.quantile_edges(c, "c_acctbal")).alias("bin")).groupBy("bin").agg(F.count("*").alias("n"))
+    return c.select(charts.quantile_bin(F.col("c_acctbal"), charts.quantile_edges(c, "c_acctbal")).alias("bin")).groupBy("bin").agg(F.count("*").alias("n"))
 
 
 @query("SELECT l_returnflag, round(sum(l_discount * l_quantity) / sum(l_quantity), 6) AS wavg FROM lineitem GROUP BY l_returnflag")

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,9 +67,36 @@ def test_bridge_bounds(spark):
     assert sorted((r["p"], r["topic"]) for r in got) == [(1, 0), (1, 1)]
 
 
-def test_greedy_dedupe():
-    assert insights.greedy_dedupe(["a", "b", "c"], {("a", "b"), ("b", "c")}) == {"a": None, "b": "a", "c": None}
-    assert insights.greedy_dedupe(["a", "b", "c"], {("a", "c"), ("b", "c")}) == {"a": None, "b": None, "c": "a"}
+def greedy(n, edges):
+    """One row after another: what it duplicates among the kept, the best first."""
+    kept, out = [], {}
+    for x in range(n):
+        hit = next((y for y in kept if (y, x) in edges), None)
+        if hit is None:
+            kept.append(x)
+        else:
+            out[x] = hit
+    return out
+
+
+@pytest.mark.parametrize(("n", "m", "seed"), [(3, 2, 0), (40, 60, 1), (200, 900, 2), (60, 59, None)])
+def test_dropped_equals_the_sequential_rule(spark, n, m, seed):
+    rng = random.Random(seed)
+    edges = {tuple(sorted(rng.sample(range(n), 2))) for _ in range(m)} if seed is not None else {(k, k + 1) for k in range(20)}  # a chain: many rounds
+    ranked = spark.createDataFrame([(f"i{(k * 7) % n if seed is None else k:04d}", k) for k in range(n)], "insight_id string, place long")
+    name = {r["place"]: r["insight_id"] for r in ranked.collect()}
+    pairs = spark.createDataFrame([(min(name[a], name[b]), max(name[a], name[b])) for a, b in edges], "insight_id_a string, insight_id_b string")
+    got = {(r[0], r[1]) for r in insights.dropped(ranked, pairs).collect()}
+    assert got == {(name[x], name[y]) for x, y in greedy(n, edges).items()}
+
+
+def test_dedupe_by_all_three_overlaps(spark):
+    rows = [("a", 0.9), ("b", 0.8), ("c", 0.7), ("d", 0.7)]
+    df = spark.createDataFrame(rows, "insight_id string, mean_share double")
+    pairs = spark.createDataFrame([("a", "b", 0.6, 0.6, 0.55), ("b", "c", 0.8, 0.0, 0.0), ("a", "d", 0.59, 1.0, 1.0)], "insight_id_a string, insight_id_b string, topics_overlap double, title_overlap double, words_overlap double")
+    stay, audit = insights.dedupe(df, insights.duplicates(pairs), [F.desc("mean_share"), F.asc("insight_id")])
+    assert sorted(r[0] for r in stay.select("insight_id").collect()) == ["a", "c", "d"]
+    assert [(r["dropped_insight_id"], r["matched_kept_insight_id"], r["topics_overlap"]) for r in audit.collect()] == [("b", "a", 0.6)]
 
 
 def test_rule():
