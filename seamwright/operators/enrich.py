@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..durable import durable
-from .tokens import ngrams
 
 #: Prefixes of category names that already say what the category is about.
 NAMESPACES = ("sensitive_context", "framing", "subject", "industry", "request", "context")
@@ -83,11 +84,18 @@ def injection_lookup(classified: DataFrame, vocabulary: DataFrame, least: int, c
 def inject(docs: DataFrame, lookup: DataFrame, key: str = "doc_id", sizes: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
     """Appends the lookup's tokens (term, injected) of a document's terms, by first place of the term, then token; each once, none it has.
 
-    Terms are tokens and runs of tokens with a space between, of the numbers in ``sizes``.  The lookup is written first, so
-    the planner knows its size: a small one goes by broadcast and no token moves, a large one meets the tokens by term."""
-    lookup = durable(lookup.select("term", "injected"), "lookup")
-    terms = F.concat(*[F.transform(F.col("tokens") if n == 1 else ngrams(F.col("tokens"), n), lambda x, i: F.struct(i.alias("pos"), x.alias("term"))) for n in sizes])
-    hits = docs.select(key, F.explode(terms).alias("t")).select(key, "t.pos", "t.term").join(lookup, "term")
+    Terms are tokens and runs of tokens with a space between, of the numbers in ``sizes``.  The lookup is indexed by the first
+    token of its terms: each place of a document comes once, with the tokens behind it, meets the terms that begin with its
+    token and leaves only if the rest follows.  The lookup is written first, so the planner knows its size: up to
+    ``spark.sql.autoBroadcastJoinThreshold`` it goes by broadcast and no token moves, a larger one meets the tokens by shuffle."""
+    most = max(sizes)
+    parts = F.split("term", " ")
+    terms = lookup.filter(F.size(parts).isin(*sizes)).select("injected", *[F.get(parts, F.lit(k)).alias(f"t{k}") for k in range(most)])
+    terms = durable(terms.filter("injected IS NOT NULL").distinct(), "lookup")
+    place = F.transform("tokens", lambda x, i: F.struct(i.alias("pos"), x.alias("w0"), *[F.get("tokens", i + k).alias(f"w{k}") for k in range(1, most)]))
+    places = docs.select(key, F.explode(place).alias("p")).select(key, "p.*")
+    follows = [F.col(f"t{k}").isNull() | (F.col(f"t{k}") == F.col(f"w{k}")) for k in range(1, most)]
+    hits = places.join(terms, reduce(Column.__and__, follows, F.col("w0") == F.col("t0"))).select(key, "pos", "injected")
     new = hits.groupBy(key, "injected").agg(F.min("pos").alias("pos")).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "injected"))).alias("n"))
     joined = docs.join(new, key, "left")
     added = F.array_except(F.coalesce(F.transform("n", lambda x: x["injected"]), F.array().cast("array<string>")), F.col("tokens"))

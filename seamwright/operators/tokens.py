@@ -12,6 +12,8 @@ from .quantiles import quantile_columns
 STOPWORDS = ("the", "and", "for", "are", "was", "with", "that", "this", "from", "not")
 #: Fixed value: the ends of words that a stemmer is likely to have cut off (in words of at most eight letters).
 TRUNCATED = "(at|iv|iz|az|ig|if|ic|olog)$"
+#: Bits of the filter that tells n-grams whose shorter ones are rare: 1 MB, whatever the vocabulary.
+FILTER_BITS = 1 << 23
 #: Fixed value: the words that the term vectoriser sees, on lower-cased text; injected tokens (``__x__``) are none of them.
 VECTOR_TERM = r"(?U)\b[a-z][a-z_\-]*\b"
 
@@ -128,11 +130,47 @@ def ngram_terms(lists: DataFrame, sizes=(1, 2, 3), key: str = "doc_id") -> DataF
     return lists.select(key, F.explode(every).alias("t")).select(key, "t.n", "t.term")
 
 
+def _bits(terms: DataFrame) -> Column:
+    """A Bloom filter of one hash: an array of ``FILTER_BITS`` / 64 numbers, as a scalar subquery of a fixed size."""
+    at = F.pmod(F.xxhash64("term"), F.lit(FILTER_BITS))
+    words = terms.select((at / 64).cast("long").alias("id"), F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int")).alias("bit")).groupBy("id").agg(F.bit_or("bit").alias("bits"))
+    every = terms.sparkSession.range(FILTER_BITS // 64).join(words, "id", "left").select("id", F.coalesce("bits", F.lit(0)).cast("long").alias("bits"))
+    return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "bits"))), lambda w: w["bits"])).scalar()
+
+
+def _may_hold(bits: Column, term: Column) -> Column:
+    at = F.pmod(F.xxhash64(term), F.lit(FILTER_BITS))
+    return F.getbit(F.get(bits, (at / 64).cast("int")), (at % 64).cast("int")) == 1
+
+
+def ngram_counts(lists: DataFrame, n: int, shorter: DataFrame | None = None) -> DataFrame:
+    """term, doc_freq, corpus_freq of the n-grams of token lists, one list a document.
+
+    With ``shorter``, a table of (n-1)-grams, an n-gram is counted only if that holds both of its own: tested before the
+    shuffle in a filter that lets some others pass.  A term comes once for each place and once more for each document, so
+    both numbers are sums that each task makes for itself first, and one shuffle moves a row a term and task."""
+    grams = lists.select(F.col("tokens").alias("g") if n == 1 else ngrams(F.col("tokens"), n).alias("g"))
+    every = F.concat(F.transform("g", lambda x: F.struct(x.alias("term"), F.lit(0).alias("d"))), F.transform(F.array_distinct("g"), lambda x: F.struct(x.alias("term"), F.lit(1).alias("d"))))
+    rows = grams.select(F.explode(every).alias("t")).select("t.term", "t.d")
+    if shorter is not None and n > 1:
+        bits = _bits(shorter)
+        head, tail = F.substring_index("term", " ", n - 1), F.substr("term", F.instr("term", F.lit(" ")) + 1)
+        rows = rows.filter(_may_hold(bits, head) & _may_hold(bits, tail))
+    return rows.groupBy("term").agg(F.sum("d").alias("doc_freq"), F.sum(1 - F.col("d")).alias("corpus_freq"))
+
+
 def ngram_vocabulary(lists: DataFrame, sizes=(1, 2, 3), min_df: int = 8, max_share: float = 0.4, key: str = "doc_id") -> DataFrame:
-    """term, n, doc_freq, corpus_freq with closed bounds."""
-    per = ngram_terms(lists, sizes, key).groupBy(key, "n", "term").agg(F.count("*").alias("c"))
-    out = per.groupBy("n", "term").agg(F.count("*").alias("doc_freq"), F.sum("c").alias("corpus_freq"))
-    return out.filter((F.col("doc_freq") >= min_df) & (F.col("doc_freq") <= F.lit(max_share) * lists.agg(F.count("*")).scalar()))
+    """term, n, doc_freq, corpus_freq with closed bounds, level by level: an n-gram in ``min_df`` documents has (n-1)-grams in as many.
+
+    lists: key, tokens; one row a document."""
+    most, out, shorter = F.lit(max_share) * lists.agg(F.count("*")).scalar(), None, None
+    for n in range(1, max(sizes) + 1):
+        found = ngram_counts(lists, n, shorter).filter(F.col("doc_freq") >= min_df)
+        shorter = found.select("term")
+        if n in sizes:
+            level = found.filter(F.col("doc_freq") <= most).select(F.lit(n).alias("n"), "term", "doc_freq", "corpus_freq")
+            out = level if out is None else out.unionByName(level)
+    return out
 
 
 def taxonomy_vocabulary(unigrams: DataFrame, grams: DataFrame) -> DataFrame:
