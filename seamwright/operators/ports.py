@@ -10,13 +10,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship
+from .replies import Replies
 
 #: Reply schema of the coherence gate.
 GATE = "decision string, injected string, groups array<struct<injected: string, terms: array<string>>>"
 
 
-def ask(rows: DataFrame, prompt: str, model: Callable[[str], str], tries: int = 3, wait: float = 1.0) -> DataFrame:
-    """Adds ``reply`` and ``error``; a call that fails ``tries`` times (pauses doubling) leaves a null reply and its error."""
+def ask(rows: DataFrame, prompt: str, model: Callable[[str], str], tries: int = 3, wait: float = 1.0, replies: Replies | None = None) -> DataFrame:
+    """Adds ``reply`` and ``error``; a call that fails ``tries`` times (pauses doubling) leaves a null reply and its error.
+
+    With ``replies`` equal prompts are asked once, now and in later runs (this asks at once); without, each row asks when it
+    is computed, and again whenever it is."""
     ship(rows.sparkSession)
 
     def one(text: str) -> tuple[str | None, str | None]:
@@ -33,7 +37,15 @@ def ask(rows: DataFrame, prompt: str, model: Callable[[str], str], tries: int =
     def run(s: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([one(x) if x is not None else (None, "no prompt") for x in s], columns=["reply", "error"])
 
-    return rows.withColumn("_r", run(prompt)).select("*", "_r.reply", "_r.error").drop("_r")
+    def asked(df: DataFrame, column: str) -> DataFrame:
+        return df.withColumn("_r", run(column)).select("*", "_r.reply", "_r.error").drop("_r")
+
+    if replies is None:
+        return asked(rows, prompt)
+    keyed = rows.withColumn("_key", replies.key(F.col(prompt)))
+    found = replies.fill(keyed.select(F.col("_key").alias("key"), F.col(prompt).alias("prompt")), lambda df: asked(df, "prompt"))
+    out = keyed.join(found.withColumnRenamed("key", "_key"), "_key", "left")
+    return out.withColumn("error", F.when(F.col("_key").isNull(), F.lit("no prompt")).otherwise(F.col("error"))).drop("_key")
 
 
 def json_reply(schema: str):
@@ -53,12 +65,18 @@ def gate_clusters(clusters: DataFrame, model: Callable[[str], str], most: int =
     return whole.unionByName(parts)
 
 
-def classify_terms(terms: DataFrame, categories: Sequence[str], model: Callable[[str], str], batch: int = 150, buckets: int = 8, **how) -> DataFrame:
-    """term, category (null: none of ``categories``, or the batch failed).  Batches of up to ``batch`` terms; a reply maps terms to categories."""
+def classify_terms(terms: DataFrame, categories: Sequence[str], model: Callable[[str], str], batch: int = 150, buckets: int | None = None, **how) -> DataFrame:
+    """term, category (null: none of ``categories``, or the batch failed).  Batches of up to ``batch`` terms; a reply maps terms to categories.
+
+    Terms are dealt out of ``buckets``, by default one for a hundred batches.  Kept replies (``replies``) hold for the same
+    categories and batch size, and a batch for the same terms."""
     from pyspark.sql.window import Window
 
-    bucket = F.pmod(F.xxhash64("term"), F.lit(buckets))
-    dealt = terms.select("term").filter("term IS NOT NULL").distinct().withColumn("b", bucket)
+    if how.get("replies"):
+        how["replies"] = how["replies"].scoped(categories=sorted(categories), batch=batch)
+    known = terms.select("term").filter("term IS NOT NULL").distinct()
+    buckets = buckets or -(-known.count() // (100 * batch)) or 1
+    dealt = known.withColumn("b", F.pmod(F.xxhash64("term"), F.lit(buckets)))
     dealt = dealt.withColumn("k", F.floor((F.row_number().over(Window.partitionBy("b").orderBy("term")) - 1) / batch))
     sets = dealt.groupBy("b", "k").agg(F.sort_array(F.collect_list("term")).alias("terms"))
     prompt = F.concat(F.lit(f"Map each term to one of {', '.join(categories)} or null, as a JSON object: "), F.to_json("terms"))
