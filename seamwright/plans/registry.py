@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as tx
-from ..operators import charts, clusters, enrich, factorise, fields, filters, insights, labels, quality, tfidf, tokens, topics
+from ..operators import charts, clusters, enrich, factorise, fields, filters, insights, intervals, labels, quality, tfidf, tokens, topics
 from ..operators.quantiles import quantile_columns
 from ..streaming.events import windowed
 
@@ -552,6 +552,65 @@ def funding_status(spark, d):
     return o.select("o_orderkey", F.concat(fields.funding_status(done, F.col("o_orderdate"), F.lit("1996-01-01").cast("timestamp_ntz")), F.lit(" | "), "c_mktsegment").alias("status"))
 
 
+_STAR18 = """SELECT o.o_orderkey, c.c_name, cn.n_name AS customer_nation, cr.r_name AS customer_region, s.s_name, sn.n_name AS supplier_nation, sr.r_name AS supplier_region, p.p_type, coalesce(lb.quality, -1) AS quality, coalesce(lc.toxic, -1) AS customer_toxic,
+clicked.user_id IS NOT NULL AS clicked, bought.user_id IS NOT NULL AS bought, coalesce(d.lang, '?') AS lang, coalesce(dc.source, '?') AS customer_source, em.label AS vector_label, pg.page_id IS NOT NULL AS has_page, cv.role, bm.item_id IS NOT NULL AS in_benchmark
+FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN nation cn ON cn.n_nationkey = c.c_nationkey LEFT JOIN region cr ON cr.r_regionkey = cn.n_regionkey
+LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey LEFT JOIN part p ON p.p_partkey = l.l_partkey LEFT JOIN supplier s ON s.s_suppkey = l.l_suppkey LEFT JOIN nation sn ON sn.n_nationkey = s.s_nationkey LEFT JOIN region sr ON sr.r_regionkey = sn.n_regionkey
+LEFT JOIN labels lb ON lb.doc_id = o.o_orderkey LEFT JOIN labels lc ON lc.doc_id = c.c_custkey
+LEFT JOIN (SELECT * FROM events WHERE event_type = 'click') clicked ON clicked.user_id = o.o_custkey AND CAST(clicked.ts AS DATE) = CAST(l.l_shipdate AS DATE)
+LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') bought ON bought.user_id = o.o_custkey
+LEFT JOIN documents d ON d.doc_id = o.o_orderkey LEFT JOIN documents dc ON dc.doc_id = c.c_custkey LEFT JOIN embeddings em ON em.vec_id = o.o_orderkey LEFT JOIN pages pg ON pg.page_id = o.o_orderkey
+LEFT JOIN conversations cv ON cv.conv_id = o.o_orderkey LEFT JOIN benchmark bm ON bm.item_id = o.o_orderkey
+WHERE NOT coalesce(o.o_orderstatus = 'P', FALSE) AND NOT coalesce(upper(sr.r_name) = 'ASIA', FALSE)
+GROUP BY ALL"""
+
+
+@query(_STAR18)
+def attributes_star18(spark, d):
+    """Facts with 18 joins.  Sides of many rows a key are folded to the distinct values that are asked for before they join - the lines of an
+    order to part type, supplier and day, events to a customer's days or to the customer, turns to roles - so what fans out is what comes out."""
+    read = lambda n, *c: t(spark, d, n).select(*c)
+    nation = read("nation", "n_nationkey", "n_name", "n_regionkey").join(read("region", "r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    place = lambda p: nation.select(F.col("n_nationkey").alias(f"{p}_key"), F.col("n_name").alias(f"{p}_nation"), F.col("r_name").alias(f"{p}_region"))
+    label = lambda c, key: read("labels", F.col("doc_id").alias(key), c).distinct()
+    document = lambda c, key, name: read("documents", F.col("doc_id").alias(key), F.col(c).alias(name)).distinct()
+    events = t(spark, d, "events")
+    clicks = events.filter("event_type = 'click'").select(F.col("user_id").alias("click_user"), F.to_date("ts").alias("day"), F.lit(True).alias("clicked")).distinct()
+    buyers = events.filter("event_type = 'purchase'").select(F.col("user_id").alias("o_custkey"), F.lit(True).alias("bought")).distinct()
+    makers = read("supplier", "s_suppkey", "s_name", "s_nationkey").join(place("supplier"), F.col("s_nationkey") == F.col("supplier_key"), "left")
+    lines = read("lineitem", F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_suppkey", F.to_date("l_shipdate").alias("shipped")).distinct()
+    lines = lines.join(read("part", "p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"), "left").select("o_orderkey", "p_type", "l_suppkey", "shipped").distinct()
+    rows = read("orders", "o_orderkey", "o_custkey", "o_orderstatus").filter(~F.coalesce(F.col("o_orderstatus") == "P", F.lit(False)))
+    rows = rows.join(lines, "o_orderkey", "left").join(clicks, (F.col("o_custkey") == F.col("click_user")) & (F.col("shipped") == F.col("day")), "left")
+    rows = rows.select("o_orderkey", "o_custkey", "p_type", "l_suppkey", F.coalesce("clicked", F.lit(False)).alias("clicked")).distinct()  # days have done their part
+    rows = rows.join(makers, F.col("l_suppkey") == F.col("s_suppkey"), "left").filter(~F.coalesce(F.upper("supplier_region") == "ASIA", F.lit(False)))
+    buyer = read("customer", "c_custkey", "c_name", "c_nationkey").join(place("customer"), F.col("c_nationkey") == F.col("customer_key"), "left")
+    buyer = buyer.join(label("toxic", "c_custkey"), "c_custkey", "left").join(document("source", "c_custkey", "customer_source"), "c_custkey", "left")
+    rows = rows.join(buyer, F.col("o_custkey") == F.col("c_custkey"), "left").join(buyers, "o_custkey", "left")
+    for side in (
+        label("quality", "o_orderkey"), document("lang", "o_orderkey", "lang"), read("embeddings", F.col("vec_id").alias("o_orderkey"), F.col("label").alias("vector_label")).distinct(),
+        read("pages", F.col("page_id").alias("o_orderkey"), F.lit(True).alias("has_page")).distinct(), read("conversations", F.col("conv_id").alias("o_orderkey"), "role").distinct(),
+        read("benchmark", F.col("item_id").alias("o_orderkey"), F.lit(True).alias("in_benchmark")).distinct(),
+    ):
+        rows = rows.join(side, "o_orderkey", "left")
+    flag = lambda c: F.coalesce(c, F.lit(False)).alias(c)
+    return rows.select(
+        "o_orderkey", "c_name", "customer_nation", "customer_region", "s_name", "supplier_nation", "supplier_region", "p_type", F.coalesce("quality", F.lit(-1)).alias("quality"), F.coalesce("toxic", F.lit(-1)).alias("customer_toxic"),
+        "clicked", flag("bought"), F.coalesce("lang", F.lit("?")).alias("lang"), F.coalesce("customer_source", F.lit("?")).alias("customer_source"), "vector_label", flag("has_page"), "role", flag("in_benchmark"),
+    ).distinct()
+
+
+@query("""WITH i AS (SELECT s_suppkey AS k, DATE '1992-01-01' + CAST(s_suppkey * 37 % 2400 AS INTEGER) AS lo, CAST(s_suppkey % 200 AS INTEGER) AS n, s_name FROM supplier)
+SELECT o_orderkey, arg_min(s_name, k) AS bin FROM orders LEFT JOIN i ON CAST(o_orderdate AS DATE) >= lo AND CAST(o_orderdate AS DATE) < lo + n GROUP BY o_orderkey""")
+def interval_bins(spark, d):
+    """Order dates in a table of periods, one a supplier, that overlap; the supplier of the lowest number wins."""
+    k = F.col("s_suppkey")
+    lo = F.date_add(F.lit("1992-01-01").cast("date"), (k * 37 % 2400).cast("int"))
+    periods = t(spark, d, "supplier").select(lo.alias("lo"), F.date_add(lo, (k % 200).cast("int")).alias("hi"), "s_name", "s_suppkey")
+    orders = t(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    return intervals.first_match(orders, "day", periods, "s_name", "s_suppkey", "bin").select("o_orderkey", "bin")
+
+
 @query("SELECT c_custkey, CASE WHEN c_acctbal < 0 AND c_mktsegment = 'BUILDING' THEN 'both' WHEN c_nationkey < 5 THEN 'rural' WHEN c_mktsegment = 'BUILDING' THEN 'segment' WHEN c_acctbal < 0 THEN 'income' ELSE 'none' END AS class FROM customer")
 def efs_waterfall(spark, d):
     poor, seg = F.col("c_acctbal") < 0, F.col("c_mktsegment") == "BUILDING"
