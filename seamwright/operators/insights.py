@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from ..durable import durable
 from .quantiles import quantile_columns, with_quantiles
+from .topics import bridge as shares
 
 #: Fixed values of the insight format: the section of insights across groups, the text fields, those that must be there.
 KEY = "key_insights"
@@ -101,6 +102,17 @@ def top_projects(scores: DataFrame, key: str, project: str, order: list[Column],
     return ranked.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", F.col(project).cast("string").alias("p")))), lambda x: x["p"]), ",").alias("top_project_ids"))
 
 
+def topic_evidence(weights: DataFrame, tops: DataFrame, group: str, project: str, least_share: float = 0.15, best: int = 50) -> DataFrame:
+    """One row per topic that has support: topic_key, group, topic_id, label (its first three terms), distinct projects, mean and median
+    share, and its best projects by share.
+
+    weights: group, project, topic_id, weight (the rows of W); tops: group, topic_id, top_terms.  W is written first, as it is read twice."""
+    br = durable(shares(weights.filter(F.col("weight").isNotNull()), group, project, "topic_id", "weight", least_share), "topic-bridge")
+    name = tops.select(group, "topic_id", F.array_join(F.slice("top_terms", 1, 3), ", ").alias("label"))
+    found = support(br, ["topic_key", group, "topic_id"], project).join(name, [group, "topic_id"], "left")
+    return found.join(top_projects(br, "topic_key", project, [F.desc("topic_share"), F.asc(project)], best), "topic_key")
+
+
 def package(insights: DataFrame, least_topics: int = 1, least_projects: int = 20, least_share: float = 0.40) -> DataFrame:
     return insights.filter((F.col("n_topics") >= least_topics) & (F.col("supporting_projects") >= least_projects) & (F.col("mean_share") >= least_share))
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.text import clean_label
 from . import ports
@@ -20,9 +21,9 @@ def payloads(topics: DataFrame, weights: DataFrame, texts: DataFrame, group: str
 
     topics: group, topic_id, top_terms; weights: group, topic_id, project, weight (the heaviest ``snippets`` projects come, ties
     by project); texts: project, text."""
-    best = F.struct((-F.col("weight")).alias("w"), F.col(project).alias("p"))
-    w = weights.groupBy(group, "topic_id").agg(F.array_sort(F.collect_list(best)).alias("l")).select(group, "topic_id", F.posexplode(F.slice("l", 1, snippets)).alias("k", "x"))
-    shown = w.join(texts.select(F.col(project).alias("_p"), F.col("text")), F.col("x.p") == F.col("_p"), "left")
+    k = F.row_number().over(Window.partitionBy(group, "topic_id").orderBy(F.desc("weight"), F.col(project)))
+    w = weights.withColumn("k", k).filter(F.col("k") <= snippets).select(group, "topic_id", "k", F.col(project).alias("_q"))
+    shown = w.join(texts.select(F.col(project).alias("_p"), F.col("text")), F.col("_q") == F.col("_p"), "left")
     shown = shown.groupBy(group, "topic_id").agg(F.array_sort(F.collect_list(F.struct("k", F.coalesce("text", F.lit("")).alias("t")))).alias("s"))
     lines = F.array_join(F.transform("s", lambda x: F.concat(F.lit("- "), x["t"])), "\n")
     first = lambda keep, n: F.array_join(F.slice(F.filter("top_terms", keep), 1, n), ", ")

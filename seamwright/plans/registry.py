@@ -239,6 +239,13 @@ def _model(spark, d):
     return factorise.nmf(rows, "lang", {r["lang"]: r["n_components"] for r in sliced.collect()})
 
 
+@query()
+def topic_evidence(spark, d):
+    """Texts to evidence in one run: tokens, weights, factorisation, shares, support and best documents of every topic."""
+    model = _model(spark, d)
+    return insights.topic_evidence(model.weights(), model.topics(), "lang", "doc_id").select("topic_key", "lang", "topic_id", "label", "supporting_projects", "mean_share", "median_share", "top_project_ids")
+
+
 @query()
 def nmf_topics(spark, d):
     return _model(spark, d).topics().select("lang", "topic_id", F.array_join("top_terms", ",").alias("top_terms"))
@@ -1001,5 +1008,7 @@ def zip_groups(spark, d):
 
 @query("SELECT c_mktsegment, 'https://example.com/list?fields=a.id%2Ca.text&f[a.id]=' || string_agg(c_custkey::VARCHAR, '%2C' ORDER BY c_custkey) || '&limit=500' AS link FROM (SELECT * FROM customer QUALIFY row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) <= 3) GROUP BY c_mktsegment")
 def report_links(spark, d):
-    ids = t(spark, d, "customer").groupBy("c_mktsegment").agg(F.sort_array(F.collect_list("c_custkey")).alias("ids"))
+    first = F.row_number().over(Window.partitionBy("c_mktsegment").orderBy("c_custkey"))
+    few = t(spark, d, "customer").select("c_mktsegment", "c_custkey", first.alias("r")).filter("r <= 3")
+    ids = few.groupBy("c_mktsegment").agg(F.sort_array(F.collect_list("c_custkey")).alias("ids"))
     return ids.select("c_mktsegment", tx.link("https://example.com/list", ["a.id", "a.text"], "a.id", F.col("ids"), most=3).alias("link"))

@@ -17,8 +17,10 @@ def describe(df: DataFrame) -> dict:
     return {"rows": got["n"], "columns": dict(df.dtypes), "digest": f"{(got['x'] or 0) & (2**64 - 1):016x}-{got['s'] or 0}"}
 
 
-def manifest(stage: str, run_id: str, outputs: dict[str, DataFrame], params: dict, seconds: float, warnings: int = 0) -> dict:
-    return {"stage": stage, "run_id": run_id, "params": params, "duration_seconds": round(seconds, 3), "warnings": warnings, "outputs": {k: describe(v) for k, v in outputs.items()}}
+def manifest(stage: str, run_id: str, outputs: dict[str, DataFrame], params: dict, seconds: float, warnings: int = 0, inputs: dict[str, DataFrame] | None = None) -> dict:
+    """What a stage read and wrote: rows, columns and digests of both."""
+    tables = {"inputs": {k: describe(v) for k, v in (inputs or {}).items()}, "outputs": {k: describe(v) for k, v in outputs.items()}}
+    return {"stage": stage, "run_id": run_id, "params": params, "duration_seconds": round(seconds, 3), "warnings": warnings} | tables
 
 
 def html_report(title: str, sections: dict[str, DataFrame], most: int = 10_000) -> str:
