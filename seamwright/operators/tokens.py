@@ -193,3 +193,39 @@ def vector_terms(docs: DataFrame, sizes=(1, 1), mode: str = "words", key: str =
 def lemmatize(tokens: DataFrame, lemmas: DataFrame) -> DataFrame:
     """Table-backed lemmas: (token, lemma); tokens without one stay."""
     return tokens.join(lemmas, "token", "left").withColumn("token", F.coalesce("lemma", "token")).drop("lemma")
+
+
+#: Longest suffix a lemma rule looks at, and the letters that a lemma keeps of its word at least.
+SUFFIX, STEM = 8, 2
+
+
+def lemma_rules(lemmas: DataFrame) -> DataFrame:
+    """suffix, cut, add: what words that end so lose and get, learned from (token, lemma).
+
+    A word and its lemma share their beginning; what is left of either makes the word's rule, which counts for each of its
+    suffixes that the rule's own cut lies in.  A suffix keeps its most frequent rule (ties: the smaller cut, then ``add``)."""
+    pairs = lemmas.select("token", "lemma").filter("token <> '' AND lemma <> ''").distinct()
+    most = F.least(F.length("token"), F.length("lemma"))
+    same = F.size(F.filter(F.sequence(F.lit(1), most), lambda i: F.substr("token", F.lit(1), i) == F.substr("lemma", F.lit(1), i)))
+    rules = pairs.withColumn("same", same).select("token", (F.length("token") - F.col("same")).alias("cut"), F.substr("lemma", F.col("same") + 1).alias("add"))
+    rules = rules.filter((F.col("cut") <= SUFFIX) & (F.length("token") - F.col("cut") + F.length("add") >= STEM))
+    sizes = F.sequence(F.greatest(F.col("cut"), F.lit(1)), F.least(F.length("token"), F.lit(SUFFIX)))
+    votes = rules.select(F.explode(sizes).alias("size"), "token", "cut", "add").select(F.right("token", F.col("size")).alias("suffix"), "cut", "add").groupBy("suffix", "cut", "add").agg(F.count("*").alias("n"))
+    return votes.groupBy("suffix").agg(F.min_by(F.struct("cut", "add"), F.struct((-F.col("n")).alias("n"), "cut", "add")).alias("r")).select("suffix", "r.cut", "r.add")
+
+
+def lemma_of(words: DataFrame, lemmas: DataFrame, rules: DataFrame) -> DataFrame:
+    """token, lemma of distinct words: an entry of the table (the first in order of several), else the rule of the longest suffix that leaves ``STEM`` letters, else the word itself."""
+    exact = lemmas.filter("lemma <> ''").groupBy("token").agg(F.min("lemma").alias("exact"))
+    words = words.select("token").filter("token IS NOT NULL").distinct().join(exact, "token", "left")
+    sizes = F.sequence(F.lit(1), F.least(F.length("token"), F.lit(SUFFIX)))
+    open_ = words.filter("exact IS NULL AND token <> ''").select("token", F.explode(sizes).alias("size")).withColumn("suffix", F.right("token", F.col("size")))
+    fits = open_.join(rules, "suffix").filter(F.length("token") - F.col("cut") + F.length("add") >= STEM)
+    best = fits.groupBy("token").agg(F.max_by(F.struct("cut", "add"), "size").alias("r"))
+    ruled = best.select("token", F.concat(F.expr("left(token, length(token) - r.cut)"), F.col("r.add")).alias("ruled"))
+    return words.join(ruled, "token", "left").select("token", F.coalesce("exact", "ruled", "token").alias("lemma"))
+
+
+def lemmatize_all(tokens: DataFrame, lemmas: DataFrame) -> DataFrame:
+    """Tokens by their lemma, words outside the table by the rules it teaches.  Each distinct word is looked up once."""
+    return lemmatize(tokens, lemma_of(tokens, lemmas, lemma_rules(lemmas)))

@@ -102,6 +102,23 @@ def lemma_apply(spark, d):
     return tokens.lemmatize(toks(spark, d), lemmas).groupBy("token").agg(F.count("*").alias("n"))
 
 
+_LEMMAS = (("las", "la"), ("los", "lo"), ("des", "de"), ("ends", "end"), ("ending", "end"), ("eres", "er"), ("erst", "er"), ("ingly", "ing"), ("tiones", "tion"), ("heiten", "heit"), ("ons", "on"), ("boss", "boss"), ("is", "be"))
+
+
+@query(f"""WITH {_TOK}, m(token, lemma) AS (VALUES {", ".join(map(str, _LEMMAS))}),
+s AS (SELECT token, lemma, len(list_filter(range(1, least(length(token), length(lemma)) + 1), lambda i: token[1:i] = lemma[1:i])) AS same FROM m),
+r AS (SELECT token, length(token) - same AS cut, lemma[same + 1:] AS add FROM s),
+v AS (SELECT right(token, k) AS suffix, cut, add, count(*) AS n FROM (SELECT *, unnest(range(greatest(cut, 1), least(length(token), 8) + 1)) AS k FROM r WHERE cut <= 8 AND length(token) - cut + length(add) >= 2) GROUP BY ALL),
+b AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY suffix ORDER BY n DESC, cut, add) = 1),
+f AS (SELECT token, cut, add FROM (SELECT token, unnest(range(1, least(length(token), 8) + 1)) AS k FROM df) w JOIN b ON b.suffix = right(w.token, w.k) WHERE length(token) - cut + length(add) >= 2 QUALIFY row_number() OVER (PARTITION BY token ORDER BY k DESC) = 1),
+named AS (SELECT token, coalesce(m.lemma, left(token, length(token) - cut) || add, token) AS lemma, corpus_freq FROM df LEFT JOIN m USING (token) LEFT JOIN f USING (token))
+SELECT lemma AS token, sum(corpus_freq)::BIGINT AS n FROM named GROUP BY 1""")
+def lemma_all(spark, d):
+    """Tokens by lemma, those outside the table by the rules of its longest suffixes."""
+    lemmas = spark.createDataFrame(list(_LEMMAS), "token string, lemma string")
+    return tokens.lemmatize_all(toks(spark, d), lemmas).groupBy("token").agg(F.count("*").alias("n"))
+
+
 _SPARSE = f"""WITH {_TOK}, n AS (SELECT count(*) AS n FROM documents), keep AS (SELECT token FROM df, n WHERE doc_freq >= 3 AND doc_freq < n * 0.4),
 o AS (SELECT doc_id, token, min(pos) AS pos FROM tok WHERE token IN (SELECT token FROM keep) GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM o),
