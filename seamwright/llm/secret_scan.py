@@ -1,11 +1,13 @@
 """Secret scanning: three fixed patterns, and random strings exposed by their token efficiency.
 
 Natural words and names cost few tokens per character under a byte-pair vocabulary; random strings cost many.  A
-candidate is a maximal run of ``[A-Za-z0-9+/_=-]`` with ``LEAST`` or more letters and digits, outside the spans of the fixed
-patterns.  Known digests (a run of hex digits of a usual digest length) and identifiers are excluded.  Identifiers are
-UUIDs, numbers, and two or more parts joined by ``_``, ``-``, ``/``, ``=`` or ``+``, each a number or a word: letters in lower
-case, upper case or capitalised that are at most ``SHORT`` or by themselves token-efficient.  What then has fewer than
-``RATIO`` characters per token is a span of kind ``random``, whether or not it holds digits.
+candidate is a maximal run of ``[A-Za-z0-9+/_=-]`` with ``LEAST`` or more letters and digits - ``PLAIN`` or more if they are
+letters of one case, but for a capital in front, as natural words are.  Known digests (a run of hex digits of a usual digest
+length) and identifiers are excluded.  Identifiers are UUIDs, numbers, and two or more parts joined by ``_``, ``-``, ``/``,
+``=`` or ``+``, each a number or a word: letters in lower case, upper case or capitalised that are at most ``SHORT`` or by
+themselves token-efficient.  What then has fewer than ``RATIO`` characters per token is a span of kind ``random``.  Where
+spans of the fixed patterns lie in a run, what is left between them is judged, and one random piece makes the whole run
+random; a run that lies in one of them is no span of its own.
 
 Fixed patterns, on ASCII in either case for ``assign``: see ASSIGN, ACCESS and the runs of 16 or more ``[0-9a-f]``.  A
 match that is too short is dropped but still takes its characters.  Spans are code points of the whole text, end
@@ -21,7 +23,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +37,14 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
 WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
-LEAST, RATIO = 20, 2.0
+LEAST, PLAIN, RATIO = 12, 20, 2.0
 #: Letters of a part of an identifier that needn't be token-efficient.
 SHORT = 3
 DIGESTS = {32, 40, 48, 56, 64, 96, 128}
 _UUID = re.compile(rb"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 _HEX = re.compile(rb"[0-9a-f]+|[0-9A-F]+")
 _JOINT = re.compile(rb"[_/=+-]+")
+_MIXED = re.compile(rb"[0-9]|[a-z][^A-Za-z]*[A-Z]|[A-Z][^A-Za-z]*[A-Z][^A-Za-z]*[a-z]")
 _PART = re.compile(rb"[0-9]+|[a-z]+|[A-Z]+|[A-Z][a-z]+")
 _ENCODINGS: dict[str, object] = {}
 
@@ -94,6 +97,13 @@ def excluded(run: bytes, enc, ratio: float = RATIO) -> bool:
     return all(p.isdigit() or len(p) <= SHORT or efficient(p, enc, ratio) for p in parts)
 
 
+def random_string(run: bytes, enc, ratio: float = RATIO, least: int = LEAST) -> bool:
+    size = len(run.translate(None, _JOINTS))
+    if size < least or (size < PLAIN and not _MIXED.search(run)):
+        return False
+    return not efficient(run, enc, ratio) and not excluded(run, enc, ratio)
+
+
 def scan(text: bytes, enc, ratio: float = RATIO, least: int = LEAST) -> list[tuple[int, int, int]]:
     """(start, kind, end) in code points, sorted."""
     if not text:
@@ -111,10 +121,14 @@ def scan(text: bytes, enc, ratio: float = RATIO, least: int = LEAST) -> list[tup
     for _, b in base:
         upto.append(max(upto[-1], b))
     for a, b in runs(data, _IS_RUN, least):
-        run = text[a:b]
-        if upto[bisect_left(begins, b)] > a:  # a fixed span that begins before the run's end ends behind its start
+        first = bisect_right(begins, a)
+        if upto[first] >= b:  # within a fixed span
             continue
-        if len(run.translate(None, _JOINTS)) >= least and not efficient(run, enc, ratio) and not excluded(run, enc, ratio):
+        at, pieces = max(a, upto[first]), []
+        for start, end in base[first : bisect_left(begins, b)]:
+            pieces.append((at, start))
+            at = max(at, end)
+        if any(y - x >= least and random_string(text[x:y], enc, ratio, least) for x, y in [*pieces, (at, b)]):
             found.append((a, 3, b))
     if found and not text.isascii():
         at = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
