@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship
@@ -92,6 +92,46 @@ def verify_topics(claims: DataFrame, prompt: str, model: Callable[[str], str], *
     return told.withColumn("verified", kept).withColumn("ratio", F.when(F.size("topic_keys") > 0, F.size("verified") / F.size(F.array_distinct("topic_keys"))))
 
 
+CLAIM = "struct<group: string, topic_id: int>"
+
+
+def _claims() -> Column:
+    return F.coalesce(F.col("source_topics").cast(f"array<{CLAIM}>"), F.array().cast(f"array<{CLAIM}>"))
+
+
+def verify_claims(insights: DataFrame, labels: DataFrame, model: Callable[[str], str], groups: Sequence[str], least: dict[str, int] | None = None, **how) -> DataFrame:
+    """Adds ``verified`` (topics that the model lets stand) and ``problem``.
+
+    insights: insight_id, section, title, finding, evidence_basis, source_topics (array of group and topic_id); labels: group,
+    topic_id, label, description.  Sections have a least number of claimed topics in ``least`` (1 otherwise) under which an
+    insight isn't sent; one none of whose topics has a label isn't either.  The reply is JSON {verified_topics: [{group,
+    topic_id}]}; its topics of known ``groups`` stay, each once.  What isn't sent, fails or answers otherwise keeps its claims."""
+    floor = F.coalesce(F.create_map(*[F.lit(x) for kv in least.items() for x in kv])[F.col("section")], F.lit(1)) if least else F.lit(1)
+    rows = insights.withColumn("_claims", _claims())
+    one = labels.groupBy("group", "topic_id").agg(F.min(F.struct("label", "description")).alias("l")).select("group", F.col("topic_id").cast("int").alias("topic_id"), "l.*")
+    cited = rows.filter(F.size("_claims") >= floor).select("insight_id", F.posexplode("_claims").alias("k", "c")).select("insight_id", "k", "c.group", "c.topic_id")
+    line = F.concat(F.lit("  "), "group", F.lit("|"), F.col("topic_id").cast("string"), F.lit(" | label: "), F.coalesce("label", F.lit("")), F.lit(" | description: "), F.coalesce("description", F.lit("")))
+    shown = cited.join(one, ["group", "topic_id"]).groupBy("insight_id").agg(F.array_sort(F.collect_list(F.struct("k", line.alias("line")))).alias("l"))
+    shown = shown.select("insight_id", F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("_lines"))
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    parts = [F.lit("Title: "), text("title"), F.lit("\nFinding: "), text("finding"), F.lit("\nEvidence: "), text("evidence_basis"), F.lit("\nClaimed topics:\n"), F.col("_lines")]
+    prompt = F.concat(*parts, F.lit("\nAnswer JSON {verified_topics: [{group, topic_id}]} with those that support it."))
+    sent = shown.join(rows.select("insight_id", "title", "finding", "evidence_basis"), "insight_id").select("insight_id", prompt.alias("_prompt"))
+    told = ask(sent, "_prompt", model, **how).withColumn("g", json_reply(f"verified_topics array<{CLAIM}>"))
+    kept = F.array_distinct(F.filter("g.verified_topics", lambda x: x["group"].isin(*groups) & x["topic_id"].isNotNull()))
+    problem = F.when(F.col("error").isNotNull(), F.concat(F.lit("call failed: "), "error")).when(F.col("g.verified_topics").isNull(), "not the JSON asked for")
+    told = told.select("insight_id", kept.alias("_kept"), problem.alias("problem"))
+    return rows.join(told, "insight_id", "left").withColumn("verified", F.coalesce("_kept", "_claims")).drop("_claims", "_kept")
+
+
+def verification_stats(verified: DataFrame) -> DataFrame:
+    """One row a section: insights, how many changed, how many lost all topics, topics before and after."""
+    before, after = F.size(_claims()), F.size("verified")
+    count = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    sums = [F.count("*").alias("insight_count"), count(before != after).alias("changed_count"), count((before > 0) & (after == 0)).alias("dropped_to_zero_count"), F.sum(before).alias("topics_before"), F.sum(after).alias("topics_after")]
+    return verified.groupBy("section").agg(*sums)
+
+
 def judge_pairs(pairs: DataFrame, insights: DataFrame, model: Callable[[str], str], shown: Sequence[str] = ("section", "category_bucket", "title", "finding"), **how) -> DataFrame:
     """pairs (insight_id_a, insight_id_b and their overlaps) with ``duplicate`` and ``reason``: a model's decision on each screened pair.
 

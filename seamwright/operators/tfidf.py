@@ -12,8 +12,8 @@ def tfidf(terms: DataFrame, n_docs: int | Column, key: str = "doc_id", min_df: i
     tf = terms.groupBy(key, "token").agg(F.count("*").alias("tf"))
     df = tf.groupBy("token").agg(F.count("*").alias("df")).filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_share) * n_docs))
     raw = tf.join(df, "token").withColumn("idf", F.log((F.lit(1.0) + n_docs) / (1.0 + F.col("df"))) + 1.0).withColumn("raw", F.col("tf") * F.col("idf"))
-    norms = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return raw.join(norms, key).select(key, "token", "tf", "df", "idf", (F.col("raw") / F.col("norm")).alias("tfidf"))
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))  # one exchange by document; a document's terms fit a task
+    return raw.withColumn("norm", norm).select(key, "token", "tf", "df", "idf", (F.col("raw") / F.col("norm")).alias("tfidf"))
 
 
 def matrix_stats(weights: DataFrame, n_docs: int | Column, key: str = "doc_id") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..durable import durable
 from ..functions import text as tx
 from ..operators import charts, clusters, enrich, factorise, fields, filters, insights, intervals, labels, quality, tfidf, tokens, topics
 from ..operators.quantiles import quantile_columns
@@ -365,22 +366,23 @@ rep AS (SELECT cl.insight_id, section, category_bucket, 'Findings on theme ' ||
  round(coalesce(n_topics, 0) / n_claimed::DOUBLE, 6) AS verification_ratio FROM cl LEFT JOIN vf USING (insight_id) LEFT JOIN sup USING (insight_id))"""
 
 
-def _cited(spark, d):
-    tk = _bridge(spark, d).select("grp", "topic", "topic_key").distinct()
+def _cited(spark, d, br=None):
+    tk = (br or _bridge(spark, d)).select("grp", "topic", "topic_key").distinct()
     key = tk.select(F.concat(F.lit("KI_"), F.lpad(F.col("topic").cast("string"), 3, "0")).alias("insight_id"), F.lit(insights.KEY).alias("section"), F.lit(None).cast("string").alias("category_bucket"), "grp", "topic", "topic_key", F.col("topic").alias("own"))
     by = tk.withColumn("own", F.explode(F.array(F.col("topic") - 1, F.col("topic")))).filter(F.col("own").between(1, 6))
     return key.unionByName(by.select(F.concat(F.lit("BG_"), "grp", F.col("own").cast("string")).alias("insight_id"), F.lit("by_group").alias("section"), F.col("grp").alias("category_bucket"), "grp", "topic", "topic_key", "own"))
 
 
-def _verified(spark, d):
+def _verified(spark, d, br=None):
     flag = F.element_at(F.array(F.lit("coherent"), F.lit("mixed"), F.lit("redundant"), F.lit("unclear")), (F.col("topic") % 4 + 1).cast("int"))
-    return _cited(spark, d).filter((F.col("topic") + F.ascii("grp")) % 5 != 0).withColumn("flag", flag)
+    return _cited(spark, d, br).filter((F.col("topic") + F.ascii("grp")) % 5 != 0).withColumn("flag", flag)
 
 
 def _report(spark, d):
     """One row an insight, with everything that packaging, dedupe, scores and sections read."""
-    br, ver = _bridge(spark, d), _verified(spark, d)
-    claimed = _cited(spark, d).groupBy("insight_id").agg(F.first("section").alias("section"), F.first("category_bucket").alias("category_bucket"), F.first("own").alias("own"), F.count("*").alias("n_claimed"))
+    br = durable(_bridge(spark, d), "bridge")  # read five times below
+    ver = _verified(spark, d, br)
+    claimed = _cited(spark, d, br).groupBy("insight_id").agg(F.first("section").alias("section"), F.first("category_bucket").alias("category_bucket"), F.first("own").alias("own"), F.count("*").alias("n_claimed"))
     per = insights.support(br, ["topic_key"], "project")
     found = ver.join(per, "topic_key").groupBy("insight_id").agg(F.count("*").alias("n_topics"), F.array_sort(F.collect_list(F.struct("topic_key", "flag"))).alias("l"), F.avg("mean_share").alias("mean_share"))
     sup = ver.select("insight_id", "topic_key").join(br.select("topic_key", "project"), "topic_key").groupBy("insight_id").agg(F.countDistinct("project").alias("supporting_projects"))
@@ -447,6 +449,31 @@ def dedupe_audit(spark, d):
     return _deduped(spark, d)[1]
 
 
+_PARTS = """WITH RECURSIVE acc AS (SELECT p_partkey AS id, p_brand || ' ' || p_type AS bucket, [p_size % 7, 10 + p_size % 5, 20 + p_size % 3, 40 + p_partkey % 2, 50 + p_partkey % 3] AS topics,
+ list_distinct(string_split(lower(p_type), ' ') || ['size' || (p_size % 2), 'grade' || (p_partkey % 4), 'of', 'part']) AS tw, list_distinct(string_split(lower(p_type), ' ') || ['size' || (p_size % 2), 'grade' || (p_partkey % 4), 'of', 'part', 'near', 'w' || (p_partkey % 5)]) AS xw, p_retailprice AS price FROM part),
+ov AS (SELECT a.id AS a, b.id AS b, round(len(list_intersect(a.topics, b.topics)) / len(list_distinct(a.topics || b.topics))::DOUBLE, 6) AS topics_overlap,
+ round(len(list_intersect(a.tw, b.tw)) / len(list_distinct(a.tw || b.tw))::DOUBLE, 6) AS title_overlap, round(len(list_intersect(a.xw, b.xw)) / len(list_distinct(a.xw || b.xw))::DOUBLE, 6) AS words_overlap FROM acc a JOIN acc b ON a.bucket = b.bucket AND a.id < b.id),
+e AS (SELECT * FROM ov WHERE topics_overlap >= 0.8 OR (topics_overlap >= 0.6 AND title_overlap >= 0.6 AND words_overlap >= 0.55)),
+o AS (SELECT id, bucket, row_number() OVER (PARTITION BY bucket ORDER BY price DESC, id) AS k FROM acc),
+adj AS (SELECT x.bucket, x.k, list(y.k) AS near FROM (SELECT a, b FROM e UNION ALL SELECT b, a FROM e) p JOIN o x ON x.id = p.a JOIN o y ON y.id = p.b GROUP BY x.bucket, x.k),
+oo AS (SELECT o.*, coalesce(near, []) AS near FROM o LEFT JOIN adj USING (bucket, k)),
+g AS (SELECT DISTINCT bucket, 0 AS k, []::BIGINT[] AS kept, NULL::BIGINT AS hit FROM acc UNION ALL SELECT oo.bucket, oo.k, CASE WHEN list_has_any(g.kept, oo.near) THEN g.kept ELSE list_append(g.kept, oo.k) END, list_min(list_intersect(g.kept, oo.near)) FROM g JOIN oo ON oo.bucket = g.bucket AND oo.k = g.k + 1)
+SELECT o.id AS dropped_insight_id, p.id AS matched_kept_insight_id, topics_overlap, title_overlap, words_overlap FROM g JOIN o USING (bucket, k) JOIN o p ON p.bucket = g.bucket AND p.k = g.hit JOIN e ON e.a = least(o.id, p.id) AND e.b = greatest(o.id, p.id)"""
+
+
+@query(_PARTS)
+def dedupe_parts(spark, d):
+    """Duplicates by high and by moderate overlaps among many rows: parts of one brand and type, the dearest first."""
+    n = lambda c, k: F.col(c) % k
+    word = lambda w, c, k: F.concat(F.lit(w), n(c, k).cast("string"))
+    kind = F.split(F.lower("p_type"), " ")
+    title = F.concat(kind, F.array(word("size", "p_size", 2), word("grade", "p_partkey", 4), F.lit("of"), F.lit("part")))
+    topic = F.array(n("p_size", 7), 10 + n("p_size", 5), 20 + n("p_size", 3), 40 + n("p_partkey", 2), 50 + n("p_partkey", 3))
+    rows = t(spark, d, "part").select(F.col("p_partkey").alias("insight_id"), F.concat("p_brand", F.lit(" "), F.col("p_type")).alias("bucket"), topic.alias("topics"), F.array_distinct(title).alias("title"), F.array_distinct(F.concat(title, F.array(F.lit("near"), word("w", "p_partkey", 5)))).alias("words"), "p_retailprice")
+    pairs = insights.duplicates(insights.screened_pairs(rows.drop("p_retailprice"), "bucket")).drop("bucket")
+    return insights.dedupe(rows, pairs, [F.desc("p_retailprice"), F.asc("insight_id")])[1].drop("reason")
+
+
 _TIERS = {"top": {"confidence": 70, "projects": 40, "topics": 2, "quality": 40, "bridge": 60}, "secondary": {"confidence": 55, "projects": 25, "quality": 30, "bridge": 50}, "tertiary": {"confidence": 40, "projects": 15, "quality": 20, "bridge": 40}}
 _SCORE = f"""{_REP}, vs AS (SELECT 0.5 * median(n) AS v FROM (SELECT count(DISTINCT project) AS n FROM w GROUP BY grp)),
 p AS (SELECT *, least(100.0, 100.0 * supporting_projects / (SELECT v FROM vs)) AS a, least(100.0, 100.0 * n_topics / 3.0) AS b,
