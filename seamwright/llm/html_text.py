@@ -8,7 +8,7 @@ From an article every line comes, short ones too; from other regions the lines b
 
 Left out wherever they stand: elements that are no prose by their name (navigation, page headers and footers, asides, forms,
 scripts, styles, embedded objects) or by what their class, id or role says (adverts, notices, sidebars, reader comments and
-the like).  A header inside an article keeps its headings.
+the like).  A header of an article keeps its headings.
 
 Defined cases: null or empty html, and pages without any such line, give an empty text; text outside all elements counts as a
 line of the page; tags and comments that the end of the page cuts off are dropped, elements left open end with their parent;
@@ -46,7 +46,10 @@ SAYS = frozenset(
     "related replies reply respond share sharing shares sidebar signup skip social sponsor sponsored subscribe subscription teaser toolbar topbar widget widgets".split()
 )
 #: Parts that turn the others of a name round: an element "with-sidebar" isn't one.
-ABOUT = frozenset("with has no without free non is wrapper page content main layout container".split())
+ABOUT = frozenset("with has no without free non is layout".split())
+#: A header named after one of these is the head of an article, of which the headings stay.
+HEADED = frozenset("article blog content entry post section story".split())
+KEPT, SOFT, GONE = 0, 1, 2
 #: Drops that an ``article`` or ``main`` inside ends; all others hold for what is in them.
 LOOSE = frozenset("form fieldset header nav label menu".split())
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
@@ -56,15 +59,15 @@ _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td
 SIGMA, LINKED, MOST, HALF = 1.0, 0.5, 0.8, 0.3
 
 
-def _named(tag: str, names: str) -> bool:
-    for name in names.split():
-        parts = [p.lower() for p in _PART.findall(name)]
-        if not SAYS.isdisjoint(parts) and ABOUT.isdisjoint(parts):
-            own = SAYS.intersection(parts)
-            if tag in HEADINGS or own == {"header"} and len(parts) > 1 and parts[0] not in ("site", "global", "top", "masthead"):
-                continue  # the head of an article or section
-            return True
-    return False
+def _named(tag: str, names: str) -> int:
+    """What a class or id makes of an element; headings are what they are."""
+    found = KEPT
+    for name in names.split() if tag not in HEADINGS else ():
+        parts = {p.lower() for p in _PART.findall(name)}
+        own = SAYS & parts
+        if own and not ABOUT & parts:
+            found = max(found, SOFT if own == {"header"} and HEADED & parts else GONE)
+    return found
 
 
 class Lines(HTMLParser):
@@ -155,10 +158,12 @@ class Lines(HTMLParser):
         if said and tag not in ("html", "body"):
             role = (said.get("role") or "").lower()
             own = own or role in ROLES or "hidden" in said or said.get("aria-hidden") == "true" or bool(_HIDDEN.search(said.get("style") or ""))
-            own = own or (tag != "main" and role != "main" and any(_named(tag, said.get(k) or "") for k in ("class", "id")))
-        if tag in ("article", "main") and drop and not own and self._loose():
+            if tag != "main" and role != "main":
+                named = max(_named(tag, said.get(k) or "") for k in ("class", "id"))
+                own, soft = own or named == GONE, soft or named == SOFT
+        if drop and not own and (tag == "main" or tag == "article" and self._loose()):
             drop = False
-        if tag == "header" and not own:
+        if tag == "header" and not own and not soft:
             soft = any(self.count.get(t) for t in ("article", "main"))
             own = not soft
         if tag in CONTAINERS:

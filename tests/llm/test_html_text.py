@@ -27,6 +27,8 @@ SHAPES = {
     "script": f"<body><script>var a = '<p>not this</p>' < 3;</script><style>p{{}}</style><article><h1>Ti<b>tle</b></h1><!-- <p>nor this</p> -->{paragraphs()}<script>x('</article>')</script></article></body>",
     "table layout": f"<table><tr><td><a href=1>one</a><a href=2>two</a></td><td><h1>Title</h1>{paragraphs()}</td></tr></table>",
     "wrapper classes": f"<body class='no-sidebar has-comments'><div class='page-with-sidebar'><div class='main content'><h1 class='entry-header'>Title</h1>{paragraphs()}<div class='social share-buttons'>Share this on all the networks that you know of</div></div></div></body>",
+    "names with other words": f"<body><div class='main-menu'>Choose from all that we have to offer to you today</div><div class='page-header'><h1>Site</h1><p>A site of many things to read for all of you</p></div><div class='content'><div class='post-header'><h1>Title</h1><span>By someone on a day in spring of that year</span></div>{paragraphs()}<div class='content-ad'><p>{P[0]}</p></div></div><div class='sidebar-wrapper'><p>{P[1]}</p></div><div class='page-footer'>All of the rights are reserved by someone</div></body>",
+    "main in a named element": f"<div class='modal-open overlay'><main><h1>Title</h1>{paragraphs()}</main><section class='comments'><article><p>{P[0]}</p></article></section></div>",
     "list menu inside": f"<article><h1>Title</h1><ul><li><a href=1>one</a></li><li><a href=2>two</a></li><li><a href=3>three</a></li></ul>{paragraphs()}</article>",
 }
 
