@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..durable import durable
+from ..session import ship
 from .quantiles import quantile_columns
 
 #: Stopwords of the queries; a caller brings a list or a table of its own.
 STOPWORDS = ("the", "and", "for", "are", "was", "with", "that", "this", "from", "not")
 #: Fixed value: the ends of words that a stemmer is likely to have cut off (in words of at most eight letters).
 TRUNCATED = "(at|iv|iz|az|ig|if|ic|olog)$"
-#: Bits of the filter that tells n-grams whose shorter ones are rare: 1 MB, whatever the vocabulary.
-FILTER_BITS = 1 << 23
+#: Bits of the filter that tells n-grams whose shorter ones are rare (32 MB, whatever the vocabulary), and bytes of a part of it.
+FILTER_BITS, FILTER_PART = 1 << 28, 1 << 15
 #: Fixed value: the words that the term vectoriser sees, on lower-cased text; injected tokens (``__x__``) are none of them.
 VECTOR_TERM = r"(?U)\b[a-z][a-z_\-]*\b"
 
@@ -130,33 +137,78 @@ def ngram_terms(lists: DataFrame, sizes=(1, 2, 3), key: str = "doc_id") -> DataF
     return lists.select(key, F.explode(every).alias("t")).select(key, "t.n", "t.term")
 
 
-def _bits(terms: DataFrame) -> Column:
-    """A Bloom filter of one hash: an array of ``FILTER_BITS`` / 64 numbers, as a scalar subquery of a fixed size."""
-    at = F.pmod(F.xxhash64("term"), F.lit(FILTER_BITS))
-    words = terms.select((at / 64).cast("long").alias("id"), F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int")).alias("bit")).groupBy("id").agg(F.bit_or("bit").alias("bits"))
-    every = terms.sparkSession.range(FILTER_BITS // 64).join(words, "id", "left").select("id", F.coalesce("bits", F.lit(0)).cast("long").alias("bits"))
-    return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "bits"))), lambda w: w["bits"])).scalar()
+def _hashes(words: pa.Array) -> np.ndarray:
+    return np.fromiter((zlib.crc32(w.as_buffer() if w.is_valid else b"") for w in words.cast(pa.large_binary())), np.uint64, len(words))
+
+
+def _joined(hashes: list[np.ndarray], bits: int) -> np.ndarray:
+    """The place in the filter of n-grams, from the hashes of their words."""
+    total = np.zeros(len(hashes[0]), np.uint64)
+    for h in hashes:
+        total = (total + h + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        total ^= total >> np.uint64(29)
+    return (total % np.uint64(bits)).astype(np.int64)
+
+
+def _filter(terms: DataFrame, n: int) -> np.ndarray:
+    """A Bloom filter of one hash of n-grams, as bytes: made in parts by tasks, of a fixed size whatever their number."""
+    n_bits = FILTER_BITS
+
+    def places(batches):
+        for batch in batches:
+            words = pc.split_pattern(batch.column(0), " ").flatten().dictionary_encode()
+            of = _hashes(words.dictionary)[words.indices.to_numpy()].reshape(-1, n)
+            at = np.unique(_joined([of[:, k] for k in range(n)], n_bits))
+            yield pa.RecordBatch.from_arrays([pa.array((at // (8 * FILTER_PART)).astype(np.int32)), pa.array(at)], ["part", "at"])
 
+    def packed(table: pa.Table) -> pa.Table:
+        part, held = table.column("part")[0].as_py(), np.zeros(8 * FILTER_PART, np.uint8)
+        held[table.column("at").to_numpy() - part * 8 * FILTER_PART] = 1
+        return pa.table({"part": pa.array([part], pa.int32()), "bits": pa.array([np.packbits(held, bitorder="little").tobytes()], pa.binary())})
 
-def _may_hold(bits: Column, term: Column) -> Column:
-    at = F.pmod(F.xxhash64(term), F.lit(FILTER_BITS))
-    return F.getbit(F.get(bits, (at / 64).cast("int")), (at % 64).cast("int")) == 1
+    found, bits = terms.select("term").mapInArrow(places, "part int, at long"), np.zeros(n_bits // 8 + FILTER_PART, np.uint8)
+    for r in found.distinct().groupBy("part").applyInArrow(packed, "part int, bits binary").collect():
+        bits[r["part"] * FILTER_PART : (r["part"] + 1) * FILTER_PART] = np.frombuffer(r["bits"], np.uint8)
+    return bits
 
 
 def ngram_counts(lists: DataFrame, n: int, shorter: DataFrame | None = None) -> DataFrame:
     """term, doc_freq, corpus_freq of the n-grams of token lists, one list a document.
 
-    With ``shorter``, a table of (n-1)-grams, an n-gram is counted only if that holds both of its own: tested before the
-    shuffle in a filter that lets some others pass.  A term comes once for each place and once more for each document, so
-    both numbers are sums that each task makes for itself first, and one shuffle moves a row a term and task."""
-    grams = lists.select(F.col("tokens").alias("g") if n == 1 else ngrams(F.col("tokens"), n).alias("g"))
-    every = F.concat(F.transform("g", lambda x: F.struct(x.alias("term"), F.lit(0).alias("d"))), F.transform(F.array_distinct("g"), lambda x: F.struct(x.alias("term"), F.lit(1).alias("d"))))
-    rows = grams.select(F.explode(every).alias("t")).select("t.term", "t.d")
-    if shorter is not None and n > 1:
-        bits = _bits(shorter)
-        head, tail = F.substring_index("term", " ", n - 1), F.substr("term", F.instr("term", F.lit(" ")) + 1)
-        rows = rows.filter(_may_hold(bits, head) & _may_hold(bits, tail))
-    return rows.groupBy("term").agg(F.sum("d").alias("doc_freq"), F.sum(1 - F.col("d")).alias("corpus_freq"))
+    With ``shorter``, a table of (n-1)-grams, an n-gram is counted only if that holds both of its own: tested by the numbers
+    of its words in a filter that lets some others pass, before any text of it is made.  A task counts each batch of
+    documents by sorting, so one shuffle moves a row a term and task."""
+    spark, n_bits = ship(lists.sparkSession), FILTER_BITS
+    shared = spark.sparkContext.broadcast(_filter(shorter, n - 1)) if shorter is not None and n > 1 else None
+
+    def run(batches):
+        for batch in batches:
+            column = batch.column(0)
+            sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+            words = column.flatten().dictionary_encode()
+            code, doc = words.indices.to_numpy().astype(np.int64), np.repeat(np.arange(len(sizes)), sizes)
+            at = np.flatnonzero(doc[: len(doc) - n + 1] == doc[n - 1 :]) if len(doc) >= n else np.zeros(0, np.int64)
+            if shared and len(at):
+                bits, of = shared.value, _hashes(words.dictionary)
+                for first in (0, 1):
+                    place = _joined([of[code[at + first + k]] for k in range(n - 1)], n_bits)
+                    at = at[(bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1]
+            if not len(at):
+                continue
+            key = code[at]
+            for k in range(1, n):
+                key = np.unique(key * len(words.dictionary) + code[at + k], return_inverse=True)[1] if k + 1 < n else key * len(words.dictionary) + code[at + k]
+            order = np.argsort(key, kind="stable")  # the documents of a term stay in order
+            key, docs = key[order], doc[at[order]]
+            new = np.diff(key, prepend=-1) != 0
+            first = np.flatnonzero(new)
+            d = np.add.reduceat((new | (np.diff(docs, prepend=-1) != 0)).astype(np.int64), first)
+            one = [words.dictionary.take(pa.array(code[at[order[first]] + k])) for k in range(n)]
+            term = one[0] if n == 1 else pc.binary_join_element_wise(*one, " ")
+            yield pa.RecordBatch.from_arrays([term.cast(pa.string()), pa.array(d), pa.array(np.diff(first, append=len(key)))], ["term", "d", "c"])
+
+    rows = lists.select("tokens").mapInArrow(run, "term string, d long, c long")
+    return rows.groupBy("term").agg(F.sum("d").alias("doc_freq"), F.sum("c").alias("corpus_freq"))
 
 
 def ngram_vocabulary(lists: DataFrame, sizes=(1, 2, 3), min_df: int = 8, max_share: float = 0.4, key: str = "doc_id") -> DataFrame:
@@ -165,7 +217,7 @@ def ngram_vocabulary(lists: DataFrame, sizes=(1, 2, 3), min_df: int = 8, max_sha
     lists: key, tokens; one row a document."""
     most, out, shorter = F.lit(max_share) * lists.agg(F.count("*")).scalar(), None, None
     for n in range(1, max(sizes) + 1):
-        found = ngram_counts(lists, n, shorter).filter(F.col("doc_freq") >= min_df)
+        found = durable(ngram_counts(lists, n, shorter).filter(F.col("doc_freq") >= min_df), "ngrams")  # read by the next level and the result
         shorter = found.select("term")
         if n in sizes:
             level = found.filter(F.col("doc_freq") <= most).select(F.lit(n).alias("n"), "term", "doc_freq", "corpus_freq")

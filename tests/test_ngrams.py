@@ -59,3 +59,17 @@ def test_inject_finds_each_phrase_where_it_starts(spark):
         assert {r["doc_id"]: r["tokens"] for r in enrich.inject(df, lk).collect()} == want
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert enrich.inject(df, lk.limit(0)).filter(F.size("tokens") > 12).count() == 0
+
+
+def test_each_level_is_counted_once(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame([(i, ["a", "b", "c", f"x{i}"]) for i in range(40)], "doc_id long, tokens array<string>")
+    got = tokens.ngram_vocabulary(df.mapInArrow(count, df.schema), max_share=1.0)
+    assert sorted(r["term"] for r in got.collect()) == ["a", "a b", "a b c", "b", "b c", "c"]
+    assert seen.value <= 4 * 40  # three levels and the number of documents
