@@ -83,6 +83,21 @@ def token_arrays(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return docs.select(key, kept.alias("tokens")).filter(F.size("tokens") > 0)
 
 
+def token_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, text of the rows that have a kept token, for counts that cut texts in their own tasks."""
+    return docs.select(key, F.col(text).alias("text")).filter(F.col("text").rlike("(?i)[a-z]{3}|(?<![a-z])ai(?![a-z])"))
+
+
+def _cut(texts: pa.Array) -> pa.Array:
+    """The kept tokens of texts, as ``token_arrays`` has them."""
+    letters = pc.ascii_lower(pc.replace_substring_regex(pc.fill_null(texts.cast(pa.large_string()), ""), "[^a-zA-Z]+", " "))
+    lists = pc.split_pattern(letters, " ")
+    words = lists.flatten()
+    kept = pc.or_(pc.greater_equal(pc.binary_length(words), 3), pc.equal(words, "ai"))
+    ends = np.concatenate(([0], np.cumsum(kept.to_numpy(zero_copy_only=False))))[np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy())))]
+    return pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), words.filter(kept))
+
+
 def first_occurrences(tokens: DataFrame, key: str = "doc_id") -> DataFrame:
     """Ranks a token's occurrences in a document (row_number) and keeps the distinct-document count by conditional sum."""
     ranked = tokens.withColumn("rn", F.row_number().over(Window.partitionBy(key, "token").orderBy("pos")))
@@ -173,7 +188,7 @@ def _filter(terms: DataFrame, n: int) -> np.ndarray:
 
 
 def ngram_counts(lists: DataFrame, n: int, shorter: DataFrame | None = None) -> DataFrame:
-    """term, doc_freq, corpus_freq of the n-grams of token lists, one list a document.
+    """term, doc_freq, corpus_freq of the n-grams of token lists, one list a document, or of the tokens of ``token_texts``.
 
     With ``shorter``, a table of (n-1)-grams, an n-gram is counted only if that holds both of its own: tested by the numbers
     of its words in a filter that lets some others pass, before any text of it is made.  A task counts each batch of
@@ -183,7 +198,7 @@ def ngram_counts(lists: DataFrame, n: int, shorter: DataFrame | None = None) ->
 
     def run(batches):
         for batch in batches:
-            column = batch.column(0)
+            column = batch.column(0) if listed else _cut(batch.column(0))
             sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
             words = column.flatten().dictionary_encode()
             code, doc = words.indices.to_numpy().astype(np.int64), np.repeat(np.arange(len(sizes)), sizes)
@@ -203,18 +218,20 @@ def ngram_counts(lists: DataFrame, n: int, shorter: DataFrame | None = None) ->
             new = np.diff(key, prepend=-1) != 0
             first = np.flatnonzero(new)
             d = np.add.reduceat((new | (np.diff(docs, prepend=-1) != 0)).astype(np.int64), first)
-            one = [words.dictionary.take(pa.array(code[at[order[first]] + k])) for k in range(n)]
+            names = words.dictionary.cast(pa.string())
+            one = [names.take(pa.array(code[at[order[first]] + k])) for k in range(n)]
             term = one[0] if n == 1 else pc.binary_join_element_wise(*one, " ")
-            yield pa.RecordBatch.from_arrays([term.cast(pa.string()), pa.array(d), pa.array(np.diff(first, append=len(key)))], ["term", "d", "c"])
+            yield pa.RecordBatch.from_arrays([term, pa.array(d), pa.array(np.diff(first, append=len(key)))], ["term", "d", "c"])
 
-    rows = lists.select("tokens").mapInArrow(run, "term string, d long, c long")
+    listed = "tokens" in lists.columns
+    rows = lists.select("tokens" if listed else "text").mapInArrow(run, "term string, d long, c long")
     return rows.groupBy("term").agg(F.sum("d").alias("doc_freq"), F.sum("c").alias("corpus_freq"))
 
 
 def ngram_vocabulary(lists: DataFrame, sizes=(1, 2, 3), min_df: int = 8, max_share: float = 0.4, key: str = "doc_id") -> DataFrame:
     """term, n, doc_freq, corpus_freq with closed bounds, level by level: an n-gram in ``min_df`` documents has (n-1)-grams in as many.
 
-    lists: key, tokens; one row a document."""
+    lists: key, tokens, or ``token_texts``; one row a document."""
     most, out, shorter = F.lit(max_share) * lists.agg(F.count("*")).scalar(), None, None
     for n in range(1, max(sizes) + 1):
         found = durable(ngram_counts(lists, n, shorter).filter(F.col("doc_freq") >= min_df), "ngrams")  # read by the next level and the result

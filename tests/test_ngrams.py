@@ -73,3 +73,12 @@ def test_each_level_is_counted_once(spark, monkeypatch):
     got = tokens.ngram_vocabulary(df.mapInArrow(count, df.schema), max_share=1.0)
     assert sorted(r["term"] for r in got.collect()) == ["a", "a b", "a b c", "b", "b c", "c"]
     assert seen.value <= 4 * 40  # three levels and the number of documents
+
+
+def test_texts_are_cut_as_lists_are(spark):
+    texts = ["The AI, the\tAir", None, "", "ai", "a-i b c", "Ünï çode ÄBCÉ abcd", "x1y2 ABC\x00def  ", "ß ſ K İstanbul ai", "no ai-no"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lists, cut = tokens.token_arrays(docs), tokens.token_texts(docs)
+    assert sorted(r[0] for r in lists.select("doc_id").collect()) == sorted(r[0] for r in cut.select("doc_id").collect())
+    for n in (1, 2, 3):
+        assert sorted(map(tuple, tokens.ngram_counts(lists, n).collect())) == sorted(map(tuple, tokens.ngram_counts(cut, n).collect()))
