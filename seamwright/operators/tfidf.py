@@ -8,10 +8,10 @@ from pyspark.sql.window import Window
 
 
 def tfidf(terms: DataFrame, n_docs: int | Column, key: str = "doc_id", min_df: int = 1, max_share: float = 1.0) -> DataFrame:
-    """terms: key, token (one row an occurrence).  Returns key, token, tf, df, idf, tfidf."""
-    tf = terms.groupBy(key, "token").agg(F.count("*").alias("tf"))
+    """terms: key, token (one row an occurrence), or ``tokens.counted``, with tf.  Returns key, token, tf, df, idf, tfidf."""
+    tf = terms if "tf" in terms.columns else terms.groupBy(key, "token").agg(F.count("*").alias("tf"))
     df = tf.groupBy("token").agg(F.count("*").alias("df")).filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_share) * n_docs))
-    raw = tf.join(df, "token").withColumn("idf", F.log((F.lit(1.0) + n_docs) / (1.0 + F.col("df"))) + 1.0).withColumn("raw", F.col("tf") * F.col("idf"))
+    raw = tf.join(df.hint("shuffle_hash"), "token").withColumn("idf", F.log((F.lit(1.0) + n_docs) / (1.0 + F.col("df"))) + 1.0).withColumn("raw", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))  # one exchange by document; a document's terms fit a task
     return raw.withColumn("norm", norm).select(key, "token", "tf", "df", "idf", (F.col("raw") / F.col("norm")).alias("tfidf"))
 

@@ -98,6 +98,23 @@ def _cut(texts: pa.Array) -> pa.Array:
     return pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), words.filter(kept))
 
 
+def counted(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, token, tf of the kept tokens.  Rows of a key are brought together as texts, so its tokens need no shuffle."""
+    ship(docs.sparkSession)
+    whole = docs.groupBy(key).agg(F.array_join(F.collect_list(F.coalesce(text, F.lit(""))), " ").alias("text"))
+
+    def run(batches):
+        for batch in batches:
+            lists = _cut(batch.column(1))
+            sizes, words = pc.list_value_length(lists).to_numpy(), lists.flatten().dictionary_encode()
+            pairs = np.repeat(np.arange(len(sizes)), sizes) * len(words.dictionary) + words.indices.to_numpy()
+            pairs, tf = np.unique(pairs, return_counts=True)
+            doc, code = np.divmod(pairs, max(len(words.dictionary), 1))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc)), words.dictionary.cast(pa.string()).take(pa.array(code)), pa.array(tf)], [key, "token", "tf"])
+
+    return whole.mapInArrow(run, f"{key} {docs.schema[key].dataType.simpleString()}, token string, tf long")
+
+
 def first_occurrences(tokens: DataFrame, key: str = "doc_id") -> DataFrame:
     """Ranks a token's occurrences in a document (row_number) and keeps the distinct-document count by conditional sum."""
     ranked = tokens.withColumn("rn", F.row_number().over(Window.partitionBy(key, "token").orderBy("pos")))

@@ -82,3 +82,10 @@ def test_texts_are_cut_as_lists_are(spark):
     assert sorted(r[0] for r in lists.select("doc_id").collect()) == sorted(r[0] for r in cut.select("doc_id").collect())
     for n in (1, 2, 3):
         assert sorted(map(tuple, tokens.ngram_counts(lists, n).collect())) == sorted(map(tuple, tokens.ngram_counts(cut, n).collect()))
+
+
+def test_counts_of_repeated_keys(spark):
+    docs = spark.createDataFrame([(1, "the end the"), (1, "end AI"), (2, None), (None, "one ONE"), (None, "two"), (3, "")], "doc_id long, text string")
+    want = tokens.positions(docs).groupBy("doc_id", "token").agg(F.count("*").alias("tf"))
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, tokens.counted(docs).collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
