@@ -5,9 +5,8 @@ extra white space, dummy prefix, the marker for spaces), the model (unigram scor
 of what they make) and byte fallback, with the matching decoder.
 
 Ids come from the tokenizers library.  Parity is verified: every distinct cut is also encoded by the sentencepiece library,
-and where the two differ its ids are used instead.  That can't show a cut at a wrong place, so texts that hold the marker
-itself, and one text in ``WHOLE`` (by the CRC-32 of its bytes), are encoded by sentencepiece as a whole too, unless longer
-than ``WHOLE_BYTES``; where that differs the document has its ids.  ``misses`` counts the cuts and whole texts that differ.
+and where the two differ its ids are used instead.  That can't show a cut at a wrong place, so every text is encoded by
+sentencepiece as a whole too; where that differs the document has its ids.  ``misses`` counts the cuts and whole texts that differ.
 
 For BPE models with byte fallback and an identity normaliser a text is cut before each run of spaces and around line feeds
 where no piece of the vocabulary reaches across (checked on the vocabulary): merges never cross such a cut and no
@@ -43,8 +42,8 @@ UNIGRAM, BPE = 1, 2
 THREADS = 2
 #: Cuts encoded at once, and bytes of text looked up at once.
 SLICE, LOOKED_UP = 1 << 14, 1 << 20
-#: One text in so many is compared as a whole, if it has no more bytes than this.
-WHOLE, WHOLE_BYTES = 64, 1 << 20
+#: One text in so many is compared as a whole, if it has no more bytes than this: all, of any length.
+WHOLE, WHOLE_BYTES = 1, float("inf")
 _MARK = MARK.encode()
 _CUT, _EDGE = re.compile(rb" *[^ \n]+| +|\n"), re.compile(rb"[^ ][ \n]")
 
