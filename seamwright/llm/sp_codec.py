@@ -4,9 +4,9 @@
 extra white space, dummy prefix, the marker for spaces), the model (unigram scores, or BPE merges ranked by the scores
 of what they make) and byte fallback, with the matching decoder.
 
-Ids come from the tokenizers library.  Parity is verified: every distinct cut is also encoded by the sentencepiece library,
-and where the two differ its ids are used instead.  That can't show a cut at a wrong place, so every text is encoded by
-sentencepiece as a whole too; where that differs the document has its ids.  ``misses`` counts the cuts and whole texts that differ.
+Ids come from the tokenizers library.  Parity is verified: every text is also encoded by the sentencepiece library as a whole.
+Where that differs each of the text's cuts is encoded by both and takes sentencepiece's ids where they differ; if the text still
+differs (a cut at a wrong place), it has sentencepiece's ids.  ``misses`` counts the cuts and whole texts that differ.
 
 For BPE models with byte fallback and an identity normaliser a text is cut before each run of spaces and around line feeds
 where no piece of the vocabulary reaches across (checked on the vocabulary): merges never cross such a cut and no
@@ -25,6 +25,7 @@ import os
 import re
 import struct
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -164,7 +165,7 @@ class Codec:
         self.line = lines[0] if self.cut and self.model["bytes"] and lines else None
         self.cache = IdTable(self._encode, limit=250_000, limit_bytes=32 << 20)
         self.table = [self._bytes(t, kind) for t, _, kind in self.model["pieces"]]
-        self.wrong: set[bytes] = set()  # cuts in the cache on which the libraries differ
+        self.right: dict[bytes, list[int] | None] = {}  # cuts that were compared: sentencepiece's ids where the libraries differ
 
     @staticmethod
     def _bytes(text: str, kind: int) -> bytes:
@@ -172,34 +173,48 @@ class Codec:
             return bytes([int(text[3:5], 16)])
         return b"" if kind == CONTROL else " ⁇ ".encode() if kind == UNKNOWN else text.replace(MARK, " ").encode()
 
-    def _both(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+    def _both(self, texts: list[str]) -> tuple[list[list[int]], Callable[[], list[list[int]]]]:
+        """Ids of the tokenizers library, and those of sentencepiece when they are called for."""
         os.environ["TOKENIZERS_PARALLELISM"] = "true"  # read at each call, and other operators in this process may say otherwise
-        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)], self.bare.encode(texts, num_threads=1)
+        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)], lambda: self.bare.encode(texts, num_threads=1)
 
     def _encode(self, cuts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """In slices: both libraries hold far more for a token than its id."""
-        if len(self.wrong) > self.cache.limit:  # cuts that left the cache are compared again when they come back
-            self.wrong.intersection_update(self.cache.pieces.to_pylist())
-        got = [self._slice(cuts[i : i + SLICE]) for i in range(0, len(cuts), SLICE)]
+        """In slices: the library holds far more for a token than its id."""
+        got = [self._slice(cuts[i : i + SLICE])[0]() for i in range(0, len(cuts), SLICE)]
         return np.concatenate([flat for flat, _ in got]), np.concatenate([sizes for _, sizes in got])
 
     def _slice(self, cuts: list[bytes]):
-        """Ids of the tokenizers library, but of sentencepiece for the cuts on which they differ."""
+        """What gives ids and numbers of ids of the tokenizers library, and what gives those of sentencepiece."""
         # cuts never hold a line feed with other text, and no piece does, so many go as lines of one text
         feed = [i for i, c in enumerate(cuts) if c == b"\n"]
         rows = [c for c in cuts if c != b"\n"]
         if self.line is None:
-            mine, theirs = ((np.fromiter((i for x in got for i in x), np.int32), np.array([len(x) for x in got], np.int64)) for got in self._both([c.decode("utf-8", "replace") for c in cuts]))
+            mine, theirs = self._both([c.decode("utf-8", "replace") for c in cuts])
+            flat = lambda got: (np.fromiter((i for x in got for i in x), np.int32), np.array([len(x) for x in got], np.int64))
         else:
-            texts = [b"\n".join(rows[i : i + 64]).decode("utf-8", "replace") for i in range(0, len(rows), 64)]
-            mine, theirs = (self._lines(got, feed) for got in self._both(texts))
-        if np.array_equal(mine[0], theirs[0]) and np.array_equal(mine[1], theirs[1]):
-            return mine
-        lists = [np.split(flat, np.cumsum(sizes)[:-1]) for flat, sizes in (mine, theirs)]
-        differ = [not np.array_equal(a, b) for a, b in zip(*lists, strict=True)]
-        self.wrong.update(c for c, d in zip(cuts, differ, strict=True) if d)
-        used = [b if d else a for a, b, d in zip(*lists, differ, strict=True)]
-        return np.concatenate([np.zeros(0, np.int32), *used]), np.array([len(x) for x in used], np.int64)
+            mine, theirs = self._both([b"\n".join(rows[i : i + 64]).decode("utf-8", "replace") for i in range(0, len(rows), 64)])
+            flat = lambda got: self._lines(got, feed)
+        return lambda: flat(mine), lambda: flat(theirs())
+
+    def _compared(self, text: bytes) -> tuple[np.ndarray, int]:
+        """Ids of a text with sentencepiece's where a cut's differ, and how many cuts do."""
+        used, misses = [np.zeros(0, np.int32)], 0
+        for part in _parts(self._spaced(text), LOOKED_UP):
+            cuts = _CUT.findall(part)
+            if len(self.right) > self.cache.limit:
+                self.right.clear()
+            new = [c for c in dict.fromkeys(cuts) if c not in self.right]
+            for i in range(0, len(new), SLICE):
+                some = new[i : i + SLICE]
+                mine, theirs = ([x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])] for flat, sizes in (get() for get in self._slice(some)))
+                self.right.update({c: None if a == b else b for c, a, b in zip(some, mine, theirs, strict=True)})
+            ids, sizes = self.cache.get(cuts)
+            ends = np.cumsum(sizes)
+            for c, start, end in zip(cuts, (ends - sizes).tolist(), ends.tolist(), strict=True):
+                right = self.right[c]
+                misses += right is not None
+                used.append(ids[start:end] if right is None else np.array(right, np.int32))
+        return np.concatenate(used), misses
 
     def _lines(self, got: list[list[int]], feed: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and numbers of ids of the lines of all texts, with those of a lone line feed put in its place."""
@@ -230,7 +245,8 @@ class Codec:
                 batch.append((texts[at] or b"").decode("utf-8", "replace"))
                 held_bytes += len(texts[at] or b"")
                 at += 1
-            for mine, theirs in zip(*self._both(batch), strict=True):
+            got, full = self._both(batch)
+            for mine, theirs in zip(got, full(), strict=True):
                 yield np.array(mine if mine == theirs else theirs, np.int32), int(mine != theirs)
 
     def encode(self, texts: list[bytes | None]):
@@ -241,11 +257,13 @@ class Codec:
         at = 0
         for ids, ends in cached_ids([self._spaced(t or b"") for t in texts], _CUT.findall, self.cache, LOOKED_UP, _parts):
             for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
-                text = texts[at] or b""
-                own, misses = ids[a:b], sum(c in self.wrong for c in self.pieces(text)) if self.wrong else 0
+                text, own, misses, theirs = texts[at] or b"", ids[a:b], 0, None
                 if (_MARK in text or zlib.crc32(text) % WHOLE == 0) and len(text) <= WHOLE_BYTES:
-                    theirs = np.array(self.full.encode(text.decode("utf-8", "replace")), np.int32)
-                    if not np.array_equal(own, theirs):
+                    theirs = self.full.encode(text.decode("utf-8", "replace"))
+                    theirs = np.fromiter(theirs, np.int32, len(theirs))
+                if theirs is None or not np.array_equal(own, theirs):
+                    own, misses = self._compared(text)
+                    if theirs is not None and not np.array_equal(own, theirs):
                         own, misses = theirs, misses + 1
                 yield own, misses
                 at += 1
